@@ -102,26 +102,41 @@ def byline_date(page_text) -> Column:
 
 
 def byline_author(lines) -> Column:
-    """Text before the first ``|`` on the line directly above a line starting
-    with ``Published:`` (earliest such line wins); NULL when there is none.
-
-    ``lines`` is the staged ``split(page_text, '\\n')`` column.  Lines are
-    inspected one by one, so the cost stays linear in the text length.
+    """Author for the pattern ``<author> | <rest of line>`` followed by a
+    line starting with ``Published:``; NULL when there is none.
+
+    Equivalent to a leftmost regex search of
+    ``([^\\n]+?)\\s*\\|\\s*[^\\n]*\\n\\s*Published:`` over the text, computed
+    line by line from the staged ``split(page_text, '\\n')`` column so the
+    cost stays linear in the text length (the backtracking regex is
+    quadratic on long lines).  Three shapes match, each starting at the
+    beginning of a line j:
+    a) a '|' (not first char) in line j, ``Published:`` opens line j+1;
+    c) line j ends with '|' (+ blanks), ``Published:`` opens line j+2;
+    b) line j+1 opens with '|', ``Published:`` opens line j+2 (author =
+       all of line j).
+    The earliest line wins; on the same line a, then c, then b.
     """
     lines = _c(lines)
     n = F.size(lines)
     idx = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
-    pub_next = lambda j: F.get(lines, j + 1).rlike(PUBLISHED_LINE_RE)
-    # '|' on the same line (at index >= 1)
-    cand_a = F.get(F.filter(idx, lambda j: (F.locate("|", F.get(lines, j), 2) > 0) & pub_next(j)), 0)
-    # '|' opening the line: the author is the whole line above
-    cand_b = F.get(F.filter(idx, lambda j: (j >= 1) & F.get(lines, j).rlike(r"^[\s\x1c-\x1f]*\|")
-                            & pub_next(j)), 0)
-    line_a = F.get(lines, cand_a)
-    author_a = py_strip(F.substring(line_a, F.lit(1), F.locate("|", line_a, 2) - 1))
-    author_b = py_strip(F.get(lines, cand_b - 1))
-    use_a = cand_a.isNotNull() & (cand_b.isNull() | (cand_a <= cand_b - 1))
-    return F.when(use_a, author_a).when(cand_b.isNotNull(), author_b)
+    pub = lambda k: F.coalesce(F.get(lines, k).rlike(PUBLISHED_LINE_RE), F.lit(False))
+    line = lambda k: F.get(lines, k)
+    first = lambda cond: F.get(F.filter(idx, cond), 0)
+    ca = first(lambda j: (F.locate("|", line(j), 2) > 0) & pub(j + 1))
+    cc = first(lambda j: line(j).rlike(r"^[^\n]+\|[\s\x1c-\x1f]*$") & pub(j + 2))
+    cb = first(lambda j: (j >= 1) & (F.length(line(j - 1)) > 0)
+               & line(j).rlike(r"^[\s\x1c-\x1f]*\|") & pub(j + 1)) - 1
+    key = F.least(ca * 3, cc * 3 + 1, cb * 3 + 2)
+    la, lc, lb = line(ca), line(cc), line(cb)
+    author_a = py_strip(F.substring(la, F.lit(1), F.locate("|", la, 2) - 1))
+    last_bar = F.length(lc) - F.locate("|", F.reverse(lc)) + 1
+    author_c = py_strip(F.substring(lc, F.lit(1), last_bar - 1))
+    author_b = py_strip(lb)
+    return (F.when(key.isNull(), F.lit(None).cast("string"))
+            .when(key == ca * 3, author_a)
+            .when(key == cc * 3 + 1, author_c)
+            .otherwise(author_b))
 
 
 def first_img_tag(clean) -> Column:

@@ -149,15 +149,10 @@ def fix_protocol(spark, sf):
     """Protocol fix on image sources derived from the links."""
     l = EX.extract_links(_pages(spark, sf)).select("page_id", "pos", "href", "article_url")
     host = U.url_authority("article_url")
-    src = F.explode(F.array(
-        F.concat(F.lit("//img."), host, F.col("href")),
-        F.concat(F.lit(" "), F.col("article_url"), F.lit(" ")),
-        F.concat(F.lit(" //"), host, F.lit("/")),
-        F.lit("  ")))
     s = l.select("page_id", "pos", F.posexplode(F.array(
         F.concat(F.lit("//img."), host, F.col("href")),
         F.concat(F.lit(" "), F.col("article_url"), F.lit(" ")),
-        F.concat(F.lit(" //"), host, F.lit("/")),
+        F.concat(F.lit("\xa0//"), host, F.lit("/")),
         F.lit("  "))).alias("variant", "src"))
     return s.select("page_id", "pos", F.col("variant").cast("long").alias("variant"), "src",
                     U.fix_protocol("src").alias("fixed"))
@@ -200,9 +195,9 @@ def ad_filter(spark, sf):
 def py_strip(spark, sf):
     """Python strip over first lines padded with Unicode blanks."""
     d = B.table(spark, sf, "documents").select("doc_id", "lang", "text")
-    pad = (F.when(F.col("lang") == "en", F.lit("  \t"))
-           .when(F.col("lang") == "fr", F.lit("　 "))
-           .when(F.col("lang") == "de", F.lit("\x1c\x85 "))
+    pad = (F.when(F.col("lang") == "en", F.lit("\xa0 \t"))
+           .when(F.col("lang") == "fr", F.lit("\u3000\u2028"))
+           .when(F.col("lang") == "de", F.lit("\x1c\x85\u2009"))
            .otherwise(F.lit("")))
     s = F.concat(pad, X.first_line("text"), pad)
     return d.select("doc_id", X.py_strip(s).alias("stripped"),
@@ -213,7 +208,7 @@ def py_strip(spark, sf):
 def nbsp_clean(spark, sf):
     """No-break spaces to spaces."""
     d = B.table(spark, sf, "documents").select("doc_id", "text")
-    s = F.replace(X.first_line("text"), F.lit(" "), F.lit(" "))
+    s = F.replace(X.first_line("text"), F.lit(" "), F.lit("\xa0"))
     return d.select("doc_id", X.nbsp_clean(s).alias("cleaned"))
 
 
