@@ -22,6 +22,7 @@ from newsflow.functions.text import (
     decode_entities,
 )
 from newsflow.functions.urls import url_resolve
+from newsflow.session import spread
 
 P_OPEN_RE = r"(?i)<p(?:\s[^>]*)?/?>"
 P_CLOSE_RE = r"(?i)</p\s*>"
@@ -161,7 +162,7 @@ def extract_articles(pages: DataFrame, drop_ads: bool = True, nested: bool = Tru
     computed once per row (the optimizer keeps projections apart when an
     expensive value is used more than once).
     """
-    s1 = pages.select("page_id", "url", strip_non_text("html").alias("clean"))
+    s1 = spread(pages).select("page_id", "url", strip_non_text("html").alias("clean"))
     s2 = s1.select(
         "page_id", "url",
         page_title("clean", title_sep).alias("article_title"),
@@ -185,7 +186,7 @@ def extract_articles(pages: DataFrame, drop_ads: bool = True, nested: bool = Tru
 
 def extract_paragraphs(pages: DataFrame, drop_ads: bool = True, nested: bool = True) -> DataFrame:
     """One row per kept paragraph: (page_id, pos, text)."""
-    s0 = pages.select("page_id", strip_non_text("html").alias("clean"))
+    s0 = spread(pages).select("page_id", strip_non_text("html").alias("clean"))
     s1 = s0.select("page_id", paragraph_parts(content_block("clean")).alias("parts"))
     s2 = s1.select("page_id", keep_paragraphs(raw_paragraphs("parts", nested), drop_ads).alias("paras"))
     return (s2.select("page_id", F.posexplode("paras").alias("pos", "text"))

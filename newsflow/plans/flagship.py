@@ -19,7 +19,11 @@ from newsflow.session import ensure_utc
 
 
 def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = B.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return items_from_pages(B.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def items_from_pages(pages: DataFrame) -> DataFrame:
+    """Collector items from article pages (source = host without 'www.')."""
     a = EX.extract_articles(pages)
     ad = F.col("article_details")
     it = a.select(

@@ -448,6 +448,14 @@ def _sql() -> dict[str, str]:
     s["status_transitions"] = f"""WITH {ENRICH} SELECT uid, status AS status_after, status_before FROM patched"""
     s["process_stats"] = f"""WITH {ENRICH} SELECT status, ai_mode, CAST(count(*) AS BIGINT) AS n
         FROM patched GROUP BY status, ai_mode"""
+    s["stream_process"] = s["store_patch"]
+    s["stream_ingest"] = f"""WITH {PAGES_CLEAN},
+        t AS (SELECT page_id, url, {strip(f"coalesce({title_expr('clean', '')}, '')")} AS title,
+                {strip("coalesce(url, '')")} AS link FROM pc),
+        u AS (SELECT *, md5(link || '|' || title) AS uid,
+                row_number() OVER (PARTITION BY md5(link || '|' || title) ORDER BY page_id) AS rn FROM t)
+        SELECT uid, title, link AS url, replace({authority('url')}, 'www.', '') AS source,
+          '' AS published_at, 'raw' AS status FROM u WHERE rn = 1"""
     return s
 
 

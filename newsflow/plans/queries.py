@@ -6,6 +6,7 @@ texts).  Column names match the DuckDB oracle in :mod:`newsflow.plans.oracle`.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from newsflow.operators import items as I
 from newsflow.operators import rules as R
 from newsflow.operators import store as S
 from newsflow.plans import bindings as B
+from newsflow.plans import flagship
+from newsflow.streaming import ingest as ST
 from newsflow.plans.stub import stub_generate
 from newsflow.session import checkpoint_root, ensure_utc
 from newsflow.sinks.json_sink import write_items_json
@@ -481,3 +484,31 @@ def item_json(spark, sf):
     write_items_json(it, out)
     return spark.read.text(out).select(F.get_json_object("value", "$.uid").alias("uid"),
                                        F.length("value").cast("long").alias("json_chars"))
+
+
+# ------------------------------------------------------------- streaming
+@query
+def stream_ingest(spark, sf):
+    """Pages file stream -> items -> insert-if-absent into a fresh store
+    (availableNow + checkpoint); equals the batch result."""
+    root = f"{checkpoint_root(spark)}/stream_ingest/{uuid.uuid4().hex}"
+    ST.ingest_pages(spark, sf, f"{root}/store", f"{root}/ckpt", flagship.items_from_pages,
+                    B.run_ts(), glob="pages.parquet")
+    st = S.read_store(spark, f"{root}/store")
+    return st.select("uid", "title", "url", "source", "published_at", "status")
+
+
+@query
+def stream_process(spark, sf):
+    """Store file stream -> raw rows enriched -> patches; the patched
+    store equals the batch result of ``store_patch``."""
+    root = f"{checkpoint_root(spark)}/stream_process/{uuid.uuid4().hex}"
+    B.existing_store(spark, sf).write.parquet(f"{root}/store")
+    ST.process_raw(spark, f"{root}/store", f"{root}/patches", f"{root}/ckpt", stub_generate,
+                   B.run_ts())
+    store = spark.read.schema(S.STORE_SCHEMA).parquet(f"{root}/store")
+    patches = ST.latest_patches(spark.read.parquet(f"{root}/patches"))
+    out = S.apply_patch(store, patches)
+    return out.select("uid", "status", "ai_mode", "summary", "caption_telegram",
+                      "caption_instagram", "gemini_error", "processing_error", "title",
+                      _ts_text(F.col("processed_at")).alias("processed_at"))

@@ -60,3 +60,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a DataFrame whose scan yields fewer partitions than the
+    cluster has cores, before CPU-heavy per-row work (HTML parsing).
+
+    Only a metadata check: at scale (thousands of input splits) the input is
+    returned unchanged and no shuffle is added.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - e.g. streaming frames
+        return df
+    return df.repartition(want) if have < want else df
