@@ -44,6 +44,16 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it several times in ``body(x)``.
+
+    Catalyst inlines a Column each time it is referenced; binding through a
+    one-element ``transform`` keeps the expression tree (and the work per
+    row) linear when a sub-result is needed more than once.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 # ---------------------------------------------------------------------------
 # Python-compatible scalar helpers
 # ---------------------------------------------------------------------------
@@ -94,33 +104,35 @@ def first_line(c) -> Column:
 def _decode_piece(p: Column) -> Column:
     """Decode the text right after one '&' (single pass, no double decoding)."""
     name = F.regexp_extract(p, r"^([A-Za-z][-.A-Za-z0-9]*)", 1)
-    ch = F.try_element_at(_entity_map(), name)
-    after = F.length(name) + F.lit(1)
-    semi = F.when(F.substring(p, after, 1) == F.lit(";"), F.lit(1)).otherwise(F.lit(0))
-    named = F.concat(ch, F.substr(p, after + semi))
-    dec = F.regexp_extract(p, r"^#([0-9]{1,7});?", 1)
-    hexd = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]{1,6});?", 1)
-    dec_len = F.length(F.regexp_extract(p, r"^(#[0-9]{1,7};?)", 1))
-    hex_len = F.length(F.regexp_extract(p, r"^(#[xX][0-9a-fA-F]{1,6};?)", 1))
+    num = F.regexp_extract(p, r"^(#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?)", 1)
 
     def cp_char(cp_hex: Column) -> Column:
         return F.decode(F.unhex(F.lpad(cp_hex, 8, "0")), "UTF-32")
 
-    return (F.when(ch.isNotNull(), named)
-            .when(dec != "", F.concat(cp_char(F.hex(dec.cast("long"))),
-                                      F.substr(p, dec_len + F.lit(1))))
-            .when(hexd != "", F.concat(cp_char(F.upper(hexd)),
-                                       F.substr(p, hex_len + F.lit(1))))
-            .otherwise(F.concat(F.lit("&"), p)))
+    def body(r):
+        n, ch, ref = r["n"], r["c"], r["ref"]
+        after = F.length(n) + F.lit(1)
+        semi = F.when(F.substring(p, after, 1) == F.lit(";"), F.lit(1)).otherwise(F.lit(0))
+        digits = F.regexp_extract(ref, r"^#[xX]?([0-9a-fA-F]+)", 1)
+        cp_hex = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.upper(digits)) \
+            .otherwise(F.hex(digits.cast("long")))
+        return (F.when(ch.isNotNull(), F.concat(ch, F.substr(p, after + semi)))
+                .when(ref != "", F.concat(cp_char(cp_hex), F.substr(p, F.length(ref) + F.lit(1))))
+                .otherwise(F.concat(F.lit("&"), p)))
+
+    return let(F.struct(name.alias("n"), F.try_element_at(_entity_map(), name).alias("c"),
+                        num.alias("ref")), body)
 
 
 def decode_entities(c) -> Column:
     """Decode character references the way the HTML tokenizer does."""
     s = _c(c)
-    parts = F.split(s, "&", -1)
-    tail = F.transform(F.slice(parts, 2, F.size(parts) - 1), _decode_piece)
-    return F.when(F.instr(s, "&") == 0, s).otherwise(
-        F.concat(F.get(parts, 0), F.array_join(tail, "")))
+
+    def body(parts):
+        tail = F.transform(F.slice(parts, 2, F.size(parts) - 1), _decode_piece)
+        return F.concat(F.get(parts, 0), F.array_join(tail, ""))
+
+    return F.when(F.instr(s, "&") == 0, s).otherwise(let(F.split(s, "&", -1), body))
 
 
 def strip_non_text(html) -> Column:

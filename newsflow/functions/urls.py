@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsflow.functions.text import py_strip, _c
+from newsflow.functions.text import _c, let, py_strip
 
 SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 AUTHORITY_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
@@ -43,58 +43,77 @@ def fix_protocol(src) -> Column:
 
 def _remove_dots(segments: Column) -> Column:
     """RFC 3986 dot-segment removal over a split path (as ``urljoin`` does)."""
-    resolved = F.aggregate(
-        segments, F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc)
-        .otherwise(F.concat(acc, F.array(s))))
-    last = F.element_at(segments, -1)
-    resolved = F.when(last.isin(".", ".."), F.concat(resolved, F.array(F.lit("")))) \
-        .otherwise(resolved)
-    joined = F.array_join(resolved, "/")
-    return (F.when(joined == "", F.lit("/"))
-            .when(F.startswith(joined, F.lit("/")), joined)
-            .otherwise(F.concat(F.lit("/"), joined)))
+    def body(segs):
+        resolved = F.aggregate(
+            segs, F.array().cast("array<string>"),
+            lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+            .when(x == ".", acc)
+            .otherwise(F.concat(acc, F.array(x))))
+        resolved = F.when(F.element_at(segs, -1).isin(".", ".."),
+                          F.concat(resolved, F.array(F.lit("")))).otherwise(resolved)
+        return let(F.array_join(resolved, "/"), lambda j: (
+            F.when(j == "", F.lit("/")).when(F.startswith(j, F.lit("/")), j)
+            .otherwise(F.concat(F.lit("/"), j))))
+    return let(segments, body)
+
+
+def _merge(b_path: Column, h_path: Column) -> Column:
+    """Base directory + relative path, empty middle segments dropped."""
+    def with_dir(b_split):
+        b_dir = F.when(F.element_at(b_split, -1) != "",
+                       F.slice(b_split, 1, F.greatest(F.size(b_split) - 1, F.lit(0)))
+                       ).otherwise(b_split)
+        return F.concat(b_dir, F.split(h_path, "/", -1))
+
+    def squeeze(m):
+        n = F.size(m)
+        return F.when(n >= 2, F.concat(
+            F.slice(m, 1, 1),
+            F.filter(F.slice(m, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != ""),
+            F.slice(m, n, 1))).otherwise(m)
+
+    return let(let(F.split(b_path, "/", -1), with_dir), squeeze)
 
 
 def url_resolve(base, href) -> Column:
-    """``urllib.parse.urljoin(base, href)`` for http(s)-style bases."""
-    b = F.coalesce(_c(base), F.lit(""))
-    h = F.coalesce(_c(href), F.lit(""))
-    b_scheme = F.regexp_extract(b, SCHEME_RE, 1)
-    b_has_auth = b.rlike(AUTHORITY_RE)
-    b_auth = F.regexp_extract(b, AUTHORITY_RE, 1)
-    b_path = F.regexp_extract(b, PATH_RE, 1)
-    b_query = F.regexp_extract(b, r"^[^?#]*\?([^#]*)", 1)
-    prefix = F.concat(F.when(b_scheme != "", F.concat(b_scheme, F.lit(":"))).otherwise(F.lit("")),
-                      F.when(b_has_auth, F.concat(F.lit("//"), b_auth)).otherwise(F.lit("")))
-
-    h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
-    h_query = F.regexp_extract(h, r"^[^?#]*\?([^#]*)", 1)
-    h_frag = F.regexp_extract(h, r"(?s)^[^#]*#(.*)$", 1)
-
-    # relative path: base directory + href path, empty middle segments dropped
-    b_split = F.split(b_path, "/", -1)
-    b_dir = F.when(F.element_at(b_split, -1) != "",
-                   F.slice(b_split, 1, F.greatest(F.size(b_split) - 1, F.lit(0)))).otherwise(b_split)
-    merged = F.concat(b_dir, F.split(h_path, "/", -1))
-    n = F.size(merged)
-    merged = F.when(n >= 2, F.concat(
-        F.slice(merged, 1, 1),
-        F.filter(F.slice(merged, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != ""),
-        F.slice(merged, n, 1))).otherwise(merged)
-
-    path = (F.when(h_path == "", b_path)
-            .when(F.startswith(h_path, F.lit("/")), _remove_dots(F.split(h_path, "/", -1)))
-            .otherwise(_remove_dots(merged)))
-    query = F.when(h_path == "", F.when(h_query != "", h_query).otherwise(b_query)) \
-        .otherwise(h_query)
-    joined = F.concat(prefix, path,
-                      F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-                      F.when(h_frag != "", F.concat(F.lit("#"), h_frag)).otherwise(F.lit("")))
-    return (F.when(h == "", b)
-            .when(h.rlike(SCHEME_RE), h)
-            .when(F.startswith(h, F.lit("//")),
-                  F.concat(F.when(b_scheme != "", F.concat(b_scheme, F.lit(":")))
-                           .otherwise(F.lit("")), h))
-            .otherwise(joined))
+    """``urllib.parse.urljoin(base, href)`` for http(s)-style bases.
+
+    Each input and each parsed part is bound once (see ``let``), so the
+    expression stays small even when ``href`` is itself an expression.
+    """
+    def parse(bh):
+        b, h = bh["b"], bh["h"]
+        return F.struct(
+            b.alias("b"), h.alias("h"),
+            F.regexp_extract(b, SCHEME_RE, 1).alias("scheme"),
+            b.rlike(AUTHORITY_RE).alias("has_auth"),
+            F.regexp_extract(b, AUTHORITY_RE, 1).alias("auth"),
+            F.regexp_extract(b, PATH_RE, 1).alias("b_path"),
+            F.regexp_extract(b, r"^[^?#]*\?([^#]*)", 1).alias("b_query"),
+            F.regexp_extract(h, r"^([^?#]*)", 1).alias("h_path"),
+            F.regexp_extract(h, r"^[^?#]*\?([^#]*)", 1).alias("h_query"),
+            F.regexp_extract(h, r"(?s)^[^#]*#(.*)$", 1).alias("h_frag"))
+
+    def resolve(p):
+        b, h, scheme = p["b"], p["h"], p["scheme"]
+        scheme_part = F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit(""))
+        prefix = F.concat(scheme_part, F.when(p["has_auth"], F.concat(F.lit("//"), p["auth"]))
+                          .otherwise(F.lit("")))
+        h_path = p["h_path"]
+        path = (F.when(h_path == "", p["b_path"])
+                .when(F.startswith(h_path, F.lit("/")), _remove_dots(F.split(h_path, "/", -1)))
+                .otherwise(_remove_dots(_merge(p["b_path"], h_path))))
+        query = F.when(h_path == "", F.when(p["h_query"] != "", p["h_query"])
+                       .otherwise(p["b_query"])).otherwise(p["h_query"])
+        joined = F.concat(prefix, path,
+                          F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
+                          F.when(p["h_frag"] != "", F.concat(F.lit("#"), p["h_frag"]))
+                          .otherwise(F.lit("")))
+        return (F.when(h == "", b)
+                .when(h.rlike(SCHEME_RE), h)
+                .when(F.startswith(h, F.lit("//")), F.concat(scheme_part, h))
+                .otherwise(joined))
+
+    bh = F.struct(F.coalesce(_c(base), F.lit("")).alias("b"),
+                  F.coalesce(_c(href), F.lit("")).alias("h"))
+    return let(let(bh, parse), resolve)

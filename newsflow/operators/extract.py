@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions.text import (
-    _c, html_text, py_strip, starts_with_ci, strip_non_text, text_nodes,
-    decode_entities,
+    _c, decode_entities, html_text, let, py_strip, starts_with_ci, strip_non_text, text_nodes,
 )
 from newsflow.functions.urls import url_resolve
 from newsflow.session import spread
@@ -56,8 +55,9 @@ def attr_value(tag_html, name: str) -> Column:
 
 def page_title(clean, sep: str = "") -> Column:
     """Title chain ``h1 -> title``; presence-based (an empty ``<h1>`` gives '')."""
-    return (F.when(has_tag(clean, "h1"), html_text(first_inner(clean, "h1"), sep))
-            .when(has_tag(clean, "title"), html_text(first_inner(clean, "title"), sep)))
+    frag = (F.when(has_tag(clean, "h1"), first_inner(clean, "h1"))
+            .when(has_tag(clean, "title"), first_inner(clean, "title")))
+    return F.when(frag.isNotNull(), html_text(frag, sep))
 
 
 def content_block(clean) -> Column:
@@ -128,16 +128,20 @@ def byline_author(lines) -> Column:
     cc = first(lambda j: line(j).rlike(r"^[^\n]+\|[\s\x1c-\x1f]*$") & pub(j + 2))
     cb = first(lambda j: (j >= 1) & (F.length(line(j - 1)) > 0)
                & line(j).rlike(r"^[\s\x1c-\x1f]*\|") & pub(j + 1)) - 1
-    key = F.least(ca * 3, cc * 3 + 1, cb * 3 + 2)
-    la, lc, lb = line(ca), line(cc), line(cb)
-    author_a = py_strip(F.substring(la, F.lit(1), F.locate("|", la, 2) - 1))
-    last_bar = F.length(lc) - F.locate("|", F.reverse(lc)) + 1
-    author_c = py_strip(F.substring(lc, F.lit(1), last_bar - 1))
-    author_b = py_strip(lb)
-    return (F.when(key.isNull(), F.lit(None).cast("string"))
-            .when(key == ca * 3, author_a)
-            .when(key == cc * 3 + 1, author_c)
-            .otherwise(author_b))
+
+    def pick(r):
+        ca, cc, cb = r["a"], r["c"], r["b"]
+        key = F.least(ca * 3, cc * 3 + 1, cb * 3 + 2)
+        la, lc = line(ca), line(cc)
+        author_a = py_strip(F.substring(la, F.lit(1), F.locate("|", la, 2) - 1))
+        last_bar = F.length(lc) - F.locate("|", F.reverse(lc)) + 1
+        author_c = py_strip(F.substring(lc, F.lit(1), last_bar - 1))
+        return (F.when(key.isNull(), F.lit(None).cast("string"))
+                .when(key == ca * 3, author_a)
+                .when(key == cc * 3 + 1, author_c)
+                .otherwise(py_strip(line(cb))))
+
+    return let(F.struct(ca.alias("a"), cc.alias("c"), cb.alias("b")), pick)
 
 
 def first_img_tag(clean) -> Column:
