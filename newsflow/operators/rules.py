@@ -160,9 +160,13 @@ def _image(tag, rule, base):
 
 def cards_from_html(html, page_url, site):
     """All cards of one listing page under one site rule (list of dicts)."""
+    return cards_from_root(dom.parse(html), page_url, site)
+
+
+def cards_from_root(root, page_url, site):
+    """Cards from an already parsed listing page."""
     rule = SITES[site]["card"]
     base = page_url if rule["url_base"] == "page" else SITES[site]["base_url"]
-    root = dom.parse(html)
     out, seen = [], set()
     for node in root.select(rule["container"]):
         card = node.select_one(rule["inner"]) if rule["inner"] else node
@@ -236,8 +240,12 @@ def _block(root, rule):
 
 def article_from_html(html, url, site):
     """The details dict of one article page under one site rule."""
+    return article_from_root(dom.parse(html), url, site)
+
+
+def article_from_root(root, url, site):
+    """Details from an already parsed page (parse once, apply many rules)."""
     rule = SITES[site]["article"]
-    root = dom.parse(html)
     title_tag = _first(root, rule["title"])
     title = title_tag.get_text(rule["title_sep"], strip=True) if title_tag is not None else None
     block = _block(root, rule)
@@ -281,42 +289,51 @@ def article_from_html(html, url, site):
 def _cards_batches(it):
     for pdf in it:
         rows = []
-        for pid, url, html, site in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["site"]):
-            try:
-                cards = cards_from_html(html, url, site)
-                n = len(cards)
-                for i, c in enumerate(cards):
-                    rows.append({"page_id": pid, "site": site, "card_pos": i, "n_cards": n,
-                                 **c, "parse_error": None})
-            except Exception as e:  # noqa: BLE001 - isolate the page
-                rows.append({"page_id": pid, "site": site, "card_pos": None, "n_cards": 0,
-                             **dict.fromkeys(CARD_FIELDS), "parse_error": repr(e)})
+        for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
+            root = dom.parse(html)
+            for site in sites:
+                try:
+                    cards = cards_from_root(root, url, site)
+                    n = len(cards)
+                    for i, c in enumerate(cards):
+                        rows.append({"page_id": pid, "site": site, "card_pos": i, "n_cards": n,
+                                     **c, "parse_error": None})
+                except Exception as e:  # noqa: BLE001 - isolate the page
+                    rows.append({"page_id": pid, "site": site, "card_pos": None, "n_cards": 0,
+                                 **dict.fromkeys(CARD_FIELDS), "parse_error": repr(e)})
         yield pd.DataFrame(rows, columns=CARD_SCHEMA.fieldNames())
 
 
 def _article_batches(it):
     for pdf in it:
         rows = []
-        for pid, url, html, site in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["site"]):
-            try:
-                d = article_from_html(html, url, site)
-                err = None
-            except Exception as e:  # noqa: BLE001 - isolate the page
-                d, err = dict.fromkeys(DETAIL_FIELDS), repr(e)
-            rows.append({"page_id": pid, "site": site, "url": url, **d, "parse_error": err})
+        for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
+            root = dom.parse(html)
+            for site in sites:
+                try:
+                    d = article_from_root(root, url, site)
+                    err = None
+                except Exception as e:  # noqa: BLE001 - isolate the page
+                    d, err = dict.fromkeys(DETAIL_FIELDS), repr(e)
+                rows.append({"page_id": pid, "site": site, "url": url, **d, "parse_error": err})
         yield pd.DataFrame(rows, columns=ARTICLE_SCHEMA.fieldNames())
 
 
+def _with_sites(pages: DataFrame) -> DataFrame:
+    """Input rows carry either one ``site`` or an array ``sites``; each page
+    is parsed once and every listed rule is applied to the same tree."""
+    sites = F.col("sites") if "sites" in pages.columns else F.array(F.col("site"))
+    return spread(pages.select("page_id", "url", "html", sites.alias("sites")))
+
+
 def extract_cards(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html, site) -> one row per card (narrow, no shuffle)."""
-    return spread(pages.select("page_id", "url", "html", "site")).mapInPandas(
-        _cards_batches, CARD_SCHEMA)
+    """pages(page_id, url, html, site|sites) -> one row per card (narrow)."""
+    return _with_sites(pages).mapInPandas(_cards_batches, CARD_SCHEMA)
 
 
 def extract_site_articles(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html, site) -> one details row per page."""
-    out = spread(pages.select("page_id", "url", "html", "site")).mapInPandas(
-        _article_batches, ARTICLE_SCHEMA)
+    """pages(page_id, url, html, site|sites) -> one details row per page and site."""
+    out = _with_sites(pages).mapInPandas(_article_batches, ARTICLE_SCHEMA)
     return out.select("page_id", "site", "url",
                       F.struct(*DETAIL_FIELDS).alias("article_details"), "parse_error")
 

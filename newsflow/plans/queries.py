@@ -448,7 +448,7 @@ def process_stats(spark, sf):
 def _pages_per_site(spark, sf):
     p = _pages(spark, sf)
     return p.select("page_id", "url", "html",
-                    F.explode(F.array(*[F.lit(s) for s in R.SITES])).alias("site"))
+                    F.array(*[F.lit(s) for s in R.SITES]).alias("sites"))
 
 
 @query
