@@ -27,7 +27,7 @@ P_OPEN_RE = r"(?i)<p(?:\s[^>]*)?/?>"
 P_CLOSE_RE = r"(?i)</p\s*>"
 ANCHOR_RE = r"(?is)<a(?:\s[^>]*)?>.*?(?:</a\s*>|$)"
 IMG_RE = r"(?is)<img(?:\s[^>]*)?>"
-PUBLISHED_LINE_RE = r"^[\s\x1c-\x1f]*Published:"
+PUBLISHED_LINE_RE = r"(?U)^[\s\x1c-\x1f]*Published:"
 PUBLISHED_RE = r"(?Ud)Published:[\s\x1c-\x1f]*(.+)"
 
 
@@ -125,9 +125,9 @@ def byline_author(lines) -> Column:
     line = lambda k: F.get(lines, k)
     first = lambda cond: F.get(F.filter(idx, cond), 0)
     ca = first(lambda j: (F.locate("|", line(j), 2) > 0) & pub(j + 1))
-    cc = first(lambda j: line(j).rlike(r"^[^\n]+\|[\s\x1c-\x1f]*$") & pub(j + 2))
+    cc = first(lambda j: line(j).rlike(r"(?U)^[^\n]+\|[\s\x1c-\x1f]*$") & pub(j + 2))
     cb = first(lambda j: (j >= 1) & (F.length(line(j - 1)) > 0)
-               & line(j).rlike(r"^[\s\x1c-\x1f]*\|") & pub(j + 1)) - 1
+               & line(j).rlike(r"(?U)^[\s\x1c-\x1f]*\|") & pub(j + 1)) - 1
 
     def pick(r):
         ca, cc, cb = r["a"], r["c"], r["b"]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from newsflow.operators import extract as EX
-from newsflow.operators.rules import article_from_html
+from newsflow.operators.rules import article_from_html, author_from_lines
 
 AUTHOR_RE = re.compile(r"([^\n]+?)\s*\|\s*[^\n]*\n\s*Published:")
 DATE_RE = re.compile(r"Published:\s*(.+)")
@@ -42,9 +42,23 @@ BYLINES = [
     "a | b\nc\nPublished: late",
     "one | two\nPublished: ",
     "Published:",
+    "a |  \nx\nPublished: y",
+    "\u3000| z\nPublished: y",
+    "lead | x\n\xa0Published: d",
 ]
 
 
+def test_author_lines_vs_regex_on_documents(spark):
+    """Python line form == the reference regex on whole document texts."""
+    import duckdb
+    texts = [r[0] for r in duckdb.sql(
+        f"select text from '{SF}/documents.parquet'").fetchall()]
+    for t in texts:
+        for variant in (t, t.replace(". ", " | ", 3) + "\nPublished: x"):
+            m = AUTHOR_RE.search(variant)
+            assert author_from_lines(variant) == (m.group(1).strip() if m else None)
+
+
 @pytest.mark.parametrize("text", BYLINES)
 def test_byline_matches_regex(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
@@ -52,6 +66,7 @@ def test_byline_matches_regex(spark, text):
                   EX.byline_author(F.split("t", "\n", -1)).alias("a")).first()
     m = AUTHOR_RE.search(text)
     assert r.a == (m.group(1).strip() if m else None)
+    assert author_from_lines(text) == r.a
     m = DATE_RE.search(text)
     assert r.d == (m.group(1).strip() if m else None)
 
