@@ -10,6 +10,8 @@ through the native generic path (:mod:`newsflow.plans.flagship`).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,7 +64,12 @@ def collect(spark: SparkSession, pages: DataFrame, store_root: str, run_ts=None,
     items = site_items(spark, pages)
     if json_path:
         write_items_json(I.recent_first(items).drop("published_dt"), json_path)
-    best = I.dedup_uid(items, "row_key")
+    # Stage the deduplicated batch once in the shared store folder: the
+    # size checks, the anti join and the append then read files instead of
+    # recomputing extraction, and a lost executor restarts from the files.
+    staged = f"{store_root}/_staging/{uuid.uuid4().hex}"
+    I.dedup_uid(items, "row_key").write.parquet(staged)
+    best = spark.read.parquet(staged)
     store = S.read_store(spark, store_root)
     new = S.insert_new(best, store)
     # counters first: after the append the same plan would see the new rows

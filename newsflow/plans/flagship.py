@@ -45,5 +45,5 @@ def collect_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     best = I.dedup_uid(page_items(spark, sf_dir), "page_id")
     rows = S.store_row(best, B.run_ts())
-    return I.recent_first(rows.withColumn("published_dt", F.lit(None).cast("timestamp"))) \
-        .drop("published_dt")
+    # ISO text sorts like the time; '' (unparseable) sorts last when descending
+    return rows.orderBy(F.col("published_at").desc(), F.col("uid"))
