@@ -48,8 +48,17 @@ def main() -> None:
     flagship.collect_items(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times["flagship_collect"] = round(time.time() - t0, 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
+    n_pages = spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+    n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    n_raw = REGISTRY["store_raw_scan"](spark, sf_dir).count()
+    rates = {
+        "native_extract_pages_per_s": round(n_pages / times["article_extract"], 1),
+        "rule_extract_pages_per_s": round(n_pages / times["site_articles"], 1),
+        "dedup_insert_items_per_s": round(n_docs / (times["dedup_uid"] + times["store_insert"]), 1),
+        "enrich_rows_per_s": round(n_raw / times["enrich_items"], 1),
+    }
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+                      "unit": "sec", "queries": times, "sf": sf, "rates": rates}))
 
 
 if __name__ == "__main__":

@@ -92,3 +92,19 @@ def test_truncate_by_code_point(spark):
     s = "😀" * 130 + "x"
     got = spark.range(1).select(X.truncate(F.lit(s), 120).alias("t")).first().t
     assert got == s[:120]
+
+
+ENT = ["&", "amp", ";", "a", " ", "#", "39", "x41", "quot", "copy", "am", "nbsp", "<", "b"]
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ENT), max_size=8).map("".join), min_size=200, max_size=200))
+def test_text_nodes_match_parsed_tree(spark, values):
+    """Native text nodes (tags split, entities decoded, stripped) equal the
+    parsed tree's ``get_text`` on random fragments."""
+    from newsflow.operators import dom
+    frags = [f"<p>{v}<b>{v[::-1]}</b></p>" for v in values]
+    rows = _col(spark, frags).select("i", X.html_text(X.strip_non_text("s"), "|").alias("t")).collect()
+    got = {r.i: r.t for r in rows}
+    for i, f in enumerate(frags):
+        assert got[i] == dom.parse(f).get_text("|", strip=True), f
