@@ -110,11 +110,17 @@ def insert_stats(batch_all: DataFrame, added: DataFrame) -> DataFrame:
                      (F.sum("n") - F.sum("a")).cast("long").alias("skipped"))
 
 
-def apply_patch(store: DataFrame, patch: DataFrame) -> DataFrame:
+def apply_patch(store: DataFrame, patch: DataFrame, broadcast_patch: bool = False) -> DataFrame:
     """Partial update by uid: a non-NULL patch field overwrites, every other
-    field is kept; a patch for an unknown uid inserts nothing."""
+    field is kept; a patch for an unknown uid inserts nothing.
+
+    The patch is not counted here (counting a lazily computed patch would
+    repeat the model calls): pass ``broadcast_patch=True`` only when its
+    size is known to be small (e.g. ``at_most`` on the written patch
+    files); otherwise AQE picks the join from the runtime size.
+    """
     p = patch.select("uid", *[F.col(c).alias("_p_" + c) for c in PATCH_FIELDS if c in patch.columns])
-    if at_most(p, BROADCAST_MAX_ROWS):
+    if broadcast_patch:
         p = F.broadcast(p)
     j = store.join(p, "uid", "left")
     cols = []

@@ -95,5 +95,6 @@ def process(spark: SparkSession, store_root: str, generate, run_ts=None,
     patch_path = f"{store_root}/_patches/v={(versions[-1] + 1) if versions else 0}"
     patch.write.mode("overwrite").parquet(patch_path)
     patch = spark.read.parquet(patch_path)
-    return S.write_snapshot(spark, store_root, S.apply_patch(store, patch))
+    small = S.at_most(patch, S.BROADCAST_MAX_ROWS)
+    return S.write_snapshot(spark, store_root, S.apply_patch(store, patch, small))
 
