@@ -78,27 +78,41 @@ def with_published(items: DataFrame) -> DataFrame:
             .withColumn("published_dt_str", iso_published(F.col("published_dt"))))
 
 
-def _recency_key(tiebreak: str) -> Column:
-    """Non-null ordering struct: newest first, unparseable last, then the
-    smaller tie-break key first."""
+_DEC = "decimal(38,0)"
+
+
+def _recency_rank(tiebreak: str) -> Column:
+    """One non-null DECIMAL(38,0) that orders rows newest first, unparseable
+    last, then the smaller tie-break key first:
+    ``has_ts * 1e36 + (micros + 1e17) * 1e18 + (1e18 - 1 - key)``.
+    A fixed-width number keeps ``max_by`` in the hash aggregate.
+    """
     ts = F.col("published_dt")
-    return F.struct(ts.isNotNull().alias("has_ts"),
-                    F.coalesce(F.unix_micros(ts), F.lit(0)).alias("ts"),
-                    (-F.col(tiebreak)).alias("tb"))
+    has = F.when(ts.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast(_DEC)
+    micros = F.least(F.greatest(F.coalesce(F.unix_micros(ts), F.lit(0)),
+                                F.lit(-(10 ** 17) + 1)), F.lit(10 ** 17 - 1)).cast(_DEC)
+    key = F.least(F.greatest(F.col(tiebreak).cast("long"), F.lit(0)), F.lit(10 ** 18 - 1)).cast(_DEC)
+    def big(n: int) -> Column:
+        return F.lit(str(n)).cast(_DEC)
+
+    return (has * big(10 ** 36) + (micros + big(10 ** 17)) * big(10 ** 18)
+            + (big(10 ** 18 - 1) - key)).cast(_DEC)
 
 
 def dedup_uid(items: DataFrame, tiebreak: str) -> DataFrame:
     """Keep one row per uid: the first in newest-first order.
 
-    ``max_by`` over a group is a partial aggregate: each task keeps one
-    candidate per uid before the shuffle, so a hot uid (e.g. every item with
-    empty link and title shares ``md5('|')``) never lands whole in one task,
-    and wide text columns are never sorted.
+    Winners are picked on three narrow columns (uid, key, rank) with a hash
+    aggregate that combines per task before the shuffle, so a hot uid (e.g.
+    every item with empty link and title shares ``md5('|')``) never lands
+    whole in one task.  The wide rows are then kept by a hash semi join on
+    the unique row key -- wide text is neither sorted nor aggregated.  Read
+    ``items`` from staged files when it is expensive to compute: it is
+    scanned twice (the narrow pass reads three columns).
     """
-    cols = [c for c in items.columns if c != "uid"]
-    best = (items.groupBy("uid")
-            .agg(F.max_by(F.struct(*cols), _recency_key(tiebreak)).alias("r")))
-    return best.select("uid", *[F.col("r")[c].alias(c) for c in cols])
+    win = (items.select("uid", F.col(tiebreak).alias("_k"), _recency_rank(tiebreak).alias("_r"))
+           .groupBy("uid").agg(F.max_by("_k", "_r").alias(tiebreak)))
+    return items.join(win.select(tiebreak).hint("shuffle_hash"), tiebreak, "left_semi")
 
 
 def recent_first(items: DataFrame) -> DataFrame:

@@ -62,14 +62,15 @@ def collect(spark: SparkSession, pages: DataFrame, store_root: str, run_ts=None,
     """Run the collector once; returns the one-row (added, skipped) report."""
     ensure_utc(spark)
     items = site_items(spark, pages)
+    # Stage the batch once in the shared store folder: dedup (two passes),
+    # the size checks, the anti join and the append then read files instead
+    # of recomputing extraction, and a lost executor restarts from the files.
+    staged = f"{store_root}/_staging/{uuid.uuid4().hex}"
+    items.write.parquet(staged)
+    items = spark.read.parquet(staged)
     if json_path:
         write_items_json(I.recent_first(items).drop("published_dt"), json_path)
-    # Stage the deduplicated batch once in the shared store folder: the
-    # size checks, the anti join and the append then read files instead of
-    # recomputing extraction, and a lost executor restarts from the files.
-    staged = f"{store_root}/_staging/{uuid.uuid4().hex}"
-    I.dedup_uid(items, "row_key").write.parquet(staged)
-    best = spark.read.parquet(staged)
+    best = I.dedup_uid(items, "row_key")
     store = S.read_store(spark, store_root)
     new = S.insert_new(best, store)
     # counters first: after the append the same plan would see the new rows

@@ -47,8 +47,8 @@ def ingest_pages(spark: SparkSession, pages_dir: str, store_root: str, checkpoin
         # stage the micro-batch's items once (overwrite per epoch, so a
         # replayed epoch rewrites the same files); extraction then runs once
         staged = f"{store_root}/_staging/epoch={epoch_id}"
-        I.dedup_uid(to_items(df), "page_id").write.mode("overwrite").parquet(staged)
-        items = spark.read.parquet(staged)
+        to_items(df).write.mode("overwrite").parquet(staged)
+        items = I.dedup_uid(spark.read.parquet(staged), "page_id")
         store = S.read_store(spark, store_root)
         new = S.insert_new(items, store)
         S.append_store(spark, store_root, S.store_row(new, run_ts))

@@ -11,9 +11,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dedup_is_partial_aggregate(spark):
-    p = plan(I.dedup_uid(B.doc_items(spark, SF), "doc_id"))
-    assert "max_by" in p and "partial_max_by" in p.replace(" ", "") or "Partial" in p or "partial" in p
+def test_dedup_is_hash_based(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(I.dedup_uid(B.doc_items(spark, SF), "doc_id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "partial_max_by" in p and "HashAggregate" in p
+    assert "SortAggregate" not in p
+    assert "ShuffledHashJoin" in p or "BroadcastHashJoin" in p
 
 
 def test_insert_does_not_shuffle_store(spark):
