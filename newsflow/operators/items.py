@@ -16,14 +16,17 @@ ITEM_FIELDS = ["uid", "source", "feed_url", "title", "summary_raw", "full_text",
 
 
 def unique_articles(articles: DataFrame, key: str = "url", order: str = "page_id") -> DataFrame:
-    """One article per key (the smallest ``order`` wins).
+    """One article per key (the smallest ``order`` wins; (key, order) is
+    unique: one page has one URL).
 
-    An aggregate, not a window: partial aggregation collapses repeats on the
-    map side, so a key that holds a third of all rows costs one row per task
-    in the shuffle.
+    The winner is found by a hash aggregate on two narrow columns (map-side
+    combine: a key holding a third of all rows costs one row per task in
+    the shuffle); the details struct is then kept by a hash semi join, so
+    the wide article text is never sorted.
     """
-    return (articles.groupBy(key)
-            .agg(F.min_by("article_details", F.col(order)).alias("article_details")))
+    win = articles.groupBy(key).agg(F.min(order).alias(order))
+    return (articles.join(win.hint("shuffle_hash"), [key, order], "left_semi")
+            .select(key, "article_details"))
 
 
 def join_cards_articles(cards: DataFrame, articles: DataFrame, card_key: str = "article_url",
