@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.functions.text import py_strip, truncate
+from newsflow.session import ship_package
 
 # Output limits and the fallback / finaliser texts.
 ONE_LINE_MAX = 140          # cut applied to the model's one-line summary
@@ -169,6 +170,7 @@ def call_model(items: DataFrame, generate: Generate, partitions: int | None = No
                                      "prompt_telegram", "prompt_instagram")
     if partitions:
         req = req.repartition(partitions)
+    ship_package(items.sparkSession)
     return req.mapInPandas(_call_batches(generate), CALL_SCHEMA)
 
 

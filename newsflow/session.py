@@ -76,3 +76,36 @@ def spread(df, min_partitions: int | None = None):
     except Exception:  # pragma: no cover - e.g. streaming frames
         return df
     return df.repartition(want) if have < want else df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``newsflow`` importable in Python workers (``mapInPandas``).
+
+    Workers do not inherit the driver's ``sys.path``; the package is zipped
+    once per driver process and added with ``addPyFile`` (the mechanism
+    ``spark-submit --py-files`` uses), unless this context already has it.
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    d = tempfile.mkdtemp(prefix="newsflow-pyfiles-")
+    path = os.path.join(d, "newsflow.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
