@@ -198,7 +198,7 @@ def extract_paragraphs(pages: DataFrame, drop_ads: bool = True, nested: bool = T
 
 
 def _anchors(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", "url", F.regexp_extract_all(
+    return spread(pages).select("page_id", "url", F.regexp_extract_all(
         strip_non_text("html"), F.lit(ANCHOR_RE), 0).alias("anchors"))
 
 
@@ -251,7 +251,7 @@ def dedup_listing(pages: DataFrame, repeat: bool = False) -> DataFrame:
 def page_text_nodes(pages: DataFrame) -> DataFrame:
     """E15 surface: the three ``get_text`` modes of the whole page."""
     nodes = F.col("nodes")
-    return pages.select("page_id", text_nodes(strip_non_text("html")).alias("nodes")).select(
+    return spread(pages).select("page_id", text_nodes(strip_non_text("html")).alias("nodes")).select(
         "page_id",
         F.size(nodes).cast("long").alias("n_nodes"),
         F.array_join(nodes, "").alias("text_joined"),

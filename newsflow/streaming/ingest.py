@@ -32,16 +32,18 @@ PAGES_SCHEMA = T.StructType([
 
 
 def ingest_pages(spark: SparkSession, pages_dir: str, store_root: str, checkpoint: str,
-                 to_items, run_ts=None, glob: str = "pages*.parquet") -> None:
+                 to_items, run_ts=None, glob: str = "pages*.parquet",
+                 max_files_per_trigger: int | None = None) -> None:
     """Run T1 until the available page files are consumed.
 
     ``to_items(pages_df) -> items_df`` turns a micro-batch of pages into
     collector items (uid, published_dt, ...); ``store_root`` holds the
     snapshot-layout store of :mod:`newsflow.operators.store`.
     """
-    src = (spark.readStream.schema(PAGES_SCHEMA)
-           .option("pathGlobFilter", glob)
-           .parquet(pages_dir))
+    reader = spark.readStream.schema(PAGES_SCHEMA).option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.parquet(pages_dir)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         # stage the micro-batch's items once (overwrite per epoch, so a

@@ -56,3 +56,8 @@ def test_collect_then_process(spark, tmp_path):
     assert v == 1
     assert st.where(F.col("status") == "raw").count() == 0
     assert st.count() == stats.added
+    # processing again changes nothing: no row is raw any more
+    before = sorted(map(tuple, st.select("uid", "status", "summary", "ai_mode").collect()))
+    C.process(spark, root, stub_generate, run_ts())
+    after = S.read_store(spark, root)
+    assert sorted(map(tuple, after.select("uid", "status", "summary", "ai_mode").collect())) == before
