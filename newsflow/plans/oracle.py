@@ -470,6 +470,27 @@ def _sql() -> dict[str, str]:
           CASE WHEN len(paras) > 0 THEN array_to_string(paras, chr(10) || chr(10)) END, NULL FROM pa"""
     s["source_quarantine"] = """SELECT s.site, CAST(count(*) AS BIGINT) AS n_ok, CAST(0 AS BIGINT) AS n_quarantined
         FROM pages, (VALUES ('bartaman'), ('statesman'), ('eisamay')) AS s(site) GROUP BY s.site"""
+    es_base, ds_base = q("https://eisamay.com"), q("https://www.dainikstatesmannews.com")
+    s["site_cards"] = f"""WITH {LINKS},
+        l AS (SELECT page_id, url, pos, n_links, text, {strip('href')} AS h FROM links),
+        es AS (SELECT *, {url_join(es_base, 'h')} AS au FROM l WHERE h <> ''),
+        es1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, au ORDER BY pos) AS rn
+                FROM es) WHERE rn = 1),
+        es2 AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS cp,
+                count(*) OVER (PARTITION BY page_id) AS nc FROM es1)
+        SELECT page_id, 'bartaman' AS site, pos AS card_pos, n_links AS n_cards, text AS title,
+          {url_join('url', 'h')} AS article_url, {url_join('url', "'/img' || h || '.jpg'")} AS card_image_url,
+          text AS category, {url_join('url', "'/category' || h")} AS category_url,
+          CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS read_time,
+          CAST(NULL AS VARCHAR) AS listing_subheadline FROM l
+        UNION ALL
+        SELECT page_id, 'statesman', pos, n_links, text, {url_join(ds_base, 'h')},
+          {url_join(ds_base, "'/img' || h || '.jpg'")}, NULL, NULL,
+          replace({strip("'By' || chr(160) || text")}, chr(160), ' '), CAST(pos AS VARCHAR) || ' mins read', NULL
+        FROM l
+        UNION ALL
+        SELECT page_id, 'eisamay', CAST(cp AS BIGINT), CAST(nc AS BIGINT), text, au,
+          'https://cdn.example' || h || '.jpg', NULL, NULL, NULL, NULL, text FROM es2"""
     s["item_json"] = f"""WITH {ITEMS} SELECT uid, title, published_dt_str, CAST(12 AS BIGINT) AS n_keys
         FROM best"""
     s["stream_process"] = s["store_patch"]
