@@ -72,34 +72,32 @@ def store_row(items: DataFrame, run_ts: Column | None = None,
     return out
 
 
-def existing_uids(batch: DataFrame, store: DataFrame) -> DataFrame:
-    """uids of the batch already in the store.
-
-    When the batch's key set is proven small it is broadcast and the store
-    is only scanned (its uid column), never shuffled; otherwise a shuffle
-    semi join runs (AQE re-plans it at runtime from real sizes).
+def existing_uids(batch: DataFrame, store: DataFrame) -> tuple[DataFrame, bool]:
+    """uids of the batch already in the store, and whether that set is
+    proven small.
+
+    When the batch's key set is proven small (bounded count) it is broadcast
+    and the store is only scanned (its uid column), never shuffled; the
+    result is a subset of those keys, so it is small too.  Otherwise a
+    shuffle semi join runs (AQE re-plans it at runtime from real sizes).
     """
     keys = batch.select("uid").distinct()
     store_keys = store.select("uid")
     if at_most(keys, BROADCAST_MAX_ROWS):
-        return store_keys.join(F.broadcast(keys), "uid", "left_semi").distinct()
-    return store_keys.join(keys, "uid", "left_semi").distinct()
+        return store_keys.join(F.broadcast(keys), "uid", "left_semi").distinct(), True
+    return store_keys.join(keys, "uid", "left_semi").distinct(), False
 
 
 def insert_new(batch: DataFrame, store: DataFrame) -> DataFrame:
     """Rows of a uid-unique batch whose uid is absent from the store."""
-    existing = existing_uids(batch, store)
-    if at_most(existing, BROADCAST_MAX_ROWS):
-        existing = F.broadcast(existing)
-    return batch.join(existing, "uid", "left_anti")
+    existing, small = existing_uids(batch, store)
+    return batch.join(F.broadcast(existing) if small else existing, "uid", "left_anti")
 
 
 def insert_skipped(batch: DataFrame, store: DataFrame) -> DataFrame:
     """Rows of the batch whose uid is already stored (left semi)."""
-    existing = existing_uids(batch, store)
-    if at_most(existing, BROADCAST_MAX_ROWS):
-        existing = F.broadcast(existing)
-    return batch.join(existing, "uid", "left_semi")
+    existing, small = existing_uids(batch, store)
+    return batch.join(F.broadcast(existing) if small else existing, "uid", "left_semi")
 
 
 def insert_stats(batch_all: DataFrame, added: DataFrame) -> DataFrame:
