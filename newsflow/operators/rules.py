@@ -1,23 +1,26 @@
 """Rule path: site-specific cards and articles extracted by declarative rules.
 
-Each site is one rule row (selectors, attribute chains, URL base, flags); a
-single interpreter applies any row.  The interpreter runs inside
-``mapInPandas`` over ``pages`` partitions: Arrow batches in, typed rows out,
-``html`` never leaves the task.  A page that cannot be parsed yields a row
-with NULL details and a ``parse_error`` text instead of failing the task.
+Each site is one rule row (selectors, attribute chains, URL base, flags).
+The Python side is only the part Spark cannot express -- selecting nodes of
+a parsed page by CSS rules and reading their text and attributes -- and it
+runs inside ``mapInPandas`` (Arrow batches in, one row per page and site
+out; ``html`` never leaves the task).  Everything after that is native:
+URL resolution, protocol fix, blank cleaning, card filters, listing dedup,
+paragraph filters, byline parsing and positions.  A page that cannot be
+parsed yields a row with a ``parse_error`` text instead of failing the task.
 """
 
 from __future__ import annotations
 
-import re
-from urllib.parse import urljoin
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsflow.functions.text import nbsp_clean, py_strip
+from newsflow.functions.urls import fix_protocol, url_resolve
 from newsflow.operators import dom
+from newsflow.operators.extract import byline_author, byline_date, keep_paragraphs
 from newsflow.session import ship_package, spread
 
 # ---------------------------------------------------------------------------
@@ -110,51 +113,32 @@ CARD_FIELDS = ["title", "article_url", "card_image_url", "category", "category_u
 CARD_SCHEMA = T.StructType(
     [T.StructField("page_id", T.LongType()), T.StructField("site", T.StringType()),
      T.StructField("card_pos", T.LongType()), T.StructField("n_cards", T.LongType())]
-    + [T.StructField(f, T.StringType()) for f in CARD_FIELDS]
-    + [T.StructField("parse_error", T.StringType())])
+    + [T.StructField(f, T.StringType()) for f in CARD_FIELDS])
 DETAIL_FIELDS = ["article_title", "short_description", "article_image_url", "author", "date",
                  "full_text"]
-ARTICLE_SCHEMA = T.StructType(
-    [T.StructField("page_id", T.LongType()), T.StructField("site", T.StringType()),
-     T.StructField("url", T.StringType())]
-    + [T.StructField(f, T.StringType()) for f in DETAIL_FIELDS]
-    + [T.StructField("parse_error", T.StringType())])
-
-_PUB_DATE = re.compile(r"Published:\s*(.+)")
-_PUB_LINE = re.compile(r"\s*Published:")
-_BAR_END = re.compile(r"[^\n]+\|\s*$")
-_BAR_START = re.compile(r"\s*\|")
 
-
-def author_from_lines(text):
-    """Leftmost match of ``([^\\n]+?)\\s*\\|\\s*[^\\n]*\\n\\s*Published:``,
-    group 1 stripped, found line by line (linear; the regex itself
-    backtracks quadratically on long lines).  See ``extract.byline_author``.
-    """
-    lines = text.split("\n")
-    n = len(lines)
-
-    def pub(k):
-        return k < n and _PUB_LINE.match(lines[k]) is not None
-
-    for j, line in enumerate(lines):
-        bar = line.find("|", 1)
-        if bar > 0 and pub(j + 1):
-            return line[:bar].strip()
-        if _BAR_END.match(line) and pub(j + 2):
-            return line[:line.rfind("|")].strip()
-        if j + 1 < n and line and _BAR_START.match(lines[j + 1]) and pub(j + 2):
-            return line.strip()
-    return None
-
-
-def fix_protocol(src):
-    src = (src or "").strip()
-    if not src:
-        return ""
-    return "https:" + src if src.startswith("//") else src
+RAW_CARD = T.StructType([
+    T.StructField("has_link", T.BooleanType()), T.StructField("href", T.StringType()),
+    T.StructField("title", T.StringType()), T.StructField("img", T.StringType()),
+    T.StructField("category", T.StringType()), T.StructField("category_href", T.StringType()),
+    T.StructField("author", T.StringType()), T.StructField("read_time", T.StringType()),
+    T.StructField("listing_subheadline", T.StringType())])
+RAW_CARDS_SCHEMA = T.StructType([
+    T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+    T.StructField("site", T.StringType()), T.StructField("cards", T.ArrayType(RAW_CARD)),
+    T.StructField("parse_error", T.StringType())])
+RAW_ARTICLE_SCHEMA = T.StructType([
+    T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+    T.StructField("site", T.StringType()), T.StructField("title", T.StringType()),
+    T.StructField("short", T.StringType()), T.StructField("img", T.StringType()),
+    T.StructField("author", T.StringType()), T.StructField("date", T.StringType()),
+    T.StructField("paragraphs", T.ArrayType(T.StringType())),
+    T.StructField("page_text", T.StringType()), T.StructField("parse_error", T.StringType())])
 
 
+# ---------------------------------------------------------------------------
+# Python side: node selection and raw text / attribute values only
+# ---------------------------------------------------------------------------
 def _first(root, selectors):
     for sel in selectors or ():
         hit = root.select_one(sel)
@@ -164,6 +148,8 @@ def _first(root, selectors):
 
 
 def _attr_chain(tag, attrs):
+    if tag is None:
+        return None
     for a in attrs:
         v = tag.get(a)
         if v:
@@ -171,27 +157,10 @@ def _attr_chain(tag, attrs):
     return None
 
 
-def _image(tag, rule, base):
-    if tag is None:
-        return None
-    src = _attr_chain(tag, rule["image_attrs"])
-    if not src:
-        return None
-    if rule["image_mode"] == "fix_protocol":
-        return fix_protocol(src)
-    return urljoin(base, src.strip())
-
-
-def cards_from_html(html, page_url, site):
-    """All cards of one listing page under one site rule (list of dicts)."""
-    return cards_from_root(dom.parse(html), page_url, site)
-
-
-def cards_from_root(root, page_url, site):
-    """Cards from an already parsed listing page."""
+def raw_cards(root, site):
+    """Raw card values of one parsed listing page, in page order."""
     rule = SITES[site]["card"]
-    base = page_url if rule["url_base"] == "page" else SITES[site]["base_url"]
-    out, seen = [], set()
+    out = []
     for node in root.select(rule["container"]):
         card = node.select_one(rule["inner"]) if rule["inner"] else node
         if card is None:
@@ -199,51 +168,29 @@ def cards_from_root(root, page_url, site):
         link = _first(card, rule["link"][:1])
         if link is None and len(rule["link"]) > 1:
             link = card.find("a", href=True)
-        row = dict.fromkeys(CARD_FIELDS)
-        if rule["link_required"]:
-            if link is None:
-                continue
-            href = (link.get("href") or "").strip()
-            if not href:
-                continue
-            row["article_url"] = urljoin(base, href)
-            if rule["dedup"] and row["article_url"] in seen:
-                continue
-        elif link is not None:
-            row["article_url"] = urljoin(base, link.get("href", "").strip())
+        row = dict.fromkeys(RAW_CARD.fieldNames())
+        row["has_link"] = link is not None
+        if link is not None:
+            row["href"] = link.get("href") or ""
         if rule["title_from"] == "link":
-            row["title"] = link.get_text(rule["title_sep"], strip=True) if link is not None else None
+            if link is not None:
+                row["title"] = link.get_text(rule["title_sep"], strip=True)
         else:
             head = _first(card, rule["title_from"])
             row["title"] = head.get_text(rule["title_sep"], strip=True) if head is not None else None
         img = (link.select_one("img") if link is not None else None) if rule["image_in_link"] \
             else _first(card, rule["image"])
-        row["card_image_url"] = _image(img, rule, base)
-        if row["card_image_url"] is None:
-            row["card_image_url"] = rule["image_default"]
+        row["img"] = _attr_chain(img, rule["image_attrs"])
         for field, sel, sep, url_field in rule["extras"]:
             tag = card.select_one(sel)
-            if tag is None:
-                continue
-            text = tag.get_text(sep, strip=True)
-            if field == "author" and rule["author_nbsp"]:
-                text = text.replace("\xa0", " ")
-            row[field] = text
-            if url_field:
-                row[url_field] = urljoin(base, tag.get("href", "").strip())
-        if rule["dedup"]:
-            seen.add(row["article_url"])
+            if tag is not None:
+                row[field] = tag.get_text(sep, strip=True)
+                if url_field:
+                    row["category_href"] = tag.get("href", "")
         out.append(row)
     return out
 
 
-def _byline_from_text(root):
-    text = root.get_text("\n", strip=True)
-    m = _PUB_DATE.search(text)
-    date = m.group(1).strip() if m else None
-    return author_from_lines(text), date
-
-
 def _block(root, rule):
     pick = rule["block_pick"]
     if pick:
@@ -260,85 +207,79 @@ def _block(root, rule):
     return _first(root, rule["block"]) or root
 
 
-def article_from_html(html, url, site):
-    """The details dict of one article page under one site rule."""
-    return article_from_root(dom.parse(html), url, site)
-
-
-def article_from_root(root, url, site):
-    """Details from an already parsed page (parse once, apply many rules)."""
+def raw_article(root, site):
+    """Raw values of one parsed article page: texts and attributes of the
+    nodes the site rule selects, paragraphs unfiltered."""
     rule = SITES[site]["article"]
     title_tag = _first(root, rule["title"])
-    title = title_tag.get_text(rule["title_sep"], strip=True) if title_tag is not None else None
     block = _block(root, rule)
-    paragraphs = []
-    if block is not None:
-        for p in block.find_all("p"):
-            text = p.get_text(" ", strip=True)
-            if not text:
-                continue
-            if rule["drop_ads"] and text.lower().startswith("advertisement"):
-                continue
-            paragraphs.append(text)
+    out = {
+        "title": title_tag.get_text(rule["title_sep"], strip=True) if title_tag is not None else None,
+        "short": None, "author": None, "date": None, "page_text": None,
+        "img": _attr_chain(_first(root, rule["image"]), rule["image_attrs"]),
+        "paragraphs": [p.get_text(" ", strip=True) for p in block.find_all("p")]
+        if block is not None else [],
+    }
     if rule["short"]:
         tag = root.select_one(rule["short"])
-        short = tag.get_text(" ", strip=True) if tag is not None else None
-    else:
-        short = paragraphs[0] if paragraphs else None
+        out["short"] = tag.get_text(" ", strip=True) if tag is not None else None
     if rule["byline_regex"]:
-        author, date = _byline_from_text(root)
+        out["page_text"] = root.get_text("\n", strip=True)
     else:
         a = _first(root, rule["author"])
-        author = a.get_text(rule["author_sep"], strip=True) if a is not None else None
+        out["author"] = a.get_text(rule["author_sep"], strip=True) if a is not None else None
         d = _first(root, rule["date"])
-        date = None
         if d is not None:
-            date = (d.get(rule["date_attr"]) if rule["date_attr"] else None) or \
+            out["date"] = (d.get(rule["date_attr"]) if rule["date_attr"] else None) or \
                 d.get_text(rule["date_sep"], strip=True)
-    return {
-        "article_title": title,
-        "short_description": short,
-        "article_image_url": _image(_first(root, rule["image"]), rule, url),
-        "author": author,
-        "date": date,
-        "full_text": "\n\n".join(paragraphs) if paragraphs else None,
-    }
+    return out
 
 
-# ---------------------------------------------------------------------------
-# Spark operators
-# ---------------------------------------------------------------------------
-def _cards_batches(it):
+def _card_batches(it):
     for pdf in it:
         rows = []
         for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
             root = dom.parse(html)
             for site in sites:
                 try:
-                    cards = cards_from_root(root, url, site)
-                    n = len(cards)
-                    for i, c in enumerate(cards):
-                        rows.append({"page_id": pid, "site": site, "card_pos": i, "n_cards": n,
-                                     **c, "parse_error": None})
+                    rows.append({"page_id": pid, "url": url, "site": site,
+                                 "cards": raw_cards(root, site), "parse_error": None})
                 except Exception as e:  # noqa: BLE001 - isolate the page
-                    rows.append({"page_id": pid, "site": site, "card_pos": None, "n_cards": 0,
-                                 **dict.fromkeys(CARD_FIELDS), "parse_error": repr(e)})
-        yield pd.DataFrame(rows, columns=CARD_SCHEMA.fieldNames())
+                    rows.append({"page_id": pid, "url": url, "site": site, "cards": [],
+                                 "parse_error": repr(e)})
+        yield pd.DataFrame(rows, columns=RAW_CARDS_SCHEMA.fieldNames())
 
 
 def _article_batches(it):
+    keys = RAW_ARTICLE_SCHEMA.fieldNames()
     for pdf in it:
         rows = []
         for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
             root = dom.parse(html)
             for site in sites:
                 try:
-                    d = article_from_root(root, url, site)
-                    err = None
+                    r = {"page_id": pid, "url": url, "site": site, **raw_article(root, site),
+                         "parse_error": None}
                 except Exception as e:  # noqa: BLE001 - isolate the page
-                    d, err = dict.fromkeys(DETAIL_FIELDS), repr(e)
-                rows.append({"page_id": pid, "site": site, "url": url, **d, "parse_error": err})
-        yield pd.DataFrame(rows, columns=ARTICLE_SCHEMA.fieldNames())
+                    r = {**dict.fromkeys(keys), "page_id": pid, "url": url, "site": site,
+                         "paragraphs": [], "parse_error": repr(e)}
+                rows.append(r)
+        yield pd.DataFrame(rows, columns=keys)
+
+
+# ---------------------------------------------------------------------------
+# Spark side: everything after node selection
+# ---------------------------------------------------------------------------
+def _by_site(values: dict, default=None):
+    """CASE site WHEN ... from per-site Column values."""
+    expr = None
+    for site, v in values.items():
+        expr = F.when(F.col("site") == site, v) if expr is None else expr.when(F.col("site") == site, v)
+    return expr.otherwise(default) if default is not None else expr
+
+
+def _truthy(c):
+    return c.isNotNull() & (c != "")
 
 
 def _with_sites(pages: DataFrame) -> DataFrame:
@@ -349,16 +290,95 @@ def _with_sites(pages: DataFrame) -> DataFrame:
     return spread(pages.select("page_id", "url", "html", sites.alias("sites")))
 
 
+def raw_site_cards(pages: DataFrame) -> DataFrame:
+    """(page_id, url, site, cards: array of raw card values, parse_error)."""
+    return _with_sites(pages).mapInPandas(_card_batches, RAW_CARDS_SCHEMA)
+
+
+def finish_cards(raw: DataFrame) -> DataFrame:
+    """Raw listing values -> cards, per-row and shuffle-free.
+
+    Cards without a link are dropped for the site that requires one (a hero
+    link with an empty href too); URLs are resolved against the page URL or
+    the site base; the listing dedup (first card per URL in page order)
+    runs on the card array of each listing; positions count kept cards.
+    """
+    base = _by_site({s: (F.col("url") if r["card"]["url_base"] == "page" else F.lit(r["base_url"]))
+                     for s, r in SITES.items()})
+
+    def card(c):
+        href = py_strip(F.coalesce(c["href"], F.lit("")))
+        img_join = F.when(_truthy(c["img"]), url_resolve(F.col("_base"), py_strip(c["img"])))
+        img_fix = F.when(_truthy(c["img"]), fix_protocol(c["img"])).otherwise(F.lit(""))
+        return F.struct(
+            c["has_link"].alias("has_link"), href.alias("href"),
+            c["title"].alias("title"),
+            F.when(c["has_link"], url_resolve(F.col("_base"), href)).alias("article_url"),
+            _by_site({s: (img_fix if r["card"]["image_mode"] == "fix_protocol" else img_join)
+                      for s, r in SITES.items()}).alias("card_image_url"),
+            c["category"].alias("category"),
+            F.when(c["category"].isNotNull(),
+                   url_resolve(F.col("_base"), py_strip(F.coalesce(c["category_href"], F.lit("")))))
+            .alias("category_url"),
+            _by_site({s: (nbsp_clean(c["author"]) if r["card"]["author_nbsp"] else c["author"])
+                      for s, r in SITES.items()}).alias("author"),
+            c["read_time"].alias("read_time"),
+            c["listing_subheadline"].alias("listing_subheadline"))
+
+    required = _by_site({s: F.lit(r["card"]["link_required"]) for s, r in SITES.items()})
+    dedup = _by_site({s: F.lit(r["card"]["dedup"]) for s, r in SITES.items()})
+    x = raw.where(F.col("parse_error").isNull()).withColumn("_base", base)
+    x = x.select("page_id", "site", F.transform("cards", card).alias("c"),
+                 required.alias("_req"), dedup.alias("_dd"))
+    x = x.select("page_id", "site", "_dd", F.filter(
+        "c", lambda c: ~F.col("_req") | (c["has_link"] & (c["href"] != ""))).alias("c"))
+    x = x.select("page_id", "site", F.when(F.col("_dd"), F.filter(
+        "c", lambda c, i: F.array_position(F.col("c.article_url"), c["article_url"]) == i + 1))
+        .otherwise(F.col("c")).alias("c"))
+    x = x.select("page_id", "site", F.size("c").cast("long").alias("n_cards"),
+                 F.posexplode("c").alias("card_pos", "k"))
+    return x.select("page_id", "site", F.col("card_pos").cast("long").alias("card_pos"), "n_cards",
+                    *[F.col("k")[f].alias(f) for f in CARD_FIELDS])
+
+
 def extract_cards(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html, site|sites) -> one row per card (narrow)."""
-    return _with_sites(pages).mapInPandas(_cards_batches, CARD_SCHEMA)
+    """pages(page_id, url, html, site|sites) -> one row per card."""
+    return finish_cards(raw_site_cards(pages))
+
+
+def raw_site_articles(pages: DataFrame) -> DataFrame:
+    return _with_sites(pages).mapInPandas(_article_batches, RAW_ARTICLE_SCHEMA)
+
+
+def finish_articles(raw: DataFrame) -> DataFrame:
+    """Raw article values -> (page_id, site, url, article_details, parse_error)."""
+    ads = _by_site({s: F.lit(r["article"]["drop_ads"]) for s, r in SITES.items()})
+    x = raw.select("*", F.when(ads, keep_paragraphs("paragraphs", True))
+                   .otherwise(keep_paragraphs("paragraphs", False)).alias("paras"),
+                   F.split("page_text", "\n", -1).alias("lines"))
+    img = F.col("img")
+    image = _by_site({s: (F.when(_truthy(img), fix_protocol(img))
+                          if r["article"]["image_mode"] == "fix_protocol"
+                          else F.when(_truthy(img), url_resolve(F.col("url"), py_strip(img))))
+                      for s, r in SITES.items()})
+    regex = _by_site({s: F.lit(r["article"]["byline_regex"]) for s, r in SITES.items()})
+    short = _by_site({s: (F.col("short") if r["article"]["short"] else F.get(F.col("paras"), 0))
+                      for s, r in SITES.items()})
+    details = F.struct(
+        F.col("title").alias("article_title"),
+        short.alias("short_description"),
+        image.alias("article_image_url"),
+        F.when(regex, byline_author("lines")).otherwise(F.col("author")).alias("author"),
+        F.when(regex, byline_date("page_text")).otherwise(F.col("date")).alias("date"),
+        F.when(F.size("paras") > 0, F.array_join("paras", "\n\n")).alias("full_text"))
+    return x.select("page_id", "site", "url",
+                    F.when(F.col("parse_error").isNull(), details).alias("article_details"),
+                    "parse_error")
 
 
 def extract_site_articles(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html, site|sites) -> one details row per page and site."""
-    out = _with_sites(pages).mapInPandas(_article_batches, ARTICLE_SCHEMA)
-    return out.select("page_id", "site", "url",
-                      F.struct(*DETAIL_FIELDS).alias("article_details"), "parse_error")
+    return finish_articles(raw_site_articles(pages))
 
 
 def site_rules_frame(spark) -> DataFrame:

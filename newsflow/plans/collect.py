@@ -43,8 +43,7 @@ def site_items(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Normalised items of the known sites (before dedup)."""
     rules = R.site_rules_frame(spark)
     assigned = assign_sites(pages, rules)
-    cards = R.extract_cards(assigned.where(F.col("role") == "listing")) \
-        .where(F.col("parse_error").isNull()).drop("parse_error")
+    cards = R.extract_cards(assigned.where(F.col("role") == "listing"))
     arts = R.extract_site_articles(assigned.where(F.col("role") == "article"))
     # a failed article page keeps the card with NULL details (left join)
     arts = arts.where(F.col("parse_error").isNull()).select("page_id", "url", "article_details")

@@ -496,7 +496,7 @@ def site_cards(spark, sf):
         for s in R.SITES])).alias("l"))
     pages = listings.select("page_id", "url", F.col("l.html").alias("html"),
                             F.col("l.site").alias("site"))
-    return R.extract_cards(pages).drop("parse_error")
+    return R.extract_cards(pages)
 
 
 @query

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from newsflow.operators import extract as EX
-from newsflow.operators.rules import article_from_html, author_from_lines
+from newsflow.operators.rules import extract_site_articles
 
 AUTHOR_RE = re.compile(r"([^\n]+?)\s*\|\s*[^\n]*\n\s*Published:")
 DATE_RE = re.compile(r"Published:\s*(.+)")
@@ -13,11 +13,13 @@ DATE_RE = re.compile(r"Published:\s*(.+)")
 
 def test_native_article_equals_parsed_tree(spark):
     """The native path equals the rule path (statesman profile) on every page."""
+    from pyspark.sql import functions as F
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     native = {r.page_id: r.article_details.asDict()
               for r in EX.extract_articles(pages).collect()}
-    for r in pages.collect():
-        assert native[r.page_id] == article_from_html(r.html, r.url, "statesman"), r.page_id
+    rule = {r.page_id: r.article_details.asDict() for r in extract_site_articles(
+        pages.withColumn("site", F.lit("statesman"))).collect()}
+    assert native == rule
 
 
 def test_nested_paragraphs(spark):
@@ -29,7 +31,8 @@ def test_nested_paragraphs(spark):
     assert d.article_title == "Headline"
     assert d.full_text == "A & B C Advertisement x D\n\nC\n\nD"
     assert d.short_description == "A & B C Advertisement x D"
-    assert d == tuple(article_from_html(html, "https://a.com/x", "statesman").values())
+    r = extract_site_articles(df.withColumn("site", F.lit("statesman"))).first().article_details
+    assert d == r
 
 
 BYLINES = [
@@ -49,14 +52,15 @@ BYLINES = [
 
 
 def test_author_lines_vs_regex_on_documents(spark):
-    """Python line form == the reference regex on whole document texts."""
-    import duckdb
-    texts = [r[0] for r in duckdb.sql(
-        f"select text from '{SF}/documents.parquet'").fetchall()]
-    for t in texts:
-        for variant in (t, t.replace(". ", " | ", 3) + "\nPublished: x"):
-            m = AUTHOR_RE.search(variant)
-            assert author_from_lines(variant) == (m.group(1).strip() if m else None)
+    """Line form == the reference regex on whole document texts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    v = docs.select("doc_id", F.explode(F.array(
+        F.col("text"),
+        F.concat(F.regexp_replace("text", r"\\. ", " | "), F.lit("\nPublished: x")))).alias("t"))
+    rows = v.select("t", EX.byline_author(F.split("t", "\n", -1)).alias("a")).collect()
+    for r in rows:
+        m = AUTHOR_RE.search(r.t)
+        assert r.a == (m.group(1).strip() if m else None)
 
 
 @pytest.mark.parametrize("text", BYLINES)
@@ -66,7 +70,6 @@ def test_byline_matches_regex(spark, text):
                   EX.byline_author(F.split("t", "\n", -1)).alias("a")).first()
     m = AUTHOR_RE.search(text)
     assert r.a == (m.group(1).strip() if m else None)
-    assert author_from_lines(text) == r.a
     m = DATE_RE.search(text)
     assert r.d == (m.group(1).strip() if m else None)
 

@@ -1,7 +1,22 @@
 """Golden pages (own invented text) for the three site rule rows."""
 
-from newsflow.operators.rules import (SITES, article_from_html, cards_from_html,
-                                      extract_cards, extract_site_articles)
+import pytest
+
+from newsflow.operators.rules import SITES, extract_cards, extract_site_articles
+
+
+@pytest.fixture(scope="module")
+def run(spark):
+    def cards(html, url, site):
+        df = spark.createDataFrame([(1, url, html, site)],
+                                   "page_id long, url string, html string, site string")
+        return [r.asDict() for r in extract_cards(df).orderBy("card_pos").collect()]
+
+    def article(html, url, site):
+        df = spark.createDataFrame([(1, url, html, site)],
+                                   "page_id long, url string, html string, site string")
+        return extract_site_articles(df).first().article_details.asDict()
+    return cards, article
 
 SITE1_LISTING = """
 <div class="row">
@@ -66,7 +81,8 @@ SITE3_ARTICLE = """<html><head><title>Fallback title</title></head><body><h1></h
 </body></html>"""
 
 
-def test_site1_cards():
+def test_site1_cards(run):
+    cards_from_html, article_from_html = run
     cards = cards_from_html(SITE1_LISTING, "https://site1.example/category/film", "bartaman")
     assert len(cards) == 3
     assert cards[0]["title"] == "Starreturns"
@@ -78,7 +94,8 @@ def test_site1_cards():
     assert cards[2]["article_url"] == "https://site1.example/category/c"
 
 
-def test_site1_article_keeps_ads_and_picks_block():
+def test_site1_article_keeps_ads_and_picks_block(run):
+    cards_from_html, article_from_html = run
     d = article_from_html(SITE1_ARTICLE, "https://site1.example/news/a", "bartaman")
     assert d["article_title"] == "Bignews"
     assert d["short_description"] == "Short  desc"
@@ -91,7 +108,8 @@ def test_site1_article_keeps_ads_and_picks_block():
     assert d3["full_text"] == "only"
 
 
-def test_site2_cards():
+def test_site2_cards(run):
+    cards_from_html, article_from_html = run
     cards = cards_from_html(SITE2_LISTING, "https://ignored/", "statesman")
     base = SITES["statesman"]["base_url"]
     assert len(cards) == 2
@@ -103,7 +121,8 @@ def test_site2_cards():
     assert cards[1]["article_url"] == base  # missing href resolves to the base
 
 
-def test_site2_article_byline_and_ads():
+def test_site2_article_byline_and_ads(run):
+    cards_from_html, article_from_html = run
     d = article_from_html(SITE2_ARTICLE, "https://site2.example/binodan/x", "statesman")
     assert d["article_title"] == "HeadLine"
     assert d["author"] == "Some Author"
@@ -115,7 +134,8 @@ def test_site2_article_byline_and_ads():
     assert d2["author"] is None and d2["date"] is None
 
 
-def test_site3_cards_dedup_and_protocol():
+def test_site3_cards_dedup_and_protocol(run):
+    cards_from_html, article_from_html = run
     cards = cards_from_html(SITE3_LISTING, "https://ignored/", "eisamay")
     base = SITES["eisamay"]["base_url"]
     assert [c["article_url"] for c in cards] == [base + "/ent/1", base + "/ent/2"]
@@ -125,7 +145,8 @@ def test_site3_cards_dedup_and_protocol():
     assert cards[1]["title"] == "Second"
 
 
-def test_site3_article():
+def test_site3_article(run):
+    cards_from_html, article_from_html = run
     d = article_from_html(SITE3_ARTICLE, "https://site3.example/ent/1", "eisamay")
     assert d["article_title"] == ""           # empty <h1> is found: no fallback
     assert d["author"] == "Reporter"
