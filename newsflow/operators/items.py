@@ -11,10 +11,6 @@ from newsflow.functions.dates import iso_published, parse_published
 from newsflow.functions.text import clean_field
 from newsflow.functions.urls import make_uid
 
-ITEM_FIELDS = ["uid", "source", "feed_url", "title", "summary_raw", "full_text", "link",
-               "published", "media_url", "status"]
-
-
 def unique_articles(articles: DataFrame, key: str = "url", order: str = "page_id") -> DataFrame:
     """One article per key (the smallest ``order`` wins; (key, order) is
     unique: one page has one URL).

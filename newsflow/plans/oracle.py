@@ -7,12 +7,9 @@ import here.
 from __future__ import annotations
 
 from newsflow.functions.text import HTML_ENTITIES, PY_WHITESPACE
-from newsflow.operators.enrich import PROMPT_TEMPLATES, template_parts
+from newsflow.operators.enrich import template_parts
 from newsflow.plans.stub import BAD_TYPE_LEN, TOO_LONG_LEN
 
-NL = "chr(10)"
-
-
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
