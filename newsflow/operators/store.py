@@ -40,7 +40,7 @@ PATCH_FIELDS = ["summary", "caption_telegram", "caption_instagram", "status", "p
 
 # Broadcast a join side only when it is proven to hold at most this many
 # rows (checked with a bounded count); beyond it the plain shuffle join runs.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000  # ~32 MB of uid keys
 
 
 def at_most(df: DataFrame, n: int) -> bool:

@@ -108,3 +108,19 @@ def test_patch_keeps_other_fields(spark):
     assert out.where(F.col("status") == "raw").count() == 0
     j = out.join(store.select("uid", F.col("title").alias("t0")), "uid")
     assert j.where(F.col("title") != F.col("t0")).count() == 0
+
+
+def test_hot_uid_third_of_rows(spark):
+    """A uid holding a third of all rows (empty link and title) dedups to one
+    row: the newest, smallest key on ties."""
+    from pyspark.sql import functions as F
+    n = 3000
+    df = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id")))
+        .alias("uid"),
+        F.when(F.col("id") == 2997, F.lit("2025-06-01 00:00:00"))
+        .otherwise(F.lit("2025-01-01 00:00:00")).alias("published"))
+    out = I.dedup_uid(I.with_published(df).repartition(8), "doc_id")
+    assert out.count() == 1 + 2 * n // 3
+    assert out.where(F.col("uid") == "hot").first().doc_id == 2997
