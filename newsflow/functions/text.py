@@ -6,6 +6,9 @@ Python ``str.strip`` semantics, truthiness chains, HTML text-node joining.
 
 from __future__ import annotations
 
+import functools
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,6 +47,31 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_MEMO: dict = {}
+
+
+def memo(fn):
+    """Reuse the Column tree of a builder called with column *names* only.
+
+    Building a large expression costs thousands of Python->JVM calls; a
+    driver that plans the same extraction again (every streaming
+    micro-batch, every run of a job) gets the finished, immutable tree
+    instead.  Calls with Column arguments are built as usual.
+    """
+    @functools.wraps(fn)
+    def wrapper(*args, **kw):
+        plain = all(isinstance(a, (str, int, bool, type(None))) for a in (*args, *kw.values()))
+        sc = SparkContext._active_spark_context
+        if not plain or sc is None:
+            return fn(*args, **kw)
+        key = (fn.__qualname__, args, tuple(sorted(kw.items())), id(sc._gateway))
+        col = _MEMO.get(key)
+        if col is None:
+            col = _MEMO[key] = fn(*args, **kw)
+        return col
+    return wrapper
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` once and use it several times in ``body(x)``.
 
@@ -57,6 +85,7 @@ def let(value: Column, body) -> Column:
 # ---------------------------------------------------------------------------
 # Python-compatible scalar helpers
 # ---------------------------------------------------------------------------
+@memo
 def py_strip(c) -> Column:
     """``str.strip()``: trims every Unicode whitespace char (Spark ``trim``
     only removes spaces)."""
@@ -124,6 +153,7 @@ def _decode_piece(p: Column) -> Column:
                         num.alias("ref")), body)
 
 
+@memo
 def decode_entities(c) -> Column:
     """Decode character references the way the HTML tokenizer does."""
     s = _c(c)
@@ -135,12 +165,14 @@ def decode_entities(c) -> Column:
     return F.when(F.instr(s, "&") == 0, s).otherwise(let(F.split(s, "&", -1), body))
 
 
+@memo
 def strip_non_text(html) -> Column:
     """Replace comments/script/style by an empty tag so neighbouring text
     nodes stay separate (as in a parsed tree)."""
     return F.regexp_replace(_c(html), NON_TEXT_RE, "<x>")
 
 
+@memo
 def text_nodes(fragment) -> Column:
     """Array of decoded, stripped, non-empty text nodes of an HTML fragment."""
     nodes = F.split(_c(fragment), TAG_RE, -1)
@@ -148,6 +180,7 @@ def text_nodes(fragment) -> Column:
                     lambda t: t != "")
 
 
+@memo
 def html_text(fragment, sep: str = " ") -> Column:
     """``get_text(sep, strip=True)`` of a fragment already cleaned by
     :func:`strip_non_text`."""

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsflow.functions.text import _c, let, py_strip
+from newsflow.functions.text import _c, let, memo, py_strip
 
 SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 AUTHORITY_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 PATH_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 
 
+@memo
 def make_uid(link, title) -> Column:
     """md5 hex of ``(link or '') + '|' + (title or '')``.
 
@@ -22,6 +23,7 @@ def make_uid(link, title) -> Column:
                           F.coalesce(_c(title), F.lit(""))))
 
 
+@memo
 def url_authority(url) -> Column:
     """``urlparse(url).netloc`` ('' when there is none); never fails on
     non-ASCII or malformed input, unlike a full URI parse."""
@@ -35,6 +37,7 @@ def source_name(feed_title, feed_url) -> Column:
             .otherwise(F.replace(url_authority(feed_url), F.lit("www."), F.lit(""))))
 
 
+@memo
 def fix_protocol(src) -> Column:
     """strip; '' stays ''; ``//x`` -> ``https://x``; anything else unchanged."""
     s = py_strip(F.coalesce(_c(src), F.lit("")))
@@ -75,6 +78,7 @@ def _merge(b_path: Column, h_path: Column) -> Column:
     return let(let(F.split(b_path, "/", -1), with_dir), squeeze)
 
 
+@memo
 def url_resolve(base, href) -> Column:
     """``urllib.parse.urljoin(base, href)`` for http(s)-style bases.
 

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions.text import (
-    _c, decode_entities, html_text, let, py_strip, starts_with_ci, strip_non_text, text_nodes,
+    _c, decode_entities, html_text, let, memo, py_strip, starts_with_ci, strip_non_text,
+    text_nodes,
 )
 from newsflow.functions.urls import url_resolve
 from newsflow.session import spread
@@ -45,6 +46,7 @@ def first_inner(clean, tag: str) -> Column:
     return F.regexp_extract(_c(clean), rf"(?is){_start_tag(tag)}(.*?)(?:</{tag}\s*>|$)", 1)
 
 
+@memo
 def attr_value(tag_html, name: str) -> Column:
     """Decoded value of attribute ``name`` in one start tag ('' if absent)."""
     pat = rf"""(?is)^<[A-Za-z0-9]+\s(?:[^>]*?\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
@@ -53,24 +55,33 @@ def attr_value(tag_html, name: str) -> Column:
                                     F.regexp_extract(t, pat, 3)))
 
 
+@memo
+def title_fragment(clean) -> Column:
+    """Inner HTML of the title chain ``h1 -> title`` (NULL when neither)."""
+    return (F.when(has_tag(clean, "h1"), first_inner(clean, "h1"))
+            .when(has_tag(clean, "title"), first_inner(clean, "title")))
+
+
+@memo
 def page_title(clean, sep: str = "") -> Column:
     """Title chain ``h1 -> title``; presence-based (an empty ``<h1>`` gives '')."""
-    frag = (F.when(has_tag(clean, "h1"), first_inner(clean, "h1"))
-            .when(has_tag(clean, "title"), first_inner(clean, "title")))
-    return F.when(frag.isNotNull(), html_text(frag, sep))
+    return let(title_fragment(clean), lambda frag: F.when(frag.isNotNull(), html_text(frag, sep)))
 
 
+@memo
 def content_block(clean) -> Column:
     """Block chain ``article -> whole page``."""
     return F.when(has_tag(clean, "article"), first_inner(clean, "article")).otherwise(_c(clean))
 
 
+@memo
 def paragraph_parts(block) -> Column:
     """Segments of a block split at every ``<p>`` start tag (stage this as a
     column before :func:`raw_paragraphs` so it is computed once per row)."""
     return F.split(_c(block), P_OPEN_RE, -1)
 
 
+@memo
 def raw_paragraphs(parts, nested: bool = True) -> Column:
     """Text of every ``<p>`` in document order (unfiltered), from the staged
     ``paragraph_parts`` column."""
@@ -88,6 +99,7 @@ def raw_paragraphs(parts, nested: bool = True) -> Column:
     return F.transform(F.slice(parts, 2, F.greatest(n - 1, F.lit(0))), one)
 
 
+@memo
 def keep_paragraphs(paras, drop_ads: bool = True) -> Column:
     """Drop empty paragraphs and, for sites with the ad rule, those starting
     with 'advertisement' (case-insensitive)."""
@@ -96,12 +108,14 @@ def keep_paragraphs(paras, drop_ads: bool = True) -> Column:
     return F.filter(paras, lambda t: t != "")
 
 
+@memo
 def byline_date(page_text) -> Column:
     """Rest of the line after the first ``Published:`` (stripped), else NULL."""
     txt = _c(page_text)
     return F.when(txt.rlike(PUBLISHED_RE), py_strip(F.regexp_extract(txt, PUBLISHED_RE, 1)))
 
 
+@memo
 def byline_author(lines) -> Column:
     """Author for the pattern ``<author> | <rest of line>`` followed by a
     line starting with ``Published:``; NULL when there is none.
@@ -144,11 +158,13 @@ def byline_author(lines) -> Column:
     return let(F.struct(ca.alias("a"), cc.alias("c"), cb.alias("b")), pick)
 
 
+@memo
 def first_img_tag(clean) -> Column:
     """Start tag of the first ``<img>`` ('' when none)."""
     return F.regexp_extract(_c(clean), f"({IMG_RE})", 1)
 
 
+@memo
 def img_src(tag, base) -> Column:
     """``src`` (else ``data-src``) of a staged img tag, resolved; NULL if none."""
     tag = _c(tag)
