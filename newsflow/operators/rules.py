@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.functions.text import nbsp_clean, py_strip
+from newsflow.functions.text import memo, nbsp_clean, py_strip
 from newsflow.functions.urls import fix_protocol, url_resolve
 from newsflow.operators import dom
 from newsflow.operators.extract import byline_author, byline_date, keep_paragraphs
@@ -295,41 +295,48 @@ def raw_site_cards(pages: DataFrame) -> DataFrame:
     return _with_sites(pages).mapInPandas(_card_batches, RAW_CARDS_SCHEMA)
 
 
-def finish_cards(raw: DataFrame) -> DataFrame:
-    """Raw listing values -> cards, per-row and shuffle-free.
-
-    Cards without a link are dropped for the site that requires one (a hero
-    link with an empty href too); URLs are resolved against the page URL or
-    the site base; the listing dedup (first card per URL in page order)
-    runs on the card array of each listing; positions count kept cards.
-    """
-    base = _by_site({s: (F.col("url") if r["card"]["url_base"] == "page" else F.lit(r["base_url"]))
-                     for s, r in SITES.items()})
+@memo
+def _card_exprs():
+    """(card transform, required flag, dedup flag) -- built once per driver."""
+    base = F.col("_base")
 
     def card(c):
         href = py_strip(F.coalesce(c["href"], F.lit("")))
-        img_join = F.when(_truthy(c["img"]), url_resolve(F.col("_base"), py_strip(c["img"])))
+        img_join = F.when(_truthy(c["img"]), url_resolve(base, py_strip(c["img"])))
         img_fix = F.when(_truthy(c["img"]), fix_protocol(c["img"])).otherwise(F.lit(""))
         return F.struct(
             c["has_link"].alias("has_link"), href.alias("href"),
             c["title"].alias("title"),
-            F.when(c["has_link"], url_resolve(F.col("_base"), href)).alias("article_url"),
+            F.when(c["has_link"], url_resolve(base, href)).alias("article_url"),
             _by_site({s: (img_fix if r["card"]["image_mode"] == "fix_protocol" else img_join)
                       for s, r in SITES.items()}).alias("card_image_url"),
             c["category"].alias("category"),
             F.when(c["category"].isNotNull(),
-                   url_resolve(F.col("_base"), py_strip(F.coalesce(c["category_href"], F.lit("")))))
+                   url_resolve(base, py_strip(F.coalesce(c["category_href"], F.lit("")))))
             .alias("category_url"),
             _by_site({s: (nbsp_clean(c["author"]) if r["card"]["author_nbsp"] else c["author"])
                       for s, r in SITES.items()}).alias("author"),
             c["read_time"].alias("read_time"),
             c["listing_subheadline"].alias("listing_subheadline"))
 
-    required = _by_site({s: F.lit(r["card"]["link_required"]) for s, r in SITES.items()})
-    dedup = _by_site({s: F.lit(r["card"]["dedup"]) for s, r in SITES.items()})
+    return (F.transform("cards", card),
+            _by_site({s: (F.col("url") if r["card"]["url_base"] == "page" else F.lit(r["base_url"]))
+                      for s, r in SITES.items()}),
+            _by_site({s: F.lit(r["card"]["link_required"]) for s, r in SITES.items()}),
+            _by_site({s: F.lit(r["card"]["dedup"]) for s, r in SITES.items()}))
+
+
+def finish_cards(raw: DataFrame) -> DataFrame:
+    """Raw listing values -> cards, per-row and shuffle-free.
+
+    Cards without a link are dropped for the site that requires one (a hero
+    link with an empty href too); URLs are resolved against the page URL or
+    the site base; the listing dedup (first card per URL in page order)
+    runs on the card array of each listing; positions count kept cards.
+    """
+    cards, base, required, dedup = _card_exprs()
     x = raw.where(F.col("parse_error").isNull()).withColumn("_base", base)
-    x = x.select("page_id", "site", F.transform("cards", card).alias("c"),
-                 required.alias("_req"), dedup.alias("_dd"))
+    x = x.select("page_id", "site", cards.alias("c"), required.alias("_req"), dedup.alias("_dd"))
     x = x.select("page_id", "site", "_dd", F.filter(
         "c", lambda c: ~F.col("_req") | (c["has_link"] & (c["href"] != ""))).alias("c"))
     x = x.select("page_id", "site", F.when(F.col("_dd"), F.filter(
@@ -350,12 +357,12 @@ def raw_site_articles(pages: DataFrame) -> DataFrame:
     return _with_sites(pages).mapInPandas(_article_batches, RAW_ARTICLE_SCHEMA)
 
 
-def finish_articles(raw: DataFrame) -> DataFrame:
-    """Raw article values -> (page_id, site, url, article_details, parse_error)."""
+@memo
+def _article_exprs():
+    """(paragraph filter, details struct) -- built once per driver."""
     ads = _by_site({s: F.lit(r["article"]["drop_ads"]) for s, r in SITES.items()})
-    x = raw.select("*", F.when(ads, keep_paragraphs("paragraphs", True))
-                   .otherwise(keep_paragraphs("paragraphs", False)).alias("paras"),
-                   F.split("page_text", "\n", -1).alias("lines"))
+    paras = F.when(ads, keep_paragraphs("paragraphs", True)).otherwise(
+        keep_paragraphs("paragraphs", False))
     img = F.col("img")
     image = _by_site({s: (F.when(_truthy(img), fix_protocol(img))
                           if r["article"]["image_mode"] == "fix_protocol"
@@ -371,6 +378,13 @@ def finish_articles(raw: DataFrame) -> DataFrame:
         F.when(regex, byline_author("lines")).otherwise(F.col("author")).alias("author"),
         F.when(regex, byline_date("page_text")).otherwise(F.col("date")).alias("date"),
         F.when(F.size("paras") > 0, F.array_join("paras", "\n\n")).alias("full_text"))
+    return paras, details
+
+
+def finish_articles(raw: DataFrame) -> DataFrame:
+    """Raw article values -> (page_id, site, url, article_details, parse_error)."""
+    paras, details = _article_exprs()
+    x = raw.select("*", paras.alias("paras"), F.split("page_text", "\n", -1).alias("lines"))
     return x.select("page_id", "site", "url",
                     F.when(F.col("parse_error").isNull(), details).alias("article_details"),
                     "parse_error")
