@@ -46,3 +46,17 @@ def test_store_scan_pushes_status_filter(spark, tmp_path):
     from pyspark.sql import functions as F
     p = plan(S.read_store(spark, root).where(F.col("status") == "raw"))
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,raw)]" in p
+
+
+def test_extraction_is_narrow_and_drops_html(spark):
+    """Page extraction adds no hash shuffle; html never reaches a shuffle."""
+    from newsflow.operators.extract import extract_articles
+    from newsflow.plans.flagship import page_items
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    p = plan(extract_articles(pages))
+    assert "hashpartitioning" not in p
+    items = page_items(spark, SF)
+    p = plan(I.dedup_uid(items, "page_id"))
+    exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("html" not in line for line in exchanges)
+    assert "html" not in items.columns
