@@ -139,6 +139,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a committed output (``_SUCCESS`` marker)."""
+    fs, p, jvm = _fs(spark, path)
+    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
 def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
     """Complete snapshot numbers under ``root`` (directory names only)."""
     fs, p, jvm = _fs(spark, root)

@@ -88,12 +88,14 @@ def process(spark: SparkSession, store_root: str, generate, run_ts=None,
     versions = S.snapshot_versions(spark, store_root)
     store = S.read_store(spark, store_root)
     raw = store.where(F.col("status") == "raw")
-    patch = E.enrich(raw, generate, run_ts=run_ts, partitions=partitions)
     # Model answers are written to the shared store folder before they are
     # applied: a lost executor after this point never repeats model calls,
-    # and the lineage of the new snapshot starts at these files.
+    # the lineage of the new snapshot starts at these files, and a run that
+    # died before writing the snapshot resumes from the committed answers.
     patch_path = f"{store_root}/_patches/v={(versions[-1] + 1) if versions else 0}"
-    patch.write.mode("overwrite").parquet(patch_path)
+    if not S.is_complete(spark, patch_path):
+        E.enrich(raw, generate, run_ts=run_ts, partitions=partitions) \
+            .write.mode("overwrite").parquet(patch_path)
     patch = spark.read.parquet(patch_path)
     small = S.at_most(patch, S.BROADCAST_MAX_ROWS)
     return S.write_snapshot(spark, store_root, S.apply_patch(store, patch, small))

@@ -61,3 +61,22 @@ def test_collect_then_process(spark, tmp_path):
     C.process(spark, root, stub_generate, run_ts())
     after = S.read_store(spark, root)
     assert sorted(map(tuple, after.select("uid", "status", "summary", "ai_mode").collect())) == before
+
+
+def test_process_resumes_from_committed_answers(spark, tmp_path):
+    """A processor run that died after the model step re-uses the committed
+    answers instead of calling the model again."""
+    import pandas as pd
+    root = str(tmp_path / "store")
+    C.collect(spark, _pages(spark), root, run_ts())
+    def refusing(req: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"text": [None] * len(req), "error": ["must not be called"] * len(req)})
+
+    # simulate the first attempt: answers committed, snapshot not written
+    raw = S.read_store(spark, root).where(F.col("status") == "raw")
+    from newsflow.operators import enrich as E
+    E.enrich(raw, stub_generate, run_ts()).write.parquet(f"{root}/_patches/v=1")
+    C.process(spark, root, refusing, run_ts())
+    st = S.read_store(spark, root)
+    assert st.where(F.col("status") == "raw").count() == 0
+    assert st.where(F.col("gemini_error") == "must not be called").count() == 0
