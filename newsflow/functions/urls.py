@@ -10,6 +10,10 @@ from newsflow.functions.text import _c, let, memo, py_strip
 SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 AUTHORITY_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 PATH_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
+# Schemes whose references resolve relative to a base
+# (Python's urllib.parse.uses_relative).
+USES_RELATIVE = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp",
+                 "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
 
 
 @memo
@@ -86,10 +90,16 @@ def url_resolve(base, href) -> Column:
     expression stays small even when ``href`` is itself an expression.
     """
     def parse(bh):
-        b, h = bh["b"], bh["h"]
+        b, h0 = bh["b"], bh["h"]
+        scheme = F.lower(F.regexp_extract(b, SCHEME_RE, 1))
+        h_scheme = F.lower(F.regexp_extract(h0, SCHEME_RE, 1))
+        # a reference with the base's (relative-capable) scheme resolves as
+        # if it had none; any other scheme is returned unchanged
+        same = (h_scheme != "") & (h_scheme == scheme) & h_scheme.isin(*USES_RELATIVE)
+        h = F.when(same, F.substr(h0, F.length(h_scheme) + F.lit(2))).otherwise(h0)
         return F.struct(
-            b.alias("b"), h.alias("h"),
-            F.regexp_extract(b, SCHEME_RE, 1).alias("scheme"),
+            b.alias("b"), h0.alias("h0"), h.alias("h"), scheme.alias("scheme"),
+            ((h_scheme != "") & ~same).alias("other_scheme"),
             b.rlike(AUTHORITY_RE).alias("has_auth"),
             F.regexp_extract(b, AUTHORITY_RE, 1).alias("auth"),
             F.regexp_extract(b, PATH_RE, 1).alias("b_path"),
@@ -113,8 +123,8 @@ def url_resolve(base, href) -> Column:
                           F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
                           F.when(p["h_frag"] != "", F.concat(F.lit("#"), p["h_frag"]))
                           .otherwise(F.lit("")))
-        return (F.when(h == "", b)
-                .when(h.rlike(SCHEME_RE), h)
+        return (F.when(p["h0"] == "", b)
+                .when(p["other_scheme"], p["h0"])
                 .when(F.startswith(h, F.lit("//")), F.concat(scheme_part, h))
                 .otherwise(joined))
 

@@ -105,9 +105,13 @@ def attr(tag: str, name: str) -> str:
     return decode(v)
 
 
-def url_join(b: str, h: str) -> str:
-    """urljoin for http(s) bases (general shapes), written in SQL."""
-    scheme = f"regexp_extract({b}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)"
+def _url_join_body(b: str, h0: str) -> str:
+    from newsflow.functions.urls import USES_RELATIVE
+    scheme = f"lower(regexp_extract({b}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1))"
+    hscheme = f"lower(regexp_extract({h0}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1))"
+    rel = ", ".join(q(x) for x in USES_RELATIVE)
+    same = f"({hscheme} <> '' AND {hscheme} = {scheme} AND {hscheme} IN ({rel}))"
+    h = "uj.h"
     prefix = (f"(CASE WHEN {scheme} <> '' THEN {scheme} || ':' ELSE '' END || "
               f"CASE WHEN regexp_matches({b}, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//') "
               f"THEN '//' || {authority(b)} ELSE '' END)")
@@ -139,10 +143,20 @@ def url_join(b: str, h: str) -> str:
              f"ELSE {bquery} END) ELSE {hquery} END)")
     joined = (f"{prefix} || {path} || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END "
               f"|| CASE WHEN {hfrag} <> '' THEN '#' || {hfrag} ELSE '' END")
-    return (f"(CASE WHEN {h} = '' THEN {b} "
-            f"WHEN regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN {h} "
+    inner = (f"(CASE WHEN {h0} = '' THEN {b} "
+            f"WHEN {hscheme} <> '' AND NOT {same} THEN {h0} "
             f"WHEN starts_with({h}, '//') THEN (CASE WHEN {scheme} <> '' THEN {scheme} || ':' "
             f"ELSE '' END) || {h} ELSE {joined} END)")
+    hval = f"(CASE WHEN {same} THEN substr({h0}, length({hscheme}) + 2) ELSE {h0} END)"
+    return f"list_transform([{{'h': {hval}}}], lambda uj: {inner})[1]"
+
+
+def url_join(b: str, h0: str) -> str:
+    """urljoin for http(s) bases (general shapes), written in SQL; inputs
+    and the scheme-stripped reference are bound once (lambda over a
+    one-element list) so the text stays linear."""
+    return (f"list_transform([{{'b': {b}, 'h0': {h0}}}], "
+            f"lambda ub: {_url_join_body('ub.b', 'ub.h0')})[1]")
 
 
 # ---------------------------------------------------------------------------

@@ -43,12 +43,15 @@ SEGS = ["a", "b", "..", ".", "", "x.html", "für"]
 
 @settings(max_examples=1, deadline=None)
 @given(st.lists(st.tuples(
-    st.sampled_from(["https://a.com/x/y?q=1#f", "https://a.com", "http://a.com/a/b/", "https://a.com/a/b/c"]),
+    st.sampled_from(["https://a.com/x/y?q=1#f", "https://a.com", "http://a.com/a/b/", "https://a.com/a/b/c",
+                     "HTTPS://a.com/p/q"]),
     st.one_of(
         st.lists(st.sampled_from(SEGS), max_size=5).map("/".join),
         st.lists(st.sampled_from(SEGS), max_size=5).map(lambda s: "/" + "/".join(s)),
         st.sampled_from(["", "#f", "?p=2", "?", "#", "//cdn/i.png", "javascript:void(0)",
-                         "HTTP://B.com/q", "../../../g", "./", "a//b/..", "?x=1#y"]))),
+                         "HTTP://B.com/q", "../../../g", "./", "a//b/..", "?x=1#y",
+                         "https:rel/x", "HTTPS://B.com/q", "https://c.org", "http:../up",
+                         "mailto:a@b"]))),
     min_size=150, max_size=150))
 def test_url_resolve_matches_urljoin(spark, pairs):
     df = spark.createDataFrame(pairs, "b string, h string")
