@@ -44,13 +44,17 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and store snapshots.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a private scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a
+    private scratch folder serves a local master (tests); on a cluster a local
+    folder would not be shared, so it is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="newsflow-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
