@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsflow.llm import quality, superminhash, toxicity
+from newsflow.llm import line_dedup, packing, pii, quality, superminhash, toxicity
 from newsflow.llm.common import table
 
 
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -22,10 +28,24 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the text that stays, and what was removed as start:end code points."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s.start.cast("string"), s.end.cast("string")))
+    return line_dedup.dedup_units(docs).select("doc_id", "text", F.array_join(spans, ",").alias("removed"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pack_sequences": op1_pack_sequences,
     "op2_quality": op2_quality,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_toxicity": op4_toxicity,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_pii": op6_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
