@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import line_dedup, packing, pii, quality, superminhash, toxicity
+from newsflow.llm import (langid, line_dedup, merge_dropout, packing, permutation_index, pii, quality,
+                          superminhash, toxicity, winnowing)
 from newsflow.llm.common import table
 
 
@@ -39,6 +40,23 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return permutation_index.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_quality": op2_quality,
@@ -46,6 +64,10 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_pii": op6_pii,
+    "op7_permutation_index": op7_permutation_index,
+    "op8_merge_dropout": op8_merge_dropout,
+    "op9_winnowing": op9_winnowing,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {}
