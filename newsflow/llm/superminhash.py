@@ -15,8 +15,12 @@ Every step is a Spark job whose tables are staged in the shared folder:
 4. candidates fetch their texts by two joins (adaptive skew splitting applies)
    and are compared in full;
 5. components by alternating large-star / small-star steps on the links;
-6. only buckets that still span several components give their remaining pairs
-   between components; these are verified too, and the components closed again.
+6. members of buckets that still span several components form families
+   (components of the candidate pairs).  A family is dealt into blocks by set
+   size; every two blocks whose sizes allow a link are compared in one bounded
+   task, which counts all intersections and returns one link per two components
+   - exact within a family, and no pair becomes a row; then the components are
+   closed again.
 
 So no link between candidates is lost, although copies are never expanded.  A
 pair at the threshold is a candidate with probability 1 - (1 - t^rows)^bands
@@ -45,6 +49,8 @@ from newsflow.llm.common import WordHashes, arrow_map, mix64, stage, texts
 BANDS, BAND_ROWS = 60, 8
 #: Elements whose permutations are held at a time.
 CHUNK = 40_000
+#: Most sets and shingles in a block of a family, on average; shingles counted at a time.
+BLOCK_ROWS, BLOCK_TOKENS, SLICE = 512, 1 << 20, 8192
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -161,6 +167,106 @@ def _verify(words: int, percent: int):
     return run
 
 
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the texts under their doc_id (a repeated text once)."""
+    return nodes.join(docs.select("doc_id", "text").dropna(), "doc_id").dropDuplicates(["row", "text"])
+
+
+def _listed_sets(words: int):
+    """(row, root, family, n, set) of each node whose text is the one under its digest."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [shingles(t, words, hashes) for t in texts(batch)]
+            own = [i for i, (s, d) in enumerate(zip(sets, batch.column("digest").to_pylist()))
+                   if xxhash.xxh128_digest(s.tobytes()) == d]
+            at = pa.array(own, pa.int64())
+            yield pa.RecordBatch.from_pydict({
+                **{c: batch.column(c).take(at) for c in ("row", "root", "family")},
+                "n": pa.array([len(sets[i]) for i in own], pa.int64()),
+                "set": pa.array([sets[i].tobytes() for i in own], pa.binary())})
+    return run
+
+
+def _compare(percent: int):
+    """Rows sorted by pair of blocks -> one link per two components that the pair shows."""
+    keys = ("family", "lo_class", "lo_block", "hi_class", "hi_block")
+
+    def links(rows: list[tuple]) -> list[tuple[int, int]]:
+        both = [r for r in rows if r[3]], [r for r in rows if r[4]]
+        if not both[0] or not both[1] or len({r[1] for r in rows}) < 2:
+            return []
+        sets = [[np.frombuffer(r[2], np.uint64) for r in side] for side in both]
+        sizes = [np.array([len(x) for x in side]) for side in sets]
+        flat = [np.concatenate(side) for side in sets]
+        vocabulary = np.intersect1d(*flat)
+        owner = [np.repeat(np.arange(len(n)), n) for n in sizes]
+        column = [np.searchsorted(vocabulary, f) for f in flat]
+        for k in (0, 1):
+            column[k][column[k] == len(vocabulary)] = 0
+            known = vocabulary[column[k]] == flat[k] if len(vocabulary) else np.zeros(len(flat[k]), bool)
+            owner[k], column[k] = owner[k][known], column[k][known]
+        shared = np.zeros((len(sets[0]), len(sets[1])), np.float32)
+        for at in range(0, len(vocabulary), SLICE):
+            held = []
+            for k in (0, 1):
+                inside = (column[k] >= at) & (column[k] < at + SLICE)
+                m = np.zeros((len(sets[k]), min(SLICE, len(vocabulary) - at)), np.float32)
+                m[owner[k][inside], column[k][inside] - at] = 1
+                held.append(m)
+            shared += held[0] @ held[1].T
+        both_n = shared.astype(np.int64)
+        union = sizes[0][:, None] + sizes[1][None] - both_n
+        row, root = ([np.array([r[f] for r in side]) for side in both] for f in (0, 1))
+        i, j = np.nonzero((100 * both_n >= percent * union) & (root[0][:, None] != root[1][None]))
+        ends = np.stack([np.minimum(root[0][i], root[1][j]), np.maximum(root[0][i], root[1][j])], 1)
+        first = np.unique(ends, axis=0, return_index=True)[1]
+        return [(int(row[0][i[f]]), int(row[1][j[f]])) for f in first]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"a": pa.array([f[0] for f in found], pa.int64()),
+                                               "b": pa.array([f[1] for f in found], pa.int64())})
+        now, rows = None, []
+        for batch in batches:
+            found = []
+            values = zip(*(batch.column(c).to_pylist() for c in ("row", "root", "set", "in_lo", "in_hi")))
+            for key, value in zip(zip(*(batch.column(c).to_pylist() for c in keys)), values):
+                if key != now:
+                    found += links(rows)
+                    now, rows = key, []
+                rows.append(value)
+            yield out(found)
+        yield out(links(rows))
+    return run
+
+
+def family_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components among ``members`` (row, root, family), compared within families."""
+    held = _texts_of(docs, nodes.select("row", "doc_id", "digest").join(members, "row"))
+    sets = stage(arrow_map(held.select("row", "root", "family", "digest", "text"), _listed_sets(words),
+                           "row long, root long, family long, n long, set binary"), "near-sets")
+    # two sets can only be linked if their sizes are in the same or in neighbouring classes
+    sets = sets.withColumn("class", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int"))
+    count = sets.groupBy("family", "class").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    near = F.array(*(F.struct((F.col("class") + d).alias("class"), F.col("class").alias("partner"),
+                              F.col("blocks").alias("partner_blocks")) for d in (-1, 0, 1)))
+    partners = count.select("family", F.explode(near).alias("p")).select("family", "p.*")
+    placed = (sets.join(count, ["family", "class"])
+              .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).drop("blocks")
+              .join(partners, ["family", "class"])
+              .withColumn("partner_block", F.explode(F.sequence(F.lit(0), F.col("partner_blocks") - 1))))
+    own, other = F.struct("class", "block"), F.struct(F.col("partner").alias("class"), F.col("partner_block").alias("block"))
+    lo, hi = F.least(own, other), F.greatest(own, other)
+    dealt = placed.select("family", lo["class"].alias("lo_class"), lo["block"].alias("lo_block"),
+                          hi["class"].alias("hi_class"), hi["block"].alias("hi_block"), "row", "root", "set",
+                          (own == lo).alias("in_lo"), (own == hi).alias("in_hi"))
+    key = ["family", "lo_class", "lo_block", "hi_class", "hi_block"]
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
+    return stage(arrow_map(dealt, _compare(percent), "a long, b long").distinct(), "near-family-links")
+
+
 def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose documents' full sets reach ``percent``.
 
@@ -173,9 +279,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: i
              .where((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))).select("a", "b"))
     pairs = stage(pairs, "near-pairs")
     used = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    text = (n.join(used, "row").join(docs.select("doc_id", "text").dropna(), "doc_id")
-            .select("row", "digest", "text").dropDuplicates(["row", "text"]))
-    text = stage(text, "near-texts")
+    text = stage(_texts_of(docs, n.join(used, "row")).select("row", "digest", "text"), "near-texts")
     fetch = {s: text.select(F.col("row").alias(s), F.col("digest").alias(f"{s}_digest"),
                             F.col("text").alias(f"{s}_text")) for s in "ab"}
     wide = pairs.join(fetch["b"], "b").join(fetch["a"], "a").sortWithinPartitions("a")
@@ -234,11 +338,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     rooted = posts.join(roots, "row", "left").select("band", "hub", "row", F.coalesce("root", "row").alias("root"))
     mixed = (rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo <> hi").select("band"))
-    rest = stage(rooted.join(mixed, "band"), "near-mixed")
-    other = rest.select("band", F.col("row").alias("b"), F.col("root").alias("b_root"))
-    pairs = (rest.where("row <> hub").join(other, "band")
-             .where("row < b and root <> b_root and b <> hub").select(F.col("row").alias("a"), "b").distinct())
-    more = verified_links(docs, nodes, pairs, words, percent)
+    rest = stage(rooted.join(mixed, "band").select("hub", "row", "root").distinct(), "near-mixed")
+    family = components(rest.where("row <> hub").select(F.col("hub").alias("a"), F.col("row").alias("b")))
+    members = rest.select("row", "root").distinct().join(family.withColumnRenamed("root", "family"), "row")
+    more = family_links(docs, nodes, members, words, percent)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
