@@ -148,12 +148,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int | N
     valid = stage(arrow_map(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")),
                             _valid, "vec_id long, dim int, norm2 double, vkey binary, v binary"), "ann-vectors")
     dims = valid.groupBy("dim").count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
-    valid = valid.where(F.col("dim") == (dims[0].dim if dims else 0))
+    dim = dims[0].dim if dims else 0
+    valid = valid.where(F.col("dim") == dim)
     n, largest = valid.agg(F.count("*"), F.max("norm2")).first()
     wanted = pivots or int(np.clip(0.5 * n ** 0.5, 64, 1024))
     sample = valid.orderBy(F.xxhash64("vkey", "vec_id"), "vec_id").limit(8 * wanted).select("vkey", "v", "norm2").collect()
     distinct = list({bytes(r.vkey): r for r in sample}.values())[:wanted]
-    x = np.array([np.frombuffer(r.v) for r in distinct]).reshape(len(distinct), -1)
+    x = np.array([np.frombuffer(r.v) for r in distinct]).reshape(len(distinct), dim)
     points = np.column_stack([x, np.sqrt(np.maximum((largest or 0) - np.array([r.norm2 for r in distinct]), 0))])
 
     by_id = Window.partitionBy("vkey").orderBy("vec_id")
