@@ -1,12 +1,11 @@
 """Command line runs: the collector and the processor.
 
     python -m newsflow collect --pages PAGES.parquet --store STORE_DIR [--json OUT_DIR]
-    python -m newsflow process --store STORE_DIR [--generate pkg.module:function]
+    python -m newsflow process --store STORE_DIR --generate pkg.module:function
                                [--partitions N]
 
 ``--generate`` names a batch model function ``(requests DataFrame) ->
-answers DataFrame`` (see ``newsflow.operators.enrich``); the default is the
-deterministic local stub.
+answers DataFrame`` (see ``newsflow.operators.enrich``).
 """
 
 from __future__ import annotations
@@ -15,13 +14,10 @@ import argparse
 import importlib
 
 from newsflow.plans import collect as C
-from newsflow.plans.stub import stub_generate
 from newsflow.session import get_spark
 
 
-def _load(spec: str | None):
-    if not spec:
-        return stub_generate
+def _load(spec: str):
     mod, _, fn = spec.partition(":")
     return getattr(importlib.import_module(mod), fn)
 
@@ -35,7 +31,7 @@ def main(argv=None) -> None:
     c.add_argument("--json")
     p = sub.add_parser("process")
     p.add_argument("--store", required=True)
-    p.add_argument("--generate")
+    p.add_argument("--generate", required=True)
     p.add_argument("--partitions", type=int)
     a = ap.parse_args(argv)
     spark = get_spark()

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from newsflow.functions.text import py_strip, _c
 
 # Accepted non-ISO layouts, tried in this order
-# ("December 2, 2025 12:20 pm", "Dec 2, 2025", "02-12-2025" day first).
-PUBLISHED_FORMATS = ("MMMM d, yyyy h:mm a", "MMM d, yyyy", "dd-MM-yyyy")
+# ("December 2, 2025 12:20 pm", "Dec 2, 2025", "02-12-2025" day first, RFC 822 without its weekday).
+PUBLISHED_FORMATS = ("MMMM d, yyyy h:mm a", "MMM d, yyyy", "dd-MM-yyyy", "MMMM d, yyyy", "MMM d, yyyy h:mm a",
+                     "d MMMM yyyy", "d MMM yyyy", "d MMM yyyy HH:mm:ss Z")
+# A text without a year would be read as a time of the current day.
+YEAR_RE = "[0-9]{4}"
+WEEKDAY_RE = "^[A-Za-z]+, +(?=[0-9])"
 
 ISO_OUT = "yyyy-MM-dd'T'HH:mm:ssZ"
 
@@ -23,7 +27,7 @@ ISO_OUT = "yyyy-MM-dd'T'HH:mm:ssZ"
 def parse_published(c) -> Column:
     """String -> TIMESTAMP (UTC) or NULL; never raises under ANSI."""
     s = py_strip(_c(c))
-    s = F.when(s != "", s)
+    s = F.when(s.rlike(YEAR_RE), F.regexp_replace(s, WEEKDAY_RE, ""))
     tries = [F.try_to_timestamp(s)] + [F.try_to_timestamp(s, F.lit(f)) for f in PUBLISHED_FORMATS]
     return F.coalesce(*tries)
 

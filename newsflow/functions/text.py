@@ -43,6 +43,12 @@ def _entity_map() -> Column:
     return F.create_map(*[F.lit(x) for kv in HTML_ENTITIES.items() for x in kv])
 
 
+def _c1_map() -> Column:
+    """Code points 128-159 read as windows-1252, as HTML tokenizers do."""
+    pairs = [(c, ord(bytes([c]).decode("cp1252"))) for c in range(128, 160) if c not in (129, 141, 143, 144, 157)]
+    return F.create_map(*[F.lit(x).cast("long") for kv in pairs for x in kv])
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -133,20 +139,27 @@ def first_line(c) -> Column:
 def _decode_piece(p: Column) -> Column:
     """Decode the text right after one '&' (single pass, no double decoding)."""
     name = F.regexp_extract(p, r"^([A-Za-z][-.A-Za-z0-9]*)", 1)
-    num = F.regexp_extract(p, r"^(#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?)", 1)
+    num = F.regexp_extract(p, r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
 
-    def cp_char(cp_hex: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(cp_hex, 8, "0")), "UTF-32")
+    def cp_char(digits: Column, base: Column, longest: Column) -> Column:
+        """The character of a numeric reference; U+FFFD where none exists, so decoding never raises."""
+        plain = F.regexp_replace(digits, "^0+", "")
+        cp = F.when(F.length(plain) <= longest,
+                    F.when(base == 16, F.conv(plain, 16, 10)).otherwise(F.conv(plain, 10, 10)).cast("long"))
+        real = (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+        cp = F.coalesce(F.try_element_at(_c1_map(), cp), F.when(real, cp), F.lit(0xFFFD).cast("long"))
+        return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
 
     def body(r):
         n, ch, ref = r["n"], r["c"], r["ref"]
         after = F.length(n) + F.lit(1)
         semi = F.when(F.substring(p, after, 1) == F.lit(";"), F.lit(1)).otherwise(F.lit(0))
         digits = F.regexp_extract(ref, r"^#[xX]?([0-9a-fA-F]+)", 1)
-        cp_hex = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.upper(digits)) \
-            .otherwise(F.hex(digits.cast("long")))
+        is_hex = F.lower(F.substring(ref, 2, 1)) == "x"
+        base = F.when(is_hex, F.lit(16)).otherwise(F.lit(10))
+        longest = F.when(is_hex, F.lit(6)).otherwise(F.lit(7))
         return (F.when(ch.isNotNull(), F.concat(ch, F.substr(p, after + semi)))
-                .when(ref != "", F.concat(cp_char(cp_hex), F.substr(p, F.length(ref) + F.lit(1))))
+                .when(ref != "", F.concat(cp_char(digits, base, longest), F.substr(p, F.length(ref) + F.lit(1))))
                 .otherwise(F.concat(F.lit("&"), p)))
 
     return let(F.struct(name.alias("n"), F.try_element_at(_entity_map(), name).alias("c"),

@@ -11,6 +11,7 @@ those, descendant (space) and child (``>``) combinators.
 
 from __future__ import annotations
 
+import html as html_std
 import re
 from html.entities import html5 as _HTML5
 from html.parser import HTMLParser
@@ -140,11 +141,7 @@ class _Builder(HTMLParser):
         self.buf.append(ch if ch is not None else "&" + name)
 
     def handle_charref(self, name):
-        try:
-            cp = int(name[1:], 16) if name[:1] in ("x", "X") else int(name)
-            self.buf.append(chr(cp) if 0 < cp < 0x110000 else "�")
-        except ValueError:
-            self.buf.append("&#" + name)
+        self.buf.append(html_std.unescape(f"&#{name};"))
 
     def _other(self, kind, data):
         self._flush()
@@ -164,13 +161,10 @@ class _Builder(HTMLParser):
 
 
 def parse(html: str | None) -> Node:
-    """Parse a page; never raises (a broken page gives a partial tree)."""
+    """Parse a page; raises where the markup breaks the parser (callers isolate the page)."""
     b = _Builder()
-    try:
-        b.feed(html or "")
-        b.close()
-    except Exception:  # noqa: BLE001 - malformed markup must not fail a task
-        pass
+    b.feed(html or "")
+    b.close()
     b._flush()
     return b.root
 

@@ -45,19 +45,18 @@ def _v(c) -> Column:
 # instructions).  ``{name}`` slots are filled with ``x or ''`` of the field.
 PROMPT_TEMPLATES = {
     "one_line": (
-        "Sum up this entertainment news in one short line: at most 120 characters, "
-        "no emoji, same language as the title, no facts that are not given.\n\n"
+        "TASK: headline digest of one news item.\n"
+        "LIMITS: single line; 120 characters at most; language of the title; plain text; given facts only.\n\n"
         "Title: {title}\nSummary: {summary}\n"),
     "telegram": (
-        "Write a Telegram caption for this film and TV news: 2 to 3 short lines, "
-        "a headline-style first line, at most 2 emoji, a closing line that invites "
-        "readers to open the link, the URL unchanged, no facts that are not given. "
-        "Source and link are appended separately.\n\n"
+        "TASK: channel post about one news item.\n"
+        "LIMITS: two or three lines, the first like a headline and the last leading to the link; "
+        "no more than two emoji; link kept verbatim; given facts only. Source and link follow separately.\n\n"
         "Title: {title}\nSummary: {summary}\nSource: {source}\nLink: {url}\n"),
     "instagram": (
-        "Write an Instagram caption for this entertainment post: friendly tone, "
-        "3 to 6 emoji, 3 to 6 short lines, mention the source casually, end with "
-        "5 to 7 relevant hashtags.\n\n"
+        "TASK: picture caption about one news item.\n"
+        "LIMITS: three to six lines; three to six emoji; five to seven hashtags at the end; "
+        "the source named in passing.\n\n"
         "Title: {title}\nSummary: {summary}\nSource: {source}\n"),
 }
 
@@ -111,6 +110,20 @@ CALL_SCHEMA = T.StructType([
 ])
 
 
+def _answers(generate: Generate, req: pd.DataFrame) -> list[tuple]:
+    """(text, error) of each request; when a batch fails its rows are asked one
+    by one, so a failure stays with its row."""
+    try:
+        ans = generate(req)
+        if len(ans) != len(req):
+            raise ValueError(f"model returned {len(ans)} answers for {len(req)} prompts")
+        return list(zip(ans["text"], ans["error"]))
+    except Exception as e:  # noqa: BLE001 - the whole call failed
+        if len(req) == 1:
+            return [(None, str(e))]
+        return [a for i in range(len(req)) for a in _answers(generate, req.iloc[i:i + 1].reset_index(drop=True))]
+
+
 def _call_batches(generate: Generate):
     def run(it):
         for pdf in it:
@@ -127,24 +140,13 @@ def _call_batches(generate: Generate):
                 req = pd.DataFrame({"uid": pdf["uid"].iloc[alive].values,
                                     "kind": kind,
                                     "prompt": pdf["prompt_" + kind].iloc[alive].values})
-                try:
-                    ans = generate(req)
-                    if len(ans) != len(req):
-                        raise ValueError(f"model returned {len(ans)} answers for {len(req)} prompts")
-                    answers = list(zip(ans["text"], ans["error"]))
-                except Exception as e:  # noqa: BLE001 - the whole call failed
-                    answers = [(None, str(e) or type(e).__name__)] * len(alive)
                 nxt = []
-                for i, (text, e) in zip(alive, answers):
+                for i, (text, e) in zip(alive, _answers(generate, req)):
                     calls[i] += 1
-                    try:
-                        if e is None and not (text is None or isinstance(text, str)):
-                            raise TypeError(f"answer must be text, got {type(text).__name__}")
-                        if e is None and not text:
-                            e = "Empty model response"
-                    except Exception as exc:  # noqa: BLE001 - row-level processing error
-                        perr[i] = str(exc)
-                        continue
+                    if e is None and not (text is None or isinstance(text, str)):
+                        e = f"answer must be text, got {type(text).__name__}"
+                    if e is None and not text:
+                        e = "Empty model response"
                     if e is not None:
                         err[i], failed[i] = e, step
                         continue

@@ -132,30 +132,33 @@ def byline_author(lines) -> Column:
        all of line j).
     The earliest line wins; on the same line a, then c, then b.
     """
-    lines = _c(lines)
-    n = F.size(lines)
-    idx = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
-    pub = lambda k: F.coalesce(F.get(lines, k).rlike(PUBLISHED_LINE_RE), F.lit(False))
-    line = lambda k: F.get(lines, k)
-    first = lambda cond: F.get(F.filter(idx, cond), 0)
-    ca = first(lambda j: (F.locate("|", line(j), 2) > 0) & pub(j + 1))
-    cc = first(lambda j: line(j).rlike(r"(?U)^[^\n]+\|[\s\x1c-\x1f]*$") & pub(j + 2))
-    cb = first(lambda j: (j >= 1) & (F.length(line(j - 1)) > 0)
-               & line(j).rlike(r"(?U)^[\s\x1c-\x1f]*\|") & pub(j + 1)) - 1
-
-    def pick(r):
-        ca, cc, cb = r["a"], r["c"], r["b"]
-        key = F.least(ca * 3, cc * 3 + 1, cb * 3 + 2)
-        la, lc = line(ca), line(cc)
-        author_a = py_strip(F.substring(la, F.lit(1), F.locate("|", la, 2) - 1))
-        last_bar = F.length(lc) - F.locate("|", F.reverse(lc)) + 1
-        author_c = py_strip(F.substring(lc, F.lit(1), last_bar - 1))
-        return (F.when(key.isNull(), F.lit(None).cast("string"))
-                .when(key == ca * 3, author_a)
-                .when(key == cc * 3 + 1, author_c)
-                .otherwise(py_strip(line(cb))))
-
-    return let(F.struct(ca.alias("a"), cc.alias("c"), cb.alias("b")), pick)
+    def search(lines):
+        n = F.size(lines)
+        idx = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+        pub = lambda k: F.coalesce(F.get(lines, k).rlike(PUBLISHED_LINE_RE), F.lit(False))
+        line = lambda k: F.get(lines, k)
+        first = lambda cond: F.get(F.filter(idx, cond), 0)
+        ca = first(lambda j: (F.locate("|", line(j), 2) > 0) & pub(j + 1))
+        cc = first(lambda j: line(j).rlike(r"(?U)^[^\n]+\|[\s\x1c-\x1f]*$") & pub(j + 2))
+        cb = first(lambda j: (j >= 1) & (F.length(line(j - 1)) > 0)
+                   & line(j).rlike(r"(?U)^[\s\x1c-\x1f]*\|") & pub(j + 1)) - 1
+
+        def pick(r):
+            ca, cc, cb = r["a"], r["c"], r["b"]
+            key = F.least(ca * 3, cc * 3 + 1, cb * 3 + 2)
+            la, lc = line(ca), line(cc)
+            author_a = py_strip(F.substring(la, F.lit(1), F.locate("|", la, 2) - 1))
+            last_bar = F.length(lc) - F.locate("|", F.reverse(lc)) + 1
+            author_c = py_strip(F.substring(lc, F.lit(1), last_bar - 1))
+            return (F.when(key.isNull(), F.lit(None).cast("string"))
+                    .when(key == ca * 3, author_a)
+                    .when(key == cc * 3 + 1, author_c)
+                    .otherwise(py_strip(line(cb))))
+
+        return let(F.struct(ca.alias("a"), cc.alias("c"), cb.alias("b")), pick)
+
+    # blanks around the bar and before "Published:" may span blank lines
+    return let(F.filter(_c(lines), lambda x: py_strip(x) != ""), search)
 
 
 @memo

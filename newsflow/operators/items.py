@@ -17,11 +17,11 @@ def unique_articles(articles: DataFrame, key: str = "url", order: str = "page_id
 
     The winner is found by a hash aggregate on two narrow columns (map-side
     combine: a key holding a third of all rows costs one row per task in
-    the shuffle); the details struct is then kept by a hash semi join, so
-    the wide article text is never sorted.
+    the shuffle); the details struct is then kept by a semi join, so
+    the wide article text is never aggregated.
     """
     win = articles.groupBy(key).agg(F.min(order).alias(order))
-    return (articles.join(win.hint("shuffle_hash"), [key, order], "left_semi")
+    return (articles.join(win, [key, order], "left_semi")
             .select(key, "article_details"))
 
 
@@ -77,41 +77,23 @@ def with_published(items: DataFrame) -> DataFrame:
             .withColumn("published_dt_str", iso_published(F.col("published_dt"))))
 
 
-_DEC = "decimal(38,0)"
-
-
-def _recency_rank(tiebreak: str) -> Column:
-    """One non-null DECIMAL(38,0) that orders rows newest first, unparseable
-    last, then the smaller tie-break key first:
-    ``has_ts * 1e36 + (micros + 1e17) * 1e18 + (1e18 - 1 - key)``.
-    A fixed-width number keeps ``max_by`` in the hash aggregate.
-    """
-    ts = F.col("published_dt")
-    has = F.when(ts.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast(_DEC)
-    micros = F.least(F.greatest(F.coalesce(F.unix_micros(ts), F.lit(0)),
-                                F.lit(-(10 ** 17) + 1)), F.lit(10 ** 17 - 1)).cast(_DEC)
-    key = F.least(F.greatest(F.col(tiebreak).cast("long"), F.lit(0)), F.lit(10 ** 18 - 1)).cast(_DEC)
-    def big(n: int) -> Column:
-        return F.lit(str(n)).cast(_DEC)
-
-    return (has * big(10 ** 36) + (micros + big(10 ** 17)) * big(10 ** 18)
-            + (big(10 ** 18 - 1) - key)).cast(_DEC)
-
-
 def dedup_uid(items: DataFrame, tiebreak: str) -> DataFrame:
     """Keep one row per uid: the first in newest-first order.
 
-    Winners are picked on three narrow columns (uid, key, rank) with a hash
-    aggregate that combines per task before the shuffle, so a hot uid (e.g.
-    every item with empty link and title shares ``md5('|')``) never lands
-    whole in one task.  The wide rows are then kept by a hash semi join on
-    the unique row key -- wide text is neither sorted nor aggregated.  Read
-    ``items`` from staged files when it is expensive to compute: it is
-    scanned twice (the narrow pass reads three columns).
+    Newest time first (rows without a time last), then the smallest tie-break
+    key, which may be any orderable column (a struct for compound keys) and must
+    be unique.  Winners are picked on three narrow columns by two aggregates
+    that combine per task before the shuffle, so a hot uid (every item with
+    empty link and title shares ``md5('|')``) never lands whole in one task;
+    the wide rows are then kept by a semi join on the key, whose skewed or
+    small sides adaptive execution handles.  Read ``items`` from staged files
+    when it is expensive to compute: it is scanned more than once.
     """
-    win = (items.select("uid", F.col(tiebreak).alias("_k"), _recency_rank(tiebreak).alias("_r"))
-           .groupBy("uid").agg(F.max_by("_k", "_r").alias(tiebreak)))
-    return items.join(win.select(tiebreak).hint("shuffle_hash"), tiebreak, "left_semi")
+    narrow = items.select("uid", F.col(tiebreak).alias("_k"), F.col("published_dt").alias("_t"))
+    newest = narrow.groupBy("uid").agg(F.max("_t").alias("_newest"))
+    win = (narrow.join(newest, "uid").where(F.col("_t").eqNullSafe(F.col("_newest")))
+           .groupBy("uid").agg(F.min("_k").alias(tiebreak)))
+    return items.join(win.select(tiebreak), tiebreak, "left_semi")
 
 
 def recent_first(items: DataFrame) -> DataFrame:

@@ -192,19 +192,24 @@ def raw_cards(root, site):
 
 
 def _block(root, rule):
+    """The node that holds the article's paragraphs: the best ranked of the
+    candidates that the site's rule selects (a fitting class, then the second
+    candidate, then the first)."""
     pick = rule["block_pick"]
-    if pick:
-        blocks = root.select(pick["selector"])
-        chosen = next((b for b in blocks
-                       if pick["want"] in b.classes and pick["avoid"] not in b.classes), None)
-        if chosen is None and len(blocks) >= 2:
-            chosen = blocks[1]
-        if chosen is None and blocks:
-            chosen = blocks[0]
-        if chosen is None:
-            return None
-        return chosen.select_one(pick["inner"]) or chosen
-    return _first(root, rule["block"]) or root
+    if not pick:
+        return _first(root, rule["block"]) or root
+
+    def rank(entry):
+        place, node = entry
+        if pick["want"] in node.classes and pick["avoid"] not in node.classes:
+            return 0, place
+        return (1, 0) if place == 1 else (2, place)
+
+    ranked = sorted(enumerate(root.select(pick["selector"])), key=rank)
+    if not ranked:
+        return None
+    best = ranked[0][1]
+    return best.select_one(pick["inner"]) or best
 
 
 def raw_article(root, site):
@@ -239,9 +244,10 @@ def _card_batches(it):
     for pdf in it:
         rows = []
         for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
-            root = dom.parse(html)
+            root = None
             for site in sites:
                 try:
+                    root = root if root is not None else dom.parse(html)
                     rows.append({"page_id": pid, "url": url, "site": site,
                                  "cards": raw_cards(root, site), "parse_error": None})
                 except Exception as e:  # noqa: BLE001 - isolate the page
@@ -255,9 +261,10 @@ def _article_batches(it):
     for pdf in it:
         rows = []
         for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
-            root = dom.parse(html)
+            root = None
             for site in sites:
                 try:
+                    root = root if root is not None else dom.parse(html)
                     r = {"page_id": pid, "url": url, "site": site, **raw_article(root, site),
                          "parse_error": None}
                 except Exception as e:  # noqa: BLE001 - isolate the page

@@ -176,5 +176,5 @@ def append_store(spark: SparkSession, root: str, rows: DataFrame) -> None:
 def write_snapshot(spark: SparkSession, root: str, df: DataFrame) -> int:
     vs = snapshot_versions(spark, root)
     v = (vs[-1] + 1) if vs else 0
-    df.select(*STORE_SCHEMA.fieldNames()).write.mode("errorifexists").parquet(f"{root}/v={v}")
+    df.select(*STORE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{root}/v={v}")  # v holds an aborted write at most
     return v

@@ -52,7 +52,7 @@ def site_items(spark: SparkSession, pages: DataFrame) -> DataFrame:
     subheadline: Column = F.when(F.col("site") == "eisamay", F.col("listing_subheadline"))
     items = I.normalize_items(joined, F.col("source"), F.col("feed_url"), subheadline)
     # row key in listing order (the reference's ties are unspecified)
-    items = items.withColumn("row_key", F.col("page_id") * F.lit(100000) + F.col("card_pos"))
+    items = items.withColumn("row_key", F.struct("page_id", "card_pos"))
     return I.with_published(items)
 
 
@@ -68,7 +68,7 @@ def collect(spark: SparkSession, pages: DataFrame, store_root: str, run_ts=None,
     items.write.parquet(staged)
     items = spark.read.parquet(staged)
     if json_path:
-        write_items_json(I.recent_first(items).drop("published_dt"), json_path)
+        write_items_json(I.recent_first(items).drop("published_dt", "row_key"), json_path)
     best = I.dedup_uid(items, "row_key")
     store = S.read_store(spark, store_root)
     new = S.insert_new(best, store)

@@ -1,9 +1,8 @@
 """Deterministic local model for tests, queries and the bench (no network).
 
 Behaviour (a pure function of the prompt, so SQL can reproduce it):
-* prompt longer than ``BAD_TYPE_LEN`` code points -> a non-text answer (the
-  row gets a processing error);
-* longer than ``TOO_LONG_LEN`` -> failure "stub model: prompt too long";
+* md5(prompt) starts with ``f`` -> a non-text answer (a failure);
+* starts with ``e`` -> failure "stub model: refused";
 * one-line prompt with an empty summary -> empty answer (a failure);
 * otherwise ``"[<kind>] " + md5(prompt)[:16]``; the telegram answer also
   names the source when the digest starts with 0-7; the instagram answer
@@ -17,28 +16,25 @@ import re
 
 import pandas as pd
 
-BAD_TYPE_LEN = 4000
-TOO_LONG_LEN = 1500
 _SOURCE = re.compile(r"\nSource: ([^\n]*)")
 
 
 def stub_generate(req: pd.DataFrame) -> pd.DataFrame:
     texts, errors = [], []
     for kind, prompt in zip(req["kind"], req["prompt"]):
-        n = len(prompt)
-        if n > BAD_TYPE_LEN:
+        digest = hashlib.md5(prompt.encode("utf-8")).hexdigest()
+        if digest[0] == "f":
             texts.append(0)
             errors.append(None)
             continue
-        if n > TOO_LONG_LEN:
+        if digest[0] == "e":
             texts.append(None)
-            errors.append("stub model: prompt too long")
+            errors.append("stub model: refused")
             continue
         if kind == "one_line" and "\nSummary: \n" in prompt:
             texts.append("")
             errors.append(None)
             continue
-        digest = hashlib.md5(prompt.encode("utf-8")).hexdigest()
         text = f"[{kind}] {digest[:16]}"
         if kind == "telegram" and digest[0] in "01234567":
             m = _SOURCE.search(prompt)

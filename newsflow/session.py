@@ -18,18 +18,18 @@ def get_spark(master: str | None = None, app: str = "newsflow",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
     b = (b.config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", os.environ.get("NEWSFLOW_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.sql.shuffle.partitions",
-                 str(shuffle_partitions or cpus)))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        b = b.config("spark.driver.memory", os.environ.get("NEWSFLOW_DRIVER_MEMORY", "8g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)

@@ -9,7 +9,7 @@ def test_cli_collect_and_process(spark, tmp_path, capsys):
     store = str(tmp_path / "store")
     main(["collect", "--pages", pages, "--store", store, "--json", str(tmp_path / "json")])
     assert "added" in capsys.readouterr().out
-    main(["process", "--store", store])
+    main(["process", "--store", store, "--generate", "newsflow.plans.stub:stub_generate"])
     st = S.read_store(spark, store)
     assert st.count() > 0 and st.where("status = 'raw'").count() == 0
     assert spark.read.json(str(tmp_path / "json")).count() > 0

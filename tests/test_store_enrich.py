@@ -85,7 +85,7 @@ def test_success_and_finalisers(spark):
     assert out["c"].caption_telegram == "telegram:c"
 
 
-def test_empty_answer_is_failure_and_bad_type_is_error(spark):
+def test_empty_answer_and_non_text_are_failures(spark):
     out = {r.uid: r for r in E.enrich(_items(spark), _gen(empty=("telegram", "")),
                                       B.run_ts()).collect()}
     assert out["a"].ai_mode == "fallback"  # an empty answer is a failure
@@ -95,7 +95,8 @@ def test_empty_answer_is_failure_and_bad_type_is_error(spark):
     assert out["a"].ai_mode == "gemini"  # whitespace-only is an answer; it strips to ''
     assert out["a"].caption_telegram == "\nসূত্র: src\nhttps://u/1"
     out = {r.uid: r for r in E.enrich(_items(spark), _gen(bad="b"), B.run_ts()).collect()}
-    assert out["b"].status == "error" and "text" in out["b"].processing_error
+    assert out["b"].status == "ready" and out["b"].ai_mode == "fallback"
+    assert "text" in out["b"].gemini_error and out["b"].processing_error is None
     assert out["a"].status == "ready"
 
 
