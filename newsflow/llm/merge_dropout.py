@@ -39,7 +39,7 @@ from newsflow.llm.common import arrow_map, mix64, texts
 
 RATE, STREAMS = 0.1, 2
 #: Segments a worker remembers, of all streams; beyond it the memory starts anew (results are the same).
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 1_000_000
 SPACE = "▁"
 # Marks before which a segment may end, if the model allows.
 MARKS = ".,;:!?|\n"
@@ -47,7 +47,7 @@ BLOCK = 32
 #: Segments up to this length are merged together.
 SHORT = 48
 #: Characters of text whose new segments are merged in one go.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 22
 NEVER = np.iinfo(np.int32).max
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
