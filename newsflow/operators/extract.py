@@ -225,22 +225,26 @@ def _href(anchor) -> Column:
     return attr_value(F.regexp_extract(anchor, r"(?is)^(<a[^>]*>)", 1), "href")
 
 
-def extract_links(pages: DataFrame) -> DataFrame:
-    """Generic link cards: one row per ``<a>`` in page order.
+def link_cards(pages: DataFrame) -> DataFrame:
+    """One row per ``<a>`` in page order: (page_id, url, pos, n_links, text, href).
 
-    (page_id, pos, n_links, text, href, article_url); ``article_url`` is the
-    href resolved against the page URL; a missing href resolves to the page
-    itself.  ``n_links`` is the listing size, computed per row (no window).
+    ``n_links`` is the listing size, computed per row (no window).
     """
     df = _anchors(pages).select(
         "page_id", "url", F.size("anchors").cast("long").alias("n_links"),
         F.posexplode("anchors").alias("pos", "anchor"))
-    df = df.select(
+    return df.select(
         "page_id", "url", F.col("pos").cast("long").alias("pos"), "n_links",
         html_text(F.regexp_extract("anchor", r"(?is)^<a[^>]*>(.*?)(?:</a\s*>)?$", 1), "")
         .alias("text"),
         _href("anchor").alias("href"))
-    return df.select("page_id", "pos", "n_links", "text", "href",
+
+
+def extract_links(pages: DataFrame) -> DataFrame:
+    """Generic link cards: (page_id, pos, n_links, text, href, article_url);
+    ``article_url`` is the href resolved against the page URL; a missing href
+    resolves to the page itself."""
+    return link_cards(pages).select("page_id", "pos", "n_links", "text", "href",
                      url_resolve("url", py_strip("href")).alias("article_url"))
 
 

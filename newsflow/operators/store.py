@@ -38,15 +38,6 @@ STORE_SCHEMA = T.StructType([
 PATCH_FIELDS = ["summary", "caption_telegram", "caption_instagram", "status", "processed_at",
                 "ai_mode", "gemini_error", "processing_error"]
 
-# Broadcast a join side only when it is proven to hold at most this many
-# rows (checked with a bounded count); beyond it the plain shuffle join runs.
-BROADCAST_MAX_ROWS = 1_000_000  # ~32 MB of uid keys
-
-
-def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most n+1 rows."""
-    return df.limit(n + 1).count() <= n
-
 
 def store_row(items: DataFrame, run_ts: Column | None = None,
               status: Column | None = None) -> DataFrame:
@@ -72,32 +63,24 @@ def store_row(items: DataFrame, run_ts: Column | None = None,
     return out
 
 
-def existing_uids(batch: DataFrame, store: DataFrame) -> tuple[DataFrame, bool]:
-    """uids of the batch already in the store, and whether that set is
-    proven small.
+def existing_uids(batch: DataFrame, store: DataFrame) -> DataFrame:
+    """uids of the store that the batch holds too.
 
-    When the batch's key set is proven small (bounded count) it is broadcast
-    and the store is only scanned (its uid column), never shuffled; the
-    result is a subset of those keys, so it is small too.  Otherwise a
-    shuffle semi join runs (AQE re-plans it at runtime from real sizes).
+    No hint and no count: over a batch staged as files the planner knows the
+    size of its ``uid`` column, broadcasts it when small (the store is then
+    only scanned) and otherwise shuffles uids alone.
     """
-    keys = batch.select("uid").distinct()
-    store_keys = store.select("uid")
-    if at_most(keys, BROADCAST_MAX_ROWS):
-        return store_keys.join(F.broadcast(keys), "uid", "left_semi").distinct(), True
-    return store_keys.join(keys, "uid", "left_semi").distinct(), False
+    return store.select("uid").join(batch.select("uid"), "uid", "left_semi")
 
 
 def insert_new(batch: DataFrame, store: DataFrame) -> DataFrame:
     """Rows of a uid-unique batch whose uid is absent from the store."""
-    existing, small = existing_uids(batch, store)
-    return batch.join(F.broadcast(existing) if small else existing, "uid", "left_anti")
+    return batch.join(existing_uids(batch, store), "uid", "left_anti")
 
 
 def insert_skipped(batch: DataFrame, store: DataFrame) -> DataFrame:
     """Rows of the batch whose uid is already stored (left semi)."""
-    existing, small = existing_uids(batch, store)
-    return batch.join(F.broadcast(existing) if small else existing, "uid", "left_semi")
+    return batch.join(existing_uids(batch, store), "uid", "left_semi")
 
 
 def insert_stats(batch_all: DataFrame, added: DataFrame) -> DataFrame:
@@ -108,18 +91,15 @@ def insert_stats(batch_all: DataFrame, added: DataFrame) -> DataFrame:
                      (F.sum("n") - F.sum("a")).cast("long").alias("skipped"))
 
 
-def apply_patch(store: DataFrame, patch: DataFrame, broadcast_patch: bool = False) -> DataFrame:
+def apply_patch(store: DataFrame, patch: DataFrame) -> DataFrame:
     """Partial update by uid: a non-NULL patch field overwrites, every other
     field is kept; a patch for an unknown uid inserts nothing.
 
-    The patch is not counted here (counting a lazily computed patch would
-    repeat the model calls): pass ``broadcast_patch=True`` only when its
-    size is known to be small (e.g. ``at_most`` on the written patch
-    files); otherwise AQE picks the join from the runtime size.
+    The patch is not counted here (that would repeat the model calls of a
+    lazily computed one): written patch files have a size the planner knows,
+    otherwise AQE picks the join from the runtime size.
     """
     p = patch.select("uid", *[F.col(c).alias("_p_" + c) for c in PATCH_FIELDS if c in patch.columns])
-    if broadcast_patch:
-        p = F.broadcast(p)
     j = store.join(p, "uid", "left")
     cols = []
     for f in STORE_SCHEMA.fieldNames():

@@ -72,10 +72,11 @@ def doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.with_published(out)
 
 
-def existing_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store rows already present: items of labelled documents; status by
-    label (quality 1 -> raw, else toxic 1 -> ready, else error)."""
-    it = doc_items(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+def existing_store(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
+    """Store rows already present: items of labelled documents (``items`` when
+    they are staged already); status by label (quality 1 -> raw, else toxic 1
+    -> ready, else error)."""
+    it = (doc_items(spark, sf_dir) if items is None else items).join(table(spark, sf_dir, "labels"), "doc_id")
     best = I.dedup_uid(it, "doc_id")
     status = (F.when(F.col("quality") == 1, "raw").when(F.col("toxic") == 1, "ready")
               .otherwise("error"))

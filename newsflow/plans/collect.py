@@ -2,8 +2,8 @@
 
 ``collect``: pages of the known sites -> listing cards and article details
 (rule path) -> card/article left join -> per-site normalisation -> dates ->
-uid dedup -> insert-if-absent into the store.  Pages of other hosts go
-through the native generic path (:mod:`newsflow.plans.flagship`).
+uid dedup -> insert-if-absent into the store.  Pages of other hosts take no
+part; :mod:`newsflow.plans.flagship` reads any host by the native rules.
 
 ``process``: store rows still 'raw' -> enrichment -> patch -> new snapshot.
 """
@@ -61,20 +61,21 @@ def collect(spark: SparkSession, pages: DataFrame, store_root: str, run_ts=None,
     """Run the collector once; returns the one-row (added, skipped) report."""
     ensure_utc(spark)
     items = site_items(spark, pages)
-    # Stage the batch once in the shared store folder: dedup (two passes),
-    # the size checks, the anti join and the append then read files instead
-    # of recomputing extraction, and a lost executor restarts from the files.
+    # Staged in the shared store folder: dedup reads files instead of repeating
+    # the extraction; the new rows are found once, counted from their files and
+    # appended from them.
     staged = f"{store_root}/_staging/{uuid.uuid4().hex}"
     items.write.parquet(staged)
     items = spark.read.parquet(staged)
     if json_path:
         write_items_json(I.recent_first(items).drop("published_dt", "row_key"), json_path)
-    best = I.dedup_uid(items, "row_key")
-    store = S.read_store(spark, store_root)
-    new = S.insert_new(best, store)
-    # counters first: after the append the same plan would see the new rows
+    I.dedup_uid(items, "row_key").write.parquet(f"{staged}-best")
+    best = spark.read.parquet(f"{staged}-best")
+    new = S.store_row(S.insert_new(best, S.read_store(spark, store_root)), run_ts)
+    new.write.parquet(f"{staged}-new")
+    new = spark.read.schema(new.schema).parquet(f"{staged}-new")
     stats = S.insert_stats(items, new).first()
-    S.append_store(spark, store_root, S.store_row(new, run_ts))
+    S.append_store(spark, store_root, new)
     return spark.createDataFrame([(stats.added, stats.skipped)], "added long, skipped long")
 
 
@@ -97,6 +98,5 @@ def process(spark: SparkSession, store_root: str, generate, run_ts=None,
         E.enrich(raw, generate, run_ts=run_ts, partitions=partitions) \
             .write.mode("overwrite").parquet(patch_path)
     patch = spark.read.parquet(patch_path)
-    small = S.at_most(patch, S.BROADCAST_MAX_ROWS)
-    return S.write_snapshot(spark, store_root, S.apply_patch(store, patch, small))
+    return S.write_snapshot(spark, store_root, S.apply_patch(store, patch))
 

@@ -15,7 +15,7 @@ from newsflow.operators import extract as EX
 from newsflow.operators import items as I
 from newsflow.operators import store as S
 from newsflow.plans import bindings as B
-from newsflow.session import checkpoint_root, ensure_utc
+from newsflow.session import ensure_utc, stage
 
 
 def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,10 +43,9 @@ def items_from_pages(pages: DataFrame) -> DataFrame:
 
 def collect_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    checkpoint_root(spark)
-    # cut the lineage after extraction (reliable checkpoint in the shared
-    # folder): the two dedup passes then read files, HTML is parsed once
-    items = page_items(spark, sf_dir).checkpoint(eager=True)
+    # staged after extraction: the dedup passes then read narrow columns of
+    # files, HTML is parsed once
+    items = stage(page_items(spark, sf_dir), "flagship")
     best = I.dedup_uid(items, "page_id")
     rows = S.store_row(best, B.run_ts())
     # ISO text sorts like the time; '' (unparseable) sorts last when descending

@@ -478,7 +478,7 @@ def _sql() -> dict[str, str]:
         UNION ALL
         SELECT page_id, 'eisamay', {title_expr('clean', ' ')}, paras[1], NULL, NULL, NULL,
           CASE WHEN len(paras) > 0 THEN array_to_string(paras, chr(10) || chr(10)) END, NULL FROM pa"""
-    s["source_quarantine"] = """SELECT s.site, CAST(count(*) AS BIGINT) AS n_ok, CAST(0 AS BIGINT) AS n_quarantined
+    s["source_quarantine"] = """SELECT s.site, CAST(count(*) AS BIGINT) AS n_ok, CAST(count(*) AS BIGINT) AS n_quarantined
         FROM pages, (VALUES ('bartaman'), ('statesman'), ('eisamay')) AS s(site) GROUP BY s.site"""
     es_base, ds_base = q("https://eisamay.com"), q("https://www.dainikstatesmannews.com")
     s["site_cards"] = f"""WITH {LINKS},

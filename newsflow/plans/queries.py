@@ -24,7 +24,7 @@ from newsflow.plans import bindings as B
 from newsflow.plans import flagship
 from newsflow.streaming import ingest as ST
 from newsflow.plans.stub import stub_generate
-from newsflow.session import checkpoint_root, ensure_utc
+from newsflow.session import checkpoint_root, ensure_utc, stage
 from newsflow.sinks.json_sink import write_items_json
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def _pages(spark, sf):
     return B.table(spark, sf, "pages").select("page_id", "url", "html")
 
 
+#: Markup that ends the parse of a page with an error.
+BROKEN_DECLARATION = "<p>one</p><![foo[x]]>"
+
+
 def _ts_text(c):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
@@ -60,8 +64,8 @@ def page_scan(spark, sf):
 
 @query
 def store_raw_scan(spark, sf):
-    """Store rows with status = 'raw' (filter pushed to the scan)."""
-    st = B.existing_store(spark, sf)
+    """Store rows with status = 'raw' (filter pushed to the stored files' scan)."""
+    st = stage(B.existing_store(spark, sf), "store")
     return st.where(F.col("status") == "raw").select("uid", "title", "url", "status")
 
 
@@ -117,8 +121,7 @@ def listing_dedup(spark, sf):
 @query
 def url_resolve(spark, sf):
     """Urljoin of hrefs of several shapes against the page URL."""
-    l = EX.extract_links(_pages(spark, sf)).select("page_id", "pos", "href")
-    p = _pages(spark, sf).select("page_id", "url")
+    l = EX.link_cards(_pages(spark, sf))
     host = U.url_authority("url")
     tail = F.regexp_replace("href", "^/+", "")
     shapes = F.array(
@@ -131,7 +134,7 @@ def url_resolve(spark, sf):
         F.struct(F.lit("fragment").alias("shape"), F.concat(F.lit("#"), tail).alias("h")),
         F.struct(F.lit("empty").alias("shape"), F.lit("").alias("h")),
         F.struct(F.lit("scheme").alias("shape"), F.concat(F.lit("mailto:"), tail).alias("h")))
-    j = l.join(p, "page_id").select("page_id", "pos", "url", F.explode(shapes).alias("s"))
+    j = l.select("page_id", "pos", "url", F.explode(shapes).alias("s"))
     j = j.select("page_id", "pos", "url", F.col("s.shape").alias("shape"), F.col("s.h").alias("href"))
     return j.select("page_id", "pos", "shape", "href",
                     U.url_resolve("url", "href").alias("resolved"))
@@ -367,9 +370,9 @@ def store_row(spark, sf):
 
 
 def _batch_and_store(spark, sf):
-    all_items = B.doc_items(spark, sf)
-    batch = I.dedup_uid(all_items, "doc_id")
-    return all_items, batch, B.existing_store(spark, sf)
+    """All items (staged: each table is scanned once), the uid-unique batch, the store."""
+    all_items = stage(B.doc_items(spark, sf), "items")
+    return all_items, I.dedup_uid(all_items, "doc_id"), B.existing_store(spark, sf, all_items)
 
 
 @query
@@ -404,7 +407,7 @@ def store_insert_stats(spark, sf):
 
 # ------------------------------------------------------------ enrichment
 def _patch(spark, sf):
-    store = B.existing_store(spark, sf)
+    store = stage(B.existing_store(spark, sf), "store")
     raw = store.where(F.col("status") == "raw")
     return store, E.enrich(raw, stub_generate, run_ts=B.run_ts())
 
@@ -432,9 +435,10 @@ def store_patch(spark, sf):
 def status_transitions(spark, sf):
     """M8/M9: status before -> after per stored item."""
     store, patch = _patch(spark, sf)
-    out = S.apply_patch(store, patch)
-    before = store.select("uid", F.col("status").alias("status_before"))
-    return out.select("uid", F.col("status").alias("status_after")).join(before, "uid")
+    after = patch.select("uid", F.col("status").alias("patched"))
+    return store.join(after, "uid", "left").select(
+        "uid", F.col("status").alias("status_before"),
+        F.coalesce("patched", "status").alias("status_after"))
 
 
 @query
@@ -509,9 +513,12 @@ def site_articles(spark, sf):
 
 @query
 def source_quarantine(spark, sf):
-    """Per-site isolation: pages whose extraction failed are
-    quarantined, the others pass."""
-    a = R.extract_site_articles(_pages_per_site(spark, sf))
+    """Isolation: every page goes in as it is and once more with a
+    declaration no tokenizer accepts; the broken copies are quarantined by
+    site, the whole ones pass."""
+    whole = _pages_per_site(spark, sf)
+    broken = whole.withColumn("html", F.concat(F.lit(BROKEN_DECLARATION), F.col("html")))
+    a = R.extract_site_articles(whole.unionByName(broken))
     return (a.groupBy("site")
             .agg(F.count_if(F.col("parse_error").isNull()).cast("long").alias("n_ok"),
                  F.count_if(F.col("parse_error").isNotNull()).cast("long").alias("n_quarantined")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +67,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def stage(df, tag: str):
+    """Write ``df`` once as Parquet in the shared folder and read it back: what
+    follows reads narrow columns of files, and a lost executor repeats no more."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin a DataFrame whose scan yields fewer partitions than the
     cluster has cores, before CPU-heavy per-row work (HTML parsing).

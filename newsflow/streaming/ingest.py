@@ -7,7 +7,7 @@ kept; replaying a micro-batch is harmless because the anti join skips uids
 the first attempt already wrote.
 
 T2 ``process_raw``: file source over the store's files -> rows still 'raw'
--> enrichment -> patch rows appended to ``<root>/patches``.  The current
+-> enrichment -> patch rows in ``<root>/patches/epoch=<n>``.  The current
 store is ``apply_patch(store, latest patch per uid)``.
 
 Both run with ``trigger(availableNow=True)`` and a checkpoint in the shared
@@ -50,9 +50,10 @@ def ingest_pages(spark: SparkSession, pages_dir: str, store_root: str, checkpoin
         # replayed epoch rewrites the same files); extraction then runs once
         staged = f"{store_root}/_staging/epoch={epoch_id}"
         to_items(df).write.mode("overwrite").parquet(staged)
-        items = I.dedup_uid(spark.read.parquet(staged), "page_id")
+        best = f"{store_root}/_staging/best={epoch_id}"
+        I.dedup_uid(spark.read.parquet(staged), "page_id").write.mode("overwrite").parquet(best)
         store = S.read_store(spark, store_root)
-        new = S.insert_new(items, store)
+        new = S.insert_new(spark.read.parquet(best), store)
         S.append_store(spark, store_root, S.store_row(new, run_ts))
 
     q = (src.writeStream.foreachBatch(batch)
@@ -69,8 +70,8 @@ def process_raw(spark: SparkSession, store_files: str, patch_dir: str, checkpoin
     def batch(df: DataFrame, epoch_id: int) -> None:
         raw = df.where(F.col("status") == "raw")
         patch = E.enrich(raw, generate, run_ts=run_ts)
-        patch.withColumn("epoch", F.lit(epoch_id).cast("long")) \
-            .write.mode("append").parquet(patch_dir)
+        # one folder per epoch: a replayed micro-batch replaces its own patches
+        patch.write.mode("overwrite").parquet(f"{patch_dir}/epoch={epoch_id}")
 
     q = (src.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
@@ -79,7 +80,10 @@ def process_raw(spark: SparkSession, store_files: str, patch_dir: str, checkpoin
 
 
 def latest_patches(patches: DataFrame) -> DataFrame:
-    """One patch per uid: the one from the latest micro-batch."""
-    cols = [c for c in patches.columns if c not in ("uid", "epoch")]
-    best = patches.groupBy("uid").agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("p"))
-    return best.select("uid", *[F.col("p")[c].alias(c) for c in cols])
+    """One patch per uid: the one from the latest micro-batch.
+
+    Only (uid, epoch) is aggregated; a micro-batch holds a uid once, so the
+    semi join keeps one wide row each.
+    """
+    last = patches.groupBy("uid").agg(F.max("epoch").alias("epoch"))
+    return patches.join(last, ["uid", "epoch"], "left_semi").drop("epoch")
