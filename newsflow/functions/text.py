@@ -7,6 +7,7 @@ Python ``str.strip`` semantics, truthiness chains, HTML text-node joining.
 from __future__ import annotations
 
 import functools
+from html.entities import html5
 
 from pyspark import SparkContext
 from pyspark.sql import Column
@@ -22,16 +23,12 @@ PY_WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Named character references decoded in page text (subset of the HTML
-# standard's table; a name decodes with or without the trailing ';').
-HTML_ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
-    "nbsp": "\xa0", "copy": "\xa9", "reg": "\xae", "middot": "\xb7",
-    "hellip": "\u2026", "ndash": "\u2013", "mdash": "\u2014",
-    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d",
-    "laquo": "\xab", "raquo": "\xbb", "bull": "\u2022", "trade": "\u2122",
-    "euro": "\u20ac",
-}
+# Named character references decoded in page text: the standard's whole table
+# (a name decodes with or without the trailing ';').  The first few are looked
+# up before the rest: they are nearly all that pages use.
+HTML_ENTITIES = {name.rstrip(";"): chars for name, chars in html5.items()}
+FREQUENT_ENTITIES = ["amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "middot", "hellip", "ndash", "mdash",
+                     "lsquo", "rsquo", "ldquo", "rdquo", "laquo", "raquo", "bull", "trade", "euro"]
 
 # Markup that yields no text node: comments, script and style bodies.
 NON_TEXT_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -39,8 +36,14 @@ NON_TEXT_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TAG_RE = r"</?[A-Za-z][^>]*>|<![^>]*>|<\?[^>]*>"
 
 
-def _entity_map() -> Column:
-    return F.create_map(*[F.lit(x) for kv in HTML_ENTITIES.items() for x in kv])
+def _entity(name: Column) -> Column:
+    """Characters of a named reference; NULL for no or an unknown name.  Both
+    tables are foldable, so a plan holds each as one literal."""
+    def look(names) -> Column:
+        pairs = "\x01".join(f"{n}\x02{HTML_ENTITIES[n]}" for n in names)
+        return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02")), name)
+
+    return F.when(name != "", F.coalesce(look(FREQUENT_ENTITIES), look(HTML_ENTITIES)))
 
 
 def _c1_map() -> Column:
@@ -150,8 +153,8 @@ def _decode_piece(p: Column) -> Column:
         cp = F.coalesce(F.try_element_at(_c1_map(), cp), F.when(real, cp), F.lit(0xFFFD).cast("long"))
         return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
 
-    def body(r):
-        n, ch, ref = r["n"], r["c"], r["ref"]
+    def body(r, ch):
+        n, ref = r["n"], r["ref"]
         after = F.length(n) + F.lit(1)
         semi = F.when(F.substring(p, after, 1) == F.lit(";"), F.lit(1)).otherwise(F.lit(0))
         digits = F.regexp_extract(ref, r"^#[xX]?([0-9a-fA-F]+)", 1)
@@ -162,8 +165,7 @@ def _decode_piece(p: Column) -> Column:
                 .when(ref != "", F.concat(cp_char(digits, base, longest), F.substr(p, F.length(ref) + F.lit(1))))
                 .otherwise(F.concat(F.lit("&"), p)))
 
-    return let(F.struct(name.alias("n"), F.try_element_at(_entity_map(), name).alias("c"),
-                        num.alias("ref")), body)
+    return let(F.struct(name.alias("n"), num.alias("ref")), lambda r: let(_entity(r["n"]), lambda ch: body(r, ch)))
 
 
 @memo

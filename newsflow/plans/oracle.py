@@ -6,14 +6,20 @@ import here.
 
 from __future__ import annotations
 
-from newsflow.functions.text import HTML_ENTITIES, PY_WHITESPACE
 from newsflow.operators.enrich import template_parts
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-WS = q(PY_WHITESPACE)
+# The characters Python's str.strip removes, and the named
+# references that the given tables hold.
+STRIPPED = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9",
+         "reg": "\u00ae", "middot": "\u00b7", "bull": "\u2022", "trade": "\u2122", "euro": "\u20ac", "laquo": "\u00ab", "raquo": "\u00bb",
+         "hellip": "\u2026", "ndash": "\u2013", "mdash": "\u2014", "rsquo": "\u2019", "lsquo": "\u2018",
+         "ldquo": "\u201c", "rdquo": "\u201d"}
+WS = q("".join(map(chr, STRIPPED)))
 # RE2 class equal to Python's whitespace set
 WS_RE = r"[\t\n\x0b\x0c\r\x1c-\x1f\x{85}\p{Z}]"
 NON_TEXT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -25,7 +31,7 @@ def strip(x: str) -> str:
 
 
 def decode(x: str) -> str:
-    names = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in HTML_ENTITIES.items())
+    names = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in NAMED.items())
     piece = (
         "CASE WHEN r.c IS NOT NULL THEN r.c || substr(r.p, length(r.n) + 1 + "
         "CASE WHEN substr(r.p, length(r.n) + 1, 1) = ';' THEN 1 ELSE 0 END) "

@@ -1,6 +1,7 @@
 """Bad pages, bad answers, hostile keys and interrupted writes stay where they are."""
 
 import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -23,6 +24,15 @@ def test_references_to_no_character(spark):
     assert {r.s: r.t for r in rows} == cases
 
 
+def test_every_named_reference(spark):
+    names = {n.rstrip(";"): c for n, c in html5.items()}
+    rows = spark.createDataFrame([(n, f"x &{n}; y") for n in names], "n string, s string")
+    got = {r.n: r.t for r in rows.select("n", decode_entities(F.col("s")).alias("t")).collect()}
+    assert got == {n: f"x {c} y" for n, c in names.items()}
+    odd = spark.createDataFrame([("caf&eacute; &rarr; &unknown; & &amp",)], "s string")
+    assert odd.select(decode_entities(F.col("s"))).first()[0] == "café → &unknown; & &"
+
+
 def test_bad_pages_leave_good_ones(spark):
     pages = spark.createDataFrame([(1, "http://a/1", GOOD), (2, "http://a/2", GOOD.replace("one", "&#xD800;&#9999999;")),
                                    (3, "http://a/3", "<p>one</p><![foo[x]]><p>two</p>")], "page_id long, url string, html string")
