@@ -18,11 +18,10 @@ own; an empty table gives no pieces; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -62,30 +61,37 @@ class WordTokenizer:
         size = self.whole.get_vocab_size()
         self.last = np.zeros(size, bool)
         self.last[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>")]] = True
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # little-endian unsigned 32-bit ids
 
     def _learn(self, new: list[str]) -> None:
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
-        ids = np.array(self.model.encode(" ".join(new).translate(self.table | {32: " "}), add_special_tokens=False).ids)
+        ids = np.array(self.model.encode(" ".join(new).translate(self.table | {32: " "}), add_special_tokens=False).ids, "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
-        values, at = ids.tolist(), 0
-        for word, end in zip(new, ends.tolist(), strict=True):
-            self.known[word] = values[at:end]
+        packed, at = ids.tobytes(), 0
+        for word, end in zip(new, (4 * ends).tolist(), strict=True):
+            self.known[word] = packed[at:end]
             at = end
 
-    def encode(self, text: str) -> list[int] | array:
+    def encode(self, text: str) -> np.ndarray:
         if not text.isascii() and self.OTHER.search(text) or "<|" in text:
-            return self.whole.encode(text, add_special_tokens=False).ids
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         pieces = self.PIECES.findall(text.lower())
         try:
-            return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+            return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")
         except KeyError:
             wanted = set(pieces)
             self._learn([p for p in wanted if p not in self.known])
             if not wanted <= self.known.keys():  # the memory began anew
-                self._learn([p for p in wanted if p not in self.known])
-            return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+                self.known.clear()
+                self._learn([*wanted])
+            return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")
+
+
+@functools.lru_cache(1)
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer a worker process: its tables and memory serve all the tasks it runs."""
+    return WordTokenizer(path)
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[int]:
@@ -104,15 +110,14 @@ def cut_lengths(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[
 
 def _pieces(path: str, capacity: int, end_id: int, slack: float, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = worker_tokenizer(path)
         seen: dict[int, int] = {}
         worker = TaskContext.get().partitionId()
         for batch in batches:
             rows = {n: [] for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "class", "worker", "nth")}
             pieces = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                ids = np.array(tokenizer.encode(text), "<u4")
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                ids = np.append(tokenizer.encode(text), np.uint32(end_id)).astype("<u4", copy=False)
                 start = 0
                 for length in cut_lengths(len(ids), capacity, slack):
                     piece = ids[start:start + length]
