@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from newsflow.llm import (langid, line_dedup, merge_dropout, packing, permutation_index, pii, quality,
                           superminhash, toxicity, winnowing)
 from newsflow.llm.common import table
+from newsflow.llm.near_sql import near_duplicates_sql
 
 
 def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other queries rest on tokenizers, hashes or trained models, beyond SQL.
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": near_duplicates_sql()}
