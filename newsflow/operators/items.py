@@ -110,7 +110,8 @@ def with_rank(ordered: DataFrame) -> DataFrame:
     at = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     placed = ordered.select("*", at.alias("_at"))
     counts = placed.groupBy(F.col("_at.file").alias("_file")).agg(F.count("*").alias("_n"))
-    before = counts.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    order = Window.orderBy(F.length("_file"), "_file")  # a longer name is a later task's number
+    before = counts.select("_file", (F.sum("_n").over(order) - F.col("_n")).alias("_before"))
     return (placed.join(before, F.col("_at.file") == F.col("_file"))
             .withColumn("rank", (F.col("_before") + F.col("_at.row") + 1).cast("long"))
             .drop("_at", "_file", "_before"))

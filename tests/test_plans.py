@@ -1,6 +1,7 @@
 """Plan checks: the physical strategy the operators are meant to get."""
 
 from conftest import SF
+from pyspark.sql import functions as F
 from newsflow.operators import items as I
 from newsflow.operators import store as S
 from newsflow.plans import bindings as B
@@ -60,3 +61,16 @@ def test_extraction_is_narrow_and_drops_html(spark):
     exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
     assert exchanges and all("html" not in line for line in exchanges)
     assert "html" not in items.columns
+
+
+def test_rank_follows_the_order_over_several_files(spark, tmp_path):
+    rows = spark.range(500).select(F.xxhash64("id").cast("string").alias("uid"),
+                                   F.when(F.col("id") % 9 > 0, F.timestamp_seconds(F.col("id") % 40)).alias("published_dt"))
+    path = str(tmp_path / "recent")
+    I.recent_first(rows.repartition(5)).write.option("maxRecordsPerFile", 90).parquet(path)
+    ranked = I.with_rank(spark.read.parquet(path)).collect()
+    want = sorted(rows.collect(), key=lambda r: (r.published_dt is None, -(r.published_dt.timestamp() if r.published_dt else 0), r.uid))
+    assert {r.uid: r["rank"] for r in ranked} == {r.uid: n for n, r in enumerate(want, 1)}
+    empty = str(tmp_path / "none")
+    rows.where("false").write.parquet(empty)
+    assert I.with_rank(spark.read.schema(rows.schema).parquet(empty)).count() == 0
