@@ -2,7 +2,7 @@
 
 Every document is one article page and one listing card of the site that its id
 picks; its form (0 to 3) picks which of the site's alternatives the page uses, so
-each selector chain, image attribute and block rule is reached.  Listings hold
+every field, the block rules and most selector alternatives are reached.  Listings hold
 the cards of sixty consecutive ids.  Cards of form 2 have no link, every fifth
 article page is missing, every twentieth is broken.
 """
