@@ -2,11 +2,14 @@
 
 A merge-type model joins the adjacent pair whose result scores best, leftmost
 first, until no pair joins.  With dropout, a candidate merge is left out when a
-keyed hash of (seed, stream, segment, its place) falls below the rate; the same
-key gives the same segmentation on any worker and in any order.  An occurrence's
-stream comes from a keyed hash of (seed, document, occurrence), so equal words
-are cut differently within and across documents; ``streams`` bounds how many cuts
-of a word one seed yields, and another seed yields others.
+keyed hash of (seed, document, occurrence, its place) falls below the rate; the
+same key gives the same segmentation on any worker and in any order.  Every
+occurrence of a word is cut on its own, within and across documents.
+
+Leaving out a merge that would not be made changes nothing.  So the merges made
+are remembered per segment and set of places left out, only those are hashed for
+an occurrence, and the set grows until every merge made is allowed: the exact
+result, while frequent words are merged once per set and not per occurrence.
 
 No piece of a merge model joins the end of a word to the space after it, so a
 text is encoded by segments (spaces and the run behind them).  Short segments are
@@ -17,8 +20,8 @@ and a literal space mark (U+2581) in a text is encoded by byte pieces.
 
 Defined cases: null and empty texts have no ids and decode to the empty text;
 characters outside the vocabulary become byte pieces; repeated rows give equal
-ids (the document's key is its id; a null id has key 0); further columns are
-ignored.
+ids (the document's key is its id and text; a null id counts as 0); further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +40,18 @@ from pyspark.sql import functions as F
 
 from newsflow.llm.common import arrow_map, mix64, texts
 
-RATE, STREAMS = 0.1, 2
-#: Segments a worker remembers, of all streams; beyond it the memory starts anew (results are the same).
-CACHE_SEGMENTS = 1_000_000
+RATE = 0.1
+#: Segments and places left out that a worker remembers; beyond it the memory starts anew (results are the same).
+CACHE_SEGMENTS = 400_000
 SPACE = "▁"
 # Marks before which a segment may end, if the model allows.
 MARKS = ".,;:!?|\n"
-BLOCK = 32
-#: Segments up to this length are merged together.
-SHORT = 48
+#: Segments up to this length are merged together; their merges fit the low bits of a key.
+SHORT = 40
 #: Characters of text whose new segments are merged in one go.
 TOGETHER = 1 << 22
+#: Occurrences whose merges are hashed in one go.
+HASHED = 1 << 18
 NEVER = np.iinfo(np.int32).max
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -97,10 +101,20 @@ class MergeModel:
 
 
 class Encoder:
-    def __init__(self, model: MergeModel, rate: float = RATE, seed: int = 0, streams: int = STREAMS) -> None:
-        self.m, self.rate, self.seed, self.streams = model, rate, seed, max(1, streams if rate > 0 else 1)
+    def __init__(self, model: MergeModel, rate: float = RATE, seed: int = 0) -> None:
+        self.m, self.rate, self.seed = model, rate, seed
         self.limit = np.uint64(min(int(rate * 2.0 ** 64), 2 ** 64 - 1))
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.streams)]
+        self._forget()
+
+    def _forget(self) -> None:
+        """A cut: a segment without the merges at some places."""
+        self.cut_of: dict[str, int] = {}  # of a segment without any left out
+        self.after: dict[int, int] = {}  # (cut, which of its merges are left out too) -> cut
+        self.segments: list[str] = []
+        self.without: list[tuple[int, ...]] = []
+        self.ids: list[bytes] = []
+        self.places = np.zeros(0, np.uint64)  # of the merges made, cut after cut
+        self.start = np.zeros(1, np.int64)
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
         """Ids of a text; ``key`` names the document."""
@@ -109,67 +123,102 @@ class Encoder:
     def encode_all(self, all_texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Ids of many texts; segments not met before are merged together."""
         out: list[np.ndarray] = []
-        cut: list[tuple[list[str], list[int]]] = []
+        wanted: list[tuple[int, str]] = []
         size = 0
         for i, (text, key) in enumerate(zip(all_texts, keys)):
-            cut.append(self._cut(text, key))
+            wanted.append((key, text))
             size += len(text)
             if size > TOGETHER or i == len(all_texts) - 1:
-                out += self._look_up(cut)
-                cut, size = [], 0
+                out += self._look_up(wanted)
+                wanted, size = [], 0
         return out
 
-    def _cut(self, text: str, key: int) -> tuple[list[str], list[int]]:
-        """Segments and the stream of each block of them."""
-        segments = self.m.segment.findall(" " + text) if text else []
-        blocks = -(-len(segments) // BLOCK)
-        if self.streams == 1:
-            return segments, [0] * blocks
-        base = np.uint64(xxhash.xxh64_intdigest(f"{self.seed}:{key}"))
-        return segments, (mix64(base + np.arange(blocks, dtype=np.uint64) * A) % np.uint64(self.streams)).tolist()
-
-    def _look_up(self, cut: list[tuple[list[str], list[int]]]) -> list[np.ndarray]:
-        known = self.known
-        used: list[set[str]] = [set() for _ in known]
-        for segments, which in cut:
-            for b, w in enumerate(which):
-                used[w].update(segments[b * BLOCK:(b + 1) * BLOCK])
-        if sum(map(len, known)) + sum(len(u - k.keys()) for u, k in zip(used, known)) > CACHE_SEGMENTS:
-            for d in known:
-                d.clear()
-        pairs = [(w, s) for w, u in enumerate(used) for s in u if s not in known[w]]
-        for (w, s), ids in zip(pairs, self._segment(pairs)):
-            known[w][s] = ids
-        return [np.frombuffer(b"".join(chain.from_iterable(
-            map(known[w].__getitem__, segments[b * BLOCK:(b + 1) * BLOCK]) for b, w in enumerate(which))), "<i4")
-            for segments, which in cut]
+    def _look_up(self, wanted: list[tuple[int, str]]) -> list[np.ndarray]:
+        found = [self.m.segment.findall(" " + text) if text else [] for _, text in wanted]
+        if len(self.ids) > CACHE_SEGMENTS:
+            self._forget()
+        new = [s for s in set(chain.from_iterable(found)) if s not in self.cut_of]
+        self.cut_of.update(zip(new, self._add([(s, ()) for s in new])))
+        cuts = np.fromiter(map(self.cut_of.__getitem__, chain.from_iterable(found)), np.int64)
+        sizes = [len(f) for f in found]
+        keys = mix64(np.repeat(self._keys(wanted), sizes) + np.concatenate([np.arange(n, dtype=np.uint64) for n in sizes]) * A)
+        ids: list[bytes] = []
+        for a in range(0, len(cuts), HASHED):
+            ids += self._dropped(cuts[a:a + HASHED], keys[a:a + HASHED])
+        each = iter(ids)
+        return [np.frombuffer(b"".join(islice(each, n)), "<i4") for n in sizes]
+
+    def _dropped(self, cuts: np.ndarray, key: np.ndarray) -> list[bytes]:
+        """Ids of occurrences, given the cuts of their whole segments and their keys."""
+        going, long = np.arange(len(cuts)) if self.limit else np.zeros(0, np.int64), []
+        while len(going):
+            at = cuts[going]
+            first = self.start[at]
+            n = self.start[at + 1] - first
+            before = np.cumsum(n) - n
+            owner = np.repeat(np.arange(len(going)), n)
+            place = np.arange(len(owner)) - before[owner]
+            hit = np.flatnonzero(self._skipped(key[going][owner], self.places[first[owner] + place]))
+            if not len(hit):
+                break
+            who = owner[hit]
+            lead = np.flatnonzero(np.diff(who, prepend=-1))
+            which = at[who[lead]] << SHORT | np.add.reduceat(np.int64(1) << place[hit], lead)
+            going = going[who[lead]]
+            each, inverse = np.unique(which, return_inverse=True)
+            new = [w for w in each.tolist() if w not in self.after]
+            self.after.update(zip(new, self._add([self._narrowed(w) for w in new])))
+            cuts[going] = np.array([self.after[w] for w in each.tolist()])[inverse]
+        ids = list(map(self.ids.__getitem__, cuts.tolist()))
+        if self.limit:
+            for i, known in enumerate(ids):
+                if not known:  # a long segment
+                    ids[i] = self._by_heap(self.segments[cuts[i]], key[i:i + 1])
+        return ids
+
+    def _narrowed(self, which: int) -> tuple[str, tuple[int, ...]]:
+        cut, more = which >> SHORT, which & (1 << SHORT) - 1
+        made = self.places[self.start[cut]:self.start[cut + 1]].tolist()
+        return self.segments[cut], self.without[cut] + tuple(p for j, p in enumerate(made) if more >> j & 1)
+
+    def _add(self, wanted: list[tuple[str, tuple[int, ...]]]) -> range:
+        """New cuts of (segment, places left out)."""
+        ids: list = [b""] * len(wanted)
+        made: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), self.places[:0])]
+        groups: dict[tuple[int, int], list[int]] = {}
+        for i, (s, without) in enumerate(wanted):
+            if len(s) <= SHORT:
+                groups.setdefault((len(s), len(without)), []).append(i)
+            elif not self.limit:
+                ids[i] = self._by_heap(s, np.zeros(1, np.uint64))
+        for (n, m), rows in groups.items():
+            without = np.array([wanted[i][1] for i in rows], np.uint64).reshape(len(rows), m)
+            steps: list[tuple[np.ndarray, np.ndarray]] = []
+            for i, got in zip(rows, self._together([wanted[i][0] for i in rows], n, without, steps)):
+                ids[i] = got
+            if self.limit:
+                which = np.array(rows)
+                made += [(which[row], place) for row, place in steps]
+        first = len(self.ids)
+        self.ids += ids
+        self.segments += [s for s, _ in wanted]
+        self.without += [w for _, w in wanted]
+        if wanted:
+            row, place = (np.concatenate(x) for x in zip(*made))
+            self.places = np.concatenate([self.places, place[np.argsort(row, kind="stable")]])
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.bincount(row, minlength=len(wanted)))])
+        return range(first, len(self.ids))
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         return b"".join(map(self.m.bytes_of.__getitem__, np.asarray(ids, np.int64).tolist())).decode("utf-8", "surrogatepass")[1:]
 
     def _keys(self, wanted: list[tuple[int, str]]) -> np.ndarray:
-        return np.array([xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), self.seed * self.streams + w & (1 << 64) - 1)
+        """Keys of (document, text)."""
+        return np.array([xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), xxhash.xxh64_intdigest(f"{self.seed}:{w}"))
                          for w, s in wanted], np.uint64)
 
-    def _skipped(self, key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if not self.limit:
-            return np.zeros(len(key), bool)
-        u = np.uint64
-        return mix64(key + start.astype(u) * A + mid.astype(u) * B + end.astype(u) * C) < self.limit
-
-    def _segment(self, wanted: list[tuple[int, str]]) -> list[bytes]:
-        keys = self._keys(wanted)
-        out: list = [None] * len(wanted)
-        groups: dict[int, list[int]] = {}
-        for i, (_, s) in enumerate(wanted):
-            if len(s) > SHORT:
-                out[i] = self._by_heap(s, keys[i:i + 1])
-            else:
-                groups.setdefault(len(s), []).append(i)
-        for n, rows in groups.items():
-            for i, ids in zip(rows, self._together([wanted[i][1] for i in rows], n, keys[rows])):
-                out[i] = ids
-        return out
+    def _skipped(self, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return mix64(key + place) < self.limit
 
     def _symbols(self, joined: str) -> np.ndarray:
         return self.m.symbol[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
@@ -182,15 +231,19 @@ class Encoder:
                 for s in symbols.tolist())))
         return symbols.astype("<i4").tobytes()
 
-    def _ranked(self, sym: np.ndarray, left: np.ndarray, right: np.ndarray, key: np.ndarray, start: np.ndarray,
+    def _ranked(self, left: np.ndarray, right: np.ndarray, key: np.ndarray, start: np.ndarray,
                 mid: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Ranks of candidate merges; ``key``: of each occurrence, or the places left out, a row of them each."""
         joined = self.m.merged(left, right)
         ok = joined >= 0
-        ok[ok] = ~self._skipped(key[ok], start[ok], mid[ok], end[ok])
+        if key.ndim == 1:
+            ok[ok] = ~self._skipped(key[ok], _place(start[ok], mid[ok], end[ok]))
+        elif key.shape[1]:
+            ok[ok] = ~(key[ok] == _place(start[ok], mid[ok], end[ok])[:, None]).any(1)
         return np.where(ok, self.m.order[joined], NEVER)
 
-    def _together(self, segments: list[str], n: int, key: np.ndarray) -> list[bytes]:
-        """Segments of one length: each round does the best merge of each."""
+    def _together(self, segments: list[str], n: int, key: np.ndarray, steps: list | None = None) -> list[bytes]:
+        """Segments of one length: each round does the best merge of each (its row and place go to ``steps``)."""
         rows = len(segments)
         sym = self._symbols("".join(segments)).reshape(rows, n)
         at = np.broadcast_to(np.arange(n + 1), (rows, n + 1)).copy()  # where symbols start; the end
@@ -198,7 +251,7 @@ class Encoder:
         row = np.arange(rows)
         rank = np.empty((rows, n - 1), np.int32)
         for j in range(n - 1):
-            rank[:, j] = self._ranked(sym, sym[:, j], sym[:, j + 1], key, at[:, j], at[:, j + 1], at[:, j + 2])
+            rank[:, j] = self._ranked(sym[:, j], sym[:, j + 1], key, at[:, j], at[:, j + 1], at[:, j + 2])
         while len(row):
             width = sym.shape[1]
             if width > 1:
@@ -214,6 +267,8 @@ class Encoder:
                 break
             row, sym, at, rank, key, best = row[going], sym[going], at[going], rank[going], key[going], best[going]
             i = np.arange(len(row))
+            if steps is not None:
+                steps.append((row, _place(at[i, best], at[i, best + 1], at[i, best + 2])))
             sym[i, best] = self.m.merged(sym[i, best], sym[i, best + 1])
             sym = _without(sym, best + 1)
             at = _without(at, best + 1)
@@ -221,7 +276,7 @@ class Encoder:
             for j in (best - 1, best):
                 w = np.flatnonzero((j >= 0) & (j < sym.shape[1] - 1))
                 k = j[w]
-                rank[w, k] = self._ranked(sym, sym[w, k], sym[w, k + 1], key[w], at[w, k], at[w, k + 1], at[w, k + 2])
+                rank[w, k] = self._ranked(sym[w, k], sym[w, k + 1], key[w], at[w, k], at[w, k + 1], at[w, k + 2])
         return out
 
     def _by_heap(self, segment: str, key: np.ndarray) -> bytes:
@@ -231,14 +286,14 @@ class Encoder:
         end, prev, nxt = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         m, agenda = self.m, []
         a = np.arange(n - 1)
-        rank = self._ranked(None, np.array(sym[:-1]), np.array(sym[1:]), np.repeat(key, n - 1), a, a + 1, a + 2)
+        rank = self._ranked(np.array(sym[:-1]), np.array(sym[1:]), np.repeat(key, n - 1), a, a + 1, a + 2)
         agenda = [(int(r), i, i + 1, i + 2) for i, r in enumerate(rank.tolist()) if r < NEVER]
         heapq.heapify(agenda)
         one = np.array
 
         def propose(i: int, j: int) -> None:
             if i >= 0 and j < n:
-                r = self._ranked(None, one([sym[i]]), one([sym[j]]), key, one([i]), one([j]), one([end[j]]))[0]
+                r = self._ranked(one([sym[i]]), one([sym[j]]), key, one([i]), one([j]), one([end[j]]))[0]
                 if r < NEVER:
                     heapq.heappush(agenda, (int(r), i, j, end[j]))
 
@@ -257,6 +312,11 @@ class Encoder:
         return self._spell(np.array([s for s, a_ in zip(sym, alive) if a_]))
 
 
+def _place(start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
+    u = np.uint64
+    return start.astype(u) * A + mid.astype(u) * B + end.astype(u) * C
+
+
 def _without(x: np.ndarray, column: np.ndarray) -> np.ndarray:
     """``x`` without one column of each row."""
     keep = np.ones(x.shape, bool)
@@ -264,9 +324,9 @@ def _without(x: np.ndarray, column: np.ndarray) -> np.ndarray:
     return x[keep].reshape(len(x), x.shape[1] - 1)
 
 
-def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = 0, streams: int = STREAMS) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = 0) -> DataFrame:
     """doc_id, ids: one scan, no shuffle."""
-    return _run(docs, model_path, rate, seed, streams, lambda e, ids, text: ids, pa.list_(pa.int32()), "array<int>")
+    return _run(docs, model_path, rate, seed, lambda e, ids, text: ids, pa.list_(pa.int32()), "array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -279,19 +339,19 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return arrow_map(encoded.select("doc_id", "ids"), run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = 0, streams: int = STREAMS) -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = 0) -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (unsigned little-endian 32-bit ids) and lossless:
     whether the ids decode to the text."""
     def made(e: Encoder, ids: np.ndarray, text: str) -> dict:
         return {"n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.tobytes()), "lossless": e.decode(ids) == text}
     kind = pa.struct([("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("lossless", pa.bool_())])
-    got = _run(docs, model_path, rate, seed, streams, made, kind, "struct<n_tokens:long,ids_crc32:long,lossless:boolean>")
+    got = _run(docs, model_path, rate, seed, made, kind, "struct<n_tokens:long,ids_crc32:long,lossless:boolean>")
     return got.select("doc_id", "ids.*")
 
 
-def _run(docs: DataFrame, model_path: str, rate: float, seed: int, streams: int, made, kind: pa.DataType, ddl: str) -> DataFrame:
+def _run(docs: DataFrame, model_path: str, rate: float, seed: int, made, kind: pa.DataType, ddl: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = Encoder(MergeModel(model_path), rate, seed, streams)
+        e = Encoder(MergeModel(model_path), rate, seed)
         for batch in batches:
             held = texts(batch)
             ids = e.encode_all(held, [k or 0 for k in batch.column("doc_id").to_pylist()])

@@ -262,6 +262,28 @@ def test_merge_dropout_is_lossless_and_seeded(docs, none):
     assert merge_dropout.round_trip(none, PIECE_BPE).collect() == []
 
 
+def test_merge_dropout_varies_every_occurrence():
+    model = merge_dropout.MergeModel(PIECE_BPE)
+    e = merge_dropout.Encoder(model, 0.1, seed=3)
+    word, n = "internationalisations", 400
+    one = e.encode_all([" ".join([word] * n)], [7])[0].tolist()
+    cuts, cut = [], []
+    for i in one:  # the cut of each occurrence
+        cut.append(i)
+        if b"".join(model.bytes_of[j] for j in cut).strip() == word.encode():
+            cuts.append(tuple(cut))
+            cut = []
+    assert len(cuts) == n and len(set(cuts)) > 2
+    # the remembered cuts give what merging each occurrence by its own hashes gives
+    for text, doc in ((" ".join([word, "reading", "of", "Straße", "x" * 60] * 50), 4), (prose(6, 300), 5)):
+        segments = model.segment.findall(" " + text)
+        keys = merge_dropout.mix64(e._keys([(doc, text)]) + np.arange(len(segments), dtype=np.uint64) * merge_dropout.A)
+        expected = b"".join(e._by_heap(s, keys[i:i + 1]) for i, s in enumerate(segments))
+        assert e.encode(text, doc).tobytes() == expected
+    # documents differ, too
+    assert len({tuple(e.encode(word, d).tolist()) for d in range(200)}) > 2
+
+
 def test_winnowing_choice_and_guarantee():
     w = winnowing.Winnower(5, 4)
     rng = np.random.default_rng(1)
