@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from newsflow.llm.common import arrow_map, mix64, texts
 
-K, WINDOW = 32, 97
+#: Shared passages from 15 code points on have a common hash: texts from 22 on, when a third is edited.
+K, WINDOW = 8, 8
 BASE = 0x9E3779B97F4A7C15 | 1
 #: k-grams selected at a time; their places in a block fit the low bits of a key.
 BLOCK_BITS = 20

@@ -315,6 +315,14 @@ def test_winnowing_compares_neighbours(docs, none):
     assert winnowing.fingerprints(none).collect() == []
 
 
+def test_short_edited_texts_score_above_their_neighbour(spark):
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)))
+            for i, n in enumerate([*range(22, 64, 3), *range(64, 200, 9)])]
+    for r in winnowing.compare_with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.near_edited > 0 and r.near_edited > r.near_next, r
+
+
 def test_language_mixtures(spark, none):
     english = [prose(i, 60) for i in range(40)]
     other = [" ".join(random.Random(i).choices("straße über fröhlich größe müssen können weiß heißt".split(), k=60)) for i in range(40)]
