@@ -1,12 +1,15 @@
-"""Operator 5: substring dedup by hashing normalised lines, split further into short units.
+"""Operator 5: substring dedup by hashing normalised lines and runs of words.
 
-A unit is a run of words inside one line; a line is cut after sentence ends and
-before anchor words (words whose hash falls in one of sixteen classes), so that a
-passage pasted into the middle of another line yields the same inner units as
-its source.  Units are normalised (A-Z lower-cased, ASCII white space collapsed)
-and hashed; digests are grouped globally and the occurrence with the smallest
-(doc_id, position) is kept.  Later occurrences go if they form an unbroken run of
-at least ``min_words`` words; shorter repetitions are ordinary language and stay.
+Text goes where it stands earlier: a passage of at least ``min_words`` words, to
+the word, wherever it begins and ends.  Words are
+normalised (A-Z lower-cased, ASCII white space collapsed); digests of lines and of
+all runs of ``min_words`` words (grams) are grouped globally and the occurrence
+with the smallest (doc_id, position) is kept.  Inside a text a gram counts as
+repeated only behind the end of its first occurrence.
+
+Few grams are shuffled: of every gram, the smallest hash of the ``SEED`` words runs
+in it is its seed, so equal grams have equal seeds, and only grams whose seed
+stands in several documents are compared.
 
 Only a document's distinct digests are shuffled, with map-side aggregation, so a
 line that every document holds is one small row per task.  Each document then
@@ -33,21 +36,20 @@ from pyspark.sql import types as T
 
 from newsflow.llm.common import CACHE_WORDS, arrow_map, mix64, stage, texts
 
-ANCHORS = 16
-MIN_WORDS = 20
+SEED, GRAM, MIN_WORDS = 8, 10, 20
+LINE = np.uint64(0xC2B2AE3D27D4EB4F)
 WORD = re.compile(r"[^ \t-\r]+")
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 
 
 class UnitWords(dict):
-    """word (bytes) -> 64-bit hash whose lowest bit says that a sentence ends here."""
+    """word (bytes) -> 64-bit hash."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ends = word.rstrip(b"\"')]")[-1:] in (b".", b"!", b"?") or word.endswith("…".encode())
-        h = self[word] = xxhash.xxh64_intdigest(word) & ~1 | bool(ends)
+        h = self[word] = xxhash.xxh64_intdigest(word)
         return h
 
 
@@ -65,34 +67,62 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-def units(text: str, words: UnitWords, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """(digests, index of each unit's first word, with the word count at the end)."""
-    data = text.encode("utf-8", "surrogatepass").lower()
-    tokens = data.split()
-    n = len(tokens)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    h = np.fromiter(map(words.__getitem__, tokens), np.uint64, n)
-    cut = np.zeros(n + 1, bool)
-    cut[np.cumsum([len(line.split()) for line in data.split(b"\n")])] = True
-    cut[1:] |= (h & np.uint64(1)).astype(bool)
-    cut[:-1] |= (h >> np.uint64(32)) % np.uint64(ANCHORS) == 0
-    cut[0] = cut[n] = True
-    at = np.flatnonzero(cut)
-    up, down = powers.upto(n + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h) * up[:n], dtype=np.uint64)])
-    size = np.diff(at)
-    return mix64((total[at[1:]] - total[at[:-1]]) * down[at[:-1]] + size.astype(np.uint64)), at
+class Read:
+    """The words of a text, as sums that give the digest of any run of them."""
+
+    def __init__(self, text: str, words: UnitWords, powers: Powers) -> None:
+        data = text.encode("utf-8", "surrogatepass").lower()
+        tokens = data.split()
+        self.n = n = len(tokens)
+        self.line_at = np.unique(np.concatenate([[0], np.cumsum([len(line.split()) for line in data.split(b"\n")])]))
+        up, self.down = powers.upto(n + 1)
+        h = np.fromiter(map(words.__getitem__, tokens), np.uint64, n)
+        self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h) * up[:n], dtype=np.uint64)])
+
+    def digests(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix64((self.total[b] - self.total[a]) * self.down[a] + (b - a).astype(np.uint64))
+
+    def grams(self, size: int) -> np.ndarray:
+        a = np.arange(max(0, self.n - size + 1))
+        return self.digests(a, a + size)
+
+    def lines(self) -> np.ndarray:
+        return self.digests(self.line_at[:-1], self.line_at[1:]) ^ LINE
+
+    def seeds(self, size: int) -> np.ndarray:
+        """The seed of each gram."""
+        k = min(SEED, size)
+        low, width, w = self.grams(k), 1, size - k + 1
+        if len(low) < w:
+            return low[:0]
+        while 2 * width <= w:
+            low = np.minimum(low[:-width], low[width:])
+            width *= 2
+        return np.minimum(low[:len(low) - (w - width)], low[w - width:]) if width < w else low
+
+
+def units(text: str, words: UnitWords, powers: Powers, size: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(digests of all grams and lines; first word, end and whether it is a line, of each)."""
+    r = Read(text, words, powers)
+    g, a = r.grams(size), r.line_at
+    start = np.arange(len(g))
+    at = np.concatenate([np.stack([start, start + size, 0 * start], 1), np.stack([a[:-1], a[1:], np.ones(len(a) - 1, np.int64)], 1)])
+    return np.concatenate([g, r.lines()]), at
 
 
 def spans_to_cut(text: str, digests: np.ndarray, at: np.ndarray, seen: set[int], min_words: int) -> list[tuple[int, int]]:
-    """Code point spans (end exclusive) of the runs to remove; ``seen``: digests whose
+    """Code point spans (end exclusive) of the words to remove; ``seen``: digests whose
     first occurrence is in an earlier document."""
-    first = np.zeros(len(digests), bool)
-    first[np.unique(digests, return_index=True)[1]] = True
-    again = ~first | np.fromiter((d in seen for d in digests.view(np.int64).tolist()), bool, len(digests))
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
-    runs = [(at[a], at[b]) for a, b in zip(edge[::2], edge[1::2]) if at[b] - at[a] >= min_words]
+    if not len(digests):
+        return []
+    _, index, inverse = np.unique(digests, return_index=True, return_inverse=True)
+    again = at[index[inverse], 1] <= at[:, 0]
+    again |= np.fromiter((d in seen for d in digests.view(np.int64).tolist()), bool, len(digests))
+    again &= at[:, 1] - at[:, 0] >= min_words
+    n = int(at[:, 1].max())
+    depth = np.bincount(at[again, 0], minlength=n + 1) - np.bincount(at[again, 1], minlength=n + 1)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(depth) > 0).astype(np.int8), [0]])))
+    runs = list(zip(edge[::2], edge[1::2]))
     if not runs:
         return []
     place = [m.span() for m in WORD.finditer(text)]
@@ -109,12 +139,30 @@ def spans_to_cut(text: str, digests: np.ndarray, at: np.ndarray, seen: set[int],
     return out
 
 
-def _digest_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, powers = UnitWords(), Powers()
-    for batch in batches:
-        lists = [np.unique(units(t, words, powers)[0]).view(np.int64) for t in texts(batch)]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "tkey": batch.column("tkey"),
-                                          "units": pa.array(lists, pa.list_(pa.int64()))})
+def _lists(batch: pa.RecordBatch, lists: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "tkey": batch.column("tkey"), "units": pa.array(
+        [np.unique(x).view(np.int64) for x in lists], pa.list_(pa.int64()))})
+
+
+def _seeds_and_lines(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, powers = UnitWords(), Powers()
+        for batch in batches:
+            read = (Read(t, words, powers) for t in texts(batch))
+            yield _lists(batch, [np.concatenate([r.seeds(size), r.lines()]) for r in read])
+    return run
+
+
+def _grams_of_seeds(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, powers = UnitWords(), Powers()
+        for batch in batches:
+            lists = []
+            for text, shared in zip(texts(batch), batch.column("shared")):
+                r = Read(text, words, powers)
+                lists.append(r.grams(size)[np.isin(r.seeds(size).view(np.int64), np.asarray(shared.values))])
+            yield _lists(batch, lists)
+    return run
 
 
 def _cut(min_words: int, names: list[str]):
@@ -123,7 +171,7 @@ def _cut(min_words: int, names: list[str]):
         for batch in batches:
             kept, spans = [], []
             for text, seen in zip(batch.column("text").to_pylist(), batch.column("seen").to_pylist()):
-                cut = spans_to_cut(text, *units(text, words, powers), set(seen or ()), min_words) if text else []
+                cut = spans_to_cut(text, *units(text, words, powers, min_words), set(seen or ()), min_words) if text else []
                 at, parts = 0, []
                 for a, b in cut:
                     parts.append(text[at:a])
@@ -137,15 +185,24 @@ def _cut(min_words: int, names: list[str]):
     return run
 
 
-def repeated_units(docs: DataFrame) -> DataFrame:
-    """(doc_id, tkey, seen): the digests of a document that an earlier document holds."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").where("doc_id is not null and text is not null")
-    lists = stage(arrow_map(keyed, _digest_lists, "doc_id long, tkey long, units array<long>"), "line-units")
+def _shared(lists: DataFrame) -> DataFrame:
+    """(doc_id, tkey, shared, seen): a document's digests that several hold, and those of them that an earlier one holds."""
     posts = lists.select("doc_id", "tkey", F.explode("units").alias("unit"))
     first = (posts.groupBy("unit").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
              .where("first < last").select("unit", "first"))
-    return (posts.join(first, "unit").where("doc_id > first")
-            .groupBy("doc_id", "tkey").agg(F.collect_set("unit").alias("seen")))
+    return (posts.join(first, "unit").groupBy("doc_id", "tkey")
+            .agg(F.collect_set("unit").alias("shared"), F.collect_set(F.expr("if(doc_id > first, unit, null)")).alias("seen")))
+
+
+def repeated_units(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, tkey, seen): the digests of a document that an earlier document holds."""
+    ddl = "doc_id long, tkey long, units array<long>"
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").where("doc_id is not null and text is not null")
+    some = stage(_shared(stage(arrow_map(keyed, _seeds_and_lines(size), ddl), "line-units")), "line-shared")
+    wide = keyed.join(some.select("doc_id", "tkey", "shared"), ["doc_id", "tkey"])
+    grams = _shared(stage(arrow_map(wide, _grams_of_seeds(size), ddl), "line-grams"))
+    return (some.select("doc_id", "tkey", "seen").unionByName(grams.select("doc_id", "tkey", "seen")).where("size(seen) > 0")
+            .groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("seen")).alias("seen")))
 
 
 def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -153,7 +210,7 @@ def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     the cut spans as code point offsets into the original text."""
     names = docs.columns
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    seen = repeated_units(docs).withColumnsRenamed({"doc_id": "_doc", "tkey": "_key"})
+    seen = repeated_units(docs, min_words).withColumnsRenamed({"doc_id": "_doc", "tkey": "_key"})
     wide = (docs.join(seen, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left")
             .select(*(F.col(f"`{c}`") for c in names), "seen"))
     span = T.StructType().add("start", T.LongType()).add("end", T.LongType())

@@ -181,6 +181,16 @@ def test_inline_passage_goes_from_the_later_document(spark):
     assert len(got[2].text.split()) < 7 + 25 and got[2].text.startswith("Other words and")
 
 
+def test_pasted_passages_go_to_the_word(spark):
+    rows = []
+    for n in (19, 20, 30, 51):
+        passage = " ".join(f"w{n}x{i}" for i in range(n))  # no sentence marks
+        rows += [(n, f"Before{n} it{n} {passage} after{n}"), (100 + n, f"Other{n} words{n} {passage} then{n} more{n}")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[d] == t for d, t in rows if d < 100 or d == 119)
+    assert all(got[100 + n] == f"Other{n} words{n} then{n} more{n}" for n in (20, 30, 51))
+
+
 PII_ROWS = [(1, "mail a.b@c.d.e%f@g.hi now, 10.0.0.256 and 1.2.3.4.5 or 010.1.1.1"), (2, "card 4111 1111 1111 1111 vs 4111 1111 1111 1112"),
             (3, "call +1 (017) 555-7713 or +12 3"), (4, "IBAN GB82 WEST 1234 5698 7654 32 end, 漢字 +49 123 456 7890 1"),
             (5, None), (6, ""), (7, "a" * 20000 + "@"), (8, "9" * 20000), (9, "x@" + "a." * 5000), (10, "my account 123456789 but 987654321 alone")]
