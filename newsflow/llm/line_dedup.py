@@ -1,7 +1,7 @@
 """Operator 5: substring dedup by hashing normalised lines and runs of words.
 
 Text goes where it stands earlier: a passage of at least ``min_words`` words, to
-the word, wherever it begins and ends.  Words are
+the word, wherever it begins and ends, and a whole line of any length.  Words are
 normalised (A-Z lower-cased, ASCII white space collapsed); digests of lines and of
 all runs of ``min_words`` words (grams) are grouped globally and the occurrence
 with the smallest (doc_id, position) is kept.  Inside a text a gram counts as
@@ -118,7 +118,7 @@ def spans_to_cut(text: str, digests: np.ndarray, at: np.ndarray, seen: set[int],
     _, index, inverse = np.unique(digests, return_index=True, return_inverse=True)
     again = at[index[inverse], 1] <= at[:, 0]
     again |= np.fromiter((d in seen for d in digests.view(np.int64).tolist()), bool, len(digests))
-    again &= at[:, 1] - at[:, 0] >= min_words
+    again &= (at[:, 1] - at[:, 0] >= min_words) | (at[:, 2] == 1)
     n = int(at[:, 1].max())
     depth = np.bincount(at[again, 0], minlength=n + 1) - np.bincount(at[again, 1], minlength=n + 1)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(depth) > 0).astype(np.int8), [0]])))

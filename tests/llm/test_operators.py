@@ -191,6 +191,14 @@ def test_pasted_passages_go_to_the_word(spark):
     assert all(got[100 + n] == f"Other{n} words{n} then{n} more{n}" for n in (20, 30, 51))
 
 
+def test_short_repeated_lines_go(spark):
+    rows = [(i, f"own{i} first{i} line\nSubscribe to our  daily letter today\nown{i} last{i} line") for i in range(4)]
+    rows += [(9, "in a line subscribe to our daily letter today it stays")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1] and got[9] == rows[4][1]
+    assert all(got[i] == f"own{i} first{i} line\nown{i} last{i} line" for i in (1, 2, 3))
+
+
 PII_ROWS = [(1, "mail a.b@c.d.e%f@g.hi now, 10.0.0.256 and 1.2.3.4.5 or 010.1.1.1"), (2, "card 4111 1111 1111 1111 vs 4111 1111 1111 1112"),
             (3, "call +1 (017) 555-7713 or +12 3"), (4, "IBAN GB82 WEST 1234 5698 7654 32 end, 漢字 +49 123 456 7890 1"),
             (5, None), (6, ""), (7, "a" * 20000 + "@"), (8, "9" * 20000), (9, "x@" + "a." * 5000), (10, "my account 123456789 but 987654321 alone")]
