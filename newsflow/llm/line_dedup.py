@@ -115,9 +115,15 @@ def spans_to_cut(text: str, digests: np.ndarray, at: np.ndarray, seen: set[int],
     first occurrence is in an earlier document."""
     if not len(digests):
         return []
-    _, index, inverse = np.unique(digests, return_index=True, return_inverse=True)
-    again = at[index[inverse], 1] <= at[:, 0]
-    again |= np.fromiter((d in seen for d in digests.view(np.int64).tolist()), bool, len(digests))
+    again = np.zeros(len(digests), bool)
+    in_order = np.sort(digests)
+    if (in_order[1:] == in_order[:-1]).any():
+        _, index, inverse = np.unique(digests, return_index=True, return_inverse=True)
+        again = at[index[inverse], 1] <= at[:, 0]
+    if seen:
+        again |= np.isin(digests.view(np.int64), np.fromiter(seen, np.int64, len(seen)))
+    if not again.any():
+        return []
     again &= (at[:, 1] - at[:, 0] >= min_words) | (at[:, 2] == 1)
     n = int(at[:, 1].max())
     depth = np.bincount(at[again, 0], minlength=n + 1) - np.bincount(at[again, 1], minlength=n + 1)
