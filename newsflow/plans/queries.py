@@ -312,12 +312,15 @@ def union_sources(spark, sf):
     ev = B.table(spark, sf, "events")
     pub = B.render_published(F.col("ts"), F.col("event_type"))
     frames = []
-    for kind, extra in (("view", "user_id"), ("click", "props"), ("signup", None),
-                        ("purchase", "user_id"), ("error", "props")):
+    kinds = (("view", "user_id"), ("click", "props"), ("signup", None),
+             ("purchase", "user_id"), ("error", "props"))
+    for kind, extra in kinds:
         cols = [F.col("event_id"), F.lit(kind).alias("source"), pub.alias("published")]
         if extra:
             cols.append(F.col(extra))
         frames.append(ev.where(F.col("event_type") == kind).select(*cols))
+    known = F.coalesce(F.col("event_type").isin(*[k for k, _ in kinds]), F.lit(False))
+    frames.append(ev.where(~known).select("event_id", F.col("event_type").alias("source"), pub.alias("published")))
     return I.union_sources(*frames)
 
 

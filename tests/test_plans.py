@@ -74,3 +74,13 @@ def test_rank_follows_the_order_over_several_files(spark, tmp_path):
     empty = str(tmp_path / "none")
     rows.where("false").write.parquet(empty)
     assert I.with_rank(spark.read.schema(rows.schema).parquet(empty)).count() == 0
+
+
+def test_union_sources_keeps_other_event_types(spark, monkeypatch):
+    from newsflow.plans import queries as Q
+    ev = spark.createDataFrame([(1, "view"), (2, "refund"), (3, None), (4, "error")], "event_id long, event_type string").selectExpr(
+        "event_id", "timestamp_ntz'2025-01-02 03:04:00' ts", "7L user_id", "event_type", "1.0D value", "'{}' props")
+    monkeypatch.setattr(Q.B, "table", lambda *_: ev)
+    assert {(r.event_id, r.source) for r in Q.union_sources(spark, "").collect()} == {
+        (1, "view"), (2, "refund"), (3, None), (4, "error")}
+    assert {r.event_id for r in Q.parse_published(spark, "").collect()} == {1, 2, 3, 4}
