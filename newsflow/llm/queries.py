@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm import (langid, line_dedup, merge_dropout, packing, permutation_index, pii, quality,
-                          superminhash, toxicity, winnowing)
+                          simhash, superminhash, toxicity, winnowing)
 from newsflow.llm.common import table
 from newsflow.llm.near_sql import near_duplicates_sql
 
@@ -58,6 +58,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_quality": op2_quality,
@@ -69,6 +73,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merge_dropout": op8_merge_dropout,
     "op9_winnowing": op9_winnowing,
     "op10_language": op10_language,
+    "op11_simhash": op11_simhash,
 }
 
 #: The other queries rest on tokenizers, hashes or trained models, beyond SQL.
