@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import (langid, line_dedup, merge_dropout, packing, permutation_index, pii, quality,
+from newsflow.llm import (collocations, langid, line_dedup, merge_dropout, packing, permutation_index, pii, quality,
                           simhash, superminhash, toxicity, winnowing)
 from newsflow.llm.common import table
+from newsflow.llm.collocations_sql import collocations_sql
 from newsflow.llm.near_sql import near_duplicates_sql
 
 
@@ -62,6 +63,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_quality": op2_quality,
@@ -74,7 +79,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_winnowing": op9_winnowing,
     "op10_language": op10_language,
     "op11_simhash": op11_simhash,
+    "op13_collocations": op13_collocations,
 }
 
 #: The other queries rest on tokenizers, hashes or trained models, beyond SQL.
-ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": near_duplicates_sql()}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": near_duplicates_sql(), "op13_collocations": collocations_sql()}
