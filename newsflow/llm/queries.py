@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm import (collocations, langid, line_dedup, merge_dropout, packing, permutation_index, pii, quality,
-                          simhash, superminhash, toxicity, winnowing)
+                          simhash, superminhash, toxicity, whitening, winnowing)
 from newsflow.llm.common import table
 from newsflow.llm.collocations_sql import collocations_sql
 from newsflow.llm.near_sql import near_duplicates_sql
@@ -63,6 +63,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.top_phrases(table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_winnowing": op9_winnowing,
     "op10_language": op10_language,
     "op11_simhash": op11_simhash,
+    "op12_whitening": op12_whitening,
     "op13_collocations": op13_collocations,
 }
 
