@@ -14,13 +14,15 @@ Every step is a Spark job whose tables are staged in the shared folder:
    g - 1 candidates, not g * g;
 4. candidates fetch their texts by two joins (adaptive skew splitting applies)
    and are compared in full;
-5. components by alternating large-star / small-star steps on the links;
-6. members of buckets that still span several components form families
-   (components of the candidate pairs).  A family is dealt into blocks by set
-   size; every two blocks whose sizes allow a link are compared in one bounded
-   task, which counts all intersections and returns one link per two components
-   - exact within a family, and no pair becomes a row; then the components are
-   closed again.
+5. components of the links (:mod:`newsflow.llm.components`);
+6. members of buckets that still span several components are joined by prefix
+   filtering: with the members' common shingles ordered last, two linked sets
+   share a shingle among the first fifth of each.  Shingles with few members
+   give their pairs, within the sizes and places that allow a link; members of
+   a crowded shingle form families, dealt into blocks by set size, and every two
+   blocks whose sizes allow a link are compared in one bounded task that returns
+   one link per two components.  Texts that only share boilerplate have no
+   common shingle in front, so they are neither paired nor dealt.
 
 So no link between candidates is lost, although copies are never expanded.  A
 pair at the threshold is a candidate with probability 1 - (1 - t^rows)^bands
@@ -29,8 +31,8 @@ pair at the threshold is a candidate with probability 1 - (1 - t^rows)^bands
 Defined cases: null, empty and blank texts have the empty set: ``n_shingles`` 0,
 linked with nothing, ``component_id`` their own id.  A text with fewer words
 than ``words`` has one shingle, its whole sequence.  Repeated rows are copies of
-each other and each returned; a null id counts as larger than any other.  Ties
-go to the smallest id.  Further columns of ``docs`` are ignored.
+each other and each returned; a null id counts as larger than any other, and
+its text links like any other.  Ties go to the smallest id.  Further columns of ``docs`` are ignored.
 """
 
 from __future__ import annotations
@@ -45,12 +47,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.common import WordHashes, arrow_map, mix64, stage, texts
+from newsflow.llm.components import components
+from newsflow.operators.skew import hot_keys, lookup
 
 BANDS, BAND_ROWS = 60, 8
 #: Elements whose permutations are held at a time.
 CHUNK = 40_000
 #: Most sets and shingles in a block of a family, on average; shingles counted at a time.
 BLOCK_ROWS, BLOCK_TOKENS, SLICE = 512, 1 << 20, 8192
+#: Members of a shingle that are paired directly; common shingles whose order is known (others count as rare).
+CROWD, ORDERED = 16, 1 << 16
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,7 +143,7 @@ def _sketch(words: int, bands: int, rows: int):
             for i, h in zip(full, found):
                 by_row[i] = h
             yield pa.RecordBatch.from_pydict({
-                "row": pa.array(range(row, row + len(sets)), pa.int64()), "doc_id": batch.column("doc_id"),
+                "row": pa.array(range(row, row + len(sets)), pa.int64()), "doc_id": batch.column("doc_id"), "key": batch.column("key"),
                 "n_shingles": pa.array(map(len, sets), pa.int64()),
                 "digest": pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 "bands": pa.array(by_row, pa.list_(pa.int64()))})
@@ -168,12 +174,14 @@ def _verify(words: int, percent: int):
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``nodes`` with the texts under their doc_id (a repeated text once)."""
-    return nodes.join(docs.select("doc_id", "text").dropna(), "doc_id").dropDuplicates(["row", "text"])
+    """``nodes`` with the texts under their id and text hash, null ids included (a repeated text once)."""
+    held = docs.select(F.col("doc_id").alias("held_id"), F.xxhash64("text").alias("held_key"), "text").where("text is not null")
+    same = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("key") == F.col("held_key"))
+    return nodes.join(held, same).drop("held_id", "held_key").dropDuplicates(["row", "text"])
 
 
 def _listed_sets(words: int):
-    """(row, root, family, n, set) of each node whose text is the one under its digest."""
+    """(row, root, n, set) of each node whose text is the one under its digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -182,12 +190,94 @@ def _listed_sets(words: int):
                    if xxhash.xxh128_digest(s.tobytes()) == d]
             at = pa.array(own, pa.int64())
             yield pa.RecordBatch.from_pydict({
-                **{c: batch.column(c).take(at) for c in ("row", "root", "family")},
+                **{c: batch.column(c).take(at) for c in ("row", "root")},
                 "n": pa.array([len(sets[i]) for i in own], pa.int64()),
                 "set": pa.array([sets[i].tobytes() for i in own], pa.binary())})
     return run
 
 
+def _sets_of(batch: pa.RecordBatch, column: str = "set") -> list[np.ndarray]:
+    return [np.frombuffer(b, np.uint64) for b in batch.column(column).to_pylist()]
+
+
+def _shingle_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = _sets_of(batch)
+        if sets:
+            each, n = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"shingle": pa.array(each.view(np.int64)), "sets": pa.array(n)})
+
+
+def _fronts(percent: int, common: np.ndarray, counts: np.ndarray):
+    """A set's first shingles, rare ones first: as many as a linked set may lack, and one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fronts = []
+            for s in _sets_of(batch):
+                at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                often = np.where(common[at] == s, counts[at], 0)
+                fronts.append(s[np.lexsort((s, often))][:len(s) - -(-percent * len(s) // 100) + 1])
+            each = pa.array(np.repeat(np.arange(len(fronts)), [len(f) for f in fronts]))
+            place = [np.arange(len(f)) for f in fronts]
+            yield pa.RecordBatch.from_pydict({
+                "shingle": pa.array(np.concatenate([np.zeros(0, np.uint64), *fronts]).view(np.int64)),
+                **{c: batch.column(c).take(each) for c in ("row", "root", "n")},
+                "place": pa.array(np.concatenate([np.zeros(0, np.int64), *place]))})
+    return run
+
+
+def _verify_sets(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for i, (a, b) in enumerate(zip(_sets_of(batch, "a_set"), _sets_of(batch, "b_set"))):
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    keep.append(i)
+            yield pa.RecordBatch.from_pydict({c: batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")})
+    return run
+
+
+def front_posts(sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, row, root, n, place): the front of every set."""
+    spark = sets.sparkSession
+    often = (arrow_map(sets.select("set"), _shingle_counts, "shingle long, sets long").groupBy("shingle").agg(F.sum("sets").alias("sets"))
+             .where("sets > 1").orderBy(F.desc("sets"), "shingle").limit(ORDERED).toArrow())
+    shingle = np.append(often.column("shingle").to_numpy().view(np.uint64), np.uint64(0))
+    count = np.append(often.column("sets").to_numpy(), 0)
+    order = np.argsort(shingle, kind="stable")
+    known = spark.sparkContext.broadcast((shingle[order], count[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _fronts(percent, *known.value)(batches)
+    return stage(arrow_map(sets, run, "shingle long, row long, root long, n long, place long"), "near-fronts")
+
+
+def rest_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components among ``members`` (row, root)."""
+    held = _texts_of(docs, nodes.select("row", "doc_id", "key", "digest").join(members, "row"))
+    sets = stage(arrow_map(held.select("row", "root", "digest", "text"), _listed_sets(words),
+                           "row long, root long, n long, set binary"), "near-sets")
+    posts = front_posts(sets, percent)
+    buckets = stage(posts.groupBy("shingle").agg(F.count("*").alias("members"), F.min("row").alias("hub"), F.min("root").alias("lo"),
+                                                 F.max("root").alias("hi")).where("lo <> hi").drop("lo", "hi"), "near-shared")
+    few = posts.join(buckets.where(F.col("members") <= CROWD).select("shingle"), "shingle")
+    side = {s: few.select("shingle", *(F.col(c).alias(f"{s}_{c}") for c in ("row", "root", "n", "place"))) for s in "ab"}
+    pairs = (side["a"].join(side["b"], "shingle")
+             .where((F.col("a_row") < F.col("b_row")) & (F.col("a_root") != F.col("b_root"))
+                    & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+                    & ((100 + percent) * F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+                       >= percent * (F.col("a_n") + F.col("b_n"))))
+             .select(F.col("a_row").alias("a"), F.col("b_row").alias("b")).distinct())
+    fetch = {s: sets.select(F.col("row").alias(s), F.col("set").alias(f"{s}_set")) for s in "ab"}
+    paired = stage(arrow_map(pairs.join(fetch["a"], "a").join(fetch["b"], "b"), _verify_sets(percent), "a long, b long"), "near-paired")
+
+    crowd = posts.join(buckets.where(F.col("members") > CROWD).select("shingle", "hub"), "shingle")
+    family = components(crowd.where("row <> hub").select(F.col("hub").alias("a"), F.col("row").alias("b")))
+    placed = sets.join(family.withColumnRenamed("root", "family"), "row")
+    return paired.unionByName(family_links(placed, percent))
+
+
 def _compare(percent: int):
     """Rows sorted by pair of blocks -> one link per two components that the pair shows."""
     keys = ("family", "lo_class", "lo_block", "hi_class", "hi_block")
@@ -241,11 +331,8 @@ def _compare(percent: int):
     return run
 
 
-def family_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between components among ``members`` (row, root, family), compared within families."""
-    held = _texts_of(docs, nodes.select("row", "doc_id", "digest").join(members, "row"))
-    sets = stage(arrow_map(held.select("row", "root", "family", "digest", "text"), _listed_sets(words),
-                           "row long, root long, family long, n long, set binary"), "near-sets")
+def family_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components among ``sets`` (row, root, family, n, set), compared within families."""
     # two sets can only be linked if their sizes are in the same or in neighbouring classes
     sets = sets.withColumn("class", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int"))
     count = sets.groupBy("family", "class").agg(F.ceil(F.greatest(
@@ -273,7 +360,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: i
     Texts are fetched only for nodes in a pair; sizes that rule a pair out are
     dropped first.
     """
-    n = nodes.select("row", "doc_id", "n_shingles", "digest")
+    n = nodes.select("row", "doc_id", "key", "n_shingles", "digest")
     side = {s: n.select(F.col("row").alias(s), F.col("n_shingles").alias(f"{s}_n")) for s in "ab"}
     pairs = (pairs.join(side["a"], "a").join(side["b"], "b")
              .where((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))).select("a", "b"))
@@ -286,33 +373,6 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: i
     return stage(arrow_map(wide, _verify(words, percent), "a long, b long").distinct(), "near-links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(row, root) of every node on a link; root is the smallest node reachable.
-
-    Alternating large-star and small-star steps (Kiveris et al., 2014): each
-    node's neighbours are linked to its smallest neighbour, until nothing moves.
-    """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges = stage(edges, "near-edges")
-    state = None
-    while True:
-        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
-                            .alias("e")).select("e.u", "e.v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large.where("u <> v"), "near-large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.explode(F.array(
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v").where("u <> v").distinct())
-        edges = stage(small, "near-small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return edges.groupBy(F.col("u").alias("row")).agg(F.min("v").alias("root"))
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS,
                     rows: int = BAND_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, class_id.
@@ -322,8 +382,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     ``kept`` marks the smallest id of a component.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    sketch = stage(arrow_map(docs, _sketch(words, bands, rows),
-                             "row long, doc_id long, n_shingles long, digest binary, bands array<long>"), "near-sketch")
+    sketch = stage(arrow_map(docs.withColumn("key", F.xxhash64("text")), _sketch(words, bands, rows),
+                             "row long, doc_id long, key long, n_shingles long, digest binary, bands array<long>"), "near-sketch")
     classes = stage(sketch.where("digest is not null").groupBy("digest")
                     .agg(F.min("row").alias("row"), F.min("doc_id").alias("class_id")), "near-classes")
     nodes = sketch.join(classes.select("row"), "row", "left_semi")
@@ -338,17 +398,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     rooted = posts.join(roots, "row", "left").select("band", "hub", "row", F.coalesce("root", "row").alias("root"))
     mixed = (rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo <> hi").select("band"))
-    rest = stage(rooted.join(mixed, "band").select("hub", "row", "root").distinct(), "near-mixed")
-    family = components(rest.where("row <> hub").select(F.col("hub").alias("a"), F.col("row").alias("b")))
-    members = rest.select("row", "root").distinct().join(family.withColumnRenamed("root", "family"), "row")
-    more = family_links(docs, nodes, members, words, percent)
+    members = stage(rooted.join(mixed, "band").select("row", "root").distinct(), "near-mixed")
+    more = stage(rest_links(docs, nodes, members, words, percent), "near-rest")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
-    label = (classes.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")))
+    label = stage(classes.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")), "near-rooted")
     smallest = label.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    label = label.join(smallest, "root").select("digest", "class_id", "component_id")
-    own = sketch.select("doc_id", "n_shingles", "digest").join(label, "digest", "left")
+    label = lookup(label, smallest, "root", hot_keys(label, "root")).select("digest", "class_id", "component_id")
+    own = sketch.select("doc_id", "n_shingles", "digest")
+    own = lookup(own, label, "digest", hot_keys(own, "digest"))
     component = F.coalesce("component_id", "doc_id")
     return own.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
@@ -359,8 +418,13 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component (its smallest id); all columns kept.
 
     Rows without words stay, since they are linked with nothing, and so do rows
-    with a null id; of rows with equal id and text one stays.
+    with a null id; of rows with equal id and text one stays.  Only repeated rows
+    have their texts compared again.
     """
-    gone = near_duplicates(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return left.select(*(F.col(f"`{c}`") for c in docs.columns))
+    gone = near_duplicates(docs, words, percent).where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct()
+    key = F.xxhash64("doc_id", "text")
+    again = docs.groupBy(key.alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key")
+    left = (docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
+            .join(gone, "id", "left_anti"))
+    once = left.join(again, "key", "left_semi").withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"])
+    return left.join(again, "key", "left_anti").select("row.*").unionByName(once.select("row.*"))

@@ -85,6 +85,33 @@ def test_near_duplicates_of_a_chain_of_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(best))
 
 
+def test_near_duplicates_lose_no_link_of_null_ids(spark):
+    """A null id in a class of equal sets, and one that alone joins two texts."""
+    words = [f"w{i}" for i in range(300)]
+    near = words[:-6] + ["n1", "n2", "n3", "n4", "n5", "n6"]
+    chain = [[f"c{i}" for i in range(300)]]
+    for k in range(2):
+        chain.append(chain[-1][25:] + [f"d{k}{j}" for j in range(25)])
+    rows = [(None, words), (7, words), (5, near), (None, words), (21, chain[0]), (None, chain[1]), (20, chain[2]), (None, ["alone"])]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id) for r in superminhash.near_duplicates(df, 2).collect()), key=str)
+    assert got == sorted([(None, 5), (7, 5), (5, 5), (None, 5), (21, 20), (None, 20), (20, 20), (None, None)], key=str)
+
+
+@pytest.mark.parametrize("n", [100, 400])
+def test_unlinked_boilerplate_is_neither_paired_nor_dealt(spark, n):
+    """Texts that share two thirds of their words fall into common buckets, yet cost in proportion."""
+    shared = " ".join(f"b{i}" for i in range(130))
+    df = spark.createDataFrame([(i, shared + " " + " ".join(f"u{i}x{j}" for j in range(70))) for i in range(n)], "doc_id long, text string")
+    sets = [superminhash.shingles(r.text, 2, superminhash.WordHashes()) for r in df.collect()]
+    members = spark.createDataFrame([(i, i, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)],
+                                    "row long, root long, n long, set binary")
+    posts = superminhash.front_posts(members, 80)
+    assert posts.count() <= 0.21 * sum(map(len, sets)) + n
+    assert posts.groupBy("shingle").count().where("count > 1").count() == 0
+    assert all(r.kept for r in superminhash.near_duplicates(df, 2).collect())
+
+
 def test_signature_equals_the_sequential_algorithm():
     rng = np.random.default_rng(3)
     m = 64
