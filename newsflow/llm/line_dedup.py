@@ -7,24 +7,27 @@ all runs of ``min_words`` words (grams) are grouped globally and the occurrence
 with the smallest (doc_id, position) is kept.  Inside a text a gram counts as
 repeated only behind the end of its first occurrence.
 
-Few grams are shuffled: of every gram, the smallest hash of the ``SEED`` words runs
-in it is its seed, so equal grams have equal seeds, and only grams whose seed
-stands in several documents are compared.
-
-Only a document's distinct digests are shuffled, with map-side aggregation, so a
-line that every document holds is one small row per task.  Each document then
-meets its own list of repeated digests once.
+Few grams are shuffled.  The smallest hash of the ``SEED`` words runs in a gram is
+its seed; neighbouring grams with one seed are a unit, which has one digest, as a
+line has.  A unit that an earlier document holds is removed whole.  Only where a
+seed has units of different content, as at the ends of a passage, the grams of
+units not seen earlier are compared one by one.  That is exact: equal grams have
+equal seeds, and the first document with a gram holds it in a unit that no earlier
+document has.
+
+Shuffled are a document's units, with map-side aggregation, so a line that every
+document holds is one small row per task, and texts twice: those with such seeds,
+and all texts once to meet the word ranges to remove.
 
 Defined cases: null text stays null; empty and blank texts have no units; rows
 with a null id neither lose nor claim text; rows under one id are one document,
 so they never remove each other's text, while repetition inside a row goes.
-Further columns are kept as they are; only ``text`` and, where it exists,
-``n_chars`` change.
+Further columns are kept as they are, whatever their names, but ``removed``,
+which is replaced; only ``text`` and, where it exists, ``n_chars`` change.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.llm.common import CACHE_WORDS, arrow_map, mix64, stage, texts
+from newsflow.llm.common import CACHE_WORDS, arrow_map, mix64, release, stage, texts
 
-SEED, GRAM, MIN_WORDS = 8, 10, 20
+SEED, MIN_WORDS = 8, 20
 LINE = np.uint64(0xC2B2AE3D27D4EB4F)
-WORD = re.compile(r"[^ \t-\r]+")
 BASE = 0x9E3779B97F4A7C15 | 1
-MASK = (1 << 64) - 1
+RANGE = pa.struct([("start", pa.int32()), ("size", pa.int32())])
+RANGES = "array<struct<start:int,size:int>>"
 
 
 class UnitWords(dict):
@@ -100,126 +103,157 @@ class Read:
             width *= 2
         return np.minimum(low[:len(low) - (w - width)], low[w - width:]) if width < w else low
 
+    def units(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(seed, digest, first word, end) of every unit, then of every line (its own seed)."""
+        seeds, line = self.seeds(size), self.lines()
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(seeds)), bool), seeds[1:] != seeds[:-1]]))
+        end = np.append(first[1:], len(seeds))[:len(first)] + size - 1
+        a, b = np.concatenate([first, self.line_at[:-1]]), np.concatenate([end, self.line_at[1:]])
+        return (np.concatenate([seeds[first], line]), np.concatenate([self.digests(first, end), line]), a, b)
+
+    def repeats(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, end) of the grams and lines that stand behind the end of their first occurrence."""
+        grams = self.grams(size)
+        at = np.arange(len(grams))
+        a, b = np.concatenate([at, self.line_at[:-1]]), np.concatenate([at + size, self.line_at[1:]])
+        _, index, inverse = np.unique(np.concatenate([grams, self.lines()]), return_index=True, return_inverse=True)
+        again = b[index[inverse]] <= a
+        return a[again], b[again]
 
-def units(text: str, words: UnitWords, powers: Powers, size: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(digests of all grams and lines; first word, end and whether it is a line, of each)."""
-    r = Read(text, words, powers)
-    g, a = r.grams(size), r.line_at
-    start = np.arange(len(g))
-    at = np.concatenate([np.stack([start, start + size, 0 * start], 1), np.stack([a[:-1], a[1:], np.ones(len(a) - 1, np.int64)], 1)])
-    return np.concatenate([g, r.lines()]), at
-
-
-def spans_to_cut(text: str, digests: np.ndarray, at: np.ndarray, seen: set[int], min_words: int) -> list[tuple[int, int]]:
-    """Code point spans (end exclusive) of the words to remove; ``seen``: digests whose
-    first occurrence is in an earlier document."""
-    if not len(digests):
-        return []
-    again = np.zeros(len(digests), bool)
-    in_order = np.sort(digests)
-    if (in_order[1:] == in_order[:-1]).any():
-        _, index, inverse = np.unique(digests, return_index=True, return_inverse=True)
-        again = at[index[inverse], 1] <= at[:, 0]
-    if seen:
-        again |= np.isin(digests.view(np.int64), np.fromiter(seen, np.int64, len(seen)))
-    if not again.any():
-        return []
-    again &= (at[:, 1] - at[:, 0] >= min_words) | (at[:, 2] == 1)
-    n = int(at[:, 1].max())
-    depth = np.bincount(at[again, 0], minlength=n + 1) - np.bincount(at[again, 1], minlength=n + 1)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(depth) > 0).astype(np.int8), [0]])))
-    runs = list(zip(edge[::2], edge[1::2]))
-    if not runs:
-        return []
-    place = [m.span() for m in WORD.finditer(text)]
-    out = []
-    for a, b in runs:
-        start, end = place[a][0], place[b - 1][1]
-        after = place[b][0] if b < len(place) else len(text)
-        gap = text[end:after]
-        if "\n" not in gap:
-            end = after
-        elif start == 0 or text[start - 1] == "\n":
-            end += gap.index("\n") + 1
-        out.append((int(start), int(end)))
-    return out
 
+def _ranges(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    """One list of (first word, size) for each (first words, ends)."""
+    offsets = np.cumsum([0, *(len(a) for a, _ in found)]).astype(np.int32)
+    start, end = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ())))
+    flat = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end - start, pa.int32())], fields=list(RANGE))
+    return pa.ListArray.from_arrays(offsets, flat)
 
-def _lists(batch: pa.RecordBatch, lists: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "tkey": batch.column("tkey"), "units": pa.array(
-        [np.unique(x).view(np.int64) for x in lists], pa.list_(pa.int64()))})
 
+def _longs(lists: list[np.ndarray]) -> pa.Array:
+    return pa.array([x.view(np.int64) for x in lists], pa.list_(pa.int64()))
 
-def _seeds_and_lines(size: int):
+
+def _units(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, powers = UnitWords(), Powers()
         for batch in batches:
-            read = (Read(t, words, powers) for t in texts(batch))
-            yield _lists(batch, [np.concatenate([r.seeds(size), r.lines()]) for r in read])
+            seeds, digests, at, inner = [], [], [], []
+            for text in texts(batch):
+                r = Read(text, words, powers)
+                seed, digest, a, b = r.units(size)
+                seeds.append(seed)
+                digests.append(digest)
+                at.append((a, b))
+                # a repeated gram repeats its seed, in another unit or in one that holds both
+                twice = len(np.unique(seed)) < len(seed) or (b - a)[:len(a) + 1 - len(r.line_at)].max(initial=0) >= 2 * size
+                inner.append(r.repeats(size) if twice else (a[:0], b[:0]))
+            yield pa.RecordBatch.from_pydict({
+                "id": batch.column("id"), "tkey": batch.column("tkey"), "seeds": _longs(seeds), "digests": _longs(digests),
+                "at": _ranges(at), "inner": _ranges(inner)})
     return run
 
 
-def _grams_of_seeds(size: int):
+def _grams(size: int):
+    """The grams of a text whose seeds are among ``open``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, powers = UnitWords(), Powers()
         for batch in batches:
-            lists = []
-            for text, shared in zip(texts(batch), batch.column("shared")):
+            digests, at = [], []
+            for text, wanted in zip(texts(batch), batch.column("open")):
                 r = Read(text, words, powers)
-                lists.append(r.grams(size)[np.isin(r.seeds(size).view(np.int64), np.asarray(shared.values))])
-            yield _lists(batch, lists)
+                a = np.flatnonzero(np.isin(r.seeds(size).view(np.int64), wanted.values.to_numpy(zero_copy_only=False)))
+                digests.append(r.digests(a, a + size))
+                at.append((a, a + size))
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "tkey": batch.column("tkey"),
+                                              "digests": _longs(digests), "at": _ranges(at)})
     return run
 
 
-def _cut(min_words: int, names: list[str]):
+def spans(text: str, ranges: np.ndarray) -> list[tuple[int, int]]:
+    """Code point spans (end exclusive) of the words in ``ranges`` (first word, size),
+    with the white space behind them, and the line end where a whole line goes."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = (code == 32) | ((code >= 9) & (code <= 13))
+    turns = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
+    starts, ends = turns[::2], turns[1::2]
+    n = len(starts)
+    depth = np.bincount(ranges[:, 0], minlength=n + 1) - np.bincount(ranges.sum(1), minlength=n + 1)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(depth) > 0).astype(np.int8), [0]])))
+    out = []
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        start, end = int(starts[a]), int(ends[b - 1])
+        after = int(starts[b]) if b < n else len(text)
+        gap = text[end:after]
+        if "\n" not in gap:
+            end = after
+        elif start == 0 or text[start - 1] == "\n":
+            end += gap.index("\n") + 1
+        out.append((start, end))
+    return out
+
+
+def _cut(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, powers = UnitWords(), Powers()
         for batch in batches:
-            kept, spans = [], []
-            for text, seen in zip(batch.column("text").to_pylist(), batch.column("seen").to_pylist()):
-                cut = spans_to_cut(text, *units(text, words, powers, min_words), set(seen or ()), min_words) if text else []
+            row, cuts = batch.column("row"), batch.column("cuts")
+            column = {n: row.field(i) for i, n in enumerate(names)}
+            kept, removed = column["text"].to_pylist(), [[]] * batch.num_rows
+            for i in np.flatnonzero(cuts.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                flat = cuts[i].values
+                text = kept[i]
+                cut = spans(text, np.stack([flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in (0, 1)], 1))
                 at, parts = 0, []
                 for a, b in cut:
                     parts.append(text[at:a])
                     at = b
-                kept.append("".join(parts) + text[at:] if cut else text)
-                spans.append([{"start": a, "end": b} for a, b in cut])
-            columns = {n: batch.column(n) for n in names} | {
-                "text": pa.array(kept, pa.string()),
-                "removed": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
-            yield pa.RecordBatch.from_pydict(columns)
+                kept[i] = "".join(parts) + text[at:]
+                removed[i] = [{"start": a, "end": b} for a, b in cut]
+            column["text"] = pa.array(kept, pa.string())
+            column["removed"] = pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+            yield pa.RecordBatch.from_pydict(column)
     return run
 
 
-def _shared(lists: DataFrame) -> DataFrame:
-    """(doc_id, tkey, shared, seen): a document's digests that several hold, and those of them that an earlier one holds."""
-    posts = lists.select("doc_id", "tkey", F.explode("units").alias("unit"))
-    first = (posts.groupBy("unit").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .where("first < last").select("unit", "first"))
-    return (posts.join(first, "unit").groupBy("doc_id", "tkey")
-            .agg(F.collect_set("unit").alias("shared"), F.collect_set(F.expr("if(doc_id > first, unit, null)")).alias("seen")))
-
-
-def repeated_units(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, tkey, seen): the digests of a document that an earlier document holds."""
-    ddl = "doc_id long, tkey long, units array<long>"
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").where("doc_id is not null and text is not null")
-    some = stage(_shared(stage(arrow_map(keyed, _seeds_and_lines(size), ddl), "line-units")), "line-shared")
-    wide = keyed.join(some.select("doc_id", "tkey", "shared"), ["doc_id", "tkey"])
-    grams = _shared(stage(arrow_map(wide, _grams_of_seeds(size), ddl), "line-grams"))
-    return (some.select("doc_id", "tkey", "seen").unionByName(grams.select("doc_id", "tkey", "seen")).where("size(seen) > 0")
-            .groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("seen")).alias("seen")))
+def repeated_ranges(keyed: DataFrame, size: int) -> DataFrame:
+    """(id, tkey, cuts): the word ranges of a text that go; ``keyed``: id, tkey, text."""
+    units = stage(arrow_map(keyed, _units(size), f"id long, tkey long, seeds array<long>, digests array<long>, at {RANGES}, inner {RANGES}"),
+                  "line-units")
+    posts = (units.select("id", "tkey", F.explode(F.arrays_zip("seeds", "digests", "at")).alias("u"))
+             .select("id", "tkey", F.col("u.seeds").alias("seed"), F.col("u.digests").alias("digest"), F.col("u.at").alias("at")))
+    holders = posts.groupBy("seed", "digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    holders = stage(holders, "line-holders")
+    mixed = (holders.groupBy("seed").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.min("first").alias("first"),
+                                         F.max("last").alias("last")).where("first < last and lo < hi").select("seed"))
+    known = (holders.join(mixed.withColumn("mixed", F.lit(True)), "seed", "left")
+             .where("first < last or mixed").select("seed", "digest", "first", F.coalesce("mixed", F.lit(False)).alias("mixed")))
+    seen = F.col("id") > F.col("first")
+    hits = (posts.join(known, ["seed", "digest"]).where(seen | F.col("mixed")).groupBy("id", "tkey")
+            .agg(F.collect_list(F.when(seen, F.col("at"))).alias("cuts"), F.collect_set(F.when(~seen, F.col("seed"))).alias("open")))
+    hits = stage(hits, "line-hits")
+    release(holders)
+
+    wide = keyed.join(hits.where("size(open) > 0").select("id", "tkey", "open"), ["id", "tkey"])
+    grams = stage(arrow_map(wide, _grams(size), f"id long, tkey long, digests array<long>, at {RANGES}"), "line-grams")
+    posts = (grams.select("id", "tkey", F.explode(F.arrays_zip("digests", "at")).alias("u"))
+             .select("id", "tkey", F.col("u.digests").alias("digest"), F.col("u.at").alias("at")))
+    first = (posts.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+             .where("first < last").select("digest", "first"))
+    exact = (posts.join(first, "digest").where("id > first").groupBy("id", "tkey").agg(F.collect_list("at").alias("cuts")))
+    inner = units.where("size(inner) > 0").select("id", "tkey", F.col("inner").alias("cuts")).distinct()
+    return (hits.where("size(cuts) > 0").select("id", "tkey", "cuts").unionByName(exact).unionByName(inner)
+            .groupBy("id", "tkey").agg(F.flatten(F.collect_list("cuts")).alias("cuts")))
 
 
 def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated passages cut from ``text``; one more column, ``removed``:
     the cut spans as code point offsets into the original text."""
-    names = docs.columns
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    seen = repeated_units(docs, min_words).withColumnsRenamed({"doc_id": "_doc", "tkey": "_key"})
-    wide = (docs.join(seen, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left")
-            .select(*(F.col(f"`{c}`") for c in names), "seen"))
+    fields = [f for f in docs.schema.fields if f.name != "removed"]
+    names = [f.name for f in fields]
+    wide = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.xxhash64("text").alias("tkey"))
+    keyed = wide.select("id", "tkey", F.col("row.text").alias("text")).where("id is not null and text is not null")
+    cuts = repeated_ranges(keyed, min_words)
     span = T.StructType().add("start", T.LongType()).add("end", T.LongType())
-    schema = T.StructType([*docs.schema.fields, T.StructField("removed", T.ArrayType(span))])
-    out = arrow_map(wide, _cut(min_words, names), schema)
+    schema = T.StructType([*fields, T.StructField("removed", T.ArrayType(span))])
+    out = arrow_map(wide.join(cuts, ["id", "tkey"], "left").select("row", "cuts"), _cut(names), schema)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -173,30 +173,68 @@ def test_cut_lengths_bound_padding():
         assert sum(cut) == n and all((2048 // c) * c >= 0.95 * 2048 for c in cut)
 
 
-def brute_units(text, words, powers):
-    d, at = line_dedup.units(text, words, powers)
-    return d.tolist(), at
+def plain_cut(rows, size):
+    """(left text, removed spans) of every row by comparing word runs and lines as such."""
+    def runs(text):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        words, out, at = re.findall(r"[^\x20\x09-\x0D]+", low), [], 0
+        out += [(("gram", *words[i:i + size]), i, i + size) for i in range(len(words) - size + 1)]
+        for line in low.split("\n"):
+            n = len(re.findall(r"[^\x20\x09-\x0D]+", line))
+            if n:
+                out.append((("line", *words[at:at + n]), at, at + n))
+            at += n
+        return out
+    held = [(i, t, runs(t)) for i, t in rows if i is not None and t]
+    for doc, text in rows:
+        if doc is None or not text:
+            yield text, []
+            continue
+        earlier = {r for i, _, rs in held if i < doc for r, _, _ in rs}
+        first, gone = {}, set()
+        for r, a, b in runs(text):
+            if r in earlier or first.setdefault(r, b) <= a:
+                gone.update(range(a, b))
+        place = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        cut, i = [], 0
+        while i < len(place):
+            j = i
+            while j < len(place) and j in gone:
+                j += 1
+            if j > i:
+                (start, _), (_, end) = place[i], place[j - 1]
+                after = place[j][0] if j < len(place) else len(text)
+                if "\n" not in text[end:after]:
+                    end = after
+                elif start == 0 or text[start - 1] == "\n":
+                    end = text.index("\n", end) + 1
+                cut.append((start, end))
+            i = j + 1
+        yield "".join(c for k, c in enumerate(text) if not any(a <= k < b for a, b in cut)), cut
+
+
+def mosaic(seed, n):
+    """Texts pasted together from a few passages, lines and runs of one word."""
+    rng = random.Random(seed)
+    stock = [prose(100 + i, rng.randrange(3, 40)) for i in range(8)] + ["again " * 30, "one line\n", "\n\n"]
+    return [(rng.randrange(n), rng.choice(["", " ", "\n"]).join(rng.choice(stock) + " " + prose(rng.randrange(10 ** 6), rng.randrange(4))
+                                                               for _ in range(rng.randrange(6)))) for _ in range(n)]
 
 
-def test_line_dedup_against_one_pass(docs, none):
-    got = {}
-    for r in line_dedup.dedup_units(docs, min_words=10).collect():
-        got.setdefault(r.doc_id, []).append(r)
-    words, powers = line_dedup.UnitWords(), line_dedup.Powers()
-    for doc, text in ROWS:
-        if not text or doc is None:
-            assert all(r.text == text and r.removed == [] for r in got[doc])
-            continue
-        earlier = set()
-        for other, t in ROWS:
-            if other is not None and other < doc and t:
-                earlier |= set(line_dedup.units(t, words, powers)[0].view(np.int64).tolist())
-        spans = line_dedup.spans_to_cut(text, *line_dedup.units(text, words, powers), earlier, 10)
-        for r in got[doc]:
-            assert [tuple(s) for s in r.removed] == spans
-            left = [c for i, c in enumerate(text) if not any(a <= i < b for a, b in spans)]
-            assert r.text == "".join(left)
-    assert got[6][0].text == "" and got[12][0].removed and got[5][0].removed == []
+@pytest.mark.parametrize("rows", [ROWS, mosaic(1, 40), mosaic(2, 60)], ids=["odd", "mosaic1", "mosaic2"])
+def test_line_dedup_against_one_pass(spark, rows):
+    names = "doc_id long, text string, seen array<long>, removed string, _doc int, id int, tkey long, row string, cuts int, n_chars int"
+    df = spark.createDataFrame([(i, t, [1], "x", 7, 8, 9, "r", 4, -1) for i, t in rows], names).repartition(3)
+    out = line_dedup.dedup_units(df, min_words=10)
+    assert out.columns == [c for c in df.columns if c != "removed"] + ["removed"]
+    got = sorted(out.collect(), key=lambda r: str((r.doc_id, r.text, r.removed)))
+    want = sorted(((i, t, cut) for (i, _), (t, cut) in zip(rows, plain_cut(rows, 10))), key=lambda r: str((r[0], r[1], [tuple(x) for x in r[2]])))
+    assert sorted((str(r.doc_id), r.text or "", [tuple(s) for s in r.removed]) for r in got) == sorted((str(i), t or "", cut) for i, t, cut in want)
+    assert all((r.seen, r._doc, r.id, r.tkey, r.row, r.cuts) == ([1], 7, 8, 9, "r", 4) for r in got)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+
+
+def test_line_dedup_of_nothing(none):
     assert line_dedup.dedup_units(none).collect() == []
 
 
