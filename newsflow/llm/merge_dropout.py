@@ -9,7 +9,8 @@ occurrence of a word is cut on its own, within and across documents.
 Leaving out a merge that would not be made changes nothing.  So the merges made
 are remembered per segment and set of places left out, only those are hashed for
 an occurrence, and the set grows until every merge made is allowed: the exact
-result, while frequent words are merged once per set and not per occurrence.
+result, while frequent words are merged once per set and not per occurrence.  A
+segment that stands once in some texts is merged for that occurrence alone.
 
 No piece of a merge model joins the end of a word to the space after it, so a
 text is encoded by segments (spaces and the run behind them).  Short segments are
@@ -30,7 +31,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from newsflow.llm.common import arrow_map, mix64, texts
 
 RATE = 0.1
 #: Segments and places left out that a worker remembers; beyond it the memory starts anew (results are the same).
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 800_000
 SPACE = "▁"
 # Marks before which a segment may end, if the model allows.
 MARKS = ".,;:!?|\n"
@@ -51,7 +52,9 @@ SHORT = 40
 #: Characters of text whose new segments are merged in one go.
 TOGETHER = 1 << 22
 #: Occurrences whose merges are hashed in one go.
-HASHED = 1 << 18
+HASHED = 1 << 20
+#: No place: fills the rows of places left out.
+NOWHERE = np.uint64(2 ** 64 - 1)
 NEVER = np.iinfo(np.int32).max
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -111,10 +114,10 @@ class Encoder:
         self.cut_of: dict[str, int] = {}  # of a segment without any left out
         self.after: dict[int, int] = {}  # (cut, which of its merges are left out too) -> cut
         self.segments: list[str] = []
-        self.without: list[tuple[int, ...]] = []
         self.ids: list[bytes] = []
         self.places = np.zeros(0, np.uint64)  # of the merges made, cut after cut
         self.start = np.zeros(1, np.int64)
+        self.gone, self.gone_start = self.places, self.start  # places left out, cut after cut
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
         """Ids of a text; ``key`` names the document."""
@@ -137,28 +140,43 @@ class Encoder:
         found = [self.m.segment.findall(" " + text) if text else [] for _, text in wanted]
         if len(self.ids) > CACHE_SEGMENTS:
             self._forget()
-        new = [s for s in set(chain.from_iterable(found)) if s not in self.cut_of]
-        self.cut_of.update(zip(new, self._add([(s, ()) for s in new])))
-        cuts = np.fromiter(map(self.cut_of.__getitem__, chain.from_iterable(found)), np.int64)
+        flat = list(chain.from_iterable(found))
         sizes = [len(f) for f in found]
         keys = mix64(np.repeat(self._keys(wanted), sizes) + np.concatenate([np.arange(n, dtype=np.uint64) for n in sizes]) * A)
-        ids: list[bytes] = []
+        cuts = np.fromiter(map(self.cut_of.get, flat, repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(cuts < 0).tolist()
+        first: dict[str, int] = {}
+        often = {s for i in unknown if first.setdefault(s := flat[i], i) != i or not self.limit or len(s) > SHORT}
+        self.cut_of.update(zip(often, self._add(list(often), np.zeros((len(often), 0), np.uint64))))
+        cuts[unknown] = [self.cut_of.get(flat[i], -1) for i in unknown]
         for a in range(0, len(cuts), HASHED):
-            ids += self._dropped(cuts[a:a + HASHED], keys[a:a + HASHED])
-        each = iter(ids)
+            self._drop(cuts[a:a + HASHED], keys[a:a + HASHED])
+        # a segment met once here is merged for its occurrence alone, and so is a long one
+        once = np.flatnonzero(cuts < 0)
+        ids = self.ids + self._alone([flat[i] for i in once.tolist()], keys[once])
+        cuts[once] = np.arange(len(self.ids), len(ids))
+        got = list(map(ids.__getitem__, cuts.tolist()))
+        if self.limit:
+            for i, known in enumerate(got):
+                if not known:
+                    got[i] = self._by_heap(flat[i], keys[i:i + 1])
+        each = iter(got)
         return [np.frombuffer(b"".join(islice(each, n)), "<i4") for n in sizes]
 
-    def _dropped(self, cuts: np.ndarray, key: np.ndarray) -> list[bytes]:
-        """Ids of occurrences, given the cuts of their whole segments and their keys."""
-        going, long = np.arange(len(cuts)) if self.limit else np.zeros(0, np.int64), []
+    def _alone(self, segments: list[str], keys: np.ndarray) -> list[bytes]:
+        ids: list = [b""] * len(segments)
+        for rows, n in _by_length(segments):
+            for i, got in zip(rows.tolist(), self._together([segments[i] for i in rows.tolist()], n, keys[rows])):
+                ids[i] = got
+        return ids
+
+    def _drop(self, cuts: np.ndarray, key: np.ndarray) -> None:
+        """Turns the cuts of whole segments into those of their occurrences, given the occurrences' keys."""
+        going = np.flatnonzero(cuts >= 0) if self.limit else np.zeros(0, np.int64)
         while len(going):
             at = cuts[going]
-            first = self.start[at]
-            n = self.start[at + 1] - first
-            before = np.cumsum(n) - n
-            owner = np.repeat(np.arange(len(going)), n)
-            place = np.arange(len(owner)) - before[owner]
-            hit = np.flatnonzero(self._skipped(key[going][owner], self.places[first[owner] + place]))
+            which_place, owner, place = self._spread(self.start, at)
+            hit = np.flatnonzero(self._skipped(key[going][owner], self.places[which_place]))
             if not len(hit):
                 break
             who = owner[hit]
@@ -167,46 +185,58 @@ class Encoder:
             going = going[who[lead]]
             each, inverse = np.unique(which, return_inverse=True)
             new = [w for w in each.tolist() if w not in self.after]
-            self.after.update(zip(new, self._add([self._narrowed(w) for w in new])))
-            cuts[going] = np.array([self.after[w] for w in each.tolist()])[inverse]
-        ids = list(map(self.ids.__getitem__, cuts.tolist()))
-        if self.limit:
-            for i, known in enumerate(ids):
-                if not known:  # a long segment
-                    ids[i] = self._by_heap(self.segments[cuts[i]], key[i:i + 1])
-        return ids
-
-    def _narrowed(self, which: int) -> tuple[str, tuple[int, ...]]:
-        cut, more = which >> SHORT, which & (1 << SHORT) - 1
-        made = self.places[self.start[cut]:self.start[cut + 1]].tolist()
-        return self.segments[cut], self.without[cut] + tuple(p for j, p in enumerate(made) if more >> j & 1)
-
-    def _add(self, wanted: list[tuple[str, tuple[int, ...]]]) -> range:
-        """New cuts of (segment, places left out)."""
-        ids: list = [b""] * len(wanted)
+            if new:
+                self.after.update(zip(new, self._add(*self._narrowed(np.array(new)))))
+            cuts[going] = np.fromiter(map(self.after.__getitem__, each.tolist()), np.int64, len(each))[inverse]
+
+    def _narrowed(self, which: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Segments and places left out (a padded row each) of cuts that leave out more of their merges."""
+        cut = which >> SHORT
+        more, row, at = self._spread(self.start, cut)
+        taken = (which[row] >> at & 1).astype(bool)
+        known, owner, _ = self._spread(self.gone_start, cut)
+        value = np.concatenate([self.gone[known], self.places[more[taken]]])
+        owner = np.concatenate([owner, row[taken]])
+        order = np.argsort(owner, kind="stable")
+        value, owner = value[order], owner[order]
+        size = np.bincount(owner, minlength=len(which))
+        out = np.full((len(which), int(size.max())), NOWHERE)
+        out[owner, np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)] = value
+        return [self.segments[c] for c in cut.tolist()], out
+
+    @staticmethod
+    def _spread(start: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index, which cut, place in it) of all entries that ``start`` lists for the cuts."""
+        n = start[cut + 1] - start[cut]
+        row = np.repeat(np.arange(len(cut)), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        return start[cut][row] + at, row, at
+
+    def _add(self, segments: list[str], without: np.ndarray) -> range:
+        """New cuts of segments, each with its row of places left out."""
+        ids: list = [b""] * len(segments)
         made: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), self.places[:0])]
-        groups: dict[tuple[int, int], list[int]] = {}
-        for i, (s, without) in enumerate(wanted):
-            if len(s) <= SHORT:
-                groups.setdefault((len(s), len(without)), []).append(i)
-            elif not self.limit:
-                ids[i] = self._by_heap(s, np.zeros(1, np.uint64))
-        for (n, m), rows in groups.items():
-            without = np.array([wanted[i][1] for i in rows], np.uint64).reshape(len(rows), m)
+        for rows, n in _by_length(segments):
+            group = rows.tolist()
+            if n > SHORT:
+                for i in group if not self.limit else ():
+                    ids[i] = self._by_heap(segments[i], np.zeros(1, np.uint64))
+                continue
             steps: list[tuple[np.ndarray, np.ndarray]] = []
-            for i, got in zip(rows, self._together([wanted[i][0] for i in rows], n, without, steps)):
+            for i, got in zip(group, self._together([segments[i] for i in group], n, without[rows], steps)):
                 ids[i] = got
             if self.limit:
-                which = np.array(rows)
-                made += [(which[row], place) for row, place in steps]
+                made += [(rows[row], place) for row, place in steps]
         first = len(self.ids)
         self.ids += ids
-        self.segments += [s for s, _ in wanted]
-        self.without += [w for _, w in wanted]
-        if wanted:
+        self.segments += segments
+        if segments:
             row, place = (np.concatenate(x) for x in zip(*made))
             self.places = np.concatenate([self.places, place[np.argsort(row, kind="stable")]])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.bincount(row, minlength=len(wanted)))])
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.bincount(row, minlength=len(segments)))])
+            left = without != NOWHERE
+            self.gone = np.concatenate([self.gone, without[left]])
+            self.gone_start = np.concatenate([self.gone_start, self.gone_start[-1] + np.cumsum(left.sum(1))])
         return range(first, len(self.ids))
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
@@ -317,6 +347,15 @@ def _place(start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
     return start.astype(u) * A + mid.astype(u) * B + end.astype(u) * C
 
 
+def _by_length(segments: list[str]) -> Iterator[tuple[np.ndarray, int]]:
+    """(which, length) of the segments of each length."""
+    size = np.fromiter(map(len, segments), np.int64, len(segments))
+    order = np.argsort(size, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+        if len(rows):
+            yield rows, int(size[rows[0]])
+
+
 def _without(x: np.ndarray, column: np.ndarray) -> np.ndarray:
     """``x`` without one column of each row."""
     keep = np.ones(x.shape, bool)
