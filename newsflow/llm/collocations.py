@@ -11,7 +11,8 @@ chunk owns all its words but the overlap at its end, and every occurrence is
 counted once, weighted by the frequency of its chunk.
 
 Phrases are counted level by level: one of m words is frequent only if its first
-and its last m - 1 words are, so only such phrases are built.  What passed the
+and its last m - 1 words are, so only such phrases are built, and from three words
+on only chunks that hold such phrases are read again.  What passed the
 last level travels as a bitmap of hashes of a fixed size (``FILTER_BITS``); a
 false hit costs a row and nothing else, since the counts are of the phrases
 themselves and exact at any size.
@@ -27,97 +28,155 @@ Ids and further columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import WordHashes, arrow_map, mix64, release, stage
+from newsflow.llm.common import CACHE_WORDS, arrow_map, mix64, release, stage
 
-# Marks that end a piece, white space that ends a word, letters that are lower-cased.
-MARKS = re.compile(r"[.,;:!?\x0A-\x0D]")
-WORD = re.compile(r"[^\x20\x09]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
+# Letters that are lower-cased, marks and line ends that end a piece, white space that ends a word.
+BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
 #: Words of the trigger window, and of the overlap of two chunks.
 OVERLAP = 4
 LONGEST = OVERLAP + 1
 #: One window in this many starts a chunk.
 SPACING = 16
 MIN_COUNT, TOP = 100, 2000
-#: Distinct entries a worker adds up before it sends them on.
-HELD = 200_000
+#: Distinct pieces, and distinct phrases, that a worker adds up before it sends them on.
+PIECES, PHRASES = 200_000, 1 << 21
 #: Bits of the filter between two levels (8 MB).
 FILTER_BITS = 26
 #: Parts of a language that are ranked on their own first.
 PARTS = 64
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+PARSED = "lang string, chunk string, owned long, times long"
 
 
-def pieces(text: str) -> Iterator[list[str]]:
-    """The words of each piece of a text."""
-    for part in MARKS.split(text.translate(LOWER)):
-        if words := WORD.findall(part):
-            yield words
+class Numbers(dict):
+    """word (bytes) -> its number, in one language."""
 
+    def __init__(self, words: "Words", lang: str) -> None:
+        self.words, self.lang, self.seed = words, lang, xxhash.xxh64_intdigest(lang)
 
-def _hash_of(words: Iterable[str], hashes: WordHashes) -> np.ndarray:
-    return np.array([hashes[w.encode("utf-8", "surrogatepass")] for w in words], np.uint64)
+    def __missing__(self, word: bytes) -> int:
+        w = self.words
+        n = self[word] = len(w.spelt)
+        w.spelt.append(word)
+        w.lang.append(self.lang)
+        w.new.append(xxhash.xxh64_intdigest(word, self.seed))
+        return n
 
 
-def chunks(words: list[str], hashes: WordHashes, spacing: int = SPACING) -> list[tuple[str, int]]:
-    """(chunk, words it owns) of a piece: overlapping by ``OVERLAP`` words."""
-    n = len(words)
-    if n <= OVERLAP:
-        return [(" ".join(words), n)]
-    h = _hash_of(words, hashes)
-    window = np.zeros(n - OVERLAP + 1, np.uint64)
-    for i in range(OVERLAP):
-        window = mix64(window * GOLDEN + h[i:n - OVERLAP + 1 + i])
-    starts = [0, *(1 + np.flatnonzero(window[1:] % np.uint64(spacing) == 0)).tolist(), n]
-    return [(" ".join(words[a:b + OVERLAP]), b - a) for a, b in zip(starts, starts[1:])]
+class Words:
+    """A worker's numbering of words and their hashes."""
 
+    def __init__(self) -> None:
+        self.by_lang: dict[str, Numbers] = {}
+        self.spelt: list[bytes] = []
+        self.lang: list[str] = []
+        self.new: list[int] = []
+        self.hashed = np.zeros(0, np.uint64)
 
-def _flush(held: Counter, names: tuple[str, ...]) -> pa.RecordBatch:
-    columns = list(zip(*held)) or [()] * (len(names) - 1)
-    kinds = {"lang": pa.string(), "chunk": pa.string(), "phrase": pa.string(), "owned": pa.int64()}
-    data = {n: pa.array(c, kinds[n]) for n, c in zip(names, columns)}
-    return pa.RecordBatch.from_pydict(data | {names[-1]: pa.array(held.values(), pa.int64())})
+    def of(self, lang: str) -> Numbers:
+        return self.by_lang.get(lang) or self.by_lang.setdefault(lang, Numbers(self, lang))
+
+    def hashes(self) -> np.ndarray:
+        if self.new:
+            self.hashed = np.concatenate([self.hashed, np.array(self.new, np.uint64)])
+            self.new = []
+        return self.hashed
+
+    def full(self) -> bool:
+        return len(self.spelt) > CACHE_WORDS
+
+
+def _windows(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` word hashes."""
+    out = np.zeros(max(0, len(h) - size + 1), np.uint64)
+    for i in range(size):
+        out = mix64(out * GOLDEN + h[i:i + len(out)])
+    return out
+
+
+def pieces(text: bytes) -> list[bytes]:
+    """The pieces of a text: lower-cased, tabs as spaces; blank ones included."""
+    return text.translate(BYTES).split(b"\n")
+
+
+def chunks(held: list[tuple[str, bytes]], spacing: int = SPACING) -> list[list[tuple[bytes, int]]]:
+    """(chunk, words it owns) of each (language, piece): overlapping by ``OVERLAP`` words."""
+    known = Words()
+    split = [piece.split() for _, piece in held]
+    size = np.fromiter(map(len, split), np.int64, len(split))
+    number = np.fromiter(chain.from_iterable(map(known.of(lang).__getitem__, words) for (lang, _), words in zip(held, split)), np.int64)
+    end = np.cumsum(size)
+    start = end - size
+    out = [[(b" ".join(words), len(words))] for words in split]
+    trigger = np.flatnonzero(_windows(known.hashes()[number], OVERLAP) % np.uint64(spacing) == 0)
+    owner = np.searchsorted(end, trigger, side="right")
+    inside = (trigger > start[owner]) & (trigger + OVERLAP <= end[owner])
+    trigger, owner = trigger[inside], owner[inside]
+    for i, places in zip(*_grouped(owner, trigger - start[owner])):
+        words, cuts = split[i], [0, *places, len(split[i])]
+        out[i] = [(b" ".join(words[a:b + OVERLAP]), b - a) for a, b in zip(cuts, cuts[1:])]
+    return out
+
+
+def _grouped(owner: np.ndarray, values: np.ndarray) -> tuple[list[int], list[list[int]]]:
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    return owner[first].tolist(), [x.tolist() for x in np.split(values, first[1:])] if len(first) else []
+
+
+def _strings(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
 
 
 def _parse(spacing: int):
+    def sent(held: Counter) -> pa.RecordBatch:
+        rows: Counter = Counter()
+        for (lang, _), times, made in zip(held, held.values(), chunks(list(held), spacing)):
+            for chunk, owned in made:
+                if owned:
+                    rows[lang, chunk, owned] += times
+        lang, chunk, owned = zip(*rows) if rows else ((), (), ())
+        return pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.string()), "chunk": _strings(chunk),
+                                           "owned": pa.array(owned, pa.int64()), "times": pa.array(rows.values(), pa.int64())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = WordHashes(), Counter()
+        held: Counter = Counter()
         for batch in batches:
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                for words in pieces(text or ""):
-                    for chunk, owned in chunks(words, hashes, spacing):
-                        held[lang, chunk, owned] += 1
-                if len(held) > HELD:
-                    yield _flush(held, ("lang", "chunk", "owned", "times"))
+            for text, lang in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
+                held.update((lang, piece) for piece in pieces(text or b"") if piece)
+                if len(held) > PIECES:
+                    yield sent(held)
                     held.clear()
-        yield _flush(held, ("lang", "chunk", "owned", "times"))
+        yield sent(held)
     return run
 
 
 def dictionary(docs: DataFrame, spacing: int = SPACING) -> DataFrame:
     """(lang, chunk, owned, times): distinct chunks with their parse frequencies."""
     rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    return (arrow_map(rows, _parse(spacing), "lang string, chunk string, owned long, times long")
-            .groupBy("lang", "chunk", "owned").agg(F.sum("times").alias("times")))
+    return arrow_map(rows, _parse(spacing), PARSED).groupBy("lang", "chunk", "owned").agg(F.sum("times").alias("times"))
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase), all of one length -> the filter's words and the bits set in them."""
-    hashes = WordHashes()
     for batch in batches:
-        at = _hash_of(batch.column("lang").to_pylist(), hashes)
-        for column in zip(*(p.split(" ") for p in batch.column("phrase").to_pylist())):
-            at = mix64(at * GOLDEN + _hash_of(column, hashes))
+        if not batch.num_rows:
+            continue
+        words = Words()
+        split = [p.split(b" ") for p in batch.column("phrase").cast(pa.binary()).to_pylist()]
+        number = [list(map(words.of(lang).__getitem__, p)) for lang, p in zip(batch.column("lang").to_pylist(), split)]
+        at = np.zeros(len(split), np.uint64)
+        for column in np.array(number, np.int64).reshape(len(split), -1).T:
+            at = mix64(at * GOLDEN + words.hashes()[column])
         at = at >> np.uint64(64 - FILTER_BITS)
         yield pa.RecordBatch.from_pydict({"word": pa.array((at >> np.uint64(6)).astype(np.int64)),
                                           "bits": pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))})
@@ -132,55 +191,90 @@ def _filter_of(frequent: DataFrame) -> np.ndarray:
     return out
 
 
+class Tally:
+    """Counts of phrases as rows of word numbers, two numbers to a 64-bit key; exact."""
+
+    def __init__(self, m: int) -> None:
+        self.m, self.keys, self.counts = m, np.zeros(((m + 1) // 2, 0), np.int64), np.zeros(0, np.int64)
+
+    def add(self, number: np.ndarray, at: np.ndarray, times: np.ndarray) -> None:
+        """Phrases that start at ``at``, so many times each."""
+        keys = [number[at + i] << 32 | (number[at + i + 1] if i + 1 < self.m else 0) for i in range(0, self.m, 2)]
+        keys, counts = np.concatenate([self.keys, keys], axis=1), np.concatenate([self.counts, times])
+        order = np.lexsort(keys[::-1])
+        keys = keys[:, order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(order)), bool), (keys[:, 1:] != keys[:, :-1]).any(0)]))
+        self.keys, self.counts = keys[:, first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+    def sent(self, words: Words) -> pa.RecordBatch:
+        number = list(zip(*((self.keys[i // 2] >> 32 if i % 2 == 0 else self.keys[i // 2] & 0xFFFFFFFF).tolist() for i in range(self.m))))
+        out = pa.RecordBatch.from_pydict({
+            "lang": pa.array([words.lang[n[0]] for n in number], pa.string()),
+            "phrase": _strings([b" ".join([words.spelt[i] for i in n]) for n in number]), "a": pa.array(self.counts)})
+        self.__init__(self.m)
+        return out
+
+
 def _count(m: int, known):
-    """Occurrences of phrases of ``m`` words whose first and last ``m - 1`` words passed."""
+    """Occurrences of phrases of ``m`` words whose first and last ``m - 1`` words passed;
+    from three words on also the chunks that may hold longer ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = WordHashes(), Counter()
-        bitmap = known.value
+        words, tally = Words(), Tally(m)
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("lang", "chunk", "owned", "times"))
-            rows = [(lang, words, owned, times) for lang, chunk, owned, times in zip(*columns)
-                    if len(words := chunk.split(" ")) >= m]
-            if not rows:
+            if words.full() or len(tally.counts) > PHRASES:
+                yield tally.sent(words)
+                if words.full():
+                    words = Words()
+            split = [c.split(b" ") for c in batch.column("chunk").cast(pa.binary()).to_pylist()]
+            langs = batch.column("lang").to_pylist()
+            number = np.fromiter(chain.from_iterable(map(words.of(lang).__getitem__, w) for lang, w in zip(langs, split)), np.int64)
+            if len(number) < m:
                 continue
-            size = np.array([len(r[1]) for r in rows])
-            end = np.cumsum(size)
-            h = _hash_of(chain.from_iterable(r[1] for r in rows), hashes)
-            part = np.repeat(_hash_of([r[0] for r in rows], hashes), size)
-            n = len(h)
-            for i in range(m - 1):
-                part = mix64(part[:n - i] * GOLDEN + h[i:])
-            at = part >> np.uint64(64 - FILTER_BITS)
-            ok = (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-            ok = ok[:-1] & ok[1:]
-            owner = np.repeat(np.arange(len(rows)), size)[:len(ok)]
-            start = np.arange(len(ok)) - (end - size)[owner]
-            limit = np.minimum([r[2] for r in rows], size - m + 1)
-            for r, s in zip(*(x[ok & (start < limit[owner])].tolist() for x in (owner, start))):
-                lang, words, _, times = rows[r]
-                held[lang, " ".join(words[s:s + m])] += times
-            if len(held) > HELD:
-                yield _flush(held, ("lang", "phrase", "a"))
-                held.clear()
-        yield _flush(held, ("lang", "phrase", "a"))
-    return run
+            size = np.fromiter(map(len, split), np.int64, len(split))
+            first = np.cumsum(size) - size
+            owner = np.repeat(np.arange(len(split)), size)[:len(number) - m + 1]
+            start = np.arange(len(owner)) - first[owner]
+            ok = start + m <= size[owner]
+            if m > 1:
+                hashed = _windows(words.hashes()[number], m - 1) >> np.uint64(64 - FILTER_BITS)
+                passed = (known.value[(hashed >> np.uint64(6)).astype(np.int64)] >> (hashed & np.uint64(63)) & np.uint64(1)).astype(bool)
+                ok &= passed[:-1] & passed[1:]
+            owned = np.flatnonzero(ok & (start < batch.column("owned").to_numpy()[owner]))
+            tally.add(number, owned, batch.column("times").to_numpy()[owner[owned]])
+            if m > 2:
+                longer = np.flatnonzero(ok[:-1] & ok[1:] & (owner[:-1] == owner[1:]))
+                keep = pa.array(np.unique(owner[longer]))
+                rows = {c: batch.column(c).take(keep) for c in ("lang", "chunk", "owned", "times")}
+                yield pa.RecordBatch.from_pydict(rows | {"phrase": pa.nulls(len(keep), pa.string()), "a": pa.nulls(len(keep), pa.int64())})
+        yield tally.sent(words)
+
+    def with_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batches):
+            if "chunk" not in out.schema.names:
+                n = out.num_rows
+                out = pa.RecordBatch.from_pydict({"lang": out.column("lang"), "chunk": pa.nulls(n, pa.string()), "owned": pa.nulls(n, pa.int64()),
+                                                  "times": pa.nulls(n, pa.int64()), "phrase": out.column("phrase"), "a": out.column("a")})
+            yield out
+    return with_chunks if m > 2 else run
 
 
 def frequent_phrases(parsed: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """(lang, phrase, m, a): all phrases of up to ``LONGEST`` words that stand ``min_count``
     times or more, from a staged dictionary."""
     spark: SparkSession = parsed.sparkSession
-    words = parsed.select("lang", F.explode(F.slice(F.split("chunk", " "), F.lit(1), F.col("owned").cast("int"))).alias("phrase"), "times")
-    level = words.groupBy("lang", "phrase").agg(F.sum("times").alias("a"))
     levels, known = [], None
     for m in range(1, LONGEST + 1):
         if m > 1:
-            if known:
-                known.unpersist()
             known = spark.sparkContext.broadcast(_filter_of(levels[-1]))
-            level = (arrow_map(parsed, _count(m, known), "lang string, phrase string, a long")
-                     .groupBy("lang", "phrase").agg(F.sum("a").alias("a")))
-        levels.append(stage(level.where(F.col("a") >= min_count).withColumn("m", F.lit(m)), "phrase-level"))
+        if m <= 2:
+            counts = arrow_map(parsed, _count(m, known), "lang string, phrase string, a long")
+        else:  # few chunks hold frequent pairs in a row; only they are read for the next level
+            both = stage(arrow_map(parsed, _count(m, known), PARSED + ", phrase string, a long"), "phrase-pass")
+            counts, parsed = both.where("phrase is not null"), both.where("phrase is null").select("lang", "chunk", "owned", "times")
+        counts = counts.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+        levels.append(stage(counts.where(F.col("a") >= min_count).withColumn("m", F.lit(m)), "phrase-level"))
+        if known:
+            known.unpersist()
     out = levels[0]
     for more in levels[1:]:
         out = out.unionByName(more)

@@ -7,7 +7,6 @@ from collections import Counter
 import pytest
 
 from newsflow.llm import collocations as C
-from newsflow.llm.common import WordHashes
 
 VOCAB = [f"w{i}" for i in range(9)]
 
@@ -53,7 +52,9 @@ def test_each_phrase_is_owned_once():
     for n in (1, 3, 4, 5, 6, 9, 40, 300):
         for spacing in (1, 2, 5, 1000):
             words = [rng.choice(VOCAB) for _ in range(n)]
-            made = C.chunks(words, WordHashes(), spacing)
+            before, made, after = C.chunks([("en", b"w1 w2 w3 w4 w5"), ("en", " ".join(words).encode()), ("fr", b"w1 w2 w3 w4")], spacing)
+            assert sum(owned for _, owned in before) == 5 and after == [(b"w1 w2 w3 w4", 4)]
+            made = [(chunk.decode(), owned) for chunk, owned in made]
             assert sum(owned for _, owned in made) == n
             for m in range(1, C.LONGEST + 1):
                 direct = Counter(tuple(words[i:i + m]) for i in range(n - m + 1))
@@ -67,8 +68,8 @@ def test_each_phrase_is_owned_once():
 def test_chunks_depend_on_content_alone():
     rng = random.Random(4)
     words = [f"x{rng.randrange(500)}" for _ in range(400)]
-    alone = {c for c, _ in C.chunks(words, WordHashes())}
-    moved = {c for c, _ in C.chunks([f"y{i}" for i in range(50)] + words, WordHashes())}
+    alone, moved = ({c for c, _ in made} for made in C.chunks(
+        [("en", " ".join(w).encode()) for w in (words, [f"y{i}" for i in range(50)] + words)]))
     assert len(alone & moved) >= len(alone) - 2
 
 
