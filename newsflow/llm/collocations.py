@@ -30,11 +30,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +50,8 @@ SPACING = 16
 MIN_COUNT, TOP = 100, 2000
 #: Distinct pieces, and distinct phrases, that a worker adds up before it sends them on.
 PIECES, PHRASES = 200_000, 1 << 21
+#: Chunks whose words are numbered in one go.
+ROWS = 60_000
 #: Bits of the filter between two levels (8 MB).
 FILTER_BITS = 26
 #: Parts of a language that are ranked on their own first.
@@ -58,42 +60,25 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 PARSED = "lang string, chunk string, owned long, times long"
 
 
-class Numbers(dict):
-    """word (bytes) -> its number, in one language."""
+class Split:
+    """The words of some phrases: which of the batch's distinct (language, word) pairs each is."""
 
-    def __init__(self, words: "Words", lang: str) -> None:
-        self.words, self.lang, self.seed = words, lang, xxhash.xxh64_intdigest(lang)
-
-    def __missing__(self, word: bytes) -> int:
-        w = self.words
-        n = self[word] = len(w.spelt)
-        w.spelt.append(word)
-        w.lang.append(self.lang)
-        w.new.append(xxhash.xxh64_intdigest(word, self.seed))
-        return n
-
-
-class Words:
-    """A worker's numbering of words and their hashes."""
-
-    def __init__(self) -> None:
-        self.by_lang: dict[str, Numbers] = {}
-        self.spelt: list[bytes] = []
-        self.lang: list[str] = []
-        self.new: list[int] = []
-        self.hashed = np.zeros(0, np.uint64)
-
-    def of(self, lang: str) -> Numbers:
-        return self.by_lang.get(lang) or self.by_lang.setdefault(lang, Numbers(self, lang))
-
-    def hashes(self) -> np.ndarray:
-        if self.new:
-            self.hashed = np.concatenate([self.hashed, np.array(self.new, np.uint64)])
-            self.new = []
-        return self.hashed
-
-    def full(self) -> bool:
-        return len(self.spelt) > CACHE_WORDS
+    def __init__(self, lang: pa.Array, phrases: pa.Array) -> None:
+        words = pc.split_pattern(phrases, " ")
+        self.size = np.diff(words.offsets.to_numpy())
+        spelt, langs = words.flatten().dictionary_encode(), lang.dictionary_encode()
+        many = max(1, len(spelt.dictionary))
+        pair = np.repeat(langs.indices.to_numpy().astype(np.int64), self.size) * many + spelt.indices.to_numpy()
+        if len(langs.dictionary) * many <= 8 * len(pair) + 1024:
+            met = np.zeros(len(langs.dictionary) * many, bool)
+            met[pair] = True
+            each = np.flatnonzero(met)
+            self.which = (np.cumsum(met) - 1)[pair]
+        else:
+            each, self.which = np.unique(pair, return_inverse=True)
+        self.lang, self.word = langs.dictionary.take(pa.array(each // many)), spelt.dictionary.take(pa.array(each % many))
+        by_word, by_lang = (hash_array(d.to_numpy(zero_copy_only=False), categorize=False) for d in (spelt.dictionary, langs.dictionary))
+        self.hashes = mix64(by_word[each % many] ^ mix64(by_lang[each // many]))
 
 
 def _windows(h: np.ndarray, size: int) -> np.ndarray:
@@ -109,23 +94,22 @@ def pieces(text: bytes) -> list[bytes]:
     return text.translate(BYTES).split(b"\n")
 
 
-def chunks(held: list[tuple[str, bytes]], spacing: int = SPACING) -> list[list[tuple[bytes, int]]]:
-    """(chunk, words it owns) of each (language, piece): overlapping by ``OVERLAP`` words."""
-    known = Words()
-    split = [piece.split() for _, piece in held]
-    size = np.fromiter(map(len, split), np.int64, len(split))
-    number = np.fromiter(chain.from_iterable(map(known.of(lang).__getitem__, words) for (lang, _), words in zip(held, split)), np.int64)
-    end = np.cumsum(size)
-    start = end - size
-    out = [[(b" ".join(words), len(words))] for words in split]
-    trigger = np.flatnonzero(_windows(known.hashes()[number], OVERLAP) % np.uint64(spacing) == 0)
+def chunks(lang: pa.Array, found: list[bytes], spacing: int = SPACING) -> tuple[Split, dict[int, list[tuple[bytes, int]]]]:
+    """The words of each piece, and for those that do not stay one chunk (chunk, words
+    it owns), overlapping by ``OVERLAP`` words.  Pieces have one blank between words."""
+    split = Split(lang, _strings(found))
+    end = np.cumsum(split.size)
+    start = end - split.size
+    trigger = np.flatnonzero(_windows(split.hashes[split.which], OVERLAP) % np.uint64(spacing) == 0)
     owner = np.searchsorted(end, trigger, side="right")
     inside = (trigger > start[owner]) & (trigger + OVERLAP <= end[owner])
     trigger, owner = trigger[inside], owner[inside]
+    out = {}
     for i, places in zip(*_grouped(owner, trigger - start[owner])):
-        words, cuts = split[i], [0, *places, len(split[i])]
+        words = found[i].split(b" ")
+        cuts = [0, *places, len(words)]
         out[i] = [(b" ".join(words[a:b + OVERLAP]), b - a) for a, b in zip(cuts, cuts[1:])]
-    return out
+    return split, out
 
 
 def _grouped(owner: np.ndarray, values: np.ndarray) -> tuple[list[int], list[list[int]]]:
@@ -138,15 +122,27 @@ def _strings(values: list[bytes]) -> pa.Array:
 
 
 def _parse(spacing: int):
-    def sent(held: Counter) -> pa.RecordBatch:
+    def sent(held: Counter) -> Iterator[pa.RecordBatch]:
         rows: Counter = Counter()
-        for (lang, _), times, made in zip(held, held.values(), chunks(list(held), spacing)):
-            for chunk, owned in made:
-                if owned:
-                    rows[lang, chunk, owned] += times
-        lang, chunk, owned = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.string()), "chunk": _strings(chunk),
-                                           "owned": pa.array(owned, pa.int64()), "times": pa.array(rows.values(), pa.int64())})
+        for (lang, piece), n in held.items():
+            rows[lang, b" ".join(piece.split())] += n
+        found = [key for key in rows if key[1]]
+        if not found:
+            return
+        lang, piece = pa.array([f[0] for f in found], pa.string()), [f[1] for f in found]
+        times = np.array([rows[f] for f in found])
+        split, cut = chunks(lang, piece, spacing)
+        whole = np.ones(len(found), bool)
+        whole[list(cut)] = False
+        count = np.bincount(split.which, np.repeat(times, split.size)).astype(np.int64)
+        parts = [(chunk, owned, i) for i, made in cut.items() for chunk, owned in made]
+        of = np.array([i for _, _, i in parts], np.int64)
+        columns = {
+            "lang": [lang.filter(pa.array(whole)), lang.take(pa.array(of)), split.lang],
+            "chunk": [_strings(piece).filter(pa.array(whole)), _strings([c for c, _, _ in parts]), split.word],
+            "owned": [pa.array(split.size[whole], pa.int64()), pa.array([n for _, n, _ in parts], pa.int64()), pa.array(np.zeros(len(count), np.int64))],
+            "times": [pa.array(times[whole], pa.int64()), pa.array(times[of], pa.int64()), pa.array(count)]}
+        yield pa.RecordBatch.from_pydict({n: pa.concat_arrays(c) for n, c in columns.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -154,14 +150,15 @@ def _parse(spacing: int):
             for text, lang in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
                 held.update((lang, piece) for piece in pieces(text or b"") if piece)
                 if len(held) > PIECES:
-                    yield sent(held)
+                    yield from sent(held)
                     held.clear()
-        yield sent(held)
+        yield from sent(held)
     return run
 
 
 def dictionary(docs: DataFrame, spacing: int = SPACING) -> DataFrame:
-    """(lang, chunk, owned, times): distinct chunks with their parse frequencies."""
+    """(lang, chunk, owned, times): distinct chunks with their parse frequencies, and
+    single words (``owned`` 0) with theirs, counted in the chunks that own them."""
     rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
     return arrow_map(rows, _parse(spacing), PARSED).groupBy("lang", "chunk", "owned").agg(F.sum("times").alias("times"))
 
@@ -171,12 +168,10 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        words = Words()
-        split = [p.split(b" ") for p in batch.column("phrase").cast(pa.binary()).to_pylist()]
-        number = [list(map(words.of(lang).__getitem__, p)) for lang, p in zip(batch.column("lang").to_pylist(), split)]
-        at = np.zeros(len(split), np.uint64)
-        for column in np.array(number, np.int64).reshape(len(split), -1).T:
-            at = mix64(at * GOLDEN + words.hashes()[column])
+        split = Split(batch.column("lang"), batch.column("phrase"))
+        at = np.zeros(batch.num_rows, np.uint64)
+        for column in split.which.reshape(batch.num_rows, -1).T:
+            at = mix64(at * GOLDEN + split.hashes[column])
         at = at >> np.uint64(64 - FILTER_BITS)
         yield pa.RecordBatch.from_pydict({"word": pa.array((at >> np.uint64(6)).astype(np.int64)),
                                           "bits": pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))})
@@ -192,61 +187,82 @@ def _filter_of(frequent: DataFrame) -> np.ndarray:
 
 
 class Tally:
-    """Counts of phrases as rows of word numbers, two numbers to a 64-bit key; exact."""
+    """Counts of phrases as rows of word numbers, two numbers to a 64-bit key; exact.
+    Only words of counted phrases are numbered."""
 
     def __init__(self, m: int) -> None:
-        self.m, self.keys, self.counts = m, np.zeros(((m + 1) // 2, 0), np.int64), np.zeros(0, np.int64)
-
-    def add(self, number: np.ndarray, at: np.ndarray, times: np.ndarray) -> None:
-        """Phrases that start at ``at``, so many times each."""
-        keys = [number[at + i] << 32 | (number[at + i + 1] if i + 1 < self.m else 0) for i in range(0, self.m, 2)]
+        self.m, self.number = m, {}
+        self.keys, self.counts = np.zeros(((m + 1) // 2, 0), np.int64), np.zeros(0, np.int64)
+
+    def add(self, split: Split, at: np.ndarray, times: np.ndarray) -> None:
+        """Phrases that start at the words ``at``, so many times each."""
+        met = np.zeros(len(split.hashes), bool)
+        for i in range(self.m):
+            met[split.which[at + i]] = True
+        each = np.flatnonzero(met)
+        named = zip(split.lang.take(pa.array(each)).to_pylist(), split.word.take(pa.array(each)).to_pylist())
+        number = np.zeros(len(met), np.int64)
+        number[each] = [self.number.setdefault(name, len(self.number)) for name in named]
+        word = number[split.which]
+        keys = [word[at + i] << 32 | (word[at + i + 1] if i + 1 < self.m else 0) for i in range(0, self.m, 2)]
         keys, counts = np.concatenate([self.keys, keys], axis=1), np.concatenate([self.counts, times])
         order = np.lexsort(keys[::-1])
         keys = keys[:, order]
         first = np.flatnonzero(np.concatenate([np.ones(min(1, len(order)), bool), (keys[:, 1:] != keys[:, :-1]).any(0)]))
         self.keys, self.counts = keys[:, first], np.add.reduceat(counts[order], first) if len(first) else counts
 
-    def sent(self, words: Words) -> pa.RecordBatch:
+    def full(self) -> bool:
+        return len(self.counts) > PHRASES or len(self.number) > CACHE_WORDS
+
+    def sent(self) -> pa.RecordBatch:
         number = list(zip(*((self.keys[i // 2] >> 32 if i % 2 == 0 else self.keys[i // 2] & 0xFFFFFFFF).tolist() for i in range(self.m))))
+        name = list(self.number)
         out = pa.RecordBatch.from_pydict({
-            "lang": pa.array([words.lang[n[0]] for n in number], pa.string()),
-            "phrase": _strings([b" ".join([words.spelt[i] for i in n]) for n in number]), "a": pa.array(self.counts)})
+            "lang": pa.array([name[n[0]][0] for n in number], pa.string()),
+            "phrase": pa.array([" ".join([name[i][1] for i in n]) for n in number], pa.string()), "a": pa.array(self.counts)})
         self.__init__(self.m)
         return out
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to ``ROWS`` rows: the more chunks, the more of their words are known."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= ROWS:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _count(m: int, known):
     """Occurrences of phrases of ``m`` words whose first and last ``m - 1`` words passed;
     from three words on also the chunks that may hold longer ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, tally = Words(), Tally(m)
-        for batch in batches:
-            if words.full() or len(tally.counts) > PHRASES:
-                yield tally.sent(words)
-                if words.full():
-                    words = Words()
-            split = [c.split(b" ") for c in batch.column("chunk").cast(pa.binary()).to_pylist()]
-            langs = batch.column("lang").to_pylist()
-            number = np.fromiter(chain.from_iterable(map(words.of(lang).__getitem__, w) for lang, w in zip(langs, split)), np.int64)
-            if len(number) < m:
+        tally = Tally(m)
+        for batch in _together(batches):
+            if tally.full():
+                yield tally.sent()
+            split = Split(batch.column("lang"), batch.column("chunk"))
+            size = split.size
+            n = len(split.which)
+            if n < m:
                 continue
-            size = np.fromiter(map(len, split), np.int64, len(split))
             first = np.cumsum(size) - size
-            owner = np.repeat(np.arange(len(split)), size)[:len(number) - m + 1]
+            owner = np.repeat(np.arange(len(size)), size)[:n - m + 1]
             start = np.arange(len(owner)) - first[owner]
-            ok = start + m <= size[owner]
-            if m > 1:
-                hashed = _windows(words.hashes()[number], m - 1) >> np.uint64(64 - FILTER_BITS)
-                passed = (known.value[(hashed >> np.uint64(6)).astype(np.int64)] >> (hashed & np.uint64(63)) & np.uint64(1)).astype(bool)
-                ok &= passed[:-1] & passed[1:]
+            hashed = _windows(split.hashes[split.which], m - 1) >> np.uint64(64 - FILTER_BITS)
+            passed = (known.value[(hashed >> np.uint64(6)).astype(np.int64)] >> (hashed & np.uint64(63)) & np.uint64(1)).astype(bool)
+            ok = passed[:-1] & passed[1:] & (start + m <= size[owner])
             owned = np.flatnonzero(ok & (start < batch.column("owned").to_numpy()[owner]))
-            tally.add(number, owned, batch.column("times").to_numpy()[owner[owned]])
+            tally.add(split, owned, batch.column("times").to_numpy()[owner[owned]])
             if m > 2:
                 longer = np.flatnonzero(ok[:-1] & ok[1:] & (owner[:-1] == owner[1:]))
                 keep = pa.array(np.unique(owner[longer]))
                 rows = {c: batch.column(c).take(keep) for c in ("lang", "chunk", "owned", "times")}
                 yield pa.RecordBatch.from_pydict(rows | {"phrase": pa.nulls(len(keep), pa.string()), "a": pa.nulls(len(keep), pa.int64())})
-        yield tally.sent(words)
+        yield tally.sent()
 
     def with_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in run(batches):
@@ -262,19 +278,19 @@ def frequent_phrases(parsed: DataFrame, min_count: int = MIN_COUNT) -> DataFrame
     """(lang, phrase, m, a): all phrases of up to ``LONGEST`` words that stand ``min_count``
     times or more, from a staged dictionary."""
     spark: SparkSession = parsed.sparkSession
-    levels, known = [], None
-    for m in range(1, LONGEST + 1):
-        if m > 1:
-            known = spark.sparkContext.broadcast(_filter_of(levels[-1]))
-        if m <= 2:
+    counts = parsed.where("owned = 0").select("lang", F.col("chunk").alias("phrase"), F.col("times").alias("a"))
+    levels = [stage(counts.where(F.col("a") >= min_count).withColumn("m", F.lit(1)), "phrase-level")]
+    parsed = parsed.where("owned > 0")
+    for m in range(2, LONGEST + 1):
+        known = spark.sparkContext.broadcast(_filter_of(levels[-1]))
+        if m == 2:
             counts = arrow_map(parsed, _count(m, known), "lang string, phrase string, a long")
         else:  # few chunks hold frequent pairs in a row; only they are read for the next level
             both = stage(arrow_map(parsed, _count(m, known), PARSED + ", phrase string, a long"), "phrase-pass")
             counts, parsed = both.where("phrase is not null"), both.where("phrase is null").select("lang", "chunk", "owned", "times")
         counts = counts.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
         levels.append(stage(counts.where(F.col("a") >= min_count).withColumn("m", F.lit(m)), "phrase-level"))
-        if known:
-            known.unpersist()
+        known.unpersist()
     out = levels[0]
     for more in levels[1:]:
         out = out.unionByName(more)

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from newsflow.llm import collocations as C
@@ -52,7 +53,10 @@ def test_each_phrase_is_owned_once():
     for n in (1, 3, 4, 5, 6, 9, 40, 300):
         for spacing in (1, 2, 5, 1000):
             words = [rng.choice(VOCAB) for _ in range(n)]
-            before, made, after = C.chunks([("en", b"w1 w2 w3 w4 w5"), ("en", " ".join(words).encode()), ("fr", b"w1 w2 w3 w4")], spacing)
+            found = [b"w1 w2 w3 w4 w5", " ".join(words).encode(), b"w1 w2 w3 w4"]
+            split, cut = C.chunks(pa.array(["en", "en", "fr"]), found, spacing)
+            assert split.size.tolist() == [5, n, 4]
+            before, made, after = (cut.get(i, [(f, len(f.split()))]) for i, f in enumerate(found))
             assert sum(owned for _, owned in before) == 5 and after == [(b"w1 w2 w3 w4", 4)]
             made = [(chunk.decode(), owned) for chunk, owned in made]
             assert sum(owned for _, owned in made) == n
@@ -68,8 +72,9 @@ def test_each_phrase_is_owned_once():
 def test_chunks_depend_on_content_alone():
     rng = random.Random(4)
     words = [f"x{rng.randrange(500)}" for _ in range(400)]
-    alone, moved = ({c for c, _ in made} for made in C.chunks(
-        [("en", " ".join(w).encode()) for w in (words, [f"y{i}" for i in range(50)] + words)]))
+    found = [" ".join(w).encode() for w in (words, [f"y{i}" for i in range(50)] + words)]
+    cut = C.chunks(pa.array(["en", "en"]), found)[1]
+    alone, moved = ({c for c, _ in cut[i]} for i in (0, 1))
     assert len(alone & moved) >= len(alone) - 2
 
 
