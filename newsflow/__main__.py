@@ -3,6 +3,7 @@
     python -m newsflow collect --pages PAGES.parquet --store STORE_DIR [--json OUT_DIR]
     python -m newsflow process --store STORE_DIR --generate pkg.module:function
                                [--partitions N]
+    python -m newsflow compact --store STORE_DIR
 
 ``--generate`` names a batch model function ``(requests DataFrame) ->
 answers DataFrame`` (see ``newsflow.operators.enrich``).
@@ -13,6 +14,7 @@ from __future__ import annotations
 import argparse
 import importlib
 
+from newsflow.operators import store as S
 from newsflow.plans import collect as C
 from newsflow.session import get_spark
 
@@ -33,15 +35,19 @@ def main(argv=None) -> None:
     p.add_argument("--store", required=True)
     p.add_argument("--generate", required=True)
     p.add_argument("--partitions", type=int)
+    k = sub.add_parser("compact")
+    k.add_argument("--store", required=True)
     a = ap.parse_args(argv)
     spark = get_spark()
     if a.cmd == "collect":
         pages = spark.read.parquet(a.pages).select("page_id", "url", "html")
         r = C.collect(spark, pages, a.store, json_path=a.json).first()
-        print(f"store: added {r.added}, skipped {r.skipped}")
+        print(f"store: added {r.added}, skipped {r.skipped}, quarantined {r.quarantined}")
+    elif a.cmd == "process":
+        r = C.process(spark, a.store, _load(a.generate), partitions=a.partitions).first()
+        print(f"store commit {r.commit}: {r.ready} ready, {r.error} error")
     else:
-        v = C.process(spark, a.store, _load(a.generate), partitions=a.partitions)
-        print(f"store snapshot v={v} written")
+        print(f"prefixes rewritten: {len(S.compact(spark, a.store))}")
 
 
 if __name__ == "__main__":

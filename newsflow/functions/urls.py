@@ -34,6 +34,19 @@ def url_authority(url) -> Column:
     return F.regexp_extract(F.coalesce(_c(url), F.lit("")), AUTHORITY_RE, 1)
 
 
+@memo
+def url_host(url) -> Column:
+    """Host of a URL in lower case, without user and port ('' when there is none)."""
+    host = F.regexp_replace(F.regexp_replace(url_authority(url), "^.*@", ""), r":[0-9]*$", "")
+    return F.rtrim(F.lower(host), F.lit("."))
+
+
+@memo
+def url_path(url) -> Column:
+    """Path of a URL, without query and fragment."""
+    return F.regexp_extract(F.coalesce(_c(url), F.lit("")), PATH_RE, 1)
+
+
 def source_name(feed_title, feed_url) -> Column:
     """Feed title stripped, else the URL's netloc with every 'www.' removed."""
     t = _c(feed_title)

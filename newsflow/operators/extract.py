@@ -248,6 +248,22 @@ def extract_links(pages: DataFrame) -> DataFrame:
                      url_resolve("url", py_strip("href")).alias("article_url"))
 
 
+def first_per_key(cards, key: str) -> Column:
+    """The first element of each ``key`` in an array of structs, in array order.
+
+    Sorted by (key, position) and compared with the neighbour, so a listing of
+    n cards costs n log n steps.
+    """
+    c = _c(cards)
+    keyed = F.array_sort(F.transform(c, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"))))
+
+    def firsts(ks):
+        kept = F.filter(ks, lambda x, i: (i == 0) | ~F.get(ks, i - 1)["k"].eqNullSafe(x["k"]))
+        return F.transform(F.array_sort(F.transform(kept, lambda x: x["i"])), lambda i: F.get(c, i))
+
+    return let(keyed, firsts)
+
+
 def dedup_listing(pages: DataFrame, repeat: bool = False) -> DataFrame:
     """Listing dedup (first card per resolved URL in page order wins).
 
@@ -262,11 +278,10 @@ def dedup_listing(pages: DataFrame, repeat: bool = False) -> DataFrame:
         "page_id", "url", F.transform("anchors", lambda x: py_strip(_href(x))).alias("hrefs"))
     urls = hrefs.select("page_id", F.transform(
         "hrefs", lambda h: url_resolve(F.col("url"), h)).alias("urls"))
-    cards = urls.select("page_id", "urls", F.arrays_zip(
+    cards = urls.select("page_id", F.arrays_zip(
         F.sequence(F.lit(0), F.size("urls") - 1).alias("pos"), F.col("urls").alias("article_url"))
         .alias("cards"))
-    first = F.filter("cards", lambda c: F.array_position("urls", c["article_url"]) == c["pos"] + 1)
-    return (cards.select("page_id", F.explode(first).alias("c"))
+    return (cards.select("page_id", F.explode(first_per_key("cards", "article_url")).alias("c"))
             .select("page_id", F.col("c.pos").cast("long").alias("pos"),
                     F.col("c.article_url").alias("article_url")))
 

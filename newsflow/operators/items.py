@@ -4,12 +4,17 @@ ordering and top-k.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsflow.functions.dates import iso_published, parse_published
 from newsflow.functions.text import clean_field
 from newsflow.functions.urls import make_uid
+from newsflow.operators.skew import hot_keys, lookup
+
 
 def unique_articles(articles: DataFrame, key: str = "url", order: str = "page_id") -> DataFrame:
     """One article per key (the smallest ``order`` wins; (key, order) is
@@ -26,14 +31,20 @@ def unique_articles(articles: DataFrame, key: str = "url", order: str = "page_id
 
 
 def join_cards_articles(cards: DataFrame, articles: DataFrame, card_key: str = "article_url",
-                        article_key: str = "url") -> DataFrame:
+                        article_key: str = "url", hot: bool = False) -> DataFrame:
     """Card -> article lookup: left outer on the URL; cards without a URL
     are dropped first (``if not url: continue``).  ``article_details`` is
     built before the join, so it is NULL when no article matched.
     ``articles`` must be unique by ``article_key`` (see :func:`unique_articles`).
+
+    ``hot``: measure which URLs hold a large part of the (staged) cards, as the
+    base URL of links without a target does, and meet those without a shuffle.
     """
     kept = cards.where(F.coalesce(F.col(card_key), F.lit("")) != "")
     arts = articles.select(F.col(article_key).alias("_akey"), "article_details")
+    if hot:
+        keyed = kept.withColumn("_akey", F.col(card_key))
+        return lookup(keyed, arts, "_akey", hot_keys(keyed, "_akey")).drop("_akey")
     return (kept.join(arts, kept[card_key] == arts["_akey"], "left").drop("_akey"))
 
 
@@ -71,27 +82,52 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def align_sources(rows: DataFrame, source: str, columns: dict[str, list[str]]) -> DataFrame:
+    """The union of several sources that lie in one table, in one scan: each row
+    keeps the columns that its source has (``columns``, by the value of ``source``)
+    and NULL elsewhere, as :func:`union_sources` of the sources one by one would."""
+    optional = sorted({c for names in columns.values() for c in names})
+    has = {c: F.coalesce(F.col(source).isin(*(k for k, names in columns.items() if c in names)), F.lit(False)) for c in optional}
+    return rows.withColumns({c: F.when(has[c], F.col(c)) for c in optional})
+
+
 def with_published(items: DataFrame) -> DataFrame:
     """``published_dt`` (TIMESTAMP or NULL) and ``published_dt_str`` ('' for NULL)."""
     return (items.withColumn("published_dt", parse_published(F.col("published")))
             .withColumn("published_dt_str", iso_published(F.col("published_dt"))))
 
 
+#: A 64-bit key's span, and the place of rows without a time (after every time to the year 9999).
+KEYS, LAST = 1 << 64, 10 ** 18
+
+
 def dedup_uid(items: DataFrame, tiebreak: str) -> DataFrame:
     """Keep one row per uid: the first in newest-first order.
 
     Newest time first (rows without a time last), then the smallest tie-break
     key, which may be any orderable column (a struct for compound keys) and must
-    be unique.  Winners are picked on three narrow columns by two aggregates
-    that combine per task before the shuffle, so a hot uid (every item with
-    empty link and title shares ``md5('|')``) never lands whole in one task;
-    the wide rows are then kept by a semi join on the key, whose skewed or
-    small sides adaptive execution handles.  Read ``items`` from staged files
-    when it is expensive to compute: it is scanned more than once.
+    be unique.  Winners are picked on narrow columns by aggregates that combine
+    per task before the shuffle, so a hot uid (every item with empty link and
+    title shares ``md5('|')``) never lands whole in one task; the wide rows are
+    then kept by a semi join on the unique key.
+
+    For an integer key, time and key are one exact decimal (microseconds turned
+    round, times 2^64, plus the key), so one aggregate finds the winner.  Other
+    keys take two: the newest time of each uid, met by hot uids without a
+    shuffle, then the smallest key at that time.  Read ``items`` from staged
+    files when it is expensive to compute: it is scanned more than once.
     """
+    if isinstance(items.schema[tiebreak].dataType, (T.LongType, T.IntegerType)):
+        wide = "decimal(38,0)"
+        late = F.coalesce(-F.unix_micros("published_dt"), F.lit(LAST)).cast(wide)
+        span, half = (F.lit(Decimal(n)).cast(wide) for n in (KEYS, KEYS // 2))
+        place = late * span + (F.col(tiebreak).cast(wide) + half)
+        win = items.select("uid", place.cast(wide).alias("_w")).groupBy("uid").agg(F.min("_w").alias("_w"))
+        key = F.pmod(F.col("_w"), span) - half
+        return items.join(win.select(key.cast(items.schema[tiebreak].dataType).alias(tiebreak)), tiebreak, "left_semi")
     narrow = items.select("uid", F.col(tiebreak).alias("_k"), F.col("published_dt").alias("_t"))
     newest = narrow.groupBy("uid").agg(F.max("_t").alias("_newest"))
-    win = (narrow.join(newest, "uid").where(F.col("_t").eqNullSafe(F.col("_newest")))
+    win = (lookup(narrow, newest, "uid", hot_keys(narrow, "uid"), "inner").where(F.col("_t").eqNullSafe(F.col("_newest")))
            .groupBy("uid").agg(F.min("_k").alias(tiebreak)))
     return items.join(win.select(tiebreak), tiebreak, "left_semi")
 
@@ -101,13 +137,15 @@ def recent_first(items: DataFrame) -> DataFrame:
     return items.orderBy(F.col("published_dt").desc_nulls_last(), F.col("uid").asc())
 
 
-def with_rank(ordered: DataFrame) -> DataFrame:
+def with_rank(ordered: DataFrame, file: Column | None = None, row: Column | None = None) -> DataFrame:
     """``ordered`` (globally sorted, staged as files in that order) with ``rank`` from 1.
 
     No single-task window over the rows: each file counts its own, and only the
-    counts, one small row per file, are summed up in order.
+    counts, one small row per file, are summed up in order.  ``file`` and ``row``
+    (from 0) name a row's place where the files are not parquet.
     """
-    at = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    at = F.struct((F.col("_metadata.file_name") if file is None else file).alias("file"),
+                  (F.col("_metadata.row_index") if row is None else row).alias("row"))
     placed = ordered.select("*", at.alias("_at"))
     counts = placed.groupBy(F.col("_at.file").alias("_file")).agg(F.count("*").alias("_n"))
     order = Window.orderBy(F.length("_file"), "_file")  # a longer name is a later task's number

@@ -12,15 +12,17 @@ parsed yields a row with a ``parse_error`` text instead of failing the task.
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.functions.text import memo, nbsp_clean, py_strip
 from newsflow.functions.urls import fix_protocol, url_resolve
 from newsflow.operators import dom
-from newsflow.operators.extract import byline_author, byline_date, keep_paragraphs
+from newsflow.operators.extract import byline_author, byline_date, first_per_key, keep_paragraphs
 from newsflow.session import ship_package, spread
 
 # ---------------------------------------------------------------------------
@@ -346,9 +348,7 @@ def finish_cards(raw: DataFrame) -> DataFrame:
     x = x.select("page_id", "site", cards.alias("c"), required.alias("_req"), dedup.alias("_dd"))
     x = x.select("page_id", "site", "_dd", F.filter(
         "c", lambda c: ~F.col("_req") | (c["has_link"] & (c["href"] != ""))).alias("c"))
-    x = x.select("page_id", "site", F.when(F.col("_dd"), F.filter(
-        "c", lambda c, i: F.array_position(F.col("c.article_url"), c["article_url"]) == i + 1))
-        .otherwise(F.col("c")).alias("c"))
+    x = x.select("page_id", "site", F.when(F.col("_dd"), first_per_key("c", "article_url")).otherwise(F.col("c")).alias("c"))
     x = x.select("page_id", "site", F.size("c").cast("long").alias("n_cards"),
                  F.posexplode("c").alias("card_pos", "k"))
     return x.select("page_id", "site", F.col("card_pos").cast("long").alias("card_pos"), "n_cards",
@@ -402,6 +402,27 @@ def extract_site_articles(pages: DataFrame) -> DataFrame:
     return finish_articles(raw_site_articles(pages))
 
 
+#: Type of ``article_details``.
+DETAILS_TYPE = T.StructType([T.StructField(f, T.StringType()) for f in DETAIL_FIELDS])
+
+
+def rule_host(base_url: str) -> str:
+    """The host under which a site's rule is kept: without ``www.``."""
+    return urlsplit(base_url).hostname.removeprefix("www.")
+
+
+def path_of(url: str) -> str:
+    return urlsplit(url).path.rstrip("/")
+
+
+def longest_suffix(host: Column, values: dict[str, str]) -> Column:
+    """The value of the longest suffix of the host's labels among the keys; NULL for none."""
+    known = F.create_map(*(F.lit(x) for kv in values.items() for x in kv))
+    labels = F.split(host, r"\.", -1)
+    found = F.transform(labels, lambda _, i: F.try_element_at(known, F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")))
+    return F.get(F.filter(found, lambda v: v.isNotNull()), 0)
+
+
 def site_rules_frame(spark) -> DataFrame:
     """The 3-row site dimension (fixed size: safe to broadcast)."""
     rows = [(k, v["label"], v["base_url"], v["listing_url"],

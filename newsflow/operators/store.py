@@ -1,9 +1,14 @@
 """Keyed item store on parquet: insert-if-absent, partial update, stats.
 
-Layout: ``<root>/v=<n>/`` snapshot directories.  Inserts append to the
-latest snapshot; a patch writes snapshot ``n+1`` (a path is never
-overwritten while it is read).  Readers take the highest complete snapshot
-(one with a ``_SUCCESS`` marker).  Single writer by contract.
+Layout: ``<root>/n=<number>/kind=<add|patch|base>/p=<uid prefix>/``.  The store is
+a log of numbered commits, never rewritten in place: an insert adds rows, a partial
+update adds patch rows, and :func:`compact` rewrites only the uid prefixes it is
+given (or those that have patches) as their new base.  A reader takes, per prefix,
+the newest base with the rows and patches after it; of several patches of a uid the
+newest value of each field counts.  A commit counts once its ``_SUCCESS`` marker is
+written, so a writer that died leaves nothing that is read.  Single writer by
+contract.  Uids are digests, so the prefixes are even, and a small batch reads only
+the prefixes it holds.
 """
 
 from __future__ import annotations
@@ -119,42 +124,137 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed output (``_SUCCESS`` marker)."""
-    fs, p, jvm = _fs(spark, path)
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+def commits(spark: SparkSession, root: str) -> list[tuple[int, str, list[str]]]:
+    """(number, kind, prefixes) of every complete commit, in order (directory names only);
+    an empty one has kind ''."""
+    fs, p, jvm = _fs(spark, root)
+    path = jvm.org.apache.hadoop.fs.Path
 
+    def named(folder, key: str) -> list[tuple[str, object]]:
+        found = [(st.getPath().getName(), st.getPath()) for st in fs.listStatus(folder)]
+        return [(name[len(key):], at) for name, at in found if name.startswith(key)]
 
-def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete snapshot numbers under ``root`` (directory names only)."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return []
     out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and name[2:].isdigit() and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+    for number, at in named(p, "n=") if fs.exists(p) else ():
+        if fs.exists(path(at, "_SUCCESS")):
+            out += [(int(number), kind, [x for x, _ in named(inner, "p=")]) for kind, inner in named(at, "kind=")] or [(int(number), "", [])]
     return sorted(out)
 
 
-def read_store(spark: SparkSession, root: str) -> DataFrame:
-    """Latest snapshot, or an empty store."""
-    vs = snapshot_versions(spark, root)
-    if not vs:
-        return spark.createDataFrame([], STORE_SCHEMA)
-    return spark.read.schema(STORE_SCHEMA).parquet(f"{root}/v={vs[-1]}")
+def last_number(spark: SparkSession, root: str, key: str) -> int | None:
+    """The largest number of the complete folders ``<root>/<key><number>``."""
+    fs, p, jvm = _fs(spark, root)
+    found = [st.getPath() for st in fs.listStatus(p)] if fs.exists(p) else []
+    numbers = [int(at.getName()[len(key):]) for at in found
+               if at.getName().startswith(key) and fs.exists(jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS"))]
+    return max(numbers, default=None)
+
+
+def prefix_chars(spark: SparkSession) -> int:
+    """Characters of a uid that name its partition (``spark.newsflow.storePrefix``: one
+    setting for the life of a store, such that a prefix holds about a gigabyte; 1 to 4)."""
+    return int(spark.conf.get("spark.newsflow.storePrefix", "1"))
+
+
+def prefix(spark: SparkSession) -> Column:
+    return F.substring("uid", 1, prefix_chars(spark))
+
+
+def _commit(spark: SparkSession, root: str, rows: DataFrame, kind: str) -> int:
+    """Write the next commit; rows lie by prefix and, inside, by status, so that a
+    status filter skips row groups.  Rebalancing splits large prefixes and joins small ones."""
+    numbers = [n for n, _, _ in commits(spark, root)]
+    n = max(numbers) + 1 if numbers else 0
+    placed = rows.withColumns({"kind": F.lit(kind), "p": prefix(spark)}).hint("rebalance", "p").sortWithinPartitions("kind", "p", "status")
+    placed.write.mode("overwrite").partitionBy("kind", "p").parquet(f"{root}/n={n}")  # n holds an aborted write at most
+    return n
+
+
+def _read(spark: SparkSession, root: str, kinds: tuple[str, ...], prefixes: list[str] | None) -> DataFrame | None:
+    """Rows of the commits of some kinds that count, with their number ``n``; None where there are none.
+
+    Which commits count is a predicate on directory names alone."""
+    log = commits(spark, root)
+    base = {p: n for n, kind, held in log if kind == "base" for p in held}  # the newest one last
+    wanted = [(n, kind, p) for n, kind, held in log if kind in kinds for p in held
+              if n >= base.get(p, 0) and (prefixes is None or p in prefixes)]
+    if not wanted:
+        return None
+    schema = T.StructType([*STORE_SCHEMA.fields, T.StructField("n", T.IntegerType()), T.StructField("kind", T.StringType()),
+                           T.StructField("p", T.StringType())])
+    paths = sorted({f"{root}/n={n}/kind={kind}" for n, kind, _ in wanted})
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+    if prefixes is not None:
+        rows = rows.where(F.col("p").isin(sorted(prefixes)))
+    for number in sorted(set(base.values())):  # older rows of a prefix that has a newer base
+        rows = rows.where((F.col("n") >= number) | ~F.col("p").isin(sorted(p for p, n in base.items() if n == number)))
+    return rows
+
+
+def read_rows(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> DataFrame:
+    """Stored rows as inserted or compacted, before later patches."""
+    rows = _read(spark, root, ("add", "base"), prefixes)
+    return rows.select(*STORE_SCHEMA.fieldNames()) if rows is not None else spark.createDataFrame([], STORE_SCHEMA)
 
 
-def append_store(spark: SparkSession, root: str, rows: DataFrame) -> None:
-    vs = snapshot_versions(spark, root)
-    v = vs[-1] if vs else 0
-    rows.select(*STORE_SCHEMA.fieldNames()).write.mode("append").parquet(f"{root}/v={v}")
+def read_patches(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> DataFrame | None:
+    """One row per patched uid: the newest value that any later patch gives each field."""
+    rows = _read(spark, root, ("patch",), prefixes)
+    if rows is None:
+        return None
+    newest = [F.max_by(f, F.when(F.col(f).isNotNull(), F.col("n"))).alias(f) for f in PATCH_FIELDS]
+    return rows.groupBy("uid").agg(*newest)
+
+
+def read_store(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> DataFrame:
+    """The store as it stands (or only some uid prefixes of it)."""
+    patches = read_patches(spark, root, prefixes)
+    rows = read_rows(spark, root, prefixes)
+    return rows if patches is None else apply_patch(rows, patches)
+
+
+def read_raw(spark: SparkSession, root: str) -> DataFrame:
+    """Rows still 'raw': the status filter reaches the files, and of the patches only uids are read."""
+    raw = read_rows(spark, root).where(F.col("status") == "raw")
+    patches = _read(spark, root, ("patch",), None)
+    return raw if patches is None else raw.join(patches.where("status is not null and status <> 'raw'").select("uid"), "uid", "left_anti")
+
+
+def stored_uids(spark: SparkSession, root: str, batch: DataFrame) -> DataFrame:
+    """uids of the store in the partitions that ``batch`` (staged) holds.
+
+    The prefixes are at most 16 ** ``spark.newsflow.storePrefix`` short strings."""
+    held = [r.p for r in batch.select(prefix(spark).alias("p")).distinct().collect() if r.p is not None]
+    return read_rows(spark, root, held).select("uid")
+
+
+def append_store(spark: SparkSession, root: str, rows: DataFrame) -> int:
+    return _commit(spark, root, rows.select(*STORE_SCHEMA.fieldNames()), "add")
+
+
+def append_patch(spark: SparkSession, root: str, patch: DataFrame) -> int:
+    """Partial update of some uids: their patch rows and nothing else are written."""
+    missing = [F.lit(None).cast(STORE_SCHEMA[f].dataType).alias(f) for f in PATCH_FIELDS if f not in patch.columns]
+    return _commit(spark, root, patch.select("uid", *(f for f in PATCH_FIELDS if f in patch.columns), *missing), "patch")
 
 
 def write_snapshot(spark: SparkSession, root: str, df: DataFrame) -> int:
-    vs = snapshot_versions(spark, root)
-    v = (vs[-1] + 1) if vs else 0
-    df.select(*STORE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{root}/v={v}")  # v holds an aborted write at most
-    return v
+    """A new base of all prefixes that ``df`` holds."""
+    return _commit(spark, root, df.select(*STORE_SCHEMA.fieldNames()), "base")
+
+
+def compact(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> list[str]:
+    """Rewrite the prefixes that have patches (or the given ones) with the patches
+    applied; the others are not read.  Returns the prefixes rewritten."""
+    base: dict[str, int] = {}
+    patched: set[str] = set()
+    for n, kind, held in commits(spark, root):
+        if kind == "base":
+            base.update(dict.fromkeys(held, n))
+            patched -= set(held)
+        elif kind == "patch":
+            patched |= set(held)
+    chosen = sorted(patched if prefixes is None else prefixes)
+    if chosen:
+        write_snapshot(spark, root, read_store(spark, root, chosen))
+    return chosen

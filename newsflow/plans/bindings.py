@@ -20,11 +20,16 @@ from pyspark.sql import functions as F
 from newsflow.functions.text import first_line, line_at, py_strip
 from newsflow.operators import items as I
 from newsflow.operators import store as S
+from newsflow.operators.enrich import TEXT_FIELDS
 
 # Fixed run timestamp so outputs are reproducible (the reference uses now()).
 RUN_TS = "2025-01-01 00:00:00"
 
 
+#: Row limit of the store in the queries, small enough for the given documents to reach it.
+ROW_LIMIT = 16_384
+
+
 def run_ts() -> Column:
     return F.lit(RUN_TS).cast("timestamp")
 
@@ -88,6 +93,18 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.store_row(I.dedup_uid(doc_items(spark, sf_dir), "doc_id"), run_ts())
 
 
+def landed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those rows as they land: one JSON document each.  Documents labelled toxic
+    land with a number where the title should be."""
+    best = I.dedup_uid(doc_items(spark, sf_dir), "doc_id").select("uid", "doc_id")
+    toxic = best.join(table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id"), "doc_id", "left_semi").select("uid")
+    rows = raw_store(spark, sf_dir).select("uid", *TEXT_FIELDS)
+    rest = [F.col(f) for f in TEXT_FIELDS if f != "title"]
+    odd = rows.join(toxic, "uid", "left_semi").select("uid", F.to_json(F.struct(F.length("title").alias("title"), *rest)).alias("document"))
+    whole = rows.join(toxic, "uid", "left_anti").select("uid", F.to_json(F.struct("title", *rest)).alias("document"))
+    return whole.unionByName(odd)
+
+
 def doc_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing cards, one per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

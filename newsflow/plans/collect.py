@@ -2,101 +2,121 @@
 
 ``collect``: pages of the known sites -> listing cards and article details
 (rule path) -> card/article left join -> per-site normalisation -> dates ->
-uid dedup -> insert-if-absent into the store.  Pages of other hosts take no
-part; :mod:`newsflow.plans.flagship` reads any host by the native rules.
+uid dedup -> insert-if-absent into the store.  Pages of other hosts and pages
+that could not be extracted go to the quarantine table beside the store;
+:mod:`newsflow.plans.flagship` reads any host by the native rules.
 
-``process``: store rows still 'raw' -> enrichment -> patch -> new snapshot.
+``process``: store rows still 'raw' -> enrichment -> a commit of patch rows.
+
+Counts come from the passes that write (``observe``), not from jobs of their own.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.functions.urls import url_authority
+from newsflow.functions.urls import url_host, url_path
 from newsflow.operators import enrich as E
 from newsflow.operators import items as I
+from newsflow.operators import quarantine as Q
 from newsflow.operators import rules as R
 from newsflow.operators import store as S
-from newsflow.session import ensure_utc
+from newsflow.session import ensure_utc, observed, stage
 from newsflow.sinks.json_sink import write_items_json
 
 
-def assign_sites(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Pages of the known sites with their rule row.
+def assign_sites(pages: DataFrame) -> DataFrame:
+    """Pages with their host, site and role (J4); no page vanishes.
 
-    The rule dimension has one row per site (fixed size), so it is
-    broadcast; the pages side is only streamed.  ``role`` is 'listing' for
-    the site's listing URL, else 'article'.
+    The site is that of the longest suffix of the host's labels in the rule
+    table (``www.`` and subdomains belong to their site), NULL for a foreign
+    host.  The rule table is a constant, so this is one expression per page and
+    no join.  ``role`` is 'listing' for the site's listing path, else 'article'.
     """
-    r = rules.select("site", "source", "feed_url", "listing_dedup",
-                     url_authority("base_url").alias("host"))
-    p = pages.select("page_id", "url", "html", url_authority("url").alias("host"))
-    j = p.join(F.broadcast(r), "host")
-    return j.withColumn("role", F.when(F.col("url") == F.col("feed_url"), "listing")
-                        .otherwise("article"))
+    hosts = {R.rule_host(r["base_url"]): site for site, r in R.SITES.items()}
+    listing = F.create_map(*(F.lit(x) for site, r in R.SITES.items() for x in (site, R.path_of(r["listing_url"]))))
+    p = pages.select("page_id", "url", "html", url_host("url").alias("host"))
+    p = p.withColumn("site", R.longest_suffix(F.col("host"), hosts))
+    same = F.rtrim(url_path("url"), F.lit("/")) == F.try_element_at(listing, F.col("site"))
+    return p.withColumn("role", F.when(F.col("site").isNotNull(), F.when(same, "listing").otherwise("article")))
+
+
+def site_parts(spark: SparkSession, pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cards, articles, quarantine) of some pages.  Extraction runs once; its raw
+    results are staged, so the failures are a second output and not a second run."""
+    assigned = assign_sites(pages)
+    raw = stage(R.raw_site_cards(assigned.where("role = 'listing'")), "raw-cards")
+    arts = stage(R.extract_site_articles(assigned.where("role = 'article'")), "site-articles")
+    lost = Q.merge(Q.unmatched(assigned), Q.failed(raw, "listing"), Q.failed(arts, "article"))
+    # a failed article page keeps the card with NULL details (left join)
+    found = arts.where("parse_error is null").select("page_id", "url", "article_details")
+    return stage(R.finish_cards(raw), "cards"), found, lost
 
 
-def site_items(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Normalised items of the known sites (before dedup)."""
+def joined_items(spark: SparkSession, joined: DataFrame) -> DataFrame:
+    """Cards with ``article_details`` (NULL where there are none) -> normalised, dated items."""
     rules = R.site_rules_frame(spark)
-    assigned = assign_sites(pages, rules)
-    cards = R.extract_cards(assigned.where(F.col("role") == "listing"))
-    arts = R.extract_site_articles(assigned.where(F.col("role") == "article"))
-    # a failed article page keeps the card with NULL details (left join)
-    arts = arts.where(F.col("parse_error").isNull()).select("page_id", "url", "article_details")
-    joined = I.join_cards_articles(cards, I.unique_articles(arts))
     joined = joined.join(F.broadcast(rules.select("site", "source", "feed_url")), "site")
     subheadline: Column = F.when(F.col("site") == "eisamay", F.col("listing_subheadline"))
     items = I.normalize_items(joined, F.col("source"), F.col("feed_url"), subheadline)
     # row key in listing order (the reference's ties are unspecified)
-    items = items.withColumn("row_key", F.struct("page_id", "card_pos"))
-    return I.with_published(items)
+    return I.with_published(items.withColumn("row_key", F.struct("page_id", "card_pos")))
+
+
+def site_items(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """Normalised items of the known sites (before dedup)."""
+    cards, arts, _ = site_parts(spark, pages)
+    return joined_items(spark, I.join_cards_articles(cards, I.unique_articles(arts)))
+
+
+def insert(spark: SparkSession, store_root: str, items: DataFrame, run_ts=None, key: str = "row_key") -> int:
+    """Staged items into the store if absent; the number added, counted as they are written."""
+    best = stage(I.dedup_uid(items, key), "best")
+    new = S.store_row(best.join(S.stored_uids(spark, store_root, best), "uid", "left_anti"), run_ts)
+    added = Observation()
+    S.append_store(spark, store_root, new.observe(added, F.count(F.lit(1)).alias("n")))
+    return observed(added, "n")
 
 
 def collect(spark: SparkSession, pages: DataFrame, store_root: str, run_ts=None,
             json_path: str | None = None) -> DataFrame:
-    """Run the collector once; returns the one-row (added, skipped) report."""
+    """Run the collector once; returns the one-row (added, skipped, quarantined) report."""
     ensure_utc(spark)
-    items = site_items(spark, pages)
-    # Staged in the shared store folder: dedup reads files instead of repeating
-    # the extraction; the new rows are found once, counted from their files and
-    # appended from them.
-    staged = f"{store_root}/_staging/{uuid.uuid4().hex}"
-    items.write.parquet(staged)
-    items = spark.read.parquet(staged)
+    cards, arts, lost = site_parts(spark, pages)
+    items = joined_items(spark, I.join_cards_articles(cards, I.unique_articles(arts), hot=True))
+    # Staged in the shared folder: dedup reads files instead of repeating the join.
+    seen, dropped = Observation(), Observation()
+    items = stage(items.observe(seen, F.count(F.lit(1)).alias("n")), "items")
+    (lost.observe(dropped, F.count(F.lit(1)).alias("n"))
+     .write.parquet(f"{store_root}/_quarantine/run={uuid.uuid4().hex}"))
     if json_path:
         write_items_json(I.recent_first(items).drop("published_dt", "row_key"), json_path)
-    I.dedup_uid(items, "row_key").write.parquet(f"{staged}-best")
-    best = spark.read.parquet(f"{staged}-best")
-    new = S.store_row(S.insert_new(best, S.read_store(spark, store_root)), run_ts)
-    new.write.parquet(f"{staged}-new")
-    new = spark.read.schema(new.schema).parquet(f"{staged}-new")
-    stats = S.insert_stats(items, new).first()
-    S.append_store(spark, store_root, new)
-    return spark.createDataFrame([(stats.added, stats.skipped)], "added long, skipped long")
+    added = insert(spark, store_root, items, run_ts)
+    return spark.createDataFrame([(added, observed(seen, "n") - added, observed(dropped, "n"))], "added long, skipped long, quarantined long")
 
 
-def process(spark: SparkSession, store_root: str, generate, run_ts=None,
-            partitions: int | None = None) -> int:
-    """Run the processor once: patch every 'raw' row, write snapshot n+1.
+def read_quarantine(spark: SparkSession, store_root: str) -> DataFrame:
+    """All quarantined pages of a store's runs."""
+    return spark.read.parquet(f"{store_root}/_quarantine").select(*Q.COLUMNS, "run")
 
-    Returns the new snapshot number.
+
+def process(spark: SparkSession, store_root: str, generate, run_ts=None, partitions: int | None = None,
+            max_row_bytes: int = E.STORE_ROW_BYTES) -> DataFrame:
+    """Run the processor once over every 'raw' row; returns the one-row report
+    (commit, ready, error).
+
+    Answers are kept beside the store under (uid, kind, prompt) as they are
+    made, so a run that died asks only what is missing; the patch is then one
+    commit of patch rows, whatever the size of the store.
     """
     ensure_utc(spark)
-    versions = S.snapshot_versions(spark, store_root)
-    store = S.read_store(spark, store_root)
-    raw = store.where(F.col("status") == "raw")
-    # Model answers are written to the shared store folder before they are
-    # applied: a lost executor after this point never repeats model calls,
-    # the lineage of the new snapshot starts at these files, and a run that
-    # died before writing the snapshot resumes from the committed answers.
-    patch_path = f"{store_root}/_patches/v={(versions[-1] + 1) if versions else 0}"
-    if not S.is_complete(spark, patch_path):
-        E.enrich(raw, generate, run_ts=run_ts, partitions=partitions) \
-            .write.mode("overwrite").parquet(patch_path)
-    patch = spark.read.parquet(patch_path)
-    return S.write_snapshot(spark, store_root, S.apply_patch(store, patch))
-
+    raw = S.read_raw(spark, store_root)
+    patch = E.enrich(raw, generate, run_ts=run_ts, partitions=partitions, max_row_bytes=max_row_bytes,
+                     answers=f"{store_root}/_answers", run=uuid.uuid4().hex)
+    done = Observation()
+    patch = patch.observe(done, *(F.count_if(F.col("status") == s).alias(s) for s in ("ready", "error")))
+    n = S.append_patch(spark, store_root, patch)
+    return spark.createDataFrame([(n, observed(done, "ready"), observed(done, "error"))], "commit int, ready long, error long")

@@ -6,8 +6,6 @@ import here.
 
 from __future__ import annotations
 
-from newsflow.operators.enrich import template_parts
-
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -227,28 +225,41 @@ lbest AS (
 store AS (
   SELECT uid, title, summary_raw AS raw_summary, full_text, link AS url, source, feed_url,
          media_url, published AS published_raw, published_dt_str AS published_at,
-         CASE WHEN quality = 1 THEN 'raw' WHEN toxic = 1 THEN 'ready' ELSE 'error' END AS status
+         CASE WHEN quality = 1 THEN 'raw' WHEN toxic = 1 THEN 'ready' ELSE 'error' END AS status,
+         CAST(NULL AS VARCHAR) AS problem
   FROM lbest)"""
 
 
-def prompt_sql(kind: str) -> str:
-    cols = {"title": "title", "summary": "raw_summary", "source": "source", "url": "url"}
-    parts = [q(v) if t == "lit" else f"coalesce({cols[v]}, '')" for t, v in template_parts(kind)]
-    return " || ".join(parts)
+# Prompts, written out here and not taken from the library.
+P1 = """'TASK: headline digest of one news item.' || chr(10) ||
+  'LIMITS: single line; 120 characters at most; language of the title; plain text; given facts only.' || chr(10) || chr(10) ||
+  'Title: ' || coalesce(title, '') || chr(10) || 'Summary: ' || coalesce(raw_summary, '') || chr(10)"""
+P2 = """'TASK: channel post about one news item.' || chr(10) ||
+  'LIMITS: two or three lines, the first like a headline and the last leading to the link; ' ||
+  'no more than two emoji; link kept verbatim; given facts only. Source and link follow separately.' || chr(10) || chr(10) ||
+  'Title: ' || coalesce(title, '') || chr(10) || 'Summary: ' || coalesce(raw_summary, '') || chr(10) ||
+  'Source: ' || coalesce(source, '') || chr(10) || 'Link: ' || coalesce(url, '') || chr(10)"""
+P3 = """'TASK: picture caption about one news item.' || chr(10) ||
+  'LIMITS: three to six lines; three to six emoji; five to seven hashtags at the end; the source named in passing.' || chr(10) || chr(10) ||
+  'Title: ' || coalesce(title, '') || chr(10) || 'Summary: ' || coalesce(raw_summary, '') || chr(10) ||
+  'Source: ' || coalesce(source, '') || chr(10)"""
+ROW_LIMIT = 16384
+ROW_BYTES = " + ".join(f"coalesce(strlen({c}), 0)" for c in (
+    "uid", "title", "raw_summary", "full_text", "url", "source", "feed_url", "media_url", "published_raw", "published_at"))
 
 
 ALL_RAW = ITEMS + """,
 store AS (
   SELECT uid, title, summary_raw AS raw_summary, full_text, link AS url, source, feed_url,
-         media_url, published AS published_raw, published_dt_str AS published_at, 'raw' AS status
+         media_url, published AS published_raw, published_dt_str AS published_at, 'raw' AS status,
+         CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 'title must be text, got bigint' END AS problem
   FROM best)"""
 
 ANSWERED = f""",
 raw AS (SELECT * FROM store WHERE status = 'raw'),
 pr AS (
-  SELECT uid, title, source, url,
-         {prompt_sql('one_line')} AS p1, {prompt_sql('telegram')} AS p2,
-         {prompt_sql('instagram')} AS p3
+  SELECT uid, title, source, url, problem, {ROW_BYTES} AS row_bytes,
+         {P1} AS p1, {P2} AS p2, {P3} AS p3
   FROM raw),
 ans AS (
   SELECT *,
@@ -263,8 +274,8 @@ ans AS (
     '[instagram] ' || substr(md5(p3), 1, 16) AS a3
   FROM pr),
 fst AS (SELECT *, coalesce(f1, f2, f3) AS ff FROM ans),
-patch AS (
-  SELECT uid,
+made AS (
+  SELECT uid, ff, problem, row_bytes,
     CASE WHEN ff IS NULL THEN substr({strip('a1')}, 1, 140)
          ELSE substr(coalesce(title, ''), 1, 120) END AS summary,
     CASE WHEN ff IS NULL THEN concat_ws(chr(10), a2,
@@ -275,14 +286,22 @@ patch AS (
       AS caption_telegram,
     CASE WHEN ff IS NULL THEN a3
          ELSE '🎬 ' || coalesce(title, '') || chr(10) || chr(10) || 'Source: ' || coalesce(source, '')
-    END AS caption_instagram,
-    'ready' AS status,
-    CASE WHEN ff IS NULL THEN 'gemini' ELSE 'fallback' END AS ai_mode,
-    CASE WHEN ff = 'M' THEN 'stub model: refused' WHEN ff = 'E' THEN 'Empty model response'
-         WHEN ff = 'P' THEN 'answer must be text, got int' END AS gemini_error,
-    CAST(NULL AS VARCHAR) AS processing_error,
-    '2025-01-01 00:00:00' AS processed_at
+    END AS caption_instagram
   FROM fst),
+sized AS (SELECT *, row_bytes + strlen(summary) + strlen(caption_telegram) + strlen(caption_instagram) AS size FROM made),
+judged AS (SELECT *, coalesce(problem, CASE WHEN size > {ROW_LIMIT} THEN 'row of ' || size || ' bytes; the store takes {ROW_LIMIT}' END) AS wrong
+  FROM sized),
+patch AS (
+  SELECT uid, CASE WHEN wrong IS NULL THEN summary END AS summary,
+    CASE WHEN wrong IS NULL THEN caption_telegram END AS caption_telegram,
+    CASE WHEN wrong IS NULL THEN caption_instagram END AS caption_instagram,
+    CASE WHEN wrong IS NULL THEN 'ready' ELSE 'error' END AS status,
+    CASE WHEN wrong IS NULL THEN CASE WHEN ff IS NULL THEN 'gemini' ELSE 'fallback' END END AS ai_mode,
+    CASE WHEN wrong IS NULL THEN CASE WHEN ff = 'M' THEN 'stub model: refused' WHEN ff = 'E' THEN 'Empty model response'
+         WHEN ff = 'P' THEN 'answer must be text, got int' END END AS gemini_error,
+    wrong AS processing_error,
+    '2025-01-01 00:00:00' AS processed_at
+  FROM judged),
 patched AS (
   SELECT s.uid, s.title, coalesce(p.status, s.status) AS status, p.ai_mode, p.summary,
          p.caption_telegram, p.caption_instagram, p.gemini_error, p.processing_error,
@@ -396,8 +415,7 @@ def _sql() -> dict[str, str]:
         '📰 ' || coalesce(title, '') || chr(10) || chr(10) || '🔗 ' || coalesce(url, '') AS caption_telegram,
         '🎬 ' || coalesce(title, '') || chr(10) || chr(10) || 'Source: ' || coalesce(source, '') AS caption_instagram
         FROM store"""
-    s["build_prompts"] = f"""WITH {ALL_RAW} SELECT uid, {prompt_sql('one_line')} AS prompt_one_line,
-        {prompt_sql('telegram')} AS prompt_telegram, {prompt_sql('instagram')} AS prompt_instagram FROM store"""
+    s["build_prompts"] = f"""WITH {ALL_RAW} SELECT uid, {P1} AS prompt_one_line, {P2} AS prompt_telegram, {P3} AS prompt_instagram FROM store"""
     s["oneliner_finalize"] = f"""WITH {ITEMS} SELECT doc_id,
         substr({strip("'  ' || title || ' ' || summary_raw || chr(10)")}, 1, 140) AS summary FROM items1"""
     body = ("CASE WHEN d.lang = 'en' THEN i.title || ' - ' || i.source WHEN d.lang = 'fr' THEN "
@@ -443,6 +461,9 @@ def _sql() -> dict[str, str]:
         props = "props" if extra == "props" else "CAST(NULL AS VARCHAR) AS props"
         uparts.append(f"SELECT event_id, {q(kind)} AS source, {render('ts', 'event_type')} AS published, "
                       f"{uid_col}, {props} FROM events WHERE event_type = {q(kind)}")
+    uparts.append(f"SELECT event_id, event_type AS source, {render('ts', 'event_type')} AS published, CAST(NULL AS BIGINT) AS user_id, "
+                  "CAST(NULL AS VARCHAR) AS props FROM events "
+                  "WHERE event_type IS NULL OR event_type NOT IN ('view', 'click', 'signup', 'purchase', 'error')")
     s["union_sources"] = " UNION ALL ".join(uparts)
     s["parse_published"] = f"""WITH u AS ({s['union_sources']})
         SELECT event_id, published, {iso(parse('published'))} AS published_dt_str FROM u"""
@@ -473,7 +494,7 @@ def _sql() -> dict[str, str]:
     s["store_patch"] = f"""WITH {ENRICH} SELECT uid, status, ai_mode, summary, caption_telegram,
         caption_instagram, gemini_error, processing_error, title, processed_at FROM patched"""
     s["status_transitions"] = f"""WITH {ENRICH} SELECT uid, status AS status_after, status_before FROM patched"""
-    s["process_stats"] = f"""WITH {ENRICH} SELECT status, ai_mode, CAST(count(*) AS BIGINT) AS n
+    s["process_stats"] = f"""WITH {ALL_RAW + ANSWERED} SELECT status, ai_mode, CAST(count(*) AS BIGINT) AS n
         FROM patched GROUP BY status, ai_mode"""
     # rule path on the fixture page form (no site markup): statesman = the
     # generic article; bartaman = first h1/h2/h3 title, no content block;
@@ -513,13 +534,13 @@ def _sql() -> dict[str, str]:
         UNION ALL
         SELECT page_id, 'statesman', pos, n_links, text, {url_join(ds_base, 'h')},
           {url_join(ds_base, "'/img' || h || '.jpg'")}, NULL, NULL,
-          replace({strip("'By' || chr(160) || text")}, chr(160), ' '), CAST(pos AS VARCHAR) || ' mins read', NULL
+          replace({strip("'Text:' || chr(160) || text")}, chr(160), ' '), 'part ' || CAST(pos AS VARCHAR), NULL
         FROM l
         UNION ALL
         SELECT page_id, 'eisamay', CAST(cp AS BIGINT), CAST(nc AS BIGINT), text, au,
           'https://cdn.example' || h || '.jpg', NULL, NULL, NULL, NULL, text FROM es2"""
-    s["item_json"] = f"""WITH {ITEMS} SELECT uid, title, published_dt_str, CAST(12 AS BIGINT) AS n_keys
-        FROM best"""
+    s["item_json"] = f"""WITH {ITEMS} SELECT row_number() OVER (ORDER BY published_dt DESC NULLS LAST, uid) AS rank,
+        uid, title, published_dt_str, CAST(12 AS BIGINT) AS n_keys FROM best"""
     site_cte = f"""{PUB},
         sd AS (SELECT d.doc_id, d.source, d.lang, coalesce(d.text, '') AS text, coalesce(pub.published_src, '') AS pub,
             CASE d.doc_id % 3 WHEN 0 THEN 'bartaman' WHEN 1 THEN 'statesman' ELSE 'eisamay' END AS site,
@@ -548,7 +569,7 @@ def _sql() -> dict[str, str]:
             ("article_image_url", "article_image_url"), ("author", "author"), ("date", "date"),
             ("full_text", "full_text")]) + " FROM det"
     s["collect_run"] = f"""WITH {site_cte},
-        cd AS (SELECT *, form <> 2 AND doc_id % 5 <> 4 AND NOT failed AS found,
+        cd AS (SELECT *, form <> 2 AND NOT failed AS found,
             CASE WHEN form = 2 THEN CASE site WHEN 'bartaman' THEN 'https://bartamanpatrika.com/category/binodon'
                 ELSE 'https://www.dainikstatesmannews.com' END
               ELSE CASE site WHEN 'bartaman' THEN 'https://bartamanpatrika.com' WHEN 'statesman'
@@ -573,6 +594,46 @@ def _sql() -> dict[str, str]:
             'raw' AS status
         FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY published_dt DESC NULLS LAST, doc_id) AS rn FROM ti)
         WHERE rn = 1"""
+    s["stream_collect"] = s["collect_run"]
+    sites = {"bartaman": ("https://bartamanpatrika.com", "https://bartamanpatrika.com/category/binodon"),
+             "statesman": ("https://www.dainikstatesmannews.com", "https://www.dainikstatesmannews.com/binodan/"),
+             "eisamay": ("https://eisamay.com", "https://eisamay.com/entertainment")}
+    values = ", ".join(f"({i}, {q(site)}, {q(base)}, {q(listing)})" for i, (site, (base, listing)) in enumerate(sites.items()))
+    s["collect_quarantine"] = f"""WITH sites(i, site, base, listing) AS (VALUES {values}),
+        d AS (SELECT doc_id, doc_id // 60 AS block, doc_id % 3 AS i FROM documents)
+        SELECT d.doc_id * 2 AS page_id, base || '/doc/' || d.doc_id AS url, site, 'article' AS role, 'parse error' AS reason,
+          true AS has_error FROM d JOIN sites ON sites.i = d.i WHERE d.doc_id % 20 = 0
+        UNION ALL
+        SELECT (block * 3 + b.i) * 2 + 1, listing, site, 'listing', 'parse error', true
+        FROM (SELECT DISTINCT block, i FROM d WHERE block % 7 = 3) AS b JOIN sites ON sites.i = b.i
+        UNION ALL
+        SELECT -page_id - 1, url, NULL, NULL, 'no site rule', true FROM pages"""
+    # the hosts of a site by name, in the order in which the query tries them
+    tried = [(None, None), ("bartamanpatrika.com", "bartaman"), ("www.bartamanpatrika.com", "bartaman"),
+             ("epaper.bartamanpatrika.com", "bartaman"), ("notbartamanpatrika.com", None), ("dainikstatesmannews.com", "statesman"),
+             ("www.dainikstatesmannews.com", "statesman"), ("eisamay.com", "eisamay"), ("m.eisamay.com", "eisamay"),
+             ("eisamay.com.example.org", None)]
+    path = "rtrim(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), '/')"
+    listing_path = {"bartaman": "/category/binodon", "statesman": "/binodan", "eisamay": "/entertainment"}
+    s["site_hosts"] = " UNION ALL ".join(
+        f"SELECT page_id, CAST({i} AS BIGINT) AS variant, " + (f"{q(host)} AS host, " if host else f"lower({authority('url')}) AS host, ")
+        + (f"{q(site)} AS site, CASE WHEN {path} = {q(listing_path[site])} THEN 'listing' ELSE 'article' END AS role" if site
+           else "CAST(NULL AS VARCHAR) AS site, CAST(NULL AS VARCHAR) AS role") + " FROM pages"
+        for i, (host, site) in enumerate(tried))
+    first_run = STORE + ", raw1 AS (SELECT * FROM store WHERE status = 'raw')"
+    every = ", store2 AS (SELECT uid, title, summary_raw AS raw_summary, source, link AS url FROM best)"
+
+    def asked(name: str, rows: str) -> str:
+        fails = "substr(md5({p}), 1, 1) IN ('e', 'f')"
+        return f""", {name}_p AS (SELECT uid, {P1} AS p1, {P2} AS p2, {P3} AS p3 FROM {rows}),
+        {name}_f AS (SELECT *, {fails.format(p='p1')} OR strpos(p1, chr(10) || 'Summary: ' || chr(10)) > 0 AS f1, {fails.format(p='p2')} AS f2
+          FROM {name}_p),
+        {name} AS (SELECT uid, 'one_line' AS kind, p1 AS p FROM {name}_f UNION ALL
+          SELECT uid, 'telegram', p2 FROM {name}_f WHERE NOT f1 UNION ALL
+          SELECT uid, 'instagram', p3 FROM {name}_f WHERE NOT f1 AND NOT f2)"""
+    s["model_answers"] = f"""WITH {first_run}{every}{asked('one', 'raw1')}{asked('two', 'store2')}
+        SELECT two.kind, count(one.uid) AS n_reused, count(*) - count(one.uid) AS n_made
+        FROM two LEFT JOIN one ON one.uid = two.uid AND one.kind = two.kind AND one.p = two.p GROUP BY two.kind"""
     s["stream_process"] = s["store_patch"]
     s["stream_ingest"] = f"""WITH {PAGES_CLEAN},
         t AS (SELECT page_id, url, {strip(f"coalesce({title_expr('clean', '')}, '')")} AS title,

@@ -5,11 +5,10 @@ texts).  Column names match the DuckDB oracle in :mod:`newsflow.plans.oracle`.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.functions import text as X
@@ -26,7 +25,7 @@ from newsflow.plans import flagship
 from newsflow.plans import site_pages as SP
 from newsflow.streaming import ingest as ST
 from newsflow.plans.stub import stub_generate
-from newsflow.session import checkpoint_root, ensure_utc, stage
+from newsflow.session import checkpoint_root, ensure_utc, observed, stage
 from newsflow.sinks.json_sink import write_items_json
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +46,11 @@ def _pages(spark, sf):
     return B.table(spark, sf, "pages").select("page_id", "url", "html")
 
 
+def _fresh(spark, name: str) -> str:
+    """A folder of this run."""
+    return f"{checkpoint_root(spark)}/{name}/{uuid.uuid4().hex}"
+
+
 def _ts_text(c):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
@@ -62,9 +66,23 @@ def page_scan(spark, sf):
 
 @query
 def store_raw_scan(spark, sf):
-    """Store rows with status = 'raw' (filter pushed to the stored files' scan)."""
-    st = stage(B.existing_store(spark, sf), "store")
-    return st.where(F.col("status") == "raw").select("uid", "title", "url", "status")
+    """Store rows with status = 'raw' (filter pushed to files clustered by status)."""
+    root = _fresh(spark, "store_raw_scan")
+    S.write_snapshot(spark, root, B.existing_store(spark, sf))
+    return S.read_raw(spark, root).select("uid", "title", "url", "status")
+
+
+@query
+def site_hosts(spark, sf):
+    """Pages under their own and other hosts -> site by longest suffix; the remainder stays, without one."""
+    hosts = F.array(F.struct(F.lit(0).alias("variant"), U.url_authority("url").alias("host")), *(
+        F.struct(F.lit(i).alias("variant"), F.lit(h).alias("host")) for i, h in enumerate(SP.HOSTS, 1)))
+    pages = _pages(spark, sf).select("page_id", F.explode(hosts).alias("h"), U.url_path("url").alias("path"))
+    pages = pages.select("page_id", F.col("h.variant").alias("variant"), F.concat(
+        F.lit("https://"), F.col("h.host"), F.col("path")).alias("url"), F.lit("").alias("html"))
+    found = C.assign_sites(pages.withColumn("page_id", F.struct("page_id", "variant")))
+    return found.select(F.col("page_id.page_id").alias("page_id"), F.col("page_id.variant").cast("long").alias("variant"),
+                        "host", "site", "role")
 
 
 # ------------------------------------------------------------- extraction
@@ -271,9 +289,9 @@ def telegram_finalize(spark, sf):
 @query
 def card_article_join(spark, sf):
     """Cards left-joined to their (unique) articles by URL."""
-    cards = B.doc_cards(spark, sf)
+    cards = stage(B.doc_cards(spark, sf), "cards")
     arts = I.unique_articles(B.doc_articles(spark, sf))
-    j = I.join_cards_articles(cards, arts)
+    j = I.join_cards_articles(cards, arts, hot=True)
     return j.select("doc_id", "article_url",
                     F.col("article_details").isNotNull().alias("matched"),
                     F.col("article_details.article_title").alias("article_title"),
@@ -308,20 +326,11 @@ def truthy_coalesce(spark, sf):
 
 @query
 def union_sources(spark, sf):
-    """Per-type sources with different columns, aligned by name."""
+    """Per-type sources with different columns, aligned by name; other types have none of them."""
     ev = B.table(spark, sf, "events")
-    pub = B.render_published(F.col("ts"), F.col("event_type"))
-    frames = []
-    kinds = (("view", "user_id"), ("click", "props"), ("signup", None),
-             ("purchase", "user_id"), ("error", "props"))
-    for kind, extra in kinds:
-        cols = [F.col("event_id"), F.lit(kind).alias("source"), pub.alias("published")]
-        if extra:
-            cols.append(F.col(extra))
-        frames.append(ev.where(F.col("event_type") == kind).select(*cols))
-    known = F.coalesce(F.col("event_type").isin(*[k for k, _ in kinds]), F.lit(False))
-    frames.append(ev.where(~known).select("event_id", F.col("event_type").alias("source"), pub.alias("published")))
-    return I.union_sources(*frames)
+    rows = ev.select("event_id", F.col("event_type").alias("source"),
+                     B.render_published(F.col("ts"), F.col("event_type")).alias("published"), "user_id", "props")
+    return I.align_sources(rows, "source", {"view": ["user_id"], "click": ["props"], "purchase": ["user_id"], "error": ["props"]})
 
 
 @query
@@ -409,35 +418,61 @@ def store_insert(spark, sf):
 
 @query
 def store_insert_stats(spark, sf):
-    """A1: (added, skipped); in-batch repeats count as skipped."""
-    all_items, batch, store = _batch_and_store(spark, sf)
-    return S.insert_stats(all_items, S.insert_new(batch, store))
+    """A1/A3: (added, skipped), counted by the passes that write; in-batch repeats count as skipped."""
+    seen, root = Observation(), _fresh(spark, "store_insert_stats")
+    items = stage(B.doc_items(spark, sf).observe(seen, F.count(F.lit(1)).alias("n")), "items")
+    S.write_snapshot(spark, root, B.existing_store(spark, sf, items))
+    added = C.insert(spark, root, items, B.run_ts(), "doc_id")
+    return spark.createDataFrame([(added, observed(seen, "n") - added)], "added long, skipped long")
 
 
 # ------------------------------------------------------------ enrichment
 def _patch(spark, sf):
     store = stage(B.existing_store(spark, sf), "store")
     raw = store.where(F.col("status") == "raw")
-    return store, E.enrich(raw, stub_generate, run_ts=B.run_ts())
+    return store, E.enrich(raw, stub_generate, run_ts=B.run_ts(), max_row_bytes=B.ROW_LIMIT)
+
+
+def _landed_patch(spark, sf):
+    return E.enrich(E.typed_rows(B.landed_store(spark, sf)), stub_generate, run_ts=B.run_ts(), max_row_bytes=B.ROW_LIMIT)
 
 
 @query
 def enrich_items(spark, sf):
-    """M6-M9: patch rows for every item of ``documents``, all raw (stub model)."""
-    patch = E.enrich(B.raw_store(spark, sf), stub_generate, run_ts=B.run_ts())
-    return patch.select("uid", "summary", "caption_telegram", "caption_instagram", "status",
-                        "ai_mode", "gemini_error", "processing_error",
-                        _ts_text(F.col("processed_at")).alias("processed_at"))
+    """M6-M9: patch rows for every item of ``documents`` as it landed, all raw (stub model): ready,
+    or error for a field of the wrong type and for rows beyond the store's limit."""
+    return _landed_patch(spark, sf).select(
+        "uid", "summary", "caption_telegram", "caption_instagram", "status", "ai_mode", "gemini_error",
+        "processing_error", _ts_text(F.col("processed_at")).alias("processed_at"))
+
+
+@query
+def model_answers(spark, sf):
+    """M6: requests by kind over two runs with one answer table: first the stored raw items, then
+    every item; how many of the second run's requests were answered already, and how many were made."""
+    answers = _fresh(spark, "model_answers")
+    E.call_model_once(stage(B.existing_store(spark, sf), "store").where("status = 'raw'"), stub_generate, answers, "1")
+    asked = stage(E.call_model_once(B.raw_store(spark, sf), stub_generate, answers, "2"), "asked").select(
+        "uid", F.explode(F.slice(F.array(*map(F.lit, E.KINDS)), F.lit(1), F.col("n_calls"))).alias("kind"))
+    rows = stage(E.with_prompts(B.raw_store(spark, sf)), "prompts")
+    prompt = F.create_map(*(x for k in E.KINDS for x in (F.lit(k), F.col(f"prompt_{k}"))))
+    asked = asked.join(rows.select("uid", prompt.alias("p")), "uid").select(
+        "uid", "kind", F.sha2(F.element_at("p", F.col("kind")), 256).alias("digest"))
+    kept = [E.read_answers(spark, answers, k).select("uid", "digest", "run", F.lit(k).alias("kind")) for k in E.KINDS]
+    return (asked.join(I.union_sources(*kept), ["uid", "kind", "digest"]).groupBy("kind")
+            .agg(F.count_if(F.col("run") == "1").alias("n_reused"), F.count_if(F.col("run") == "2").alias("n_made")))
 
 
 @query
 def store_patch(spark, sf):
-    """K3: store after the partial update."""
+    """The store after the partial update, read from its base and one commit of patch rows."""
     store, patch = _patch(spark, sf)
-    out = S.apply_patch(store, patch)
-    return out.select("uid", "status", "ai_mode", "summary", "caption_telegram",
-                      "caption_instagram", "gemini_error", "processing_error", "title",
-                      _ts_text(F.col("processed_at")).alias("processed_at"))
+    root = _fresh(spark, "store_patch")
+    S.write_snapshot(spark, root, store)
+    S.append_patch(spark, root, patch)
+    return S.read_store(spark, root).select(
+        "uid", "status", "ai_mode", "summary", "caption_telegram", "caption_instagram", "gemini_error",
+        "processing_error", "title", _ts_text(F.col("processed_at")).alias("processed_at"))
 
 
 @query
@@ -452,9 +487,8 @@ def status_transitions(spark, sf):
 
 @query
 def process_stats(spark, sf):
-    """A2: rows per (status, ai_mode) after processing."""
-    store, patch = _patch(spark, sf)
-    return E.process_stats(S.apply_patch(store, patch))
+    """A2: rows per (status, ai_mode) after processing every item of ``documents``."""
+    return E.process_stats(S.apply_patch(stage(B.raw_store(spark, sf), "store"), _landed_patch(spark, sf)))
 
 
 # ------------------------------------------------- rule path (rows only)
@@ -483,9 +517,9 @@ def _listing_html(links, site: str):
         elif site == "statesman":
             parts = ['<div class="col-md-4"><div class="post-block-style"><div class="post-thumb">'
                      '<a href="', h, '"><img src="/img', h, '.jpg"></a></div><div class="post-content">'
-                     '<h3 class="post-title title-md"><a href="', h, '">', t, '</a></h3>'
-                     '<div class="post-meta mb-7"><span class="post-author">By&nbsp;', t,
-                     '</span><span class="post-date">', i.cast("string"), ' mins read</span>'
+                     '<h3 class="post-title"><a href="', h, '">', t, '</a></h3>'
+                     '<div class="post-meta"><span class="post-author">Text:&nbsp;', t,
+                     '</span><span class="post-date">part ', i.cast("string"), '</span>'
                      '</div></div></div></div>']
         else:
             parts = ['<div data-test-id="story-card"><a data-test-id="arr--hero-image" href="', h,
@@ -532,11 +566,26 @@ def site_article_rules(spark, sf):
 def collect_run(spark, sf):
     """S3/J4/U2/E1-E7/F1-F3/J1/P1/D2/K2 chained: the collector over rendered listings and
     articles into a fresh store."""
-    root = f"{checkpoint_root(spark)}/collect_run/{uuid.uuid4().hex}"
+    root = _fresh(spark, "collect_run")
     C.collect(spark, stage(SP.crawled_pages(spark, sf), "crawl"), f"{root}/store", B.run_ts())
-    st = S.read_store(spark, f"{root}/store")
-    return st.select("uid", "title", "url", "raw_summary", F.sha2("full_text", 256).alias("full_text_sha"),
-                     "media_url", "published_raw", "published_at", "source", "feed_url", "status")
+    return _collected(S.read_store(spark, f"{root}/store"))
+
+
+def _collected(store):
+    return store.select("uid", "title", "url", "raw_summary", F.sha2("full_text", 256).alias("full_text_sha"),
+                        "media_url", "published_raw", "published_at", "source", "feed_url", "status")
+
+
+@query
+def collect_quarantine(spark, sf):
+    """What the collector could not use, one row a page: broken articles, broken listings
+    (every seventh) and the pages of ``pages``, whose hosts have no rule."""
+    root = _fresh(spark, "collect_quarantine")
+    foreign = _pages(spark, sf).select((-F.col("page_id") - 1).alias("page_id"), "url", "html")
+    pages = SP.crawled_pages(spark, sf, broken_listings=True).unionByName(foreign)
+    C.collect(spark, stage(pages, "crawl"), f"{root}/store", B.run_ts())
+    lost = C.read_quarantine(spark, f"{root}/store")
+    return lost.select("page_id", "url", "site", "role", "reason", (F.length("error") > 0).alias("has_error"))
 
 
 @query
@@ -554,12 +603,15 @@ def source_quarantine(spark, sf):
 
 @query
 def item_json(spark, sf):
-    """Items as JSON lines (every key, nulls kept), read back."""
+    """Items as JSON lines (every key, nulls kept), newest first, read back in file order."""
     it = I.recent_first(I.dedup_uid(B.doc_items(spark, sf), "doc_id")).drop("published_dt")
-    out = f"{checkpoint_root(spark)}/item_json/{hashlib.md5(sf.encode()).hexdigest()}"
+    out = _fresh(spark, "item_json")
     write_items_json(it, out)
-    j = spark.read.text(out)
-    return j.select(F.get_json_object("value", "$.uid").alias("uid"),
+    # part files are bounded, so each is read whole: its lines in order
+    lines = spark.read.text(out, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("row", "value"))
+    j = I.with_rank(lines.where("value <> ''"), F.col("file"), F.col("row"))
+    return j.select("rank", F.get_json_object("value", "$.uid").alias("uid"),
                     F.get_json_object("value", "$.title").alias("title"),
                     F.get_json_object("value", "$.published_dt_str").alias("published_dt_str"),
                     F.size(F.json_object_keys("value")).cast("long").alias("n_keys"))
@@ -570,21 +622,32 @@ def item_json(spark, sf):
 def stream_ingest(spark, sf):
     """Pages file stream -> items -> insert-if-absent into a fresh store
     (availableNow + checkpoint); equals the batch result."""
-    root = f"{checkpoint_root(spark)}/stream_ingest/{uuid.uuid4().hex}"
+    root = _fresh(spark, "stream_ingest")
     ST.ingest_pages(spark, sf, f"{root}/store", f"{root}/ckpt", flagship.items_from_pages,
                     B.run_ts(), glob="pages.parquet")
     st = S.read_store(spark, f"{root}/store")
     return st.select("uid", "title", "url", "source", "published_at", "status")
 
 
+@query
+def stream_collect(spark, sf):
+    """T1 with site rules: listings and articles in four files, in no order, one file a micro-batch;
+    the store equals that of ``collect_run``."""
+    root = _fresh(spark, "stream_collect")
+    pages = SP.crawled_pages(spark, sf).withColumn("part", F.pmod(F.xxhash64("page_id"), F.lit(4)))
+    pages.repartition(4, "part").drop("part").write.parquet(f"{root}/pages")
+    ST.ingest_site_pages(spark, f"{root}/pages", f"{root}/store", f"{root}/ckpt", B.run_ts(), max_files_per_trigger=1)
+    return _collected(S.read_store(spark, f"{root}/store"))
+
+
 @query
 def stream_process(spark, sf):
     """Store file stream -> raw rows enriched -> patches; the patched
     store equals the batch result of ``store_patch``."""
-    root = f"{checkpoint_root(spark)}/stream_process/{uuid.uuid4().hex}"
+    root = _fresh(spark, "stream_process")
     B.existing_store(spark, sf).write.parquet(f"{root}/store")
     ST.process_raw(spark, f"{root}/store", f"{root}/patches", f"{root}/ckpt", stub_generate,
-                   B.run_ts())
+                   B.run_ts(), B.ROW_LIMIT)
     store = spark.read.schema(S.STORE_SCHEMA).parquet(f"{root}/store")
     patches = ST.latest_patches(spark.read.parquet(f"{root}/patches"))
     out = S.apply_patch(store, patches)

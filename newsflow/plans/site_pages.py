@@ -3,8 +3,8 @@
 Every document is one article page and one listing card of the site that its id
 picks; its form (0 to 3) picks which of the site's alternatives the page uses, so
 every field, the block rules and most selector alternatives are reached.  Listings hold
-the cards of sixty consecutive ids.  Cards of form 2 have no link, every fifth
-article page is missing, every twentieth is broken.
+the cards of sixty consecutive ids.  Cards of form 2 have no link target, those of form 0
+follow a card without any link, every twentieth article page is broken.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from newsflow.plans import bindings as B
 #: Markup that ends the parse of a page with an error.
 BROKEN_DECLARATION = "<p>one</p><![foo[x]]>"
 LISTING_IDS = 60
+#: Hosts that belong to a site (its own, ``www.``, a subdomain, another case, a port) and hosts that only look like one.
+HOSTS = ["bartamanpatrika.com", "www.bartamanpatrika.com", "epaper.bartamanpatrika.com:443", "notbartamanpatrika.com",
+         "dainikstatesmannews.com", "WWW.DainikStatesmanNews.com", "eisamay.com", "m.eisamay.com", "eisamay.com.example.org"]
 
 
 def escaped(c: Column) -> Column:
@@ -126,9 +129,16 @@ def _card() -> dict:
     return {"bartaman": bartaman, "statesman": statesman, "eisamay": eisamay}
 
 
-def listing_pages(docs: DataFrame) -> DataFrame:
-    """Listing pages: at most ``LISTING_IDS`` documents each, cards of form 1 twice."""
-    card = _site(_card())
+#: Cards without any link, which the collector drops.
+LINKLESS = {"bartaman": '<div class="col-md-4"><div class="sg-post"><div class="entry-content catepage-grid">text</div></div></div>',
+            "statesman": '<div class="col-md-4"><div class="post-block-style"><div class="post-content">text</div></div></div>',
+            "eisamay": '<div data-test-id="story-card"><div data-test-id="headline"><h6>text</h6></div></div>'}
+
+
+def listing_pages(docs: DataFrame, broken: bool = False) -> DataFrame:
+    """Listing pages: at most ``LISTING_IDS`` documents each, cards of form 1 twice;
+    with ``broken``, every seventh cannot be read."""
+    card = _cat(F.when(F.col("form") == 0, _site(LINKLESS)).otherwise(""), _site(_card()))
     cards = docs.select("site", F.expr(f"doc_id div {LISTING_IDS}").alias("block"), "doc_id",
                         F.when(F.col("form") == 1, F.concat(card, card)).otherwise(card).alias("card"))
     made = cards.groupBy("site", "block").agg(F.array_sort(F.collect_list(F.struct("doc_id", "card"))).alias("cards"))
@@ -136,11 +146,11 @@ def listing_pages(docs: DataFrame) -> DataFrame:
     return made.select(
         ((F.col("block") * 3 + number) * 2 + 1).alias("page_id"), "site",
         _site({s: r["listing_url"] for s, r in R.SITES.items()}).alias("url"),
-        _cat("<html><body>", F.array_join("cards.card", ""), "</body></html>").alias("html"))
+        _cat("<html><body>", F.when(F.lit(broken) & (F.col("block") % 7 == 3), BROKEN_DECLARATION).otherwise(""),
+             F.array_join("cards.card", ""), "</body></html>").alias("html"))
 
 
-def crawled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_id, url, html): the listings and four fifths of the articles."""
+def crawled_pages(spark: SparkSession, sf_dir: str, broken_listings: bool = False) -> DataFrame:
+    """(page_id, url, html): all listings and articles."""
     docs = site_docs(spark, sf_dir)
-    found = article_pages(docs.where("doc_id % 5 <> 4"))
-    return listing_pages(docs).unionByName(found).select("page_id", "url", "html")
+    return listing_pages(docs, broken_listings).unionByName(article_pages(docs)).select("page_id", "url", "html")

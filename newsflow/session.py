@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -76,6 +77,15 @@ def stage(df, tag: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(observation, name: str) -> int:
+    """A count that a finished write observed.  The planner drops a pass over rows
+    that it finds to be none, and the observation with it: that count is 0."""
+    try:
+        return observation.get[name]
+    except Py4JJavaError:
+        return 0
+
+
 def spread(df):
     """``df`` dealt to ``spark.newsflow.pagePartitions`` partitions before CPU-heavy
     per-row work, where that is set; otherwise the scan's own splits are kept.

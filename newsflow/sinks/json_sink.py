@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+#: Most items of one part file (a reader may then take a file whole).
+FILE_ROWS = 50_000
+
+
 def write_items_json(items: DataFrame, path: str) -> None:
     """Overwrite ``path`` with JSON lines, one object per item.
 
@@ -13,7 +17,7 @@ def write_items_json(items: DataFrame, path: str) -> None:
     part files (one per task) instead of one array, so the export scales
     with the data; ordering inside parts follows the input plan.
     """
-    (items.write.mode("overwrite")
+    (items.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS)
      .option("ignoreNullFields", "false")
      .option("encoding", "UTF-8")
      .json(path))

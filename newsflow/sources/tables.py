@@ -4,9 +4,8 @@ parquet reader), filters stay plain column = literal so they are pushed."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from newsflow.operators.store import read_store
+from newsflow.operators.store import read_raw
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -16,4 +15,4 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_raw_items(spark: SparkSession, store_root: str) -> DataFrame:
     """Store rows still waiting for enrichment (status = 'raw')."""
-    return read_store(spark, store_root).where(F.col("status") == "raw")
+    return read_raw(spark, store_root)

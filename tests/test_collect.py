@@ -51,9 +51,12 @@ def test_collect_then_process(spark, tmp_path):
     assert (stats.added, stats.skipped) == (n_uids, len(items) - n_uids)
     again = C.collect(spark, _pages(spark), root, run_ts()).first()
     assert again.added == 0
-    v = C.process(spark, root, stub_generate, run_ts())
+    assert (stats.quarantined, again.quarantined) == (1, 1)
+    assert [tuple(r) for r in C.read_quarantine(spark, root).select("page_id", "site", "reason").distinct().collect()] == [
+        (5, None, "no site rule")]
+    done = C.process(spark, root, stub_generate, run_ts()).first()
     st = S.read_store(spark, root)
-    assert v == 1
+    assert (done.ready, done.error) == (stats.added, 0)
     assert st.where(F.col("status") == "raw").count() == 0
     assert st.count() == stats.added
     # processing again changes nothing: no row is raw any more
@@ -63,20 +66,45 @@ def test_collect_then_process(spark, tmp_path):
     assert sorted(map(tuple, after.select("uid", "status", "summary", "ai_mode").collect())) == before
 
 
-def test_process_resumes_from_committed_answers(spark, tmp_path):
-    """A processor run that died after the model step re-uses the committed
-    answers instead of calling the model again."""
-    import pandas as pd
-    root = str(tmp_path / "store")
+def _log_calls(folder, stop=""):
+    """A model that notes every call in ``folder`` and kills its worker at the title ``stop``."""
+    def generate(req):
+        import os
+        import time
+        import uuid
+        for uid, kind, prompt in zip(req["uid"], req["kind"], req["prompt"]):
+            if stop and f"Title: {stop}\n" in prompt:
+                time.sleep(6)  # the other tasks end first
+                os._exit(1)
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(f"{uid} {kind}")
+        return stub_generate(req)
+    return generate
+
+
+def test_a_killed_process_repeats_no_call(spark, tmp_path):
+    import os
+    import pytest
+    root, calls = str(tmp_path / "store"), str(tmp_path / "calls")
+    os.mkdir(calls)
     C.collect(spark, _pages(spark), root, run_ts())
-    def refusing(req: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"text": [None] * len(req), "error": ["must not be called"] * len(req)})
+    titles = sorted(r.title for r in S.read_store(spark, root).collect())
+    with pytest.raises(Exception):
+        C.process(spark, root, _log_calls(calls, titles[0]), run_ts(), partitions=32)
+    assert S.read_raw(spark, root).count() == len(titles) and os.listdir(calls)
+    done = C.process(spark, root, _log_calls(calls), run_ts(), partitions=32).first()
+    assert done.ready == len(titles)
+    made = [open(f"{calls}/{f}").read() for f in os.listdir(calls)]
+    assert len(made) == len(set(made))  # none twice
+    assert sum("one_line" in m for m in made) == len(titles)
+    before = len(made)
+    assert C.process(spark, root, _log_calls(calls), run_ts()).first().ready == 0 and len(os.listdir(calls)) == before
 
-    # simulate the first attempt: answers committed, snapshot not written
-    raw = S.read_store(spark, root).where(F.col("status") == "raw")
-    from newsflow.operators import enrich as E
-    E.enrich(raw, stub_generate, run_ts()).write.parquet(f"{root}/_patches/v=1")
-    C.process(spark, root, refusing, run_ts())
-    st = S.read_store(spark, root)
-    assert st.where(F.col("status") == "raw").count() == 0
-    assert st.where(F.col("gemini_error") == "must not be called").count() == 0
+
+def test_hosts_belong_to_the_longest_suffix(spark):
+    hosts = {"https://www.eisamay.com/entertainment": ("eisamay", "listing"), "https://m.eisamay.com/entertainment/": ("eisamay", "listing"),
+             "http://user:pw@EISAMAY.com:8080/x": ("eisamay", "article"), "https://noteisamay.com/x": (None, None),
+             "https://eisamay.com.evil.example/entertainment": (None, None), "relative/path": (None, None), "https://com/": (None, None)}
+    pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(hosts)] + [(99, None, "")], "page_id long, url string, html string")
+    got = {r.url: (r.site, r.role) for r in C.assign_sites(pages).collect()}
+    assert got == hosts | {None: (None, None)}

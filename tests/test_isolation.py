@@ -87,7 +87,9 @@ def test_an_aborted_snapshot_is_replaced(spark, tmp_path):
     root = str(tmp_path / "store")
     empty = spark.createDataFrame([], S.STORE_SCHEMA)
     first = S.write_snapshot(spark, root, empty)
-    (tmp_path / "store" / f"v={first + 1}").mkdir()
-    (tmp_path / "store" / f"v={first + 1}" / "part-0.parquet").write_text("half")
+    torn = tmp_path / "store" / f"n={first + 1}" / "kind=base" / "p=ab"
+    torn.mkdir(parents=True)
+    (torn / "part-0.parquet").write_text("half")
+    assert S.read_store(spark, root).count() == 0
     assert S.write_snapshot(spark, root, empty) == first + 1
     assert S.read_store(spark, root).count() == 0

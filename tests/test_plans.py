@@ -18,7 +18,8 @@ def test_dedup_aggregates_narrow_columns_by_hash(spark):
         p = plan(I.dedup_uid(B.doc_items(spark, SF), "doc_id"))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "partial_max" in p and "partial_min" in p and "HashAggregate" in p
+    assert "partial_min" in p and "HashAggregate" in p
+    assert p.count("Exchange hashpartitioning(uid") == 1  # one aggregate finds the winners
     assert "SortAggregate" not in p
     assert "ShuffledHashJoin" not in p  # no forced build side that cannot spill
 
@@ -49,6 +50,21 @@ def test_store_scan_pushes_status_filter(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,raw)]" in p
 
 
+def test_small_batch_reads_only_its_prefixes(spark, tmp_path):
+    root = str(tmp_path / "s")
+    S.write_snapshot(spark, root, B.existing_store(spark, SF))
+    one = spark.read.schema(S.STORE_SCHEMA).parquet(f"{root}/n=0/kind=base").limit(1).select("uid")
+    path = str(tmp_path / "one")
+    one.write.parquet(path)
+    uids = S.stored_uids(spark, root, spark.read.parquet(path))
+    held = spark.read.parquet(path).first().uid[:1]
+    p = plan(uids)
+    assert f"= {held})" in p.split("PartitionFilters: [")[1].split("]")[0]
+    assert "ReadSchema: struct<uid:string>" in p
+    read = {r.f.split("/p=")[1][:1] for r in uids.select(F.input_file_name().alias("f")).collect()}
+    assert read == {held} and uids.count() < S.read_rows(spark, root).count()
+
+
 def test_extraction_is_narrow_and_drops_html(spark):
     """Page extraction adds no hash shuffle; html never reaches a shuffle."""
     from newsflow.operators.extract import extract_articles

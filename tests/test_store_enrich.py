@@ -125,3 +125,55 @@ def test_hot_uid_third_of_rows(spark):
     out = I.dedup_uid(I.with_published(df).repartition(8), "doc_id")
     assert out.count() == 1 + 2 * n // 3
     assert out.where(F.col("uid") == "hot").first().doc_id == 2997
+
+
+def test_landed_rows_of_the_wrong_type_get_an_error_patch(spark, tmp_path):
+    """A failure outside the model stays with its row, costs no call and names its cause."""
+    docs = {"a": '{"title": "T", "raw_summary": "S", "url": "u", "source": null}', "b": '{"title": 7, "url": ["x"]}', "c": "[1]", "d": "no json",
+            "e": '{"title": "T", "media_url": {"x": 1}}', "f": None, "g": "{}", "": '{"title": "T"}'}
+    landed = spark.createDataFrame(list(docs.items()) + [(None, '{"title": "T"}')], "uid string, document string")
+    asked = spark.sparkContext.accumulator(0)
+
+    model = _gen()
+
+    def generate(req):
+        asked.add(len(req))
+        assert set(req["uid"]) <= {"a", "g"}
+        return model(req)
+
+    for answers in (None, str(tmp_path / "answers")):
+        out = {r.uid: r for r in E.enrich(E.typed_rows(landed), generate, B.run_ts(), answers=answers).collect()}
+        assert {u: r.processing_error for u, r in out.items()} == {
+            "a": None, "b": "title must be text, got bigint", "c": "document must be a JSON object", "d": "document must be a JSON object",
+            "e": "media_url must be text, got object", "f": "document must be a JSON object", "g": None, "": "uid is missing", None: "uid is missing"}
+        for u, r in out.items():
+            good = r.processing_error is None
+            assert r.status == ("ready" if good else "error") and (r.summary is not None) == good and (r.ai_mode is not None) == good
+    assert asked.value == 2 * 2 * 3
+
+
+def test_a_row_the_store_does_not_take_gets_an_error_patch(spark, tmp_path):
+    items = _items(spark)
+    small = {r.uid: r for r in E.enrich(items, _gen(), B.run_ts(), max_row_bytes=60).collect()}
+    assert small["a"].status == "error" and small["a"].summary is None and small["a"].ai_mode is None
+    assert small["a"].processing_error.endswith("bytes; the store takes 60")
+    assert small["c"].status == "ready"
+    store = S.store_row(items.withColumnsRenamed({"raw_summary": "summary_raw", "url": "link"}).selectExpr(
+        "*", "'' feed_url", "'' full_text", "'' media_url", "'' published", "'' published_dt_str"), B.run_ts())
+    out = {r.uid: r for r in S.apply_patch(store, E.enrich(store, _gen(), B.run_ts(), max_row_bytes=60)).collect()}
+    assert out["a"].status == "error" and out["a"].title == "T1" and out["c"].status == "ready"
+
+
+def test_answers_are_reused_and_failures_too(spark, tmp_path):
+    answers = str(tmp_path / "answers")
+    plain = sorted(map(tuple, E.enrich(_items(spark), _gen(fail_kind="telegram"), B.run_ts()).collect()))
+    first = E.enrich(_items(spark), _gen(fail_kind="telegram"), B.run_ts(), answers=answers, run="1")
+    assert sorted(map(tuple, first.collect())) == plain
+
+    def never(req):
+        raise RuntimeError("asked again")
+    again = E.enrich(_items(spark), never, B.run_ts(), answers=answers, run="2")
+    assert sorted(map(tuple, again.collect())) == plain
+    changed = _items(spark).withColumn("title", F.when(F.col("uid") == "b", "new").otherwise(F.col("title")))
+    got = {r.uid: r for r in E.enrich(changed, never, B.run_ts(), answers=answers, run="3").collect()}
+    assert got["b"].gemini_error == "asked again" and got["a"].gemini_error == "boom telegram"  # another prompt is another request
