@@ -30,20 +30,37 @@ HTML_ENTITIES = {name.rstrip(";"): chars for name, chars in html5.items()}
 FREQUENT_ENTITIES = ["amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "middot", "hellip", "ndash", "mdash",
                      "lsquo", "rsquo", "ldquo", "rdquo", "laquo", "raquo", "bull", "trade", "euro"]
 
+# Replaced before any other reference is looked at; none gives a character that could go on a name.
+PLAIN_ENTITIES = ["lt", "gt", "quot", "nbsp", "copy", "middot", "apos"]
+# Stands for a decoded ampersand until all references are decoded (texts that hold it are decoded the long way).
+HELD = "\ufdd0"
+
 # Markup that yields no text node: comments, script and style bodies.
 NON_TEXT_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# The rest of a tag before its '>': a quoted attribute value may hold one.
+# Where a quote is never closed, the tag ends at the first '>'.
+ATTRS_RE = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|)[^>=]*+)*+"""
 # Anything the HTML tokenizer reads as a tag / declaration / PI.
-TAG_RE = r"</?[A-Za-z][^>]*>|<![^>]*>|<\?[^>]*>"
+TAG_RE = rf"</?[A-Za-z]{ATTRS_RE}>|</?[A-Za-z][^>]*>|<![^>]*>|<\?[^>]*>"
+# Separates text nodes; a page's own NUL becomes U+FFFD, and no reference decodes to NUL.
+NODE = "\x00"
+# Opens a mark: a node that stands for a tag which later steps look for.
+MARK = "\x01"
 
 
 def _entity(name: Column) -> Column:
-    """Characters of a named reference; NULL for no or an unknown name.  Both
-    tables are foldable, so a plan holds each as one literal."""
-    def look(names) -> Column:
-        pairs = "\x01".join(f"{n}\x02{HTML_ENTITIES[n]}" for n in names)
-        return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02")), name)
+    """Characters of a named reference; NULL for no or an unknown name.
 
-    return F.when(name != "", F.coalesce(look(FREQUENT_ENTITIES), look(HTML_ENTITIES)))
+    The frequent names are a small map.  The whole table is one string literal that
+    is searched: rare references cost a scan of it, and plans stay light (a map
+    literal of this size is built again whenever a plan is optimised).
+    """
+    pairs = "\x01".join(f"{n}\x02{HTML_ENTITIES[n]}" for n in FREQUENT_ENTITIES)
+    frequent = F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02")), name)
+    table = F.lit("\x01" + "".join(f"{n}\x02{c}\x01" for n, c in HTML_ENTITIES.items()))
+    at = F.instr(table, F.concat(F.lit("\x01"), name, F.lit("\x02")))
+    rare = F.substring_index(F.substr(table, at + F.length(name) + 2, F.lit(8)), "\x01", 1)
+    return F.when(name != "", F.coalesce(frequent, F.when(at > 0, rare)))
 
 
 def _c1_map() -> Column:
@@ -177,7 +194,24 @@ def decode_entities(c) -> Column:
         tail = F.transform(F.slice(parts, 2, F.size(parts) - 1), _decode_piece)
         return F.concat(F.get(parts, 0), F.array_join(tail, ""))
 
-    return F.when(F.instr(s, "&") == 0, s).otherwise(let(F.split(s, "&", -1), body))
+    def quick(x):
+        """The plainest references by replacement; an ampersand they give is held back."""
+        x = F.replace(x, F.lit("&amp;"), F.lit(HELD))
+        for name in PLAIN_ENTITIES:
+            x = F.replace(x, F.lit(f"&{name};"), F.lit(HTML_ENTITIES[name]))
+        return x
+
+    def rest(r):
+        x = r["x"]
+        whole = F.when(F.instr(x, "&") == 0, x).otherwise(let(F.split(x, "&", -1), body))
+        return F.when(r["held"], F.replace(whole, F.lit(HELD), F.lit("&"))).otherwise(whole)
+
+    def decoded(x):
+        plain = F.instr(x, HELD) == 0
+        return F.when(F.instr(x, "&") == 0, x).otherwise(let(
+            F.struct(F.when(plain, quick(x)).otherwise(x).alias("x"), plain.alias("held")), rest))
+
+    return decoded(s) if isinstance(c, str) else let(s, decoded)
 
 
 @memo
@@ -187,16 +221,47 @@ def strip_non_text(html) -> Column:
     return F.regexp_replace(_c(html), NON_TEXT_RE, "<x>")
 
 
+@memo
+def node_string(fragment, *marks: str) -> Column:
+    """The text nodes of an HTML fragment in one string: each decoded, stripped, not
+    empty and followed by ``NODE``; the string starts with ``NODE``.
+
+    Tags are read once, by one replacement over the fragment.  Start and end tags
+    named in ``marks`` stay as nodes of their own (see :func:`mark`).
+    """
+    s = F.replace(_c(fragment), F.lit(NODE), F.lit("\ufffd"))
+    for name in marks:
+        s = F.regexp_replace(s, rf"(?i)<(/?){name}(?:\s{ATTRS_RE}>|\s[^>]*>|/?>)", f"{NODE}{MARK}$1{name}{NODE}")
+    nodes = F.split(decode_entities(F.regexp_replace(s, TAG_RE, NODE)), NODE, -1)
+    kept = F.filter(F.transform(nodes, py_strip), lambda t: t != "")
+    return F.concat(F.lit(NODE), F.array_join(kept, NODE), F.lit(NODE))
+
+
+def mark(name: str) -> str:
+    """The mark of a tag (``p``, ``/p``) with the separator behind it."""
+    return f"{MARK}{name}{NODE}"
+
+
+def joined_nodes(nodes, sep: str) -> Column:
+    """The text of a piece of a :func:`node_string`, its nodes joined by ``sep``; marks are left out."""
+    def joined(x):
+        return F.replace(F.btrim(x, F.lit(NODE)), F.lit(NODE), F.lit(sep))
+
+    def body(x):
+        return F.when(F.instr(x, MARK) == 0, joined(x)).otherwise(
+            joined(F.regexp_replace(x, rf"(?:\x00*+{MARK}/?+[a-z0-9]++(?:\x00|$))++", NODE)))
+
+    return body(_c(nodes)) if isinstance(nodes, str) else let(nodes, body)
+
+
 @memo
 def text_nodes(fragment) -> Column:
     """Array of decoded, stripped, non-empty text nodes of an HTML fragment."""
-    nodes = F.split(_c(fragment), TAG_RE, -1)
-    return F.filter(F.transform(nodes, lambda n: py_strip(decode_entities(n))),
-                    lambda t: t != "")
+    return F.filter(F.split(node_string(fragment), r"\x00", -1), lambda t: t != "")
 
 
 @memo
 def html_text(fragment, sep: str = " ") -> Column:
     """``get_text(sep, strip=True)`` of a fragment already cleaned by
     :func:`strip_non_text`."""
-    return F.array_join(text_nodes(fragment), sep)
+    return joined_nodes(node_string(fragment), sep)

@@ -18,22 +18,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions.text import (
-    _c, decode_entities, html_text, let, memo, py_strip, starts_with_ci, strip_non_text,
-    text_nodes,
+    ATTRS_RE, NODE, _c, decode_entities, html_text, joined_nodes, let, mark, memo, node_string, py_strip, starts_with_ci,
+    strip_non_text, text_nodes,
 )
 from newsflow.functions.urls import url_resolve
 from newsflow.session import spread
 
-P_OPEN_RE = r"(?i)<p(?:\s[^>]*)?/?>"
-P_CLOSE_RE = r"(?i)</p\s*>"
-ANCHOR_RE = r"(?is)<a(?:\s[^>]*)?>.*?(?:</a\s*>|$)"
-IMG_RE = r"(?is)<img(?:\s[^>]*)?>"
+# A start tag to its end; quoted values may hold '>'.
+OPEN_A_RE = rf"<a(?:\s{ATTRS_RE}>|\s[^>]*>|>)"
+ANCHOR_RE = rf"(?is){OPEN_A_RE}.*?(?:</a\s*>|$)"
+IMG_RE = rf"(?is)<img(?:\s{ATTRS_RE}>|\s[^>]*>|>)"
 PUBLISHED_LINE_RE = r"(?U)^[\s\x1c-\x1f]*Published:"
 PUBLISHED_RE = r"(?Ud)Published:[\s\x1c-\x1f]*(.+)"
 
 
+def unnest(df: DataFrame, columns: list, array: str, pos: str, value: str) -> DataFrame:
+    """One row per element of ``array``: the columns, its position and itself.
+
+    Written as an outer explode whose empty rows are dropped afterwards: for an
+    inner one the optimizer adds a filter on the array's size and pushes it below
+    the projections that compute the array, where all of them run once more for
+    every use of a value.
+    """
+    return df.select(*columns, F.posexplode_outer(array).alias(pos, value)).where(F.col(pos).isNotNull())
+
+
 def _start_tag(tag: str) -> str:
-    return rf"<{tag}(?:\s[^>]*)?/?>"
+    return rf"<{tag}(?:\s{ATTRS_RE}>|\s[^>]*>|/?>)"
 
 
 def has_tag(clean, tag: str) -> Column:
@@ -46,13 +57,19 @@ def first_inner(clean, tag: str) -> Column:
     return F.regexp_extract(_c(clean), rf"(?is){_start_tag(tag)}(.*?)(?:</{tag}\s*>|$)", 1)
 
 
+@memo
+def raw_attr(tag_html, name: str) -> Column:
+    """Value of attribute ``name`` in one start tag as written ('' if absent)."""
+    other = r"""(?:"[^"]*"|'[^']*'|[^>"'])*?"""  # before it, quoted values are passed whole
+    pat = rf"""(?is)^<[A-Za-z0-9]+\s(?:{other}\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    t = _c(tag_html)
+    return F.concat(F.regexp_extract(t, pat, 1), F.regexp_extract(t, pat, 2), F.regexp_extract(t, pat, 3))
+
+
 @memo
 def attr_value(tag_html, name: str) -> Column:
     """Decoded value of attribute ``name`` in one start tag ('' if absent)."""
-    pat = rf"""(?is)^<[A-Za-z0-9]+\s(?:[^>]*?\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    t = _c(tag_html)
-    return decode_entities(F.concat(F.regexp_extract(t, pat, 1), F.regexp_extract(t, pat, 2),
-                                    F.regexp_extract(t, pat, 3)))
+    return decode_entities(raw_attr(tag_html, name))
 
 
 @memo
@@ -68,33 +85,50 @@ def page_title(clean, sep: str = "") -> Column:
     return let(title_fragment(clean), lambda frag: F.when(frag.isNotNull(), html_text(frag, sep)))
 
 
+#: Tags that stay as marks in a page's node string.
+MARKED = ("h1", "title", "article", "p")
+
+
+def inner_nodes(nodes, name: str) -> Column:
+    """Nodes of the first element ``name`` (NULL when absent); an unclosed one runs to the end."""
+    n = _c(nodes)
+    start = F.instr(n, mark(name))
+    return F.when(start > 0, F.concat(F.lit(NODE), F.substring_index(F.substr(n, start + len(mark(name))), mark("/" + name), 1)))
+
+
+@memo
+def nodes_title(nodes, sep: str = "") -> Column:
+    """:func:`page_title` from the page's node string."""
+    return joined_nodes(F.coalesce(inner_nodes(nodes, "h1"), inner_nodes(nodes, "title")), sep)
+
+
 @memo
-def content_block(clean) -> Column:
-    """Block chain ``article -> whole page``."""
-    return F.when(has_tag(clean, "article"), first_inner(clean, "article")).otherwise(_c(clean))
+def block_nodes(nodes) -> Column:
+    """Nodes of the block chain ``article -> whole page`` from the page's node string."""
+    return F.coalesce(inner_nodes(nodes, "article"), _c(nodes))
 
 
 @memo
 def paragraph_parts(block) -> Column:
-    """Segments of a block split at every ``<p>`` start tag (stage this as a
-    column before :func:`raw_paragraphs` so it is computed once per row)."""
-    return F.split(_c(block), P_OPEN_RE, -1)
+    """Segments of a block's nodes split at every ``<p>`` (stage this as a column
+    before :func:`raw_paragraphs` so it is computed once per row)."""
+    return F.split(_c(block), mark("p"), -1)
 
 
 @memo
 def raw_paragraphs(parts, nested: bool = True) -> Column:
     """Text of every ``<p>`` in document order (unfiltered), from the staged
-    ``paragraph_parts`` column."""
+    ``paragraph_parts`` column.  The nodes are read already: a paragraph is a range
+    of them, an unclosed one the range to the end of its block."""
     parts = _c(parts)
     n = F.size(parts)
 
     def one(seg, i):
-        closed = F.split(seg, P_CLOSE_RE, 2)
-        own = F.get(closed, 0)
+        own = F.substring_index(seg, mark("/p"), 1)
         if not nested:
-            return html_text(own, " ")
-        rest = F.array_join(F.slice(parts, i + 2, F.greatest(n - i - 1, F.lit(1))), "<p>")
-        return html_text(F.when(F.size(closed) > 1, own).otherwise(rest), " ")
+            return joined_nodes(own, " ")
+        rest = F.array_join(F.slice(parts, i + 2, F.greatest(n - i - 1, F.lit(1))), "")
+        return joined_nodes(F.when(F.instr(seg, mark("/p")) > 0, own).otherwise(rest), " ")
 
     return F.transform(F.slice(parts, 2, F.greatest(n - 1, F.lit(0))), one)
 
@@ -171,9 +205,9 @@ def first_img_tag(clean) -> Column:
 def img_src(tag, base) -> Column:
     """``src`` (else ``data-src``) of a staged img tag, resolved; NULL if none."""
     tag = _c(tag)
-    src = F.coalesce(F.nullif(attr_value(tag, "src"), F.lit("")),
-                     F.nullif(attr_value(tag, "data-src"), F.lit("")))
-    return F.when(src.isNotNull(), url_resolve(base, py_strip(src)))
+    src = decode_entities(F.coalesce(F.nullif(raw_attr(tag, "src"), F.lit("")), F.nullif(raw_attr(tag, "data-src"), F.lit(""))))
+    base = _c(base)
+    return let(src, lambda s: F.when(s.isNotNull(), url_resolve(base, py_strip(s))))
 
 
 def extract_articles(pages: DataFrame, drop_ads: bool = True, nested: bool = True,
@@ -186,11 +220,12 @@ def extract_articles(pages: DataFrame, drop_ads: bool = True, nested: bool = Tru
     expensive value is used more than once).
     """
     s1 = spread(pages).select("page_id", "url", strip_non_text("html").alias("clean"))
+    s1 = s1.select("page_id", "url", "clean", node_string("clean", *MARKED).alias("nodes"))
     s2 = s1.select(
         "page_id", "url",
-        page_title("clean", title_sep).alias("article_title"),
-        paragraph_parts(content_block("clean")).alias("parts"),
-        html_text("clean", "\n").alias("page_text"),
+        nodes_title("nodes", title_sep).alias("article_title"),
+        paragraph_parts(block_nodes("nodes")).alias("parts"),
+        joined_nodes("nodes", "\n").alias("page_text"),
         first_img_tag("clean").alias("img"))
     s3 = s2.select(
         "page_id", "url", "article_title", img_src("img", "url").alias("article_image_url"),
@@ -210,9 +245,10 @@ def extract_articles(pages: DataFrame, drop_ads: bool = True, nested: bool = Tru
 def extract_paragraphs(pages: DataFrame, drop_ads: bool = True, nested: bool = True) -> DataFrame:
     """One row per kept paragraph: (page_id, pos, text)."""
     s0 = spread(pages).select("page_id", strip_non_text("html").alias("clean"))
-    s1 = s0.select("page_id", paragraph_parts(content_block("clean")).alias("parts"))
+    s1 = s0.select("page_id", node_string("clean", *MARKED).alias("nodes"))
+    s1 = s1.select("page_id", paragraph_parts(block_nodes("nodes")).alias("parts"))
     s2 = s1.select("page_id", keep_paragraphs(raw_paragraphs("parts", nested), drop_ads).alias("paras"))
-    return (s2.select("page_id", F.posexplode("paras").alias("pos", "text"))
+    return (unnest(s2, ["page_id"], "paras", "pos", "text")
             .select("page_id", F.col("pos").cast("long").alias("pos"), "text"))
 
 
@@ -222,7 +258,7 @@ def _anchors(pages: DataFrame) -> DataFrame:
 
 
 def _href(anchor) -> Column:
-    return attr_value(F.regexp_extract(anchor, r"(?is)^(<a[^>]*>)", 1), "href")
+    return attr_value(F.regexp_extract(anchor, rf"(?is)^({OPEN_A_RE})", 1), "href")
 
 
 def link_cards(pages: DataFrame) -> DataFrame:
@@ -230,12 +266,10 @@ def link_cards(pages: DataFrame) -> DataFrame:
 
     ``n_links`` is the listing size, computed per row (no window).
     """
-    df = _anchors(pages).select(
-        "page_id", "url", F.size("anchors").cast("long").alias("n_links"),
-        F.posexplode("anchors").alias("pos", "anchor"))
+    df = unnest(_anchors(pages), ["page_id", "url", F.size("anchors").cast("long").alias("n_links")], "anchors", "pos", "anchor")
     return df.select(
         "page_id", "url", F.col("pos").cast("long").alias("pos"), "n_links",
-        html_text(F.regexp_extract("anchor", r"(?is)^<a[^>]*>(.*?)(?:</a\s*>)?$", 1), "")
+        html_text(F.regexp_extract("anchor", rf"(?is)^{OPEN_A_RE}(.*?)(?:</a\s*>)?$", 1), "")
         .alias("text"),
         _href("anchor").alias("href"))
 
@@ -281,7 +315,8 @@ def dedup_listing(pages: DataFrame, repeat: bool = False) -> DataFrame:
     cards = urls.select("page_id", F.arrays_zip(
         F.sequence(F.lit(0), F.size("urls") - 1).alias("pos"), F.col("urls").alias("article_url"))
         .alias("cards"))
-    return (cards.select("page_id", F.explode(first_per_key("cards", "article_url")).alias("c"))
+    kept = cards.select("page_id", first_per_key("cards", "article_url").alias("kept"))
+    return (unnest(kept, ["page_id"], "kept", "at", "c")
             .select("page_id", F.col("c.pos").cast("long").alias("pos"),
                     F.col("c.article_url").alias("article_url")))
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from newsflow.functions.text import memo, nbsp_clean, py_strip
 from newsflow.functions.urls import fix_protocol, url_resolve
 from newsflow.operators import dom
-from newsflow.operators.extract import byline_author, byline_date, first_per_key, keep_paragraphs
+from newsflow.operators.extract import byline_author, byline_date, first_per_key, keep_paragraphs, unnest
 from newsflow.session import ship_package, spread
 
 # ---------------------------------------------------------------------------
@@ -349,8 +349,7 @@ def finish_cards(raw: DataFrame) -> DataFrame:
     x = x.select("page_id", "site", "_dd", F.filter(
         "c", lambda c: ~F.col("_req") | (c["has_link"] & (c["href"] != ""))).alias("c"))
     x = x.select("page_id", "site", F.when(F.col("_dd"), first_per_key("c", "article_url")).otherwise(F.col("c")).alias("c"))
-    x = x.select("page_id", "site", F.size("c").cast("long").alias("n_cards"),
-                 F.posexplode("c").alias("card_pos", "k"))
+    x = unnest(x, ["page_id", "site", F.size("c").cast("long").alias("n_cards")], "c", "card_pos", "k")
     return x.select("page_id", "site", F.col("card_pos").cast("long").alias("card_pos"), "n_cards",
                     *[F.col("k")[f].alias(f) for f in CARD_FIELDS])
 

@@ -84,3 +84,36 @@ def test_links_and_listing_dedup(spark):
     assert {l.n_links for l in links} == {4}
     d = EX.dedup_listing(df).orderBy("pos").collect()
     assert [x.pos for x in d] == [0, 1, 3]
+
+
+ODD = ['<p title="a > b">one</p><p class=x>two</p>', "<p data-x='1 > 0' id=\"q\">one</p><a title='x>y' href=\"/z?a>b\">t</a>",
+       "<p it's>one</p><p class='x'>two</p>", "<p a=b\"c>one</p><p>two \"quoted\" > text</p>", "<p>1 < 2 > 0</p><p>a<b class=\"x>y\">c</b>d</p>",
+       "<P>Upper<ARTICLE x=\">\"><p>in</p></article><p>out", "<h1 title=\"&gt;>\">T</h1><p>&lt;p&gt; &amp;lt; &#38;amp; &copy 1 &copy; &nbsp;</p>",
+       "<p>one<p>two<p>three</p>four", "\x00<p>a\x00b</p>\x01p\x00", "<p>﷐ &amp;quot; &quot;</p>", "<p\n class=\"a\nb>\"\n>one</p>"]
+
+
+def test_quoted_attributes_and_odd_pages_as_the_tokenizer_reads_them(spark):
+    """The native path against the parsed tree: paragraphs, title and all text nodes."""
+    from newsflow.operators import rules as R
+    pages = spark.createDataFrame([(i, "http://a/", h) for i, h in enumerate(ODD)], "page_id long, url string, html string")
+    native = {r.page_id: r for r in EX.extract_articles(pages).collect()}
+    tree = {r.page_id: r for r in R.extract_site_articles(pages.withColumn("site", F.lit("statesman"))).collect()}
+    for i, html in enumerate(ODD):
+        if "\x00" in html:
+            assert native[i].article_details.full_text == "a�b"  # a NUL is no character of a text
+            continue
+        for field in ("article_title", "full_text", "short_description"):
+            assert native[i].article_details[field] == tree[i].article_details[field], (html, field)
+    links = {r.page_id: r for r in EX.extract_links(pages).collect()}
+    assert (links[1].href, links[1].text) == ("/z?a>b", "t")
+
+
+def test_unclosed_paragraphs_are_read_once(spark):
+    n = 1000
+    html = "<article>" + "".join(f"<p><b>w{i}</b>" for i in range(n)) + "</article>"
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = [r.text for r in EX.extract_paragraphs(pages).orderBy("pos").collect()]
+    assert got == [" ".join(f"w{j}" for j in range(i, n)) for i in range(n)]
+    plan = EX.extract_paragraphs(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("|<![^>]*>|") == 1  # one replacement reads all tags of a page
+    assert EX.extract_paragraphs(pages, nested=False).where("pos = 7").first().text == "w7"
