@@ -70,10 +70,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, rows: int)
     fold, taken by hash order of the id.
 
     The label side is bounded by ``rows`` and therefore broadcast; documents are
-    never shuffled.  Repeated label rows count once (the larger label).
+    never shuffled.  A label above 0 counts as 1, any other as 0; repeated label
+    rows count once (the larger label).
     """
     lab = (labels.where(F.col(target).isNotNull() & ~held_out())
-           .groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("y"))
+           .groupBy("doc_id").agg(F.max((F.col(target) > 0).cast("int")).alias("y"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(lab), "doc_id"))

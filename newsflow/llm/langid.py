@@ -8,7 +8,8 @@ the prediction is the largest proportion in that set.
 
 The trigram tables are counted over at most ``rows`` documents of every language
 outside the held-out fold, chosen by hash order of the id; documents are never
-shuffled for prediction.
+shuffled for prediction.  At most ``MOST_LANGUAGES`` languages are learned, so a
+column of stray values bounds the tables; trigrams fall into 2 ** ``BITS`` classes.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 without any learned language so is every text; a null id is held out; repeated
@@ -30,6 +31,10 @@ from pyspark.sql import functions as F
 from newsflow.llm.common import arrow_map, held_out, texts
 
 SAMPLE_ROWS = 3_000
+#: Most languages that are learned (those with the most documents): 128 KB of table each.
+MOST_LANGUAGES = 1_000
+#: Parts of a language whose ids are ranked on their own first.
+PARTS = 64
 BITS = 15
 LETTER = re.compile(r"[^\W\d_]")
 GAP = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -137,8 +142,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Languages:
     ids = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    taken = (ids.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= rows)
+    names = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).select("lang")
+    ids = ids.join(F.broadcast(names), "lang").withColumn("part", F.pmod(F.xxhash64("lang", "doc_id"), F.lit(PARTS)))
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    part, whole = (Window.partitionBy(*keys).orderBy(*order) for keys in (("lang", "part"), ("lang",)))
+    taken = (ids.withColumn("nth", F.row_number().over(part)).where(F.col("nth") <= rows)
+             .withColumn("nth", F.row_number().over(whole)).where(F.col("nth") <= rows)
              .select("doc_id", "lang").distinct())
     sample = (docs.where("text is not null").select("doc_id", "lang", "text")
               .join(F.broadcast(taken), ["doc_id", "lang"]).select("lang", "text"))

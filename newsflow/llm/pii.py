@@ -4,7 +4,7 @@ Regular expressions propose spans, validators confirm them (digit counts, Luhn,
 mod 97, octet range), and words shortly before a span raise its score.  All of
 it is DataFrame expressions: the text between matches (``split``) and the matches
 (``regexp_extract_all``) alternate, so a running sum of their lengths gives code
-point offsets in one fold over a document, without a shuffle.
+point offsets, without a shuffle.  n spans cost n log n steps.
 
 Base kinds are email, ip, card and phone: every confirmed span counts.  The
 method adds iban (mod 97) and account: 8 to 12 digits alone are weak evidence,
@@ -16,7 +16,8 @@ patterns, and long texts cost linear time.
 Defined cases: null text counts as empty (and stays null when masking); spans
 are leftmost and do not overlap within a kind; a proposal that fails its check is
 dropped without another try inside it; rows are independent, so repeated rows
-give equal results; further columns are kept.
+give equal results; further columns are kept, whatever their names
+(:func:`find_pii` adds columns under a prefix of the caller's choice).
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.functions.text import let
+
 # Patterns of the kinds, in the order in which spans are listed.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -47,6 +50,8 @@ CONTEXT = {
 REACH = 40
 PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.9, "account": 0.3}
 BOOST, ACCEPT = 0.3, 0.5
+#: Spans from which on a text is masked from its code points rather than by substrings.
+MANY = 64
 SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
@@ -85,6 +90,18 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def running(values: Column, merge) -> Column:
+    """Running totals of an array of integers under ``merge`` (sum, greatest): each
+    round merges every element with the total twice as far back, so n elements take
+    log n rounds and no array grows by one."""
+    def rounds(v: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(0), F.greatest(F.ceil(F.log2(F.size(v))).cast("int") - 1, F.lit(0))), v,
+            lambda acc, k: F.transform(acc, lambda x, i: F.when(i >= F.pow(F.lit(2), k), merge(x, F.get(acc, i - F.pow(F.lit(2), k).cast("int"))))
+                                       .otherwise(x)))
+    return let(values, rounds)
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """Array of (kind, start, end, score) of one kind; ``text`` must not be null."""
     pattern = F.lit(PATTERNS[kind])
@@ -92,20 +109,21 @@ def spans_of(text: Column, kind: str) -> Column:
                           F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"))
     empty = F.array().cast(SPAN)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc.at + F.char_length(x.gap)
-        end = start + F.coalesce(F.char_length(x.hit), F.lit(0))
+    def span(x: Column, end: Column) -> Column:
         near = F.lower(F.right(x.gap, F.lit(REACH))).rlike(rf"(?:^|[^a-z])(?:{CONTEXT[kind]})")
         score = F.lit(PRIOR[kind]) + F.when(near, F.lit(BOOST)).otherwise(F.lit(0.0))
         ok = x.hit.isNotNull() & confirmed(kind, x.hit)
         if kind not in BASE:
             ok = ok & (score >= ACCEPT)
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
-                        F.least(score, F.lit(1.0)).alias("score"))
-        return F.struct(end.alias("at"), F.when(ok, F.concat(acc.out, F.array(span).cast(SPAN)))
-                        .otherwise(acc.out).alias("out"))
+        made = F.struct(F.lit(kind).alias("kind"), (end - F.char_length(x.hit)).alias("start"), end.alias("end"),
+                        F.least(score, F.lit(1.0)).alias("score")).cast(SPAN[6:-1])
+        return F.when(ok, made)
+
+    def spans(all_pieces: Column, ends: Column) -> Column:
+        return F.filter(F.transform(all_pieces, lambda x, i: span(x, F.get(ends, i))), lambda s: s.isNotNull())
 
-    found = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc.out)
+    size = F.transform(pieces, lambda x: F.char_length(x.gap) + F.coalesce(F.char_length(x.hit), F.lit(0)))
+    found = let(pieces, lambda p: let(running(size, lambda a, b: a + b), lambda ends: spans(p, ends)))
     needed = [F.instr(text, NEEDS[kind]) > 0] if kind in NEEDS else []
     needed += [text.rlike(NEEDS_PATTERN[kind])] if kind in NEEDS_PATTERN else []
     test = needed[0]
@@ -114,10 +132,10 @@ def spans_of(text: Column, kind: str) -> Column:
     return F.when(test, found).otherwise(empty)
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one column of spans per kind, named ``pii_<kind>``."""
+def find_pii(docs: DataFrame, text: str = "text", prefix: str = "pii_") -> DataFrame:
+    """``docs`` with one column of spans per kind, named ``<prefix><kind>``."""
     held = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    return docs.withColumns({f"pii_{kind}": spans_of(held, kind) for kind in PATTERNS})
+    return docs.withColumns({f"{prefix}{kind}": spans_of(held, kind) for kind in PATTERNS})
 
 
 def listed(*kinds: str) -> Column:
@@ -139,22 +157,28 @@ def mask_pii(docs: DataFrame) -> DataFrame:
     All columns are kept; ``n_chars``, where it exists, follows the new text.
     """
     names = docs.columns
+    fields = {f.name: f for f in docs.schema.fields}
+    wide = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text"))
     text = F.col("text")
     spans = F.array_sort(F.transform(F.concat(*(F.col(f"pii_{k}") for k in PATTERNS)), lambda s: F.struct(
         s.start.alias("start"), s.end.alias("end"), s.kind.alias("kind"))))
 
-    def step(acc: Column, s: Column) -> Column:
-        free = s.start >= acc.at
-        return F.struct(
-            F.greatest(acc.at, s.end).alias("at"),
-            F.when(free, F.concat(acc.out, F.substring(text, acc.at + 1, s.start - acc.at), F.lit("["),
-                                  F.upper(s.kind), F.lit("]"))).otherwise(acc.out).alias("out"))
-
-    masked = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                         lambda acc: F.concat(acc.out, F.substring(text, acc.at + 1, F.char_length(text))))
-    out = find_pii(docs)
-    any_ = F.greatest(*(F.size(f"pii_{k}") for k in PATTERNS)) > 0
-    out = out.withColumn("text", F.when(text.isNotNull() & any_, masked).otherwise(text))
+    def cut(start: Column, size: Column, chars: Column) -> Column:
+        """A piece of the text: by code points once split up where there are many spans."""
+        return F.when(F.size(chars) > 0, F.array_join(F.slice(chars, start + 1, size), "")).otherwise(F.substring(text, start + 1, size))
+
+    def pieces(s: Column, ends: Column, chars: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(ends, i - 1), F.lit(0))  # behind all earlier spans
+            return F.when(x.start >= at, F.concat(cut(at, x.start - at, chars), F.lit("["), F.upper(x.kind), F.lit("]"))).otherwise(F.lit(""))
+        last = F.get(ends, F.size(ends) - 1)
+        return F.concat(F.array_join(F.transform(s, piece), ""), cut(last, F.char_length(text) - last, chars))
+
+    chars = F.when(F.size("spans") > MANY, F.split(text, "")).otherwise(F.array().cast("array<string>"))
+    masked = let(running(F.transform("spans", lambda s: s.end), F.greatest), lambda ends: let(chars, lambda c: pieces(F.col("spans"), ends, c)))
+    out = find_pii(wide).select("row", "text", spans.alias("spans"))
+    out = out.select("row", F.when(text.isNotNull() & (F.size("spans") > 0), masked).otherwise(text).alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in names))
+        new["n_chars"] = F.char_length("text").cast(fields["n_chars"].dataType)
+    return out.select(*(new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in names))

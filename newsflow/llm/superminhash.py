@@ -418,13 +418,9 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component (its smallest id); all columns kept.
 
     Rows without words stay, since they are linked with nothing, and so do rows
-    with a null id; of rows with equal id and text one stays.  Only repeated rows
-    have their texts compared again.
+    with a null id; of rows with equal id and text one stays (the anti join
+    has already dealt the rows by id, so this moves no text again).
     """
-    gone = near_duplicates(docs, words, percent).where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct()
-    key = F.xxhash64("doc_id", "text")
-    again = docs.groupBy(key.alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key")
-    left = (docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
-            .join(gone, "id", "left_anti"))
-    once = left.join(again, "key", "left_semi").withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"])
-    return left.join(again, "key", "left_anti").select("row.*").unionByName(once.select("row.*"))
+    gone = near_duplicates(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return left.select(*(F.col(f"`{c}`") for c in docs.columns))

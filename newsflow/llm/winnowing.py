@@ -71,7 +71,7 @@ class Winnower:
             return h, np.zeros(0, np.int64)
         step = (1 << BLOCK_BITS) - w
         at = [self._block(h[a:a + step + w - 1]) + a for a in range(0, max(1, n - w + 1), step)]
-        at = np.unique(np.concatenate(at))
+        at = np.unique(np.concatenate(at)) if len(at) > 1 else at[0]
         return h[at], at
 
     def _block(self, h: np.ndarray) -> np.ndarray:
@@ -83,7 +83,9 @@ class Winnower:
             width *= 2
         if width < w:
             low = np.minimum(low[:len(low) - (w - width)], low[w - width:])
-        return (mask - (np.unique(low) & mask)).astype(np.int64)
+        # a gram is the least of windows in a row and of no later ones
+        low = low[np.flatnonzero(np.concatenate([np.ones(min(1, len(low)), bool), low[1:] != low[:-1]]))]
+        return (mask - (low & mask)).astype(np.int64)
 
     def fingerprint(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         return self.choose(self.grams(text))
@@ -91,11 +93,18 @@ class Winnower:
 
 def written(hashes: np.ndarray, places: np.ndarray) -> str:
     """hash:position of every chosen gram, the hash in hexadecimal."""
-    return ",".join(f"{h:x}:{p}" for h, p in zip(hashes.tolist(), places.tolist()))
+    pairs = np.stack([hashes, places.astype(np.uint64)], 1).ravel().tolist()
+    return ("%x:%d," * len(hashes))[:-1] % tuple(pairs)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes."""
+    h = np.sort(hashes)
+    return h[np.concatenate([np.ones(min(1, len(h)), bool), h[1:] != h[:-1]])]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    a, b = np.unique(a), np.unique(b)
+    """Jaccard similarity of two sorted distinct sets; of two empty ones, 1."""
     both = len(np.intersect1d(a, b, assume_unique=True))
     union = len(a) + len(b) - both
     return both / union if union else 1.0
@@ -152,13 +161,14 @@ def _compare(k: int, window: int):
             rows = []
             for range_, halo, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("range", "halo", "doc_id", "text"))):
                 print_ = w.fingerprint(text)
+                set_ = distinct(print_[0])
                 if held and held[0] == range_:
-                    _, own_id, own_text, own = held
+                    _, own_id, own_text, own, own_set = held
                     edited = edited_text(own_text, text)
                     other = w.fingerprint(edited)
                     rows.append((own_id, len(own_text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-                                 written(*own), written(*other), likeness(own[0], other[0]), likeness(own[0], print_[0])))
-                held = None if halo else (range_, doc_id, text, print_)
+                                 written(*own), written(*other), likeness(own_set, distinct(other[0])), likeness(own_set, set_)))
+                held = None if halo else (range_, doc_id, text, print_, set_)
             cols = list(zip(*rows)) or [[]] * 7
             types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[
