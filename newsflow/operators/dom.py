@@ -5,7 +5,7 @@ adds no implied end tags: an end tag closes the nearest open element with
 that name (and everything opened after it); an end tag without an open
 element is ignored.  Comments, script, style and template text are kept out
 of ``get_text``.  Only the selector forms the site rules need are supported:
-``tag``, ``.class``, ``#id``, ``[attr]``, ``[attr=value]``, compounds of
+``tag``, ``.class``, ``[attr]``, ``[attr=value]``, compounds of
 those, descendant (space) and child (``>``) combinators.
 """
 
@@ -174,7 +174,7 @@ def parse(html: str | None) -> Node:
 # ---------------------------------------------------------------------------
 _TOKEN = re.compile(r"""\s*(>)\s*|\s+|([^\s>]+(?:\[[^\]]*\])*)""")
 _SIMPLE = re.compile(
-    r"""([A-Za-z][A-Za-z0-9-]*|\*)|\.([\w-]+)|\#([\w-]+)|\[\s*([\w-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\]\s]*)))?\s*\]""")
+    r"""([A-Za-z][A-Za-z0-9-]*)|\.([\w-]+)|\[\s*([\w-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\]\s]*)))?\s*\]""")
 _CACHE: dict = {}
 
 
@@ -185,14 +185,12 @@ def _parse_compound(text):
         if not m:
             raise ValueError(f"unsupported selector: {text!r}")
         if m.group(1):
-            tag = None if m.group(1) == "*" else m.group(1).lower()
+            tag = m.group(1).lower()
         elif m.group(2):
             classes.append(m.group(2))
-        elif m.group(3):
-            attrs.append(("id", m.group(3)))
         else:
-            val = next((g for g in m.group(5, 6, 7) if g is not None), None)
-            attrs.append((m.group(4).lower(), val))
+            val = next((g for g in m.group(4, 5, 6) if g is not None), None)
+            attrs.append((m.group(3).lower(), val))
         pos = m.end()
     return tag, classes, attrs
 

@@ -24,7 +24,7 @@ from newsflow.operators import items as I
 from newsflow.operators import quarantine as Q
 from newsflow.operators import rules as R
 from newsflow.operators import store as S
-from newsflow.session import ensure_utc, observed, stage
+from newsflow.session import ensure_utc, observed, scratch, stage
 from newsflow.sinks.json_sink import write_items_json
 
 
@@ -85,6 +85,11 @@ def collect(spark: SparkSession, pages: DataFrame, store_root: str, run_ts=None,
             json_path: str | None = None) -> DataFrame:
     """Run the collector once; returns the one-row (added, skipped, quarantined) report."""
     ensure_utc(spark)
+    with scratch(spark):
+        return _collect(spark, pages, store_root, run_ts, json_path)
+
+
+def _collect(spark, pages, store_root, run_ts, json_path) -> DataFrame:
     cards, arts, lost = site_parts(spark, pages)
     items = joined_items(spark, I.join_cards_articles(cards, I.unique_articles(arts), hot=True))
     # Staged in the shared folder: dedup reads files instead of repeating the join.
@@ -113,6 +118,11 @@ def process(spark: SparkSession, store_root: str, generate, run_ts=None, partiti
     commit of patch rows, whatever the size of the store.
     """
     ensure_utc(spark)
+    with scratch(spark):
+        return _process(spark, store_root, generate, run_ts, partitions, max_row_bytes)
+
+
+def _process(spark, store_root, generate, run_ts, partitions, max_row_bytes) -> DataFrame:
     raw = S.read_raw(spark, store_root)
     patch = E.enrich(raw, generate, run_ts=run_ts, partitions=partitions, max_row_bytes=max_row_bytes,
                      answers=f"{store_root}/_answers", run=uuid.uuid4().hex)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -58,21 +60,33 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="newsflow-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # pragma: no cover - conf frozen by the cluster
-            pass
-        spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(d)  # found again by the next call
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("newsflow-stage-folder", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged inside go with the block: for runs whose result does not read them."""
+    root = checkpoint_root(spark)
+    held = _FOLDER.set(f"{root}/run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDER.get())
+        _FOLDER.reset(held)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df, tag: str):
     """Write ``df`` once as Parquet in the shared folder and read it back: what
     follows reads narrow columns of files, and a lost executor repeats no more."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{_FOLDER.get() or checkpoint_root(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

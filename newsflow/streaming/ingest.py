@@ -30,7 +30,7 @@ from newsflow.operators import items as I
 from newsflow.operators import rules as R
 from newsflow.operators import store as S
 from newsflow.plans import collect as C
-from newsflow.session import stage
+from newsflow.session import scratch, stage
 
 PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -54,11 +54,9 @@ def ingest_pages(spark: SparkSession, pages_dir: str, store_root: str, checkpoin
     src = reader.parquet(pages_dir)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        # stage the micro-batch's items once (overwrite per epoch, so a
-        # replayed epoch rewrites the same files); extraction then runs once
-        staged = f"{store_root}/_staging/epoch={epoch_id}"
-        to_items(df).write.mode("overwrite").parquet(staged)
-        C.insert(spark, store_root, spark.read.parquet(staged), run_ts, "page_id")
+        # the micro-batch's items are staged, so extraction runs once
+        with scratch(spark):
+            C.insert(spark, store_root, stage(to_items(df), "items"), run_ts, "page_id")
 
     q = (src.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
@@ -81,15 +79,17 @@ def ingest_site_pages(spark: SparkSession, pages_dir: str, store_root: str, chec
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     waiting, articles = f"{store_root}/_waiting", f"{store_root}/_articles"
 
-    def items_into_store(joined: DataFrame, epoch_id: int, name: str) -> None:
-        staged = f"{store_root}/_staging/{name}={epoch_id}"
-        C.joined_items(spark, joined).write.mode("overwrite").parquet(staged)
-        C.insert(spark, store_root, spark.read.parquet(staged), run_ts)
+    def items_into_store(joined: DataFrame) -> None:
+        C.insert(spark, store_root, stage(C.joined_items(spark, joined), "items"), run_ts)
 
     def left_without(cards: DataFrame) -> DataFrame:
         return cards.withColumn("article_details", F.lit(None).cast(R.DETAILS_TYPE)).drop("since")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
+        with scratch(spark):
+            meet(df, epoch_id)
+
+    def meet(df: DataFrame, epoch_id: int) -> None:
         cards, arts, lost = C.site_parts(spark, df)
         cards = cards.withColumn("since", F.lit(epoch_id).cast("long"))
         lost.write.mode("overwrite").parquet(f"{store_root}/_quarantine/run=epoch-{epoch_id}")
@@ -105,7 +105,7 @@ def ingest_site_pages(spark: SparkSession, pages_dir: str, store_root: str, chec
         met = F.col("article_details").isNotNull()
         (joined.where(~met & ~late).drop("article_details")
          .write.mode("overwrite").parquet(f"{waiting}/epoch={epoch_id}"))
-        items_into_store(joined.where(met | late).drop("since"), epoch_id, "epoch")
+        items_into_store(joined.where(met | late).drop("since"))
 
     q = (reader.parquet(pages_dir).writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
@@ -113,9 +113,10 @@ def ingest_site_pages(spark: SparkSession, pages_dir: str, store_root: str, chec
     q.awaitTermination()
     last = S.last_number(spark, waiting, "epoch=")
     if last is not None:  # the available files are read: whoever still waits goes in alone
-        rest = stage(spark.read.parquet(f"{waiting}/epoch={last}"), "closing")
-        items_into_store(left_without(rest), last, "closed")
-        rest.where("false").write.mode("overwrite").parquet(f"{waiting}/epoch={last}")
+        with scratch(spark):
+            rest = stage(spark.read.parquet(f"{waiting}/epoch={last}"), "closing")
+            items_into_store(left_without(rest))
+            rest.where("false").write.mode("overwrite").parquet(f"{waiting}/epoch={last}")
 
 
 def process_raw(spark: SparkSession, store_files: str, patch_dir: str, checkpoint: str,

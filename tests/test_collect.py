@@ -108,3 +108,13 @@ def test_hosts_belong_to_the_longest_suffix(spark):
     pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(hosts)] + [(99, None, "")], "page_id long, url string, html string")
     got = {r.url: (r.site, r.role) for r in C.assign_sites(pages).collect()}
     assert got == hosts | {None: (None, None)}
+
+
+def test_runs_leave_no_staged_tables(spark, tmp_path):
+    import os
+    from newsflow.session import checkpoint_root
+    folder = checkpoint_root(spark)
+    before = set(os.listdir(folder))
+    C.collect(spark, _pages(spark), str(tmp_path / "store"), run_ts())
+    C.process(spark, str(tmp_path / "store"), stub_generate, run_ts())
+    assert set(os.listdir(folder)) == before
