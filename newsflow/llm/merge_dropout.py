@@ -31,6 +31,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain, islice, repeat
 
 import numpy as np
@@ -92,15 +93,38 @@ class MergeModel:
             if len(piece) == 1:
                 self.symbol[ord(" " if piece == SPACE else piece)] = i
         self.symbol[ord(SPACE)] = -1 - ord(SPACE)
-        self.pair_key = np.array([p[0] for p in pairs] + [NEVER << 32], np.int64)
-        self.pair_id = np.array([p[1] for p in pairs] + [0], np.int32)
+        self._tabulate(np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64))
+
+    def _tabulate(self, key: np.ndarray, piece: np.ndarray) -> None:
+        """Pairs in a table of hash buckets, one row of buckets for each place that a
+        bucket needs; a pair is looked up by reading its bucket in every row."""
+        self.slots = np.uint64(max(8, 2 + int(len(key)).bit_length()))
+        bucket = self._bucket(key)
+        order = np.argsort(bucket, kind="stable")
+        bucket, key, piece = bucket[order], key[order], piece[order]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        row = np.arange(len(bucket)) - np.repeat(first, np.diff(np.append(first, len(bucket))))
+        shape = (int(row.max(initial=0)) + 1, 1 << int(self.slots))
+        self.pair_key, self.pair_id = np.full(shape, -1, np.int64), np.full(shape, -1, np.int64)
+        self.pair_key[row, bucket], self.pair_id[row, bucket] = key, piece
+
+    def _bucket(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * A >> (np.uint64(64) - self.slots)).astype(np.int64)
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair joins to, or -1."""
-        key = left.astype(np.int64) * self.size + right
-        at = np.searchsorted(self.pair_key, key)
-        ok = (left >= 0) & (right >= 0) & (self.pair_key[at] == key)
-        return np.where(ok, self.pair_id[at], -1)
+        key = np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.size + right, -2)
+        at = self._bucket(key)
+        out = np.where(self.pair_key[0][at] == key, self.pair_id[0][at], -1)
+        rest = np.flatnonzero((out < 0) & (key >= 0))
+        for keys, ids in zip(self.pair_key[1:], self.pair_id[1:]):
+            place = at[rest]
+            hit = keys[place] == key[rest]
+            out[rest[hit]] = ids[place[hit]]
+            rest = rest[~hit & (keys[place] >= 0)]
+            if not len(rest):
+                break
+        return out
 
 
 class Encoder:
@@ -114,6 +138,7 @@ class Encoder:
         self.cut_of: dict[str, int] = {}  # of a segment without any left out
         self.after: dict[int, int] = {}  # (cut, which of its merges are left out too) -> cut
         self.segments: list[str] = []
+        self.long: list[int] = []  # cuts of segments that are merged for each occurrence
         self.ids: list[bytes] = []
         self.places = np.zeros(0, np.uint64)  # of the merges made, cut after cut
         self.start = np.zeros(1, np.int64)
@@ -156,10 +181,8 @@ class Encoder:
         ids = self.ids + self._alone([flat[i] for i in once.tolist()], keys[once])
         cuts[once] = np.arange(len(self.ids), len(ids))
         got = list(map(ids.__getitem__, cuts.tolist()))
-        if self.limit:
-            for i, known in enumerate(got):
-                if not known:
-                    got[i] = self._by_heap(flat[i], keys[i:i + 1])
+        for i in np.flatnonzero(np.isin(cuts, self.long)).tolist() if self.long else ():
+            got[i] = self._by_heap(flat[i], keys[i:i + 1])
         each = iter(got)
         return [np.frombuffer(b"".join(islice(each, n)), "<i4") for n in sizes]
 
@@ -219,8 +242,11 @@ class Encoder:
         for rows, n in _by_length(segments):
             group = rows.tolist()
             if n > SHORT:
-                for i in group if not self.limit else ():
-                    ids[i] = self._by_heap(segments[i], np.zeros(1, np.uint64))
+                if self.limit:
+                    self.long += [len(self.ids) + i for i in group]
+                else:
+                    for i in group:
+                        ids[i] = self._by_heap(segments[i], np.zeros(1, np.uint64))
                 continue
             steps: list[tuple[np.ndarray, np.ndarray]] = []
             for i, got in zip(group, self._together([segments[i] for i in group], n, without[rows], steps)):
@@ -363,6 +389,12 @@ def _without(x: np.ndarray, column: np.ndarray) -> np.ndarray:
     return x[keep].reshape(len(x), x.shape[1] - 1)
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, rate: float, seed: int) -> Encoder:
+    """One encoder a worker process: its model and memory serve all the tasks it runs."""
+    return Encoder(MergeModel(path), rate, seed)
+
+
 def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = 0) -> DataFrame:
     """doc_id, ids: one scan, no shuffle."""
     return _run(docs, model_path, rate, seed, lambda e, ids, text: ids, pa.list_(pa.int32()), "array<int>")
@@ -371,7 +403,7 @@ def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = 0)
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id, text of (doc_id, ids) rows; null ids give the empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = Encoder(MergeModel(model_path), 0.0)
+        e = worker_encoder(model_path, 0.0, 0)
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text": pa.array(
                 [e.decode(ids or []) for ids in batch.column("ids").to_pylist()], pa.string())})
@@ -390,7 +422,7 @@ def round_trip(docs: DataFrame, model_path: str, rate: float = RATE, seed: int =
 
 def _run(docs: DataFrame, model_path: str, rate: float, seed: int, made, kind: pa.DataType, ddl: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = Encoder(MergeModel(model_path), rate, seed)
+        e = worker_encoder(model_path, rate, seed)
         for batch in batches:
             held = texts(batch)
             ids = e.encode_all(held, [k or 0 for k in batch.column("doc_id").to_pylist()])
