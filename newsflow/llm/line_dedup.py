@@ -42,12 +42,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.llm.common import CACHE_WORDS, arrow_map, mix64, release, stage, texts
+from newsflow.operators.skew import lookup
 
 SEED, MIN_WORDS = 8, 20
 LINE = np.uint64(0xC2B2AE3D27D4EB4F)
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bits of a filter for each key in it, and the most (as a power of two) a filter has.
 BITS_EACH, MOST_BITS = 8, 29
+#: A digest with more than this share of all rows is met where its rows lie.
+SHARE = 1 / 1024
 PLACED = "id long, tkey long, seed long, digest long, at long"
 
 
@@ -287,6 +290,11 @@ def _cut(names: list[str], rest: list[str]):
     return run
 
 
+def hot(counted: DataFrame, of: DataFrame) -> DataFrame:
+    """The digests with more than ``SHARE`` of the rows of a staged table: fewer than 1 / SHARE."""
+    return counted.where(F.col("rows") > F.lit(SHARE * of.count())).select("digest")
+
+
 def repeated_ranges(keyed: DataFrame, size: int) -> DataFrame:
     """(id, tkey, cuts): the word ranges of a text that go; ``keyed``: id, tkey, text."""
     share = keyed.sparkSession.sparkContext.broadcast
@@ -300,12 +308,14 @@ def repeated_ranges(keyed: DataFrame, size: int) -> DataFrame:
     release(units)
     release(shared)
 
-    holders = stage(hits.groupBy("seed", "digest").agg(F.min("id").alias("first"), F.max("id").alias("last")), "line-holders")
+    holders = stage(hits.groupBy("seed", "digest").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("rows")),
+                    "line-holders")
     mixed = (holders.groupBy("seed").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.min("first").alias("first"),
                                          F.max("last").alias("last")).where("first < last and lo < hi").select("seed", F.lit(True).alias("mixed")))
     known = (holders.join(mixed, "seed", "left").where("first < last or mixed")
-             .select("seed", "digest", "first", F.coalesce("mixed", F.lit(False)).alias("mixed")))
-    met = hits.join(known, ["seed", "digest"]).select("id", "tkey", "at", (F.col("id") > F.col("first")).alias("seen"), "mixed", "seed")
+             .select("digest", "first", F.coalesce("mixed", F.lit(False)).alias("mixed")))
+    met = lookup(hits, known, "digest", hot(holders, hits), "inner")
+    met = met.select("id", "tkey", "at", (F.col("id") > F.col("first")).alias("seen"), "mixed", "seed")
     met = stage(met.where("seen or mixed").select("id", "tkey", F.when(F.col("seen"), F.col("at")).alias("at"), "seed"), "line-met")
     release(hits)
     release(holders)
@@ -313,9 +323,10 @@ def repeated_ranges(keyed: DataFrame, size: int) -> DataFrame:
     open_ = stage(arrow_map(met.where("at is null").select("tkey", "seed"), _open_keys, "key long").distinct(), "line-open")
     grams = stage(arrow_map(keyed, _grams(size, share(filter_of(open_))), "id long, tkey long, digest long, at long"), "line-grams")
     release(open_)
-    first = (grams.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-             .where("first < last").select("digest", "first"))
-    exact = grams.join(first, "digest").where("id > first").select("id", "tkey", "at")
+    first = grams.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("rows"))
+    first = stage(first.where("first < last"), "line-first")
+    exact = (lookup(grams, first.select("digest", "first"), "digest", hot(first, grams), "inner")
+             .where("id > first").select("id", "tkey", "at"))
     ranges = met.where("at is not null").select("id", "tkey", "at").unionByName(exact)
     return (ranges.groupBy("id", "tkey").agg(F.collect_list("at").alias("cuts")).unionByName(inner)
             .groupBy("id", "tkey").agg(F.flatten(F.collect_list("cuts")).alias("cuts")))
