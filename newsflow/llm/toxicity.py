@@ -7,8 +7,8 @@ obfuscation rates; the trees' output is calibrated by isotonic regression on
 out-of-fold scores.
 
 Defined cases: a null text is scored as the empty text; a document with a null
-id is held out; without labels of both kinds every score is the base rate (0.5
-without labels at all); repeated rows are scored alike; further columns of
+id is held out; without labels of both kinds every score is the base rate (0
+without labels at all: nothing is rejected); repeated rows are scored alike; further columns of
 ``docs`` are ignored.  Ids, languages, sources and labels are no features.
 """
 
@@ -182,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", rows: int =
            .dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id"))
     y = got["y"].to_numpy(float)
     if len(set(y)) < 2:
-        return ToxicityModel(values=np.full(1, y[0] if len(y) else 0.5))
+        return ToxicityModel(values=np.full(1, y[0] if len(y) else 0.0))
     x = np.stack(got["x"].to_numpy())
     fold = np.arange(len(y)) % 3
     out = np.zeros(len(y))
