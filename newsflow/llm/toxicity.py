@@ -7,8 +7,8 @@ obfuscation rates; the trees' output is calibrated by isotonic regression on
 out-of-fold scores.
 
 Defined cases: a null text is scored as the empty text; a document with a null
-id is held out; without labels of both kinds every score is the base rate (0
-without labels at all: nothing is rejected); repeated rows are scored alike; further columns of
+id is held out; without labels of both kinds every score is the base rate (0.5
+without labels at all, and then :func:`drop_toxic` rejects nothing); repeated rows are scored alike; further columns of
 ``docs`` are ignored.  Ids, languages, sources and labels are no features.
 """
 
@@ -151,12 +151,16 @@ def _extends(longer: str, term: str) -> bool:
     return term.endswith("*") and longer != term and longer.startswith(term[:-1])
 
 
+#: Score where there are no labels to learn from.
+UNKNOWN = 0.5
+
+
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon = field(default_factory=Lexicon)
     trees: B.Gbt | None = None
     knots: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    values: np.ndarray = field(default_factory=lambda: np.full(1, 0.5))
+    values: np.ndarray = field(default_factory=lambda: np.full(1, UNKNOWN))
 
     def score(self, all_texts: list[str], codes: Codes) -> np.ndarray:
         if self.trees is None or not all_texts:
@@ -182,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", rows: int =
            .dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id"))
     y = got["y"].to_numpy(float)
     if len(set(y)) < 2:
-        return ToxicityModel(values=np.full(1, y[0] if len(y) else 0.0))
+        return ToxicityModel(values=np.full(1, y[0] if len(y) else UNKNOWN))
     x = np.stack(got["x"].to_numpy())
     fold = np.arange(len(y)) % 3
     out = np.zeros(len(y))
@@ -210,6 +214,8 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` without the rows scored at or above the threshold; all columns kept."""
     model = train(docs, labels, rows=rows)
+    if model.trees is None and model.values[0] == UNKNOWN:
+        return docs
     fields = docs.schema.fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
