@@ -21,6 +21,7 @@ from newsflow.functions.text import first_line, line_at, py_strip
 from newsflow.operators import items as I
 from newsflow.operators import store as S
 from newsflow.operators.enrich import TEXT_FIELDS
+from newsflow.session import stage
 
 # Fixed run timestamp so outputs are reproducible (the reference uses now()).
 RUN_TS = "2025-01-01 00:00:00"
@@ -96,13 +97,13 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Those rows as they land: one JSON document each.  Documents labelled toxic
     land with a number where the title should be."""
-    best = I.dedup_uid(doc_items(spark, sf_dir), "doc_id").select("uid", "doc_id")
-    toxic = best.join(table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id"), "doc_id", "left_semi").select("uid")
-    rows = raw_store(spark, sf_dir).select("uid", *TEXT_FIELDS)
+    best = stage(I.dedup_uid(doc_items(spark, sf_dir), "doc_id"), "best")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
+    odd = best.join(toxic, "doc_id", "left_semi").select("uid", F.lit(True).alias("odd"))
+    rows = S.store_row(best, run_ts()).select("uid", *TEXT_FIELDS).join(odd, "uid", "left")
     rest = [F.col(f) for f in TEXT_FIELDS if f != "title"]
-    odd = rows.join(toxic, "uid", "left_semi").select("uid", F.to_json(F.struct(F.length("title").alias("title"), *rest)).alias("document"))
-    whole = rows.join(toxic, "uid", "left_anti").select("uid", F.to_json(F.struct("title", *rest)).alias("document"))
-    return whole.unionByName(odd)
+    whole, number = (F.to_json(F.struct(t, *rest)) for t in (F.col("title"), F.length("title").alias("title")))
+    return rows.select("uid", F.when(F.col("odd"), number).otherwise(whole).alias("document"))
 
 
 def doc_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
