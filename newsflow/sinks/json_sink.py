@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-#: Most items of one part file (a reader may then take a file whole).
+#: Most items of one part file.
 FILE_ROWS = 50_000
 
 
