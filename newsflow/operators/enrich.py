@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.functions.text import py_strip, truncate
-from newsflow.session import ship_package, stage
+from newsflow.session import bound_batches, ship_package, stage
 
 # Output limits and the fallback / finaliser texts.
 ONE_LINE_MAX = 140          # cut applied to the model's one-line summary
@@ -228,6 +228,7 @@ def call_model(items: DataFrame, generate: Generate, partitions: int | None = No
     if partitions:
         req = req.repartition(partitions)
     ship_package(items.sparkSession)
+    bound_batches(items.sparkSession)
     return req.mapInPandas(_call_batches(generate), CALL_SCHEMA)
 
 
@@ -254,6 +255,7 @@ def call_model_once(items: DataFrame, generate: Generate, answers: str, run: str
     """
     spark = items.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     req = stage(_requests(items), "requests")
     out, alive = req, req.where("processing_error is null")
     error, failed, calls = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(0)

@@ -23,7 +23,7 @@ from newsflow.functions.text import memo, nbsp_clean, py_strip
 from newsflow.functions.urls import fix_protocol, url_resolve
 from newsflow.operators import dom
 from newsflow.operators.extract import byline_author, byline_date, first_per_key, keep_paragraphs, unnest
-from newsflow.session import ship_package, spread
+from newsflow.session import bound_batches, ship_package, spread
 
 # ---------------------------------------------------------------------------
 # The three sites (base URL, listing URL, source label) and
@@ -242,38 +242,39 @@ def raw_article(root, site):
     return out
 
 
-def _card_batches(it):
-    for pdf in it:
-        rows = []
-        for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
-            root = None
-            for site in sites:
-                try:
-                    root = root if root is not None else dom.parse(html)
-                    rows.append({"page_id": pid, "url": url, "site": site,
-                                 "cards": raw_cards(root, site), "parse_error": None})
-                except Exception as e:  # noqa: BLE001 - isolate the page
-                    rows.append({"page_id": pid, "url": url, "site": site, "cards": [],
-                                 "parse_error": repr(e)})
-        yield pd.DataFrame(rows, columns=RAW_CARDS_SCHEMA.fieldNames())
-
-
-def _article_batches(it):
-    keys = RAW_ARTICLE_SCHEMA.fieldNames()
-    for pdf in it:
-        rows = []
-        for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
-            root = None
-            for site in sites:
-                try:
-                    root = root if root is not None else dom.parse(html)
-                    r = {"page_id": pid, "url": url, "site": site, **raw_article(root, site),
-                         "parse_error": None}
-                except Exception as e:  # noqa: BLE001 - isolate the page
-                    r = {**dict.fromkeys(keys), "page_id": pid, "url": url, "site": site,
-                         "paragraphs": [], "parse_error": repr(e)}
-                rows.append(r)
-        yield pd.DataFrame(rows, columns=keys)
+#: Characters of pages whose results are held at a time.
+BATCH_CHARS = 4 << 20
+
+
+def _applied(extract, failed, schema):
+    """Arrow batches of pages -> one row per page and site, given on in bounded batches."""
+    keys = schema.fieldNames()
+
+    def run(it):
+        rows, size = [], 0
+        for pdf in it:
+            for pid, url, html, sites in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["sites"]):
+                root = None
+                for site in sites:
+                    try:
+                        root = root if root is not None else dom.parse(html)
+                        row = {**extract(root, site), "parse_error": None}
+                    except Exception as e:  # noqa: BLE001 - isolate the page
+                        row = {**failed, "parse_error": repr(e)}
+                    rows.append({"page_id": pid, "url": url, "site": site, **row})
+                if root is not None:
+                    root.release()
+                size += len(html or "") * len(sites)
+                if size > BATCH_CHARS:
+                    yield pd.DataFrame(rows, columns=keys)
+                    rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=keys)
+    return run
+
+
+_card_batches = _applied(lambda root, site: {"cards": raw_cards(root, site)}, {"cards": []}, RAW_CARDS_SCHEMA)
+_article_batches = _applied(raw_article, {"paragraphs": []}, RAW_ARTICLE_SCHEMA)
 
 
 # ---------------------------------------------------------------------------
@@ -295,6 +296,7 @@ def _with_sites(pages: DataFrame) -> DataFrame:
     """Input rows carry either one ``site`` or an array ``sites``; each page
     is parsed once and every listed rule is applied to the same tree."""
     ship_package(pages.sparkSession)
+    bound_batches(pages.sparkSession)
     sites = F.col("sites") if "sites" in pages.columns else F.array(F.col("site"))
     return spread(pages.select("page_id", "url", "html", sites.alias("sites")))
 
