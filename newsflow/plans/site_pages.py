@@ -35,13 +35,19 @@ def _cat(*parts) -> Column:
 
 
 def _form(*variants) -> Column:
-    """The variant at the row's form."""
-    return F.element_at(F.array(*(_cat(*v) if isinstance(v, tuple) else _cat(v) for v in variants)),
-                        F.col("form") + 1)
+    """The variant at the row's form; the others are not computed (each may hold a whole text).
+    A negative form counts from the end, as an array's index would."""
+    form, out = F.col("form"), F.when(F.col("form") == -1, F.raise_error(F.lit("no variant at index 0")))
+    for k, v in enumerate(variants):
+        out = out.when(form.isin(k, k - len(variants) - 1), _cat(*v) if isinstance(v, tuple) else _cat(v))
+    return out
 
 
 def _site(values: dict) -> Column:
-    return F.element_at(F.create_map(*(x for s, v in values.items() for x in (F.lit(s), _cat(v)))), F.col("site"))
+    out = F  # the first ``when`` starts the chain
+    for site, v in values.items():
+        out = out.when(F.col("site") == site, _cat(v))
+    return out
 
 
 def site_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
