@@ -253,15 +253,31 @@ def front_posts(sets: DataFrame, percent: int) -> DataFrame:
     return stage(arrow_map(sets, run, "shingle long, row long, root long, n long, place long"), "near-fronts")
 
 
+def shared_posts(posts: DataFrame, percent: int) -> DataFrame:
+    """(shingle, row, root, n, place, members, hub): the postings of shingles that may link two components.
+
+    They are joined with their shingle's count once, so there are never more of
+    them than of ``posts``.  A shingle of two holders goes at once if their sizes
+    or places rule a link out.
+    """
+    behind = F.col("n") - F.col("place")
+    buckets = posts.groupBy("shingle").agg(
+        F.count("*").alias("members"), F.min("row").alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.min("n").alias("small"), F.max("n").alias("large"), F.min(behind).alias("behind"))
+    linkable = ((100 * F.col("small") >= percent * F.col("large"))
+                & ((100 + percent) * F.col("behind") >= percent * (F.col("small") + F.col("large"))))
+    buckets = stage(buckets.where((F.col("lo") != F.col("hi")) & ((F.col("members") > 2) | linkable))
+                    .select("shingle", "members", "hub"), "near-buckets")
+    return stage(posts.join(buckets, "shingle"), "near-shared")
+
+
 def rest_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between components among ``members`` (row, root)."""
     held = _texts_of(docs, nodes.select("row", "doc_id", "key", "digest").join(members, "row"))
     sets = stage(arrow_map(held.select("row", "root", "digest", "text"), _listed_sets(words),
                            "row long, root long, n long, set binary"), "near-sets")
-    posts = front_posts(sets, percent)
-    buckets = stage(posts.groupBy("shingle").agg(F.count("*").alias("members"), F.min("row").alias("hub"), F.min("root").alias("lo"),
-                                                 F.max("root").alias("hi")).where("lo <> hi").drop("lo", "hi"), "near-shared")
-    few = posts.join(buckets.where(F.col("members") <= CROWD).select("shingle"), "shingle")
+    shared = shared_posts(front_posts(sets, percent), percent)
+    few = shared.where(F.col("members") <= CROWD)
     side = {s: few.select("shingle", *(F.col(c).alias(f"{s}_{c}") for c in ("row", "root", "n", "place"))) for s in "ab"}
     pairs = (side["a"].join(side["b"], "shingle")
              .where((F.col("a_row") < F.col("b_row")) & (F.col("a_root") != F.col("b_root"))
@@ -272,8 +288,8 @@ def rest_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, words: int
     fetch = {s: sets.select(F.col("row").alias(s), F.col("set").alias(f"{s}_set")) for s in "ab"}
     paired = stage(arrow_map(pairs.join(fetch["a"], "a").join(fetch["b"], "b"), _verify_sets(percent), "a long, b long"), "near-paired")
 
-    crowd = posts.join(buckets.where(F.col("members") > CROWD).select("shingle", "hub"), "shingle")
-    family = components(crowd.where("row <> hub").select(F.col("hub").alias("a"), F.col("row").alias("b")))
+    crowd = shared.where((F.col("members") > CROWD) & (F.col("row") != F.col("hub")))
+    family = components(crowd.select(F.col("hub").alias("a"), F.col("row").alias("b")))
     placed = sets.join(family.withColumnRenamed("root", "family"), "row")
     return paired.unionByName(family_links(placed, percent))
 
