@@ -261,7 +261,7 @@ def _applied(extract, failed, schema):
                         row = {**extract(root, site), "parse_error": None}
                     except Exception as e:  # noqa: BLE001 - isolate the page
                         row = {**failed, "parse_error": repr(e)}
-                    rows.append({"page_id": pid, "url": url, "site": site, **row})
+                    rows.append({**dict.fromkeys(keys), "page_id": pid, "url": url, "site": site, **row})
                 if root is not None:
                     root.release()
                 size += len(html or "") * len(sites)
