@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.session import checkpoint_root, ship_package
+from newsflow.session import checkpoint_root, release, ship_package  # noqa: F401 (release: for the operators)
 
 #: Bytes of one Arrow batch sent to a Python worker (long texts make short batches).
 BATCH_BYTES = 8 << 20
@@ -45,16 +45,6 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(df: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    root, hadoop = checkpoint_root(spark), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = hadoop(folder)
-        if path.toUri().getPath().startswith(hadoop(root).toUri().getPath() + "/"):
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def held_out(key: str = "doc_id") -> Column:
     """True where crc32 of the id as text leaves remainder 0 modulo 5 (a null id: true)."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == 0, F.lit(True))

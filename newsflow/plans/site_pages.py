@@ -52,17 +52,18 @@ def _site(values: dict) -> Column:
 
 def site_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its site, form and escaped parts."""
-    d = B.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                                                   "source", "lang")
-    d = d.join(B.doc_published(spark, sf_dir), "doc_id", "left")
+    d = B.table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     lines = F.transform(F.split("text", "\n", -1), lambda x: _cat("<p>", escaped(x), "</p>"))
+    # cut before the join: listings move no paragraphs
+    d = d.select("doc_id", escaped(first_line("text")).alias("title"),
+                 escaped(F.coalesce(line_at("text", 1), F.lit(""))).alias("second"),
+                 escaped(F.col("source")).alias("source"), "lang", F.array_join(lines, "").alias("paras"))
+    d = d.join(B.doc_published(spark, sf_dir), "doc_id", "left")
     return d.select(
         "doc_id", F.expr("cast((doc_id div 3) % 4 as int)").alias("form"),
         F.element_at(F.array(*map(F.lit, R.SITES)), (F.col("doc_id") % 3 + 1).cast("int")).alias("site"),
-        F.col("doc_id").cast("string").alias("id"), escaped(first_line("text")).alias("title"),
-        escaped(F.coalesce(line_at("text", 1), F.lit(""))).alias("second"),
-        escaped(F.col("source")).alias("source"), F.col("lang"),
-        escaped(F.coalesce("published_src", F.lit(""))).alias("pub"), F.array_join(lines, "").alias("paras"))
+        F.col("doc_id").cast("string").alias("id"), "title", "second", "source", "lang",
+        escaped(F.coalesce("published_src", F.lit(""))).alias("pub"), "paras")
 
 
 def _article() -> dict:

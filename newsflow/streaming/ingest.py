@@ -93,7 +93,7 @@ def ingest_site_pages(spark: SparkSession, pages_dir: str, store_root: str, chec
         cards, arts, lost = C.site_parts(spark, df)
         cards = cards.withColumn("since", F.lit(epoch_id).cast("long"))
         lost.write.mode("overwrite").parquet(f"{store_root}/_quarantine/run=epoch-{epoch_id}")
-        arts.write.mode("overwrite").parquet(f"{articles}/epoch={epoch_id}")
+        arts.drop("row").write.mode("overwrite").parquet(f"{articles}/epoch={epoch_id}")
         new = spark.read.parquet(f"{articles}/epoch={epoch_id}")
         seen = spark.read.parquet(articles).where(F.col("epoch") <= epoch_id).withColumn("order", F.struct("epoch", "page_id"))
         joined = I.join_cards_articles(cards, I.unique_articles(seen, order="order"), hot=True)

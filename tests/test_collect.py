@@ -1,7 +1,9 @@
 """End-to-end collector and processor runs on golden site pages."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from newsflow.operators import items as I
 from newsflow.operators import store as S
 from newsflow.operators.rules import SITES
 from newsflow.plans import collect as C
@@ -118,3 +120,117 @@ def test_runs_leave_no_staged_tables(spark, tmp_path):
     C.collect(spark, _pages(spark), str(tmp_path / "store"), run_ts())
     C.process(spark, str(tmp_path / "store"), stub_generate, run_ts())
     assert set(os.listdir(folder)) == before
+
+
+def test_a_run_holds_each_text_once(spark, tmp_path, monkeypatch):
+    import os
+    import random
+    from newsflow.session import checkpoint_root
+    words = random.Random(1)
+    texts = ["".join(chr(words.randrange(0x4E00, 0x9FFF)) for _ in range(20_000)) for _ in range(12)]
+    card = '<div data-test-id="story-card"><a data-test-id="arr--hero-image" href="/n/{0}"></a><div data-test-id="headline"><h6>T{0}</h6></div></div>'
+    pages = [(99, ES["listing_url"], "".join(card.format(i) for i in range(12)))]
+    pages += [(i, f"{ES['base_url']}/n/{i}", f"<article><p>{t}</p></article>") for i, t in enumerate(texts)]
+    folder, held, real = checkpoint_root(spark), [], S.append_store
+    before = {d for d, _, _ in os.walk(folder)}
+
+    def spy(*a):
+        held.append(sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(folder) if d not in before for f in names))
+        return real(*a)
+    monkeypatch.setattr(S, "append_store", spy)
+    read = []
+    root = str(tmp_path / "store")
+    C.collect(spark, spark.createDataFrame(pages, "page_id long, url string, html string"), root, run_ts(), pages_read=lambda: read.append(len(held)))
+    assert sorted(r.full_text for r in S.read_store(spark, root).collect()) == sorted(texts)
+    # a text is one paragraph, so it is the summary and the full text of its item
+    assert held[0] < 2.5 * sum(len(t.encode()) for t in texts)
+    assert read == [0]
+
+
+def _parts(spark):
+    """Cards and staged articles with odd rows: an article page twice, of two contents; one article of many cards; cards without an article."""
+    from newsflow.operators import rules as R
+    from newsflow.session import stage
+    url = "https://eisamay.com/{}".format
+    cards = [(1, "eisamay", i, 9, f"t{i}", url(u), None, None, None, None, None, f"sub{i}") for i, u in enumerate(
+        ["a", "b", "none", "blank", "", *["hot"] * 100, *["gone"] * 20])] + [(1, "eisamay", 0, 9, "t0", url("a"), None, None, None, None, None, "other"),
+        (2, "statesman", 0, 1, None, url("b"), "i", None, None, None, None, "no"), (2, "statesman", 1, 1, "n", None, "i", None, None, None, None, "no")]
+    details = [(1, url("a"), ("A", "s1", None, "x", "2025-01-01", "one")), (1, url("a"), ("A", "s2", "i", "x", "2025-01-02", "two")),
+               (2, url("a"), ("later", "s", "i", "x", None, "later")), (3, url("b"), (" ", "", "", None, "", None)),
+               (4, url("blank"), ("", "  ", None, None, None, " z ")), (5, url("hot"), ("", "s", None, None, None, "hot")), (6, None, ("N", "n", None, None, None, "n"))]
+    arts = spark.createDataFrame(details, T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+                                                        T.StructField("article_details", R.DETAILS_TYPE)]))
+    return spark.createDataFrame(cards, R.CARD_SCHEMA), stage(arts.repartition(3).withColumn("row", F.monotonically_increasing_id()), "articles")
+
+
+def test_long_fields_come_back_as_they_were(spark):
+    cards, arts = _parts(spark)
+    whole = C.joined_items(spark, I.join_cards_articles(cards, I.unique_articles(arts), hot=True))
+    light = C.joined_items(spark, I.join_cards_articles(cards, I.unique_articles(I.without_long_fields(arts)), hot=True))
+    assert {r.full_text for r in light.collect()} == {""}
+    got = I.join_long_fields(light, arts, "row_key", C.subheadline())
+    assert got.dtypes == whole.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_items_without_an_article_are_dealt_evenly(spark):
+    import statistics
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in conf}
+    _, arts = _parts(spark)
+    none = F.lit(None).cast(I.without_long_fields(arts).schema["article_details"].dataType)
+    items = spark.range(8000).select(F.col("id").alias("row_key"), F.lit("eisamay").alias("site"), F.lit("s").alias("listing_subheadline"), none.alias("article_details"),
+                                     F.lit("").alias("summary_raw"), F.lit("").alias("full_text"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = I.join_long_fields(items, arts, "row_key", C.subheadline())
+        dealt = [r["count"] for r in got.where("summary_raw = 's' and article_details is null").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(dealt) == 8000 and max(dealt) < 2 * statistics.median(dealt)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_the_export_holds_whole_items(spark, tmp_path):
+    C.collect(spark, _pages(spark), str(tmp_path / "store"), run_ts(), json_path=str(tmp_path / "json"))
+    want = C.site_items(spark, _pages(spark)).drop("published_dt", "row_key")
+    want = sorted(want.toJSON().collect(), key=str)
+    got = spark.read.schema(C.site_items(spark, _pages(spark)).drop("published_dt", "row_key").schema).json(str(tmp_path / "json"))
+    assert sorted(got.toJSON().collect(), key=str) == want
+    assert any(r.article_details and r.article_details.full_text for r in got.collect())
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    import time
+    from newsflow.session import FREE_SHUFFLES, stage
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = disk.getAllBlocks()
+        return {str(blocks.apply(i)) for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle_")}
+    before, old = shuffles(), spark.conf.get(FREE_SHUFFLES, None)
+    got = stage(spark.range(1000).repartition(5, "id"), "dealt")
+    for _ in range(50):
+        if left := shuffles() - before:
+            time.sleep(0.1)
+    assert not left and got.count() == 1000
+    assert spark.conf.get(FREE_SHUFFLES, None) == old
+
+
+def test_the_query_keeps_no_crawled_pages(spark):
+    import os
+    from conftest import SF
+    from newsflow.plans import queries as Q
+    from newsflow.session import checkpoint_root
+    before = set(os.listdir(checkpoint_root(spark)))
+    assert Q.REGISTRY["collect_run"](spark, SF).count() > 0
+    assert not [f for f in set(os.listdir(checkpoint_root(spark))) - before if f.startswith("crawl-")]
+
+
+def test_listings_shuffle_no_paragraphs(spark):
+    from conftest import SF
+    from newsflow.plans import site_pages as SP
+    plan = SP.listing_pages(SP.site_docs(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    left = plan.split("Join LeftOuter")[1].split(":  +- ")[0]  # what the documents' side brings to the join with the dates
+    assert left.count(" AS ") == 2 and " AS title#" in left and " AS second#" in left
