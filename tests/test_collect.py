@@ -234,3 +234,25 @@ def test_listings_shuffle_no_paragraphs(spark):
     plan = SP.listing_pages(SP.site_docs(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
     left = plan.split("Join LeftOuter")[1].split(":  +- ")[0]  # what the documents' side brings to the join with the dates
     assert left.count(" AS ") == 2 and " AS title#" in left and " AS second#" in left
+
+
+def test_the_quarantine_needs_no_pages_once_they_are_read(spark, tmp_path):
+    import os
+    from newsflow.session import checkpoint_root, release, stage
+    root, before = str(tmp_path / "store"), set(os.listdir(checkpoint_root(spark)))
+    pages = stage(_pages(spark).unionByName(spark.createDataFrame([(6, ES["listing_url"], "<![foo[x]]>"), (7, None, None)], "page_id long, url string, html string")), "landed")
+    done = C.collect(spark, pages, root, run_ts(), pages_read=lambda: release(pages)).first()
+    assert set(os.listdir(checkpoint_root(spark))) == before
+    lost = {(r.page_id, r.reason) for r in C.read_quarantine(spark, root).collect()}
+    assert lost == {(5, "no site rule"), (6, "parse error"), (7, "no site rule")} and done.quarantined == 3
+
+
+def test_the_quarantine_query_keeps_no_crawled_pages(spark):
+    import os
+    from conftest import SF
+    from newsflow.plans import queries as Q
+    from newsflow.session import checkpoint_root
+    before = set(os.listdir(checkpoint_root(spark)))
+    lost = Q.REGISTRY["collect_quarantine"](spark, SF)
+    assert {r.reason for r in lost.select("reason").distinct().collect()} == {"no site rule", "parse error"}
+    assert not [f for f in set(os.listdir(checkpoint_root(spark))) - before if f.startswith("crawl-")]
